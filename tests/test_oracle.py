@@ -1,0 +1,69 @@
+"""Every registered query against its SQL on the same tables."""
+
+import datetime
+import decimal
+import math
+
+import duckdb
+import pytest
+from conftest import TESTDATA
+
+import __spark_entry__ as entry
+
+SF = TESTDATA / "sf0.01"
+TABLES = ("region nation customer supplier part orders lineitem events documents "
+          "embeddings pages benchmark labels conversations").split()
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"create view {name} as select * from '{SF}/{name}.parquet'")
+    yield con
+    con.close()
+
+
+def plain(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else repr(value)
+    if isinstance(value, (datetime.datetime, datetime.date)):
+        return value.isoformat()
+    if isinstance(value, decimal.Decimal):
+        return f"{value:f}"
+    return value if value is None else str(value)
+
+
+def rows(columns, data):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return sorted((tuple(plain(r[i]) for i in order) for r in data),
+                  key=lambda r: tuple((v is None, v or "") for v in r))
+
+
+# DuckDB type of each Spark type a query returns.
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+         "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+         "decimal(9,3)": "DECIMAL(9,3)"}
+
+
+def test_same_names():
+    assert set(entry.oracle_sql()) == set(entry.queries())
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_equals_sql(spark, duck, name):
+    df = entry.queries()[name](spark, str(SF))
+    result = duck.execute(entry.oracle_sql()[name])
+    names = [c[0] for c in result.description]
+    expected = result.fetchall()
+    assert sorted(df.columns) == sorted(names)
+    types = {c[0]: str(c[1]) for c in
+             duck.execute("describe " + entry.oracle_sql()[name]).fetchall()}
+    assert {c: TYPES[t] for c, t in df.dtypes} == types
+    actual = [tuple(r) for r in df.collect()]
+    assert len(actual) == len(expected) > 0
+    assert rows(df.columns, actual) == rows(names, expected)
+
+
+def test_flagship(spark):
+    assert entry.entry(spark).count() > 0
