@@ -29,5 +29,9 @@ def missing_fields(text: Column, paths: Sequence[str]) -> Column:
         keys = F.coalesce(F.json_object_keys(node), F.array().cast("array<string>"))
         prefix = f"{parent}." if parent else ""
         wanted = F.array_except(F.array(*[F.lit(leaf) for leaf in leaves]), keys)
-        absent.append(F.transform(wanted, lambda k, p=prefix: F.concat(F.lit(p), k)))
+        absent.append(F.transform(wanted, _prepend(prefix)))
     return F.concat(*absent)
+
+
+def _prepend(prefix: str):
+    return lambda key: F.concat(F.lit(prefix), key)

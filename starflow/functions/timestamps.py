@@ -19,9 +19,10 @@ def parse_default(col: Column) -> Column:
 
 
 def parse_timestamp(col: Column, *patterns: str) -> Column:
-    """First of the patterns that fits, else Spark's default rules.
+    """Spark's default rules, else the first of the patterns that fits.
 
     ``...56.123456+00:00Z`` fits only the station pattern; ``...56.123456Z`` and
-    ``...56+00:00`` fit only the default rules.
+    ``...56+00:00`` fit only the default rules.  Those go first because they
+    turn a string down cheaply, while a pattern that fails throws inside.
     """
-    return F.coalesce(*[parse_pattern(col, p) for p in patterns], parse_default(col))
+    return F.coalesce(parse_default(col), *[parse_pattern(col, p) for p in patterns])

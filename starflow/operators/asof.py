@@ -29,10 +29,6 @@ def _micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
-def _deal(copies: Column) -> Column:
-    return (F.monotonically_increasing_id() % copies).cast("int")
-
-
 def _sliced(df: DataFrame, group: list[str], cuts: DataFrame | None) -> DataFrame:
     if cuts is None:
         return df.withColumn(_SLICE, F.lit(0))
@@ -79,8 +75,7 @@ def asof_join(left: DataFrame, right: DataFrame, ts: str, right_ts: str,
     r, l = _sliced(r, group, cuts), _sliced(l, group, cuts)
 
     # One row per bucket (slice) that holds left rows: its size and carried row.
-    left_sizes = (l.dropna(subset=[*by, _TS]).groupBy(*part)
-                  .agg(F.count("*").alias(_N)))
+    left_sizes = l.groupBy(*part).agg(F.count("*").alias(_N))
     right_ends = r.groupBy(*part).agg(F.max_by(_RIGHT, _TS).alias(_RIGHT))
     earlier = (Window.partitionBy(*(by or [F.lit(0)])).orderBy(_BUCKET, _SLICE)
                .rowsBetween(Window.unboundedPreceding, -1))
@@ -90,19 +85,22 @@ def asof_join(left: DataFrame, right: DataFrame, ts: str, right_ts: str,
         .where(F.col(_N).isNotNull())
         .withColumn(_COPIES, F.ceil(F.col(_N) / max_rows).cast("int")),
         "asof_parts")
-    salts = parts.where(F.col(_COPIES) > 1).select(*part, _COPIES)
     carried = (parts.where(F.col(_RIGHT).isNotNull())
                .select(*part, F.lit(None).cast("bigint").alias(_TS), _RIGHT, _COPIES))
+    hot = parts.where(F.col(_COPIES) > 1).select(*part, _COPIES)
 
     # A left row with a NULL key or time matches nothing: any group will do.
     unmatchable = F.greatest(*[F.col(c).isNull() for c in [*by, _TS]], F.lit(False))
-    if salts.isEmpty():
+    if hot.isEmpty():
         r = r.withColumn(_COPIES, F.lit(1))
-        l = l.withColumn(_COPIES, F.lit(1))
+        spread = F.pmod(F.xxhash64(_LEFT), F.lit(_NULL_SPREAD))
+        l = l.withColumn(_SALT, F.when(unmatchable, spread.cast("int")).otherwise(0))
     else:
-        r = r.join(salts, part, "left").fillna(1, [_COPIES])
-        l = l.join(salts, part, "left").fillna(1, [_COPIES])
-    l = l.withColumn(_SALT, _deal(F.when(unmatchable, _NULL_SPREAD).otherwise(F.col(_COPIES))))
+        r = r.join(hot, part, "left").fillna(1, [_COPIES])
+        groups = F.when(unmatchable, _NULL_SPREAD).otherwise(F.coalesce(_COPIES, F.lit(1)))
+        dealt = (F.monotonically_increasing_id() % groups).cast("int")
+        # Stored, so a lost executor cannot deal the same row out differently.
+        l = stage(l.join(hot, part, "left").withColumn(_SALT, dealt).drop(_COPIES), "asof_left")
     r = r.unionByName(carried).withColumn(
         _SALT, F.explode(F.sequence(F.lit(0), F.col(_COPIES) - 1)))
 

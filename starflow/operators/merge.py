@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,11 +38,13 @@ def insert_keyed(target: DataFrame, source: DataFrame, natural_key: Sequence[str
 
 
 def new_rows(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows of the batch whose key the target lacks, one per key; NULL equals NULL."""
-    existing = target.select(*[F.col(k).alias(f"_t_{k}") for k in key])
-    same = reduce(lambda a, b: a & b,
-                  [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in key])
-    return batch.dropDuplicates(list(key)).join(existing, same, "left_anti")
+    """Rows of the batch whose key the target lacks, one per key.
+
+    The batch is made unique before the shuffle, and the join reuses that
+    shuffle.  A row with a NULL in its key counts as new, so check for NULLs first.
+    """
+    return (batch.dropDuplicates(list(key))
+            .join(target.select(*key), list(key), "left_anti").select(*batch.columns))
 
 
 def append_new(batch: DataFrame, path: str, key: Sequence[str], date_col: str = "date",
@@ -51,17 +52,15 @@ def append_new(batch: DataFrame, path: str, key: Sequence[str], date_col: str =
     """Append to a table partitioned by date; rows already there are skipped.
 
     Only the target's partitions for the days in the batch are read, so the cost
-    follows the batch, not the table.  Running a load again adds nothing.
+    follows the batch, not the table.  Running a load again adds nothing.  Give
+    the batch as a stored table, as it is read twice.
     """
     spark = batch.sparkSession
     if has_data(spark, path):
-        target = spark.read.schema(batch.schema).parquet(path)
         # One value per calendar day of the batch.
         days = [r[0] for r in batch.select(date_col).distinct().collect()]
-        touched = F.col(date_col).isin([d for d in days if d is not None])
-        if None in days:
-            touched = touched | F.col(date_col).isNull()
-        rows = new_rows(target.where(touched), batch, key)
+        target = spark.read.schema(batch.schema).parquet(path)
+        rows = new_rows(target.where(F.col(date_col).isin(days)), batch, key)
     else:
         rows = batch.dropDuplicates(list(key))
     write_by_date(rows, path, date_col, list(sort_by) or list(key))

@@ -55,7 +55,11 @@ def readable(docs: DataFrame) -> DataFrame:
 
 
 def unreadable(docs: DataFrame) -> DataFrame:
-    return docs.where(F.col(CORRUPT).isNotNull()).select(CORRUPT, FILE, MODIFIED)
+    """The documents ``readable`` leaves out, as text with their origin."""
+    content = [c for c in docs.columns if c not in (CORRUPT, FILE, MODIFIED)]
+    # Spark sets the corrupt column only while it parses some other column too.
+    parsed = F.to_json(F.struct(*content)).isNotNull()
+    return docs.where(F.col(CORRUPT).isNotNull() & parsed).select(CORRUPT, FILE, MODIFIED)
 
 
 def land_documents(docs: DataFrame, path: str) -> None:

@@ -19,3 +19,12 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield prepare(session)
     session.stop()
+
+
+@pytest.fixture
+def many_parts(spark):
+    """Keep small shuffles in all their partitions, as large ones would be."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.set(name, "true")

@@ -1,0 +1,139 @@
+"""Table builders and the whole job on small captured documents."""
+
+import json
+
+import pytest
+
+from starflow import schemas as S
+from starflow.plans import model
+from starflow.sources import documents as D
+from starflow.sources import tables as W
+
+
+def station(sid, stamp, bikes, **extra):
+    return {"id": sid, "name": f"Station {sid}", "latitude": 1.0, "longitude": 2.0,
+            "timestamp": stamp, "free_bikes": bikes, "extra": extra}
+
+
+def capture_stations(folder, name, *stations, **network):
+    folder.mkdir(exist_ok=True)
+    doc = {"network": {"id": "net", "name": "Net", **network, "stations": list(stations)}}
+    (folder / name).write_text(json.dumps(doc, indent=4))
+
+
+def capture_hours(folder, name, day, hours, temperature):
+    folder.mkdir(exist_ok=True)
+    n = len(hours)
+    (folder / name).write_text(json.dumps({"timezone": "GMT", "hourly": {
+        "time": [f"{day}T{h:02d}:00" for h in hours],
+        "temperature_2m": [temperature + h for h in hours],
+        "precipitation": [0.5] * n, "wind_speed_10m": [3.25] * n,
+        "cloudcover": list(range(n)), "relativehumidity_2m": [80] * n}}, indent=4))
+
+
+@pytest.fixture
+def raw(tmp_path):
+    capture_stations(
+        tmp_path / "stations", "s1.json",
+        station("a", "2025-10-21T05:10:00.000000+00:00Z", 1, has_ebikes=True, slots=9),
+        station("b", "2025-10-21T06:00:00.000000+00:00Z", 2, slots=8),
+        station("c", "not a time", 3))
+    capture_stations(
+        tmp_path / "stations", "s2.json",
+        station("a", "2025-10-21T07:30:00.000000+00:00Z", 4, has_ebikes=False, slots=10),
+        station("b", "2025-10-21T23:00:00.000000+00:00Z", 5))
+    capture_hours(tmp_path / "hours", "h1.json", "2025-10-21", range(5, 8), 10.0)
+    return tmp_path
+
+
+def load(spark, raw, align="hour"):
+    model.load_tables(spark, str(raw / "stations"), str(raw / "hours"),
+                      str(raw / "warehouse"), align)
+
+
+def stored(spark, raw, name):
+    path = str(raw / "warehouse" / name)
+    schema = {"dim_station": S.DIM_STATION, "dim_weather": S.DIM_WEATHER}[name]
+    return W.read_version(spark, path, schema)
+
+
+def facts(spark, raw):
+    rows = spark.read.parquet(str(raw / "warehouse" / "fact_bike_weather")).collect()
+    return {(r.station_id, r.timestamp.strftime("%H:%M")): r.weather_id for r in rows}
+
+
+@pytest.mark.parametrize("align, expected", [
+    ("exact", [None, 2, None, None]), ("hour", [1, 2, 3, None]), ("asof", [1, 2, 3, 3])])
+def test_processed_tables(spark, raw, align, expected):
+    out = str(raw / "processed")
+    model.build_tables(spark, str(raw / "stations"), str(raw / "hours"), out, align)
+    dim = W.read_table(spark, f"{out}/dim_station", S.DIM_STATION).orderBy("station_id").collect()
+    assert [(r.station_id, r.has_ebikes, r.slots) for r in dim] == \
+        [("a", False, 10), ("b", None, None), ("c", None, None)]
+    weather = W.read_table(spark, f"{out}/dim_weather").orderBy("weather_id").collect()
+    assert [(r.weather_id, r.timestamp.hour, r.temperature) for r in weather] == \
+        [(1, 5, 15.0), (2, 6, 16.0), (3, 7, 17.0)]
+    fact = W.read_table(spark, f"{out}/fact_bike_weather")
+    assert fact.columns == S.FACT_BIKE_WEATHER.names
+    dated = fact.where("timestamp is not null").orderBy("timestamp").collect()
+    assert [r.weather_id for r in dated] == expected
+    # The row without a readable time is kept, unmatched.
+    undated, = fact.where("timestamp is null").collect()
+    assert (undated.station_id, undated.weather_id) == ("c", None)
+
+
+def test_unknown_alignment(spark):
+    with pytest.raises(ValueError, match="align"):
+        model.fact_bike_weather(None, spark.createDataFrame([], S.DIM_WEATHER), "minute")
+
+
+def test_rerun_changes_nothing(spark, raw):
+    load(spark, raw)
+    before = facts(spark, raw)
+    assert before == {("a", "05:10"): 1, ("b", "06:00"): 2, ("a", "07:30"): 3,
+                      ("b", "23:00"): None}
+    stations = sorted(map(tuple, stored(spark, raw, "dim_station").collect()), key=str)
+    load(spark, raw)
+    fact = spark.read.parquet(str(raw / "warehouse" / "fact_bike_weather"))
+    assert fact.count() == 4 and facts(spark, raw) == before
+    assert sorted(map(tuple, stored(spark, raw, "dim_station").collect()), key=str) == stations
+    rejected = spark.read.parquet(str(raw / "warehouse" / "rejected")).collect()
+    assert [(r.station_id, r.violations) for r in rejected] == [("c", ["timestamp is null"])]
+
+
+def test_later_forecast_keeps_keys(spark, raw):
+    load(spark, raw)
+    # Overlaps the first forecast, reaches back before it and beyond it.
+    capture_hours(raw / "hours", "h2.json", "2025-10-21", range(3, 10), 30.0)
+    capture_stations(raw / "stations", "s3.json",
+                     station("d", "2025-10-21T09:05:00.000000+00:00Z", 7, slots=5))
+    load(spark, raw)
+    weather = {r.timestamp.hour: (r.weather_id, r.temperature)
+               for r in stored(spark, raw, "dim_weather").collect()}
+    assert weather == {5: (1, 35.0), 6: (2, 36.0), 7: (3, 37.0),
+                       3: (4, 33.0), 4: (5, 34.0), 8: (6, 38.0), 9: (7, 39.0)}
+    assert facts(spark, raw)[("d", "09:05")] == 7
+    assert facts(spark, raw)[("a", "05:10")] == 1
+
+
+def test_network_tables(spark, raw):
+    capture_stations(raw / "stations", "s4.json",
+                     {**station("a", "2025-10-21T08:00:00.000000+00:00Z", 3, slots=11, uid="u7",
+                                virtual_station=False, last_updated_epoch=1761033600),
+                      "empty_slots": 8},
+                     city="Springfield", country="QX", href="/n")
+    docs = D.readable(D.read_documents(spark, str(raw / "stations"), S.STATION_DOCUMENT))
+    network, = model.dim_network(docs).collect()
+    assert (network.id, network.name, network.city, network.gbfs_href) == \
+        ("net", "Net", "Springfield", None)
+    rows = model.station_rows(docs)
+    of_a, = model.dim_network_station(rows).where("station_id = 'a'").collect()
+    assert of_a.asDict() == {
+        "station_id": "a", "network_id": "net", "name": "Station a", "latitude": 1.0,
+        "longitude": 2.0, "uid": "u7", "total_slots": 11, "payment_terminal": None,
+        "virtual_station": False}
+    status = model.fact_station_status(rows, start=100)
+    assert status.columns == S.STATION_STATUS.names
+    assert sorted(r.status_id for r in status.collect()) == list(range(100, 106))
+    newest, = status.where("last_updated_epoch is not null").collect()
+    assert (newest.free_bikes, newest.empty_slots) == (3, 8)
