@@ -31,6 +31,7 @@ HOURLY_ARRAYS = {
 STRICT_FIELDS = ["id", "name", "latitude", "longitude", "timestamp", "free_bikes",
                  "extra.has_ebikes", "extra.slots"]
 NETWORK_ID = "network_id"
+FACT_KEY = ["station_id", "timestamp"]
 
 
 def station_rows(docs: DataFrame) -> DataFrame:
@@ -152,48 +153,57 @@ def warehouse_fact(fact: DataFrame, start: int = 1) -> DataFrame:
 
 
 def build_tables(spark: SparkSession, stations_path: str, hourly_path: str, out: str,
-                 align: str = "hour", multi_line: bool = True) -> None:
+                 align: str = "hour", multi_line: bool = True, strict: bool = False) -> None:
     """Raw documents to three Parquet tables below ``out``, replacing earlier ones.
 
     The keyed dimension is written first and read back, so the fact uses the
-    very keys that are stored.
+    very keys that are stored.  ``strict`` fails on stations with absent fields.
     """
     prepare(spark)
-    stations = _parsed_stations(spark, stations_path, multi_line)
+    stations = _parsed_stations(spark, stations_path, multi_line, strict)
     W.replace_table(dim_station(stations), f"{out}/dim_station")
     W.replace_table(dim_weather(_parsed_weather(spark, hourly_path, multi_line)),
                     f"{out}/dim_weather")
     weather = W.read_table(spark, f"{out}/dim_weather", S.DIM_WEATHER)
-    W.replace_table(fact_bike_weather(status_rows(stations), weather, align),
-                    f"{out}/fact_bike_weather")
+    fact = fact_bike_weather(status_rows(stations), weather, align)
+    W.write_by_date(_placed(fact, align), f"{out}/fact_bike_weather", "date", FACT_KEY,
+                    mode="overwrite")
 
 
-def _parsed_stations(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
-    docs = D.readable(D.read_documents(spark, path, S.STATION_DOCUMENT, multi_line))
+def _parsed_stations(spark: SparkSession, path: str, multi_line: bool,
+                     strict: bool = False) -> DataFrame:
+    schema = S.STATION_DOCUMENT_TEXT if strict else S.STATION_DOCUMENT
+    docs = D.readable(D.read_documents(spark, path, schema, multi_line))
     # Several tables come from these rows: parse the JSON once.
-    return stage(station_rows(docs), "stations")
+    return stage(strict_station_rows(docs) if strict else station_rows(docs), "stations")
 
 
 def _parsed_weather(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
     return weather_rows(D.readable(D.read_documents(spark, path, S.HOURLY_DOCUMENT, multi_line)))
 
 
+def _placed(fact: DataFrame, align: str) -> DataFrame:
+    """The fact with its date.  Writers read it twice, so a costly join is stored first."""
+    dated = W.with_date(fact)
+    return stage(dated, "fact") if align == "asof" else dated
+
+
 def load_tables(spark: SparkSession, stations_path: str, hourly_path: str, warehouse: str,
-                align: str = "hour", multi_line: bool = True) -> None:
+                align: str = "hour", multi_line: bool = True, strict: bool = False) -> None:
     """Merge the documents of a landing directory into the warehouse tables.
 
     Dimensions are upserted into a new version, weather hours keep the key they
     once got, and the fact takes only rows it lacks: a rerun changes nothing.
-    Status rows without a timestamp go to ``rejected``.
+    Status rows without a station or timestamp go to ``rejected``.
     """
     prepare(spark)
-    stations = _parsed_stations(spark, stations_path, multi_line)
+    stations = _parsed_stations(spark, stations_path, multi_line, strict)
 
     path = f"{warehouse}/dim_station"
     version = W.latest_version(spark, path)
     target = W.read_version(spark, path, S.DIM_STATION, version)
-    W.write_version(upsert(target, dim_station(stations), ["station_id"]),
-                    path, (version or 0) + 1)
+    newest = stage(dim_station(stations), "newest_stations")
+    W.write_version(upsert(target, newest, ["station_id"]), path, (version or 0) + 1)
 
     path = f"{warehouse}/dim_weather"
     version = W.latest_version(spark, path)
@@ -202,8 +212,7 @@ def load_tables(spark: SparkSession, stations_path: str, hourly_path: str, wareh
     weather = W.write_version(insert_keyed(target, hours, ["timestamp"], "weather_id"),
                               path, (version or 0) + 1)
 
-    flagged = flag_rows(status_rows(stations), not_null=["station_id", "timestamp"])
+    flagged = flag_rows(status_rows(stations), not_null=FACT_KEY)
     W.replace_table(quarantined(flagged), f"{warehouse}/rejected")
     fact = fact_bike_weather(valid(flagged), weather, align)
-    append_new(stage(W.with_date(fact), "fact"), f"{warehouse}/fact_bike_weather",
-               ["station_id", "timestamp"], sort_by=["station_id", "timestamp"])
+    append_new(_placed(fact, align), f"{warehouse}/fact_bike_weather", FACT_KEY)

@@ -386,7 +386,8 @@ def build_fact_bike_weather(spark, sf_dir):
     stations, hours = _landed(spark, sf_dir, landing.station_documents, landing.hourly_documents)
     out = scratch_path(spark, "processed")
     model.build_tables(spark, stations, hours, out, multi_line=False)
-    return without_zone(W.read_table(spark, f"{out}/fact_bike_weather", S.FACT_BIKE_WEATHER))
+    fact = W.read_table(spark, f"{out}/fact_bike_weather", S.FACT_BIKE_WEATHER)
+    return without_zone(fact.drop("date"))
 
 
 @query
@@ -433,12 +434,12 @@ def _streamed(spark, sf_dir, enrich):
 
 @query
 def stream_status(spark, sf_dir):
-    return without_zone(live.read_fact(spark, _streamed(spark, sf_dir, enrich=False)))
+    return without_zone(live.read_fact(spark, _streamed(spark, sf_dir, enrich=False)).drop("date"))
 
 
 @query
 def stream_enriched(spark, sf_dir):
-    return without_zone(live.read_fact(spark, _streamed(spark, sf_dir, enrich=True)))
+    return without_zone(live.read_fact(spark, _streamed(spark, sf_dir, enrich=True)).drop("date"))
 
 
 @query

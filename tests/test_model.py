@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.errors import PySparkException
 
 from starflow import schemas as S
 from starflow.plans import model
@@ -74,7 +75,7 @@ def test_processed_tables(spark, raw, align, expected):
     assert [(r.weather_id, r.timestamp.hour, r.temperature) for r in weather] == \
         [(1, 5, 15.0), (2, 6, 16.0), (3, 7, 17.0)]
     fact = W.read_table(spark, f"{out}/fact_bike_weather")
-    assert fact.columns == S.FACT_BIKE_WEATHER.names
+    assert fact.columns == [*S.FACT_BIKE_WEATHER.names, "date"]
     dated = fact.where("timestamp is not null").orderBy("timestamp").collect()
     assert [r.weather_id for r in dated] == expected
     # The row without a readable time is kept, unmatched.
@@ -82,6 +83,12 @@ def test_processed_tables(spark, raw, align, expected):
     assert (undated.station_id, undated.weather_id) == ("c", None)
 
 
+def test_strict_tables(spark, raw):
+    paths = [str(raw / p) for p in ("stations", "hours", "processed")]
+    with pytest.raises(PySparkException, match="extra"):
+        model.build_tables(spark, *paths, strict=True)
+
+
 def test_unknown_alignment(spark):
     with pytest.raises(ValueError, match="align"):
         model.fact_bike_weather(None, spark.createDataFrame([], S.DIM_WEATHER), "minute")
