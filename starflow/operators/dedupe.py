@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+_BEST = "_best"
+
 
 def any_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keep one arbitrary row per key.  Pre-aggregated before the shuffle."""
     return df.dropDuplicates(list(keys))
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Keep the first row per key in ``order``, which should be a total order.
+def latest_per_key(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Keep the row with the greatest ``by`` per key, NULL counting as smallest.
 
-    The rank filter is pushed below the shuffle (a group limit in each map
-    task), so a hot key sends at most one row per task to its reducer.
+    Rows equal on ``by`` are told apart by their other columns, so the survivor
+    does not depend on the partitioning.  It is a plain maximum: each map task
+    sends one row per key, however many rows a hot key has.
     """
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
+    rest = [c for c in df.columns if c not in keys and c not in by]
+    best = df.groupBy(*keys).agg(F.max(F.struct(*by, *rest)).alias(_BEST))
+    return best.select(*[c if c in keys else F.col(f"{_BEST}.{c}") for c in df.columns])

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starflow.operators.dedupe import any_per_key
 from starflow.operators.keys import dense_key, next_key
+from starflow.operators.quality import pk_violations
 from starflow.sources.tables import has_data, write_by_date
 
 
@@ -38,13 +40,11 @@ def insert_keyed(target: DataFrame, source: DataFrame, natural_key: Sequence[str
 
 
 def new_rows(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows of the batch whose key the target lacks, one per key.
+    """Rows of the batch whose key the target lacks.
 
-    The batch is made unique before the shuffle, and the join reuses that
-    shuffle.  A row with a NULL in its key counts as new, so check for NULLs first.
+    A row with a NULL in its key counts as new, so check for NULLs first.
     """
-    return (batch.dropDuplicates(list(key))
-            .join(target.select(*key), list(key), "left_anti").select(*batch.columns))
+    return batch.join(target.select(*key), list(key), "left_anti").select(*batch.columns)
 
 
 def append_new(batch: DataFrame, path: str, key: Sequence[str], date_col: str = "date",
@@ -52,15 +52,18 @@ def append_new(batch: DataFrame, path: str, key: Sequence[str], date_col: str =
     """Append to a table partitioned by date; rows already there are skipped.
 
     Only the target's partitions for the days in the batch are read, so the cost
-    follows the batch, not the table.  Running a load again adds nothing.  Give
-    the batch as a stored table, as it is read twice.
+    follows the batch, not the table.  Running a load again adds nothing, and a
+    key repeated inside the batch is added once.
     """
     spark = batch.sparkSession
+    rows = batch
+    # Counting keys alone is far cheaper than passing all rows through a
+    # de-duplication, which most batches do not need.
+    if not pk_violations(batch, key).isEmpty():
+        rows = any_per_key(batch, key)
     if has_data(spark, path):
         # One value per calendar day of the batch.
         days = [r[0] for r in batch.select(date_col).distinct().collect()]
         target = spark.read.schema(batch.schema).parquet(path)
-        rows = new_rows(target.where(F.col(date_col).isin(days)), batch, key)
-    else:
-        rows = batch.dropDuplicates(list(key))
+        rows = new_rows(target.where(F.col(date_col).isin(days)), rows, key)
     write_by_date(rows, path, date_col, list(sort_by) or list(key))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starflow import schemas as S
 from starflow.functions import HOURLY_PATTERN, STATION_PATTERN, optional, parse_timestamp
@@ -16,6 +17,7 @@ from starflow.operators.quality import conform, flag_rows, quarantined, valid
 from starflow.operators.reshape import copy_column, rename, strict_rows, unnest, zip_arrays
 from starflow.session import prepare, stage
 from starflow.sources import documents as D
+from starflow.sources import jdbc as J
 from starflow.sources import tables as W
 
 # Output column of each hourly array of the source document.
@@ -32,26 +34,23 @@ STRICT_FIELDS = ["id", "name", "latitude", "longitude", "timestamp", "free_bikes
                  "extra.has_ebikes", "extra.slots"]
 NETWORK_ID = "network_id"
 FACT_KEY = ["station_id", "timestamp"]
+ORIGIN = [D.MODIFIED, D.FILE]  # a later file replaces an earlier one
 
 
 def station_rows(docs: DataFrame) -> DataFrame:
     """One typed row per station and document; missing fields are NULL."""
     rows = unnest(docs, "network.stations",
-                  keep=[F.col("network.id").alias(NETWORK_ID), *_origin(docs)])
+                  keep=[F.col("network.id").alias(NETWORK_ID), *ORIGIN])
     return _flat_stations(rows)
 
 
 def strict_station_rows(docs: DataFrame) -> DataFrame:
     """``station_rows`` over ``STATION_DOCUMENT_TEXT`` that fails on an absent field."""
     rows = strict_rows(docs, "network.stations", S.STATION, STRICT_FIELDS,
-                       keep=[F.col("network.id").alias(NETWORK_ID), *_origin(docs)])
+                       keep=[F.col("network.id").alias(NETWORK_ID), *ORIGIN])
     return _flat_stations(rows)
 
 
-def _origin(docs: DataFrame) -> list[str]:
-    return [c for c in (D.FILE, D.MODIFIED) if c in docs.columns]
-
-
 def _flat_stations(rows: DataFrame) -> DataFrame:
     flat = rows.withColumns({
         "timestamp": parse_timestamp(F.col("timestamp"), STATION_PATTERN),
@@ -66,21 +65,15 @@ def _flat_stations(rows: DataFrame) -> DataFrame:
     return copy_column(named, "station_name", "address")
 
 
-def _newest(df: DataFrame, *by: str) -> list:
-    """Newest first; rows equal on ``by`` are told apart by their content."""
-    rest = [c for c in df.columns if c not in by]
-    return ([F.desc_nulls_last(c) for c in by] + [F.desc_nulls_last(c) for c in rest])
-
-
 def dim_station(stations: DataFrame) -> DataFrame:
     columns = S.DIM_STATION.names
     rows = stations.select(*columns, "timestamp").where(F.col("station_id").isNotNull())
-    return latest_per_key(rows, ["station_id"], _newest(rows, "timestamp")).select(*columns)
+    return latest_per_key(rows, ["station_id"], ["timestamp"]).select(*columns)
 
 
 def weather_rows(docs: DataFrame) -> DataFrame:
     """One row per hour of each hourly document."""
-    rows = zip_arrays(docs, HOURLY_ARRAYS, keep=_origin(docs))
+    rows = zip_arrays(docs, HOURLY_ARRAYS, keep=ORIGIN)
     return rows.withColumn("timestamp", parse_timestamp(F.col("time"), HOURLY_PATTERN)).drop("time")
 
 
@@ -88,7 +81,7 @@ def weather_hours(rows: DataFrame) -> DataFrame:
     """One row per hour: where forecasts overlap, the newest file wins."""
     columns = [c for c in S.DIM_WEATHER.names if c != "weather_id"]
     dated = rows.where(F.col("timestamp").isNotNull())
-    return latest_per_key(dated, ["timestamp"], _newest(dated, *_origin(dated))).select(*columns)
+    return latest_per_key(dated, ["timestamp"], ORIGIN).select(*columns)
 
 
 def dim_weather(rows: DataFrame, start: int = 1) -> DataFrame:
@@ -121,10 +114,9 @@ def fact_bike_weather(status: DataFrame, weather: DataFrame, align: str = "exact
 
 def dim_network(docs: DataFrame) -> DataFrame:
     columns = S.NETWORK.names
-    rows = docs.select(*[F.col(f"network.{c}").alias(c) for c in columns], *_origin(docs))
+    rows = docs.select(*[F.col(f"network.{c}").alias(c) for c in columns], *ORIGIN)
     rows = rows.where(F.col("id").isNotNull())
-    newest = latest_per_key(rows, ["id"], _newest(rows, *_origin(rows)))
-    return conform(newest, S.NETWORK)
+    return conform(latest_per_key(rows, ["id"], ORIGIN), S.NETWORK)
 
 
 def dim_network_station(stations: DataFrame) -> DataFrame:
@@ -132,7 +124,7 @@ def dim_network_station(stations: DataFrame) -> DataFrame:
     columns = ["station_id", NETWORK_ID, "station_name", "latitude", "longitude", "uid",
                "slots", "payment_terminal", "virtual_station", "timestamp"]
     rows = stations.select(*columns).where(F.col("station_id").isNotNull())
-    newest = latest_per_key(rows, ["station_id"], _newest(rows, "timestamp"))
+    newest = latest_per_key(rows, ["station_id"], ["timestamp"])
     return conform(newest, S.NETWORK_STATION, renames)
 
 
@@ -216,3 +208,40 @@ def load_tables(spark: SparkSession, stations_path: str, hourly_path: str, wareh
     W.replace_table(quarantined(flagged), f"{warehouse}/rejected")
     fact = fact_bike_weather(valid(flagged), weather, align)
     append_new(_placed(fact, align), f"{warehouse}/fact_bike_weather", FACT_KEY)
+
+
+def check(df: DataFrame, table: T.StructType, lengths: dict[str, int] | None = None) -> DataFrame:
+    """Flag the rows that break the declared NOT NULLs and text lengths of a table."""
+    return flag_rows(df, not_null=S.required(table), max_length=lengths)
+
+
+def warehouse_station(dim: DataFrame) -> DataFrame:
+    return conform(dim, S.WAREHOUSE_STATION)
+
+
+def warehouse_weather(dim: DataFrame) -> DataFrame:
+    return conform(dim, S.WAREHOUSE_WEATHER)
+
+
+def load_jdbc(spark: SparkSession, processed: str, url: str, properties: dict[str, str],
+              replace: bool = False) -> None:
+    """The processed tables into a JDBC warehouse, dimensions first.
+
+    Dimensions are upserted and the fact takes only rows it lacks; with
+    ``replace`` all three tables get exactly the processed rows.  The database
+    numbers the fact rows itself.
+    """
+    prepare(spark)
+    stations = warehouse_station(W.read_table(spark, f"{processed}/dim_station"))
+    weather = warehouse_weather(W.read_table(spark, f"{processed}/dim_weather"))
+    columns = [f for f in S.WAREHOUSE_FACT.fields if f.name != "fact_id"]
+    fact = conform(W.read_table(spark, f"{processed}/fact_bike_weather"),
+                   T.StructType(columns), S.FACT_RENAMES)
+    if replace:
+        for table, df in (("dim_station", stations), ("dim_weather", weather),
+                          ("fact_bike_weather", fact)):
+            J.replace_jdbc(df, url, table, properties)
+    else:
+        J.upsert_jdbc(stations, url, "dim_station", ["station_id"], properties)
+        J.upsert_jdbc(weather, url, "dim_weather", ["weather_id"], properties)
+        J.append_new_jdbc(fact, url, "fact_bike_weather", FACT_KEY, properties)

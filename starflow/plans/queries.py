@@ -131,7 +131,7 @@ def insert_with_target_keys(spark, sf_dir):
 def dedupe_latest(spark, sf_dir):
     events = table(spark, sf_dir, "events").select(
         "user_id", "event_id", "ts", "event_type", "value")
-    return latest_per_key(events, ["user_id"], [F.desc("ts"), F.desc("event_id")])
+    return latest_per_key(events, ["user_id"], ["ts", "event_id"])
 
 
 @query
@@ -390,6 +390,18 @@ def build_fact_bike_weather(spark, sf_dir):
     return without_zone(fact.drop("date"))
 
 
+@query
+def warehouse_station(spark, sf_dir):
+    return model.warehouse_station(model.dim_station(model.station_rows(_stations(spark, sf_dir))))
+
+
+@query
+def warehouse_weather(spark, sf_dir):
+    path, = _landed(spark, sf_dir, landing.hourly_documents)
+    docs = D.readable(D.read_documents(spark, path, S.HOURLY_DOCUMENT, multi_line=False))
+    return without_zone(model.warehouse_weather(model.dim_weather(model.weather_rows(docs))))
+
+
 @query
 def build_dim_network(spark, sf_dir):
     return model.dim_network(_stations(spark, sf_dir))

@@ -47,7 +47,7 @@ def stream_documents(spark: SparkSession, path: str, schema: T.StructType,
               .options(**_reader_options(multi_line)))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path)
+    return with_origin(reader.json(path))
 
 
 def readable(docs: DataFrame) -> DataFrame:

@@ -40,6 +40,15 @@ def upsert_statement(table: str, staging: str, columns: Sequence[str],
             f"ON CONFLICT ({', '.join(key)}) {action}")
 
 
+def append_new_statement(table: str, staging: str, columns: Sequence[str],
+                         key: Sequence[str]) -> str:
+    """Statement that adds the staged rows whose key the table lacks."""
+    names = ", ".join(columns)
+    same = " AND ".join(f"t.{c} = s.{c}" for c in key)
+    return (f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging} s "
+            f"WHERE NOT EXISTS (SELECT 1 FROM {table} t WHERE {same})")
+
+
 def upsert_jdbc(df: DataFrame, url: str, table: str, key: Sequence[str],
                 properties: Mapping[str, str], staging: str | None = None, **writer) -> None:
     """Load a staging table from the executors, then merge it with one statement.
@@ -53,6 +62,16 @@ def upsert_jdbc(df: DataFrame, url: str, table: str, key: Sequence[str],
             upsert_statement(table, staging, df.columns, key))
 
 
+def append_new_jdbc(df: DataFrame, url: str, table: str, key: Sequence[str],
+                    properties: Mapping[str, str], staging: str | None = None,
+                    **writer) -> None:
+    """As ``upsert_jdbc``, but rows whose key is already there are left alone."""
+    staging = staging or f"{table}_staging"
+    replace_jdbc(df, url, staging, properties, **writer)
+    execute(df.sparkSession, url, properties,
+            append_new_statement(table, staging, df.columns, key))
+
+
 def execute(spark: SparkSession, url: str, properties: Mapping[str, str],
             statement: str) -> None:
     """Run one statement on the target (its JDBC driver is loaded by the write before)."""

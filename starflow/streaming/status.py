@@ -38,11 +38,6 @@ def enrich_stream(status: DataFrame, weather: DataFrame) -> DataFrame:
     return aligned_join(status, keys, "timestamp")
 
 
-def _newest(df: DataFrame) -> list:
-    rest = [c for c in df.columns if c not in KEY]
-    return [F.desc_nulls_last(c) for c in ["timestamp", *rest]]
-
-
 def batch_writer(out: str) -> Callable[[DataFrame, int], None]:
     """Writer for ``foreachBatch``: append to ``fact``, merge into ``latest``.
 
@@ -59,8 +54,8 @@ def batch_writer(out: str) -> Callable[[DataFrame, int], None]:
         if number > 0:
             before = spark.read.schema(batch.schema).parquet(
                 version_path(f"{out}/latest", number - 1))
-            rows = latest_per_key(rows, ["station_id"], _newest(rows)).unionByName(before)
-        newest = latest_per_key(rows, ["station_id"], _newest(rows))
+            rows = latest_per_key(rows, ["station_id"], ["timestamp"]).unionByName(before)
+        newest = latest_per_key(rows, ["station_id"], ["timestamp"])
         newest.write.mode("overwrite").parquet(version_path(f"{out}/latest", number))
 
     return write

@@ -2,6 +2,8 @@
 
 import pytest
 
+from starflow import schemas as S
+from starflow.plans import model
 from starflow.sources import jdbc
 
 URL, LOGIN = "jdbc:postgresql://host/db", {"user": "u", "driver": "org.postgresql.Driver"}
@@ -59,7 +61,28 @@ def test_upsert_stages_then_merges(monkeypatch):
                    "name = EXCLUDED.name, slots = EXCLUDED.slots"]
 
 
-@pytest.mark.parametrize("columns", [["a", "b"]])
-def test_key_only_table(columns):
-    assert jdbc.upsert_statement("t", "s", columns, columns).endswith(
+def test_key_only_table():
+    assert jdbc.upsert_statement("t", "s", ["a", "b"], ["a", "b"]).endswith(
         "ON CONFLICT (a, b) DO NOTHING")
+
+
+def test_append_new_statement():
+    assert jdbc.append_new_statement("fact", "st", ["a", "ts", "n"], ["a", "ts"]) == (
+        "INSERT INTO fact (a, ts, n) SELECT a, ts, n FROM st s "
+        "WHERE NOT EXISTS (SELECT 1 FROM fact t WHERE t.a = s.a AND t.ts = s.ts)")
+
+
+@pytest.mark.parametrize("replace", [False, True])
+def test_warehouse_load(spark, tmp_path, monkeypatch, replace):
+    tables = {"dim_station": S.DIM_STATION, "dim_weather": S.DIM_WEATHER,
+              "fact_bike_weather": S.FACT_BIKE_WEATHER}
+    for name, schema in tables.items():
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}")
+    done = []
+    for name in ("replace_jdbc", "upsert_jdbc", "append_new_jdbc"):
+        monkeypatch.setattr(jdbc, name, lambda df, url, table, *rest, n=name:
+                            done.append((n, table, df.columns)))
+    model.load_jdbc(spark, str(tmp_path), URL, LOGIN, replace=replace)
+    how = ["replace_jdbc"] * 3 if replace else ["upsert_jdbc", "upsert_jdbc", "append_new_jdbc"]
+    assert [(n, t) for n, t, _ in done] == list(zip(how, tables, strict=True))
+    assert done[2][2] == [c for c in S.WAREHOUSE_FACT.names if c != "fact_id"]

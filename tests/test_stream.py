@@ -49,7 +49,7 @@ def test_stream_equals_batch(spark, landing, tmp_path):
     status = batch_status(spark, landing)
     assert content(live.read_fact(spark, out).drop("date")) == content(status)
     assert status.count() == 30
-    newest = latest_per_key(status, ["station_id"], [F.desc("timestamp")])
+    newest = latest_per_key(status, ["station_id"], ["timestamp"])
     assert content(live.read_latest(spark, out)) == content(newest)
 
 
