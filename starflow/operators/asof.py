@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from starflow.session import stage
 
 _TS, _BUCKET, _SLICE, _SALT = "_ts", "_bucket", "_slice", "_salt"
-_LEFT, _RIGHT, _N, _CUTS, _COPIES = "_left", "_right", "_n", "_cuts", "_copies"
+_LEFT, _RIGHT, _CUTS, _COPIES = "_left", "_right", "_cuts", "_copies"
+_NL, _NR = "_left_rows", "_right_rows"
 _SLICES = 256        # parts a hot bucket is cut into
 _NULL_SPREAD = 1024  # groups over which left rows that cannot match are dealt out
 
@@ -29,20 +30,14 @@ def _micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
-def _sliced(df: DataFrame, group: list[str], cuts: DataFrame | None) -> DataFrame:
-    if cuts is None:
-        return df.withColumn(_SLICE, F.lit(0))
+def _sliced(df: DataFrame, group: list[str], cuts: DataFrame) -> DataFrame:
     below = F.size(F.filter(_CUTS, lambda cut: cut <= F.col(_TS)))
     number = F.when(F.col(_CUTS).isNull(), 0).otherwise(below)
     return df.join(cuts, group, "left").withColumn(_SLICE, number).drop(_CUTS)
 
 
-def _hot_cuts(right: DataFrame, group: list[str], max_rows: int) -> DataFrame | None:
-    """Slice boundaries of the buckets with too many right rows, if there are any."""
-    counts = right.groupBy(*group).agg(F.count("*").alias(_N))
-    hot = stage(counts.where(F.col(_N) > max_rows).drop(_N), "asof_hot")
-    if hot.isEmpty():
-        return None
+def _cuts(right: DataFrame, group: list[str], hot: DataFrame) -> DataFrame:
+    """Slice boundaries of the hot buckets: quantiles of their right rows' times."""
     points = F.array(*[F.lit(i / _SLICES) for i in range(1, _SLICES)])
     cuts = (right.select(*group, _TS).join(hot, group, "left_semi")
             .groupBy(*group).agg(F.percentile_approx(_TS, points).alias(_CUTS)))
@@ -71,19 +66,28 @@ def asof_join(left: DataFrame, right: DataFrame, ts: str, right_ts: str,
     l = left.select(*by, _micros(ts).alias(_TS), F.struct(*left.columns).alias(_LEFT))
     l = l.withColumn(_BUCKET, bucket)
 
-    cuts = _hot_cuts(r, group, max_rows)
-    r, l = _sliced(r, group, cuts), _sliced(l, group, cuts)
+    end = [F.max_by(_RIGHT, _TS).alias(_RIGHT), F.count("*").alias(_NR)]
+    ends = stage(r.groupBy(*group).agg(*end), "asof_ends")
+    many = ends.where(F.col(_NR) > max_rows).select(*group)
+    if many.isEmpty():
+        r, l, ends = (df.withColumn(_SLICE, F.lit(0)) for df in (r, l, ends))
+    else:
+        cuts = _cuts(r, group, many)
+        r, l = _sliced(r, group, cuts), _sliced(l, group, cuts)
+        ends = r.groupBy(*part).agg(*end)
 
     # One row per bucket (slice) that holds left rows: its size and carried row.
-    left_sizes = l.groupBy(*part).agg(F.count("*").alias(_N))
-    right_ends = r.groupBy(*part).agg(F.max_by(_RIGHT, _TS).alias(_RIGHT))
+    left_sizes = l.groupBy(*part).agg(F.count("*").alias(_NL))
     earlier = (Window.partitionBy(*(by or [F.lit(0)])).orderBy(_BUCKET, _SLICE)
                .rowsBetween(Window.unboundedPreceding, -1))
+    # A salt takes at least as many left rows as it copies right rows.
+    share = F.greatest(F.lit(max_rows), F.coalesce(_NR, F.lit(0)))
     parts = stage(
-        left_sizes.join(right_ends, part, "full")
+        left_sizes.join(ends, part, "full")
         .withColumn(_RIGHT, F.last(_RIGHT, ignorenulls=True).over(earlier))
-        .where(F.col(_N).isNotNull())
-        .withColumn(_COPIES, F.ceil(F.col(_N) / max_rows).cast("int")),
+        .where(F.col(_NL).isNotNull())
+        .withColumn(_COPIES, F.ceil(F.col(_NL) / share).cast("int"))
+        .drop(_NL, _NR),
         "asof_parts")
     carried = (parts.where(F.col(_RIGHT).isNotNull())
                .select(*part, F.lit(None).cast("bigint").alias(_TS), _RIGHT, _COPIES))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starflow import schemas as S
-from starflow.functions import HOURLY_PATTERN, STATION_PATTERN, optional, parse_timestamp
+from starflow.functions import optional, parse_hour, parse_station_time
 from starflow.operators.asof import asof_join
 from starflow.operators.dedupe import latest_per_key
 from starflow.operators.joins import aligned_join, left_enrich
@@ -39,21 +39,20 @@ ORIGIN = [D.MODIFIED, D.FILE]  # a later file replaces an earlier one
 
 def station_rows(docs: DataFrame) -> DataFrame:
     """One typed row per station and document; missing fields are NULL."""
-    rows = unnest(docs, "network.stations",
-                  keep=[F.col("network.id").alias(NETWORK_ID), *ORIGIN])
+    rows = unnest(docs, "network.stations", keep=[F.col("network.id").alias(NETWORK_ID)])
     return _flat_stations(rows)
 
 
 def strict_station_rows(docs: DataFrame) -> DataFrame:
     """``station_rows`` over ``STATION_DOCUMENT_TEXT`` that fails on an absent field."""
     rows = strict_rows(docs, "network.stations", S.STATION, STRICT_FIELDS,
-                       keep=[F.col("network.id").alias(NETWORK_ID), *ORIGIN])
+                       keep=[F.col("network.id").alias(NETWORK_ID)])
     return _flat_stations(rows)
 
 
 def _flat_stations(rows: DataFrame) -> DataFrame:
     flat = rows.withColumns({
-        "timestamp": parse_timestamp(F.col("timestamp"), STATION_PATTERN),
+        "timestamp": parse_station_time(F.col("timestamp")),
         "has_ebikes": optional("extra.has_ebikes"),
         "slots": optional("extra.slots"),
         "uid": optional("extra.uid"),
@@ -74,7 +73,7 @@ def dim_station(stations: DataFrame) -> DataFrame:
 def weather_rows(docs: DataFrame) -> DataFrame:
     """One row per hour of each hourly document."""
     rows = zip_arrays(docs, HOURLY_ARRAYS, keep=ORIGIN)
-    return rows.withColumn("timestamp", parse_timestamp(F.col("time"), HOURLY_PATTERN)).drop("time")
+    return rows.withColumn("timestamp", parse_hour(F.col("time"))).drop("time")
 
 
 def weather_hours(rows: DataFrame) -> DataFrame:

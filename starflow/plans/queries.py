@@ -17,7 +17,7 @@ from starflow.functions import (
     optional,
     parse_default,
     parse_pattern,
-    parse_timestamp,
+    parse_station_time,
 )
 from starflow.operators import (
     aligned_join,
@@ -206,7 +206,7 @@ def parse_timestamps(spark, sf_dir):
         .select("event_id",
                 parse_pattern(F.col("text"), STATION_PATTERN).alias("by_pattern"),
                 parse_default(F.col("text")).alias("by_default"),
-                parse_timestamp(F.col("text"), STATION_PATTERN).alias("by_any"),
+                parse_station_time(F.col("text")).alias("by_any"),
                 parse_pattern(F.col("minute_text"), HOURLY_PATTERN).alias("minute")))
 
 

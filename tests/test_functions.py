@@ -9,8 +9,9 @@ from starflow.functions import (
     missing_fields,
     optional,
     parse_default,
+    parse_hour,
     parse_pattern,
-    parse_timestamp,
+    parse_station_time,
 )
 
 BOTH_FAIL = [None, "", "soon", "2025-13-41T00:00"]
@@ -26,13 +27,15 @@ def value(spark, text, expr):
     ("2025-10-21T12:00:00.000000+02:00Z", "2025-10-21T10:00:00", None),
     ("2025-10-21T12:34:56.123456Z", None, "2025-10-21T12:34:56.123456"),
     ("2025-10-21T12:34:56+00:00", None, "2025-10-21T12:34:56"),
+    ("2025-10-21T12:34:56.123456ZZ", "2025-10-21T12:34:56.123456", None),
+    ("2025-10-21T12:34:56+00:00Z", None, None),
+    ("2025-10-21 12:34:56", None, "2025-10-21T12:34:56"),
     *[(t, None, None) for t in BOTH_FAIL],
 ])
 def test_station_spellings(spark, text, by_pattern, by_default):
     assert value(spark, text, lambda c: parse_pattern(c, STATION_PATTERN)) == by_pattern
     assert value(spark, text, parse_default) == by_default
-    either = value(spark, text, lambda c: parse_timestamp(c, STATION_PATTERN))
-    assert either == (by_pattern or by_default)
+    assert value(spark, text, parse_station_time) == (by_pattern or by_default)
 
 
 @pytest.mark.parametrize("text, expected", [
@@ -42,6 +45,8 @@ def test_station_spellings(spark, text, by_pattern, by_default):
 ])
 def test_hourly_pattern(spark, text, expected):
     assert value(spark, text, lambda c: parse_pattern(c, HOURLY_PATTERN)) == expected
+    if expected:
+        assert value(spark, text, parse_hour) == expected
 
 
 @pytest.mark.parametrize("text, expected", [
