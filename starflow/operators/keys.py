@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starflow.session import stage
 
-_PLACE, _PART, _BASE, _TIE, _SPREAD = "_place", "_part", "_base", "_tie", "_spread"
+_PLACE, _PART, _BASE, _TIE, _ROW = "_place", "_part", "_base", "_tie", "_row"
 _POSITION_BITS = 33  # low bits of monotonically_increasing_id: position in the partition
 
 
@@ -20,14 +20,19 @@ def dense_key(df: DataFrame, key: str, order_by: Sequence[str], start: int = 1,
     Rows are range-partitioned and sorted, so each row's place in its partition
     is known without a second shuffle; the stored result fixes the ranges, and
     only one count per partition goes through the running sum.  No task ever
-    holds more than one range.  With ``unique_order=False`` ties are ordered by
-    row content, and copies of one row are spread over several ranges.
+    holds more than one range.
+
+    ``order_by`` should be unique.  With ``unique_order=False`` ties are ordered
+    by row content, and copies of one row are told apart by a row number, so
+    that many copies fall into several ranges.  That number is stored first: a
+    task rerun after a lost executor must not hand out another one.
     """
     columns = df.columns
     order = list(order_by)
     if not unique_order:
-        df = df.withColumns({_TIE: F.xxhash64(*columns), _SPREAD: F.rand(seed=0)})
-        order += [_TIE, _SPREAD]
+        df = stage(df.withColumns({_TIE: F.xxhash64(*columns),
+                                   _ROW: F.monotonically_increasing_id()}), "dense_key_rows")
+        order += [_TIE, _ROW]
     placed = stage(
         df.repartitionByRange(*order).sortWithinPartitions(*order)
           .select(*columns, F.monotonically_increasing_id().alias(_PLACE)),

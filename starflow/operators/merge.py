@@ -66,4 +66,6 @@ def append_new(batch: DataFrame, path: str, key: Sequence[str], date_col: str =
         days = [r[0] for r in batch.select(date_col).distinct().collect()]
         target = spark.read.schema(batch.schema).parquet(path)
         rows = new_rows(target.where(F.col(date_col).isin(days)), rows, key)
-    write_by_date(rows, path, date_col, list(sort_by) or list(key))
+    # With the key in it the order has no ties left.
+    order = [*sort_by, *[k for k in key if k not in sort_by]]
+    write_by_date(rows, path, date_col, order)

@@ -13,8 +13,22 @@ from starflow.operators.dedupe import latest_per_key
 from starflow.operators.joins import aligned_join, left_enrich
 from starflow.operators.keys import dense_key
 from starflow.operators.merge import append_new, insert_keyed, upsert
-from starflow.operators.quality import conform, flag_rows, quarantined, valid
-from starflow.operators.reshape import copy_column, rename, strict_rows, unnest, zip_arrays
+from starflow.operators.quality import (
+    conform,
+    fk_orphans,
+    flag_rows,
+    pk_violations,
+    quarantined,
+    valid,
+)
+from starflow.operators.reshape import (
+    copy_column,
+    rename,
+    strict_rows,
+    union_all,
+    unnest,
+    zip_arrays,
+)
 from starflow.session import prepare, stage
 from starflow.sources import documents as D
 from starflow.sources import jdbc as J
@@ -35,6 +49,7 @@ STRICT_FIELDS = ["id", "name", "latitude", "longitude", "timestamp", "free_bikes
 NETWORK_ID = "network_id"
 FACT_KEY = ["station_id", "timestamp"]
 ORIGIN = [D.MODIFIED, D.FILE]  # a later file replaces an earlier one
+ROW = "row_number"  # tells copies of a stored status row apart
 
 
 def station_rows(docs: DataFrame) -> DataFrame:
@@ -88,8 +103,8 @@ def dim_weather(rows: DataFrame, start: int = 1) -> DataFrame:
     return keyed.select(*S.DIM_WEATHER.names)
 
 
-def status_rows(stations: DataFrame) -> DataFrame:
-    return stations.select("station_id", "timestamp", "free_bikes", "slots", "has_ebikes")
+def status_rows(stations: DataFrame, *extra: str) -> DataFrame:
+    return stations.select("station_id", "timestamp", "free_bikes", "slots", "has_ebikes", *extra)
 
 
 def fact_bike_weather(status: DataFrame, weather: DataFrame, align: str = "exact") -> DataFrame:
@@ -108,7 +123,7 @@ def fact_bike_weather(status: DataFrame, weather: DataFrame, align: str = "exact
                            "timestamp", "observed_at")
     else:
         raise ValueError(f"align must be exact, hour or asof, not {align!r}")
-    return joined.select(*S.FACT_BIKE_WEATHER.names)
+    return joined.select(*S.FACT_BIKE_WEATHER.names, *[c for c in status.columns if c == ROW])
 
 
 def dim_network(docs: DataFrame) -> DataFrame:
@@ -137,9 +152,11 @@ def fact_station_status(stations: DataFrame, start: int = 1) -> DataFrame:
 
 
 def warehouse_fact(fact: DataFrame, start: int = 1) -> DataFrame:
-    """The fact in the warehouse's declared columns (``slots`` becomes ``total_slots``)."""
-    keyed = dense_key(fact, "fact_id", ["timestamp", "station_id"], start=start,
-                      unique_order=False)
+    """The fact in the warehouse's declared columns (``slots`` becomes ``total_slots``).
+
+    ``fact`` holds each station and timestamp once, as ``load_tables`` leaves it.
+    """
+    keyed = dense_key(fact, "fact_id", ["timestamp", "station_id"], start=start)
     return conform(keyed, S.WAREHOUSE_FACT, S.FACT_RENAMES)
 
 
@@ -156,17 +173,18 @@ def build_tables(spark: SparkSession, stations_path: str, hourly_path: str, out:
     W.replace_table(dim_weather(_parsed_weather(spark, hourly_path, multi_line)),
                     f"{out}/dim_weather")
     weather = W.read_table(spark, f"{out}/dim_weather", S.DIM_WEATHER)
-    fact = fact_bike_weather(status_rows(stations), weather, align)
+    fact = fact_bike_weather(status_rows(stations, ROW), weather, align)
     W.write_by_date(_placed(fact, align), f"{out}/fact_bike_weather", "date", FACT_KEY,
-                    mode="overwrite")
+                    mode="overwrite", spread=ROW)
 
 
 def _parsed_stations(spark: SparkSession, path: str, multi_line: bool,
                      strict: bool = False) -> DataFrame:
     schema = S.STATION_DOCUMENT_TEXT if strict else S.STATION_DOCUMENT
     docs = D.readable(D.read_documents(spark, path, schema, multi_line))
+    rows = strict_station_rows(docs) if strict else station_rows(docs)
     # Several tables come from these rows: parse the JSON once.
-    return stage(strict_station_rows(docs) if strict else station_rows(docs), "stations")
+    return stage(rows.withColumn(ROW, F.monotonically_increasing_id()), "stations")
 
 
 def _parsed_weather(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
@@ -244,3 +262,18 @@ def load_jdbc(spark: SparkSession, processed: str, url: str, properties: dict[st
         J.upsert_jdbc(stations, url, "dim_station", ["station_id"], properties)
         J.upsert_jdbc(weather, url, "dim_weather", ["weather_id"], properties)
         J.append_new_jdbc(fact, url, "fact_bike_weather", FACT_KEY, properties)
+
+
+def constraint_report(stations: DataFrame, weather: DataFrame, fact: DataFrame) -> DataFrame:
+    """Rows that break each constraint declared for the warehouse, one line per constraint."""
+    checks = {
+        "dim_station primary key": pk_violations(stations, ["station_id"]),
+        "dim_weather primary key": pk_violations(weather, ["weather_id"]),
+        "dim_weather timestamp not null": weather.where(F.col("timestamp").isNull()),
+        "fact station_id foreign key": fk_orphans(fact, stations, {"station_id": "station_id"}),
+        "fact weather_id foreign key": fk_orphans(fact, weather, {"weather_id": "weather_id"}),
+        "fact timestamp not null": fact.where(F.col("timestamp").isNull()),
+    }
+    return union_all([
+        rows.agg(F.lit(name).alias("constraint"), F.count("*").alias("violations"))
+        for name, rows in checks.items()])

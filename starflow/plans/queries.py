@@ -240,7 +240,7 @@ def replace_partition(spark, sf_dir):
     """The last day of a table by date is replaced by corrected values."""
     events = W.with_date(table(spark, sf_dir, "events"), "ts")
     path = scratch_path(spark, "by_day")
-    W.write_by_date(events, path, "date", ["user_id", "ts"], mode="overwrite")
+    W.write_by_date(events, path, "date", ["user_id", "ts", "event_id"], mode="overwrite")
     last = events.agg(F.max("date").alias("date")).first().date
     stored = spark.read.schema(events.schema).parquet(path)
     corrected = (stored.where(F.col("date") == F.lit(last))
@@ -290,6 +290,20 @@ def not_null_quarantine(spark, sf_dir):
         "doc_id", F.array_join("violations", ", ").alias("reason"))
 
 
+@query
+def constraint_counts(spark, sf_dir):
+    """The star's constraints on lines, settled orders and suppliers in debt."""
+    orders = table(spark, sf_dir, "orders")
+    stations = (table(spark, sf_dir, "supplier").where("s_acctbal < 0")
+                .select(F.col("s_suppkey").alias("station_id")))
+    weather = orders.where("o_orderstatus <> 'P'").select(
+        F.col("o_custkey").alias("weather_id"), F.col("o_orderdate").alias("timestamp"))
+    fact = table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("station_id"), F.col("l_orderkey").alias("weather_id"),
+        F.col("l_shipdate").alias("timestamp"))
+    return model.constraint_report(stations, weather, fact)
+
+
 @query
 def conform_schema(spark, sf_dir):
     declared = S.fields(["station_id"], station_id=S.TEXT, station_name=S.TEXT,
@@ -345,7 +359,8 @@ def parquet_roundtrip(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").withColumn(
         "month", F.trunc("o_orderdate", "month"))
     path = scratch_path(spark, "parquet")
-    W.write_by_date(orders, path, "month", ["o_custkey", "o_orderdate"], mode="overwrite")
+    W.write_by_date(orders, path, "month", ["o_custkey", "o_orderdate", "o_orderkey"],
+                    mode="overwrite")
     return W.read_table(spark, path, orders.schema)
 
 

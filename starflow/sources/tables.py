@@ -18,20 +18,26 @@ def replace_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def laid_out(df: DataFrame, date_col: str, sort_by: Sequence[str]) -> DataFrame:
+def laid_out(df: DataFrame, date_col: str, sort_by: Sequence[str],
+             spread: str | None = None) -> DataFrame:
     """Cluster rows by date, then ``sort_by``.
 
     Ranges over all the columns: a day with a third of the rows is cut into
     several tasks and files, while a quiet day still ends up in one.  Inside a
     file the rows are sorted, so row groups can be skipped on ``sort_by``.
+    Rows equal on all of these stay together unless ``spread``, a stored column
+    that differs between them, says where to cut; it is dropped.
     """
     columns = [date_col, *sort_by]
-    return df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    ranges = columns if spread is None else [*columns, spread]
+    kept = [c for c in df.columns if c != spread]
+    return df.repartitionByRange(*ranges).sortWithinPartitions(*columns).select(*kept)
 
 
 def write_by_date(df: DataFrame, path: str, date_col: str, sort_by: Sequence[str],
-                  mode: str = "append") -> None:
-    laid_out(df, date_col, sort_by).write.mode(mode).partitionBy(date_col).parquet(path)
+                  mode: str = "append", spread: str | None = None) -> None:
+    (laid_out(df, date_col, sort_by, spread)
+     .write.mode(mode).partitionBy(date_col).parquet(path))
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:

@@ -123,6 +123,40 @@ def test_later_forecast_keeps_keys(spark, raw):
     assert facts(spark, raw)[("a", "05:10")] == 1
 
 
+def test_constraints_hold_after_loading(spark, raw):
+    load(spark, raw)
+    fact = spark.read.parquet(str(raw / "warehouse" / "fact_bike_weather"))
+    report = model.constraint_report(stored(spark, raw, "dim_station"),
+                                     stored(spark, raw, "dim_weather"), fact).collect()
+    assert len(report) == 6 and all(r.violations == 0 for r in report)
+
+
+def test_declared_limits(spark):
+    rows = spark.createDataFrame([("n1", "QX"), ("n2", "Qxx"), (None, None)],
+                                 "id string, country string")
+    flagged = model.check(rows, S.NETWORK, {"country": S.NETWORK_LENGTHS["country"]})
+    assert {r.id: r.violations for r in flagged.collect()} == {
+        "n1": [], "n2": ["country longer than 2"], None: ["id is null"]}
+
+
+def test_copies_are_kept_and_split(spark, raw, many_parts):
+    """The same document landed many times: all rows stay, in more than one file."""
+    lines = raw / "lines"
+    lines.mkdir()
+    doc = {"network": {"stations": [station("a", "2025-10-21T05:10:00.000000+00:00Z", 1)]}}
+    for part in range(4):
+        (lines / f"{part}.json").write_text((json.dumps(doc) + "\n") * 500)
+    hours = raw / "hour_lines"
+    hours.mkdir()
+    hour = json.loads((raw / "hours" / "h1.json").read_text())
+    (hours / "h.json").write_text(json.dumps(hour))
+    out = raw / "processed"
+    model.build_tables(spark, str(lines), str(hours), str(out), multi_line=False)
+    fact = W.read_table(spark, f"{out}/fact_bike_weather")
+    assert fact.count() == 2000 and fact.distinct().count() == 1
+    assert len(list(out.glob("fact_bike_weather/date=*/*.parquet"))) > 1
+
+
 def test_network_tables(spark, raw):
     capture_stations(raw / "stations", "s4.json",
                      {**station("a", "2025-10-21T08:00:00.000000+00:00Z", 3, slots=11, uid="u7",
