@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,21 +30,29 @@ def fk_orphans(df: DataFrame, parent: DataFrame, columns: Mapping[str, str]) ->
     return child.join(parents, list(columns), "left_anti").select(*df.columns)
 
 
-def flag_rows(df: DataFrame, not_null: Sequence[str] = (),
-              max_length: Mapping[str, int] | None = None) -> DataFrame:
-    """Add ``violations``: the reasons, if any, why a row breaks its declaration."""
-    reasons = [F.when(F.col(c).isNull(), F.lit(f"{c} is null")) for c in not_null]
-    reasons += [F.when(F.char_length(c) > n, F.lit(f"{c} longer than {n}"))
-                for c, n in (max_length or {}).items()]
-    return df.withColumn(VIOLATIONS, F.array_compact(F.array(*reasons)).cast("array<string>"))
+def _breaches(not_null: Sequence[str], max_length: Mapping[str, int] | None) -> dict[str, Column]:
+    """Reason to condition, each TRUE or FALSE."""
+    breaches = {f"{c} is null": F.col(c).isNull() for c in not_null}
+    for c, n in (max_length or {}).items():
+        breaches[f"{c} longer than {n}"] = F.coalesce(F.char_length(c) > n, F.lit(False))
+    return breaches
 
 
-def valid(flagged: DataFrame) -> DataFrame:
-    return flagged.where(F.size(VIOLATIONS) == 0).drop(VIOLATIONS)
+def valid_rows(df: DataFrame, not_null: Sequence[str] = (),
+               max_length: Mapping[str, int] | None = None) -> DataFrame:
+    """Rows that break nothing.  Plain predicates, which reach the scan."""
+    return reduce(lambda rows, breach: rows.where(~breach),
+                  _breaches(not_null, max_length).values(), df)
 
 
-def quarantined(flagged: DataFrame) -> DataFrame:
-    return flagged.where(F.size(VIOLATIONS) > 0)
+def quarantined_rows(df: DataFrame, not_null: Sequence[str] = (),
+                     max_length: Mapping[str, int] | None = None) -> DataFrame:
+    """The other rows, with all their reasons in ``violations``."""
+    breaches = _breaches(not_null, max_length)
+    broken = reduce(or_, breaches.values(), F.lit(False))
+    reasons = F.array(*[F.when(breach, F.lit(reason)) for reason, breach in breaches.items()])
+    return df.where(broken).withColumn(
+        VIOLATIONS, F.array_compact(reasons).cast("array<string>"))
 
 
 def conform(df: DataFrame, table: T.StructType,

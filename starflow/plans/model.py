@@ -16,10 +16,9 @@ from starflow.operators.merge import append_new, insert_keyed, upsert
 from starflow.operators.quality import (
     conform,
     fk_orphans,
-    flag_rows,
     pk_violations,
-    quarantined,
-    valid,
+    quarantined_rows,
+    valid_rows,
 )
 from starflow.operators.reshape import (
     copy_column,
@@ -86,21 +85,23 @@ def dim_station(stations: DataFrame) -> DataFrame:
 
 
 def weather_rows(docs: DataFrame) -> DataFrame:
-    """One row per hour of each hourly document."""
+    """One row per hour of each hourly document, with the time as text and parsed."""
     rows = zip_arrays(docs, HOURLY_ARRAYS, keep=ORIGIN)
-    return rows.withColumn("timestamp", parse_hour(F.col("time"))).drop("time")
+    return rows.withColumn("timestamp", parse_hour(F.col("time")))
 
 
-def weather_hours(rows: DataFrame) -> DataFrame:
+def weather_hours(rows: DataFrame, *extra: str) -> DataFrame:
     """One row per hour: where forecasts overlap, the newest file wins."""
-    columns = [c for c in S.DIM_WEATHER.names if c != "weather_id"]
-    dated = rows.where(F.col("timestamp").isNotNull())
+    columns = [*[c for c in S.DIM_WEATHER.names if c != "weather_id"], *extra]
+    dated = rows.select(*columns, *ORIGIN).where(F.col("timestamp").isNotNull())
     return latest_per_key(dated, ["timestamp"], ORIGIN).select(*columns)
 
 
-def dim_weather(rows: DataFrame, start: int = 1) -> DataFrame:
-    keyed = dense_key(weather_hours(rows), "weather_id", ["timestamp"], start=start)
-    return keyed.select(*S.DIM_WEATHER.names)
+def dim_weather(rows: DataFrame, start: int = 1, keep_time: bool = False) -> DataFrame:
+    """Numbered hours; ``keep_time`` adds the source's own spelling of the time."""
+    extra = ["time"] if keep_time else []
+    keyed = dense_key(weather_hours(rows, *extra), "weather_id", ["timestamp"], start=start)
+    return keyed.select(*S.DIM_WEATHER.names, *extra)
 
 
 def status_rows(stations: DataFrame, *extra: str) -> DataFrame:
@@ -145,7 +146,7 @@ def dim_network_station(stations: DataFrame) -> DataFrame:
 def fact_station_status(stations: DataFrame, start: int = 1) -> DataFrame:
     """Status rows numbered in time order; the same range shuffle clusters them by time."""
     columns = ["station_id", "timestamp", "free_bikes", "empty_slots", "last_updated_epoch"]
-    rows = valid(flag_rows(stations.select(*columns), not_null=["station_id"]))
+    rows = valid_rows(stations.select(*columns), not_null=["station_id"])
     keyed = dense_key(rows, "status_id", ["timestamp", "station_id"], start=start,
                       unique_order=False)
     return conform(keyed, S.STATION_STATUS)
@@ -183,8 +184,9 @@ def _parsed_stations(spark: SparkSession, path: str, multi_line: bool,
     schema = S.STATION_DOCUMENT_TEXT if strict else S.STATION_DOCUMENT
     docs = D.readable(D.read_documents(spark, path, schema, multi_line))
     rows = strict_station_rows(docs) if strict else station_rows(docs)
+    columns = [*S.DIM_STATION.names, "timestamp", "free_bikes"]
     # Several tables come from these rows: parse the JSON once.
-    return stage(rows.withColumn(ROW, F.monotonically_increasing_id()), "stations")
+    return stage(rows.select(*columns, F.monotonically_increasing_id().alias(ROW)), "stations")
 
 
 def _parsed_weather(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
@@ -221,15 +223,16 @@ def load_tables(spark: SparkSession, stations_path: str, hourly_path: str, wareh
     weather = W.write_version(insert_keyed(target, hours, ["timestamp"], "weather_id"),
                               path, (version or 0) + 1)
 
-    flagged = flag_rows(status_rows(stations), not_null=FACT_KEY)
-    W.replace_table(quarantined(flagged), f"{warehouse}/rejected")
-    fact = fact_bike_weather(valid(flagged), weather, align)
+    status = status_rows(stations)
+    W.replace_table(quarantined_rows(status, not_null=FACT_KEY), f"{warehouse}/rejected")
+    fact = fact_bike_weather(valid_rows(status, not_null=FACT_KEY), weather, align)
     append_new(_placed(fact, align), f"{warehouse}/fact_bike_weather", FACT_KEY)
 
 
-def check(df: DataFrame, table: T.StructType, lengths: dict[str, int] | None = None) -> DataFrame:
-    """Flag the rows that break the declared NOT NULLs and text lengths of a table."""
-    return flag_rows(df, not_null=S.required(table), max_length=lengths)
+def undeclared(df: DataFrame, table: T.StructType,
+               lengths: dict[str, int] | None = None) -> DataFrame:
+    """Rows that break the declared NOT NULLs or text lengths of a table."""
+    return quarantined_rows(df, not_null=S.required(table), max_length=lengths)
 
 
 def warehouse_station(dim: DataFrame) -> DataFrame:

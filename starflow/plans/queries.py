@@ -28,19 +28,18 @@ from starflow.operators import (
     copy_column,
     dense_key,
     fk_orphans,
-    flag_rows,
     hash_key,
     insert_keyed,
     latest_per_key,
     left_enrich,
     pk_violations,
     project,
-    quarantined,
+    quarantined_rows,
     rename,
     strict_rows,
     unnest,
     upsert,
-    valid,
+    valid_rows,
     zip_arrays,
 )
 from starflow.plans import landing, model
@@ -275,18 +274,20 @@ def fk_orphan_report(spark, sf_dir):
 
 def _labelled(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "lang")
-    rows = left_enrich(documents, table(spark, sf_dir, "labels"), "doc_id")
-    return flag_rows(rows, not_null=["doc_id", "quality"], max_length={"lang": 2})
+    return left_enrich(documents, table(spark, sf_dir, "labels"), "doc_id")
+
+
+LIMITS = {"not_null": ["doc_id", "quality"], "max_length": {"lang": 2}}
 
 
 @query
 def not_null_valid(spark, sf_dir):
-    return valid(_labelled(spark, sf_dir))
+    return valid_rows(_labelled(spark, sf_dir), **LIMITS)
 
 
 @query
 def not_null_quarantine(spark, sf_dir):
-    return quarantined(_labelled(spark, sf_dir)).select(
+    return quarantined_rows(_labelled(spark, sf_dir), **LIMITS).select(
         "doc_id", F.array_join("violations", ", ").alias("reason"))
 
 

@@ -89,6 +89,14 @@ def test_strict_tables(spark, raw):
         model.build_tables(spark, *paths, strict=True)
 
 
+def test_weather_may_keep_the_spelled_time(spark, raw):
+    docs = D.readable(D.read_documents(spark, str(raw / "hours"), S.HOURLY_DOCUMENT))
+    dim = model.dim_weather(model.weather_rows(docs), keep_time=True)
+    assert dim.columns == [*S.DIM_WEATHER.names, "time"]
+    assert {r.weather_id: r.time for r in dim.collect()} == \
+        {i: f"2025-10-21T0{i + 4}:00" for i in (1, 2, 3)}
+
+
 def test_unknown_alignment(spark):
     with pytest.raises(ValueError, match="align"):
         model.fact_bike_weather(None, spark.createDataFrame([], S.DIM_WEATHER), "minute")
@@ -134,9 +142,9 @@ def test_constraints_hold_after_loading(spark, raw):
 def test_declared_limits(spark):
     rows = spark.createDataFrame([("n1", "QX"), ("n2", "Qxx"), (None, None)],
                                  "id string, country string")
-    flagged = model.check(rows, S.NETWORK, {"country": S.NETWORK_LENGTHS["country"]})
-    assert {r.id: r.violations for r in flagged.collect()} == {
-        "n1": [], "n2": ["country longer than 2"], None: ["id is null"]}
+    broken = model.undeclared(rows, S.NETWORK, {"country": S.NETWORK_LENGTHS["country"]})
+    assert {r.id: r.violations for r in broken.collect()} == {
+        "n2": ["country longer than 2"], None: ["id is null"]}
 
 
 def test_copies_are_kept_and_split(spark, raw, many_parts):

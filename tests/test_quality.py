@@ -3,7 +3,13 @@
 from decimal import Decimal
 
 from starflow import schemas as S
-from starflow.operators import conform, fk_orphans, flag_rows, pk_violations, quarantined, valid
+from starflow.operators import (
+    conform,
+    fk_orphans,
+    pk_violations,
+    quarantined_rows,
+    valid_rows,
+)
 
 
 def test_pk_violations(spark):
@@ -25,13 +31,29 @@ def test_fk_orphans(spark):
 def test_split_loses_no_row(spark):
     df = spark.createDataFrame([("a", 1), (None, 2), ("abc", None), (None, None)],
                                "id string, n int")
-    flagged = flag_rows(df, not_null=["id", "n"], max_length={"id": 2})
-    assert [tuple(r) for r in valid(flagged).collect()] == [("a", 1)]
-    reasons = {(r.id, r.n): r.violations for r in quarantined(flagged).collect()}
+    limits = {"not_null": ["id", "n"], "max_length": {"id": 2}}
+    assert [tuple(r) for r in valid_rows(df, **limits).collect()] == [("a", 1)]
+    reasons = {(r.id, r.n): r.violations for r in quarantined_rows(df, **limits).collect()}
     assert reasons == {(None, 2): ["id is null"], (None, None): ["id is null", "n is null"],
                        ("abc", None): ["n is null", "id longer than 2"]}
 
 
+def test_length_alone_keeps_nulls(spark):
+    df = spark.createDataFrame([("a",), (None,), ("abc",)], "id string")
+    assert valid_rows(df, max_length={"id": 2}).count() == 2
+    assert quarantined_rows(df, max_length={"id": 2}).count() == 1
+    assert valid_rows(df).count() == 3 and quarantined_rows(df).count() == 0
+
+
+def test_checks_reach_the_scan(spark, tmp_path):
+    spark.createDataFrame([("a", 1)], "id string, n int").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    plan = valid_rows(df, not_null=["id", "n"])._jdf.queryExecution().toString()
+    assert "PushedFilters: [IsNotNull(id), IsNotNull(n)]" in plan
+    plan = quarantined_rows(df, not_null=["id", "n"])._jdf.queryExecution().toString()
+    assert "PushedFilters: [Or(IsNull(id),IsNull(n))]" in plan
+
+
 def test_conform(spark):
     df = spark.createDataFrame(
         [("s1", 41.25, 12, "2025-10-21 05:00:00", 7), ("s2", 1e9, 2**40, "x", 8)],
