@@ -456,7 +456,7 @@ def _streamed(spark, sf_dir, enrich):
         stream = live.enrich_stream(
             stream, stage(dense_key(hours, "weather_id", ["timestamp"]), "hour_dim"))
     out, checkpoint = scratch_path(spark, "live"), scratch_path(spark, "live_checkpoint")
-    live.start(stream, out, checkpoint).awaitTermination()
+    live.start(stream, live.batch_writer(out), checkpoint).awaitTermination()
     return out
 
 
@@ -473,3 +473,16 @@ def stream_enriched(spark, sf_dir):
 @query
 def stream_latest(spark, sf_dir):
     return without_zone(live.read_latest(spark, _streamed(spark, sf_dir, enrich=False)))
+
+
+@query
+def stream_keyed(spark, sf_dir):
+    """All documents land twice; each status is stored once, whatever its age."""
+    landed = scratch_path(spark, "landed_twice")
+    docs = landing.station_documents(table(spark, sf_dir, "events"))
+    D.land_documents(docs, landed)
+    D.land_documents(docs, landed)
+    stream = live.status_stream(spark, landed, delay=None, multi_line=False)
+    out, checkpoint = scratch_path(spark, "live"), scratch_path(spark, "live_checkpoint")
+    live.start(stream, live.keyed_writer(out), checkpoint).awaitTermination()
+    return without_zone(live.read_fact(spark, out).drop("date"))

@@ -33,7 +33,7 @@ def read_documents(spark: SparkSession, path: str, schema: T.StructType,
     ``multi_line=True`` is for pretty-printed captures, one document per file;
     small files are packed into common tasks, a file is never split.
     ``multi_line=False`` is for landed JSON lines, which split freely.
-    A broken document becomes a row with its text in ``_corrupt_record``.
+    A document that does not parse in full has its text in ``_corrupt_record``.
     """
     docs = (spark.read.schema(with_corrupt(schema))
             .options(**_reader_options(multi_line)).json(path))
@@ -51,11 +51,16 @@ def stream_documents(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def readable(docs: DataFrame) -> DataFrame:
-    return docs.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    """What could be parsed: an ill-typed field is NULL, a broken document all NULL.
+
+    One bad field does not cost a document its other stations, and a broken
+    document unnests to no rows.
+    """
+    return docs.drop(CORRUPT)
 
 
-def unreadable(docs: DataFrame) -> DataFrame:
-    """The documents ``readable`` leaves out, as text with their origin."""
+def damaged(docs: DataFrame) -> DataFrame:
+    """Documents that did not parse in full, as text with their origin."""
     content = [c for c in docs.columns if c not in (CORRUPT, FILE, MODIFIED)]
     # Spark sets the corrupt column only while it parses some other column too.
     parsed = F.to_json(F.struct(*content)).isNotNull()

@@ -1,35 +1,43 @@
-"""Station status as a stream over the landing directory."""
+"""Station status as a stream over the landing directory.
+
+Two ways to take each (station, timestamp) once:
+
+* ``delay`` given: the keys seen within that time are kept as state.  Cheap, but
+  a row later than that is dropped, so choose it from the poll interval.
+* ``delay=None`` with ``keyed_writer``: each batch is compared with the stored
+  fact's partitions for its days.  Nothing is dropped, however late.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from starflow import schemas as S
 from starflow.operators.dedupe import latest_per_key
 from starflow.operators.joins import aligned_join
-from starflow.plans.model import station_rows, status_rows
+from starflow.operators.merge import append_new
+from starflow.operators.quality import quarantined_rows, valid_rows
+from starflow.plans.model import FACT_KEY, station_rows, status_rows
 from starflow.session import prepare
 from starflow.sources.documents import readable, stream_documents
 from starflow.sources.tables import latest_version, version_path, with_date
 
-KEY = ["station_id", "timestamp"]
+BatchWriter = Callable[[DataFrame, int], None]
 
 
-def status_stream(spark: SparkSession, landing: str, delay: str = "1 hour",
+def status_stream(spark: SparkSession, landing: str, delay: str | None = "1 hour",
                   multi_line: bool = True, max_files: int | None = None) -> DataFrame:
-    """Status rows, each (station, timestamp) once.
-
-    State holds the keys seen within ``delay``; a row later than that is
-    dropped, so choose it from the poll interval.
-    """
+    """Status rows of the documents that land."""
     prepare(spark)
     docs = readable(stream_documents(spark, landing, S.STATION_DOCUMENT, multi_line, max_files))
-    status = status_rows(station_rows(docs)).where(F.col("timestamp").isNotNull())
-    return status.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(KEY)
+    status = status_rows(station_rows(docs))
+    if delay is None:
+        return status
+    return (valid_rows(status, not_null=FACT_KEY).withWatermark("timestamp", delay)
+            .dropDuplicatesWithinWatermark(FACT_KEY))
 
 
 def enrich_stream(status: DataFrame, weather: DataFrame) -> DataFrame:
@@ -38,40 +46,65 @@ def enrich_stream(status: DataFrame, weather: DataFrame) -> DataFrame:
     return aligned_join(status, keys, "timestamp")
 
 
-def batch_writer(out: str) -> Callable[[DataFrame, int], None]:
-    """Writer for ``foreachBatch``: append to ``fact``, merge into ``latest``.
+def batch_writer(out: str) -> BatchWriter:
+    """Writer for ``foreachBatch``: add to ``fact``, merge into ``latest``.
 
     Every path is named by the batch number, so a replayed batch rewrites its
     own files and changes nothing.  An older late row never replaces a newer one.
     """
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        fact_path = f"{out}/fact/batch_id={number}"
-        dated = with_date(batch)
         # Straight from the state operator: a range shuffle would run it twice.
-        dated.write.mode("overwrite").partitionBy("date").parquet(fact_path)
-        rows = spark.read.schema(dated.schema).parquet(fact_path).drop("date")
-        if number > 0:
-            before = spark.read.schema(batch.schema).parquet(
-                version_path(f"{out}/latest", number - 1))
-            rows = latest_per_key(rows, ["station_id"], ["timestamp"]).unionByName(before)
-        newest = latest_per_key(rows, ["station_id"], ["timestamp"])
-        newest.write.mode("overwrite").parquet(version_path(f"{out}/latest", number))
+        rows = _store(batch, f"{out}/fact/batch_id={number}", by="date")
+        _merge_latest(rows, out, number)
 
     return write
 
 
-def start(stream: DataFrame, out: str, checkpoint: str, once: bool = True) -> StreamingQuery:
-    """Run the stream into ``out``; ``once`` takes what has landed and ends."""
-    writer = (stream.writeStream.foreachBatch(batch_writer(out))
-              .option("checkpointLocation", checkpoint))
-    if once:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+def keyed_writer(out: str) -> BatchWriter:
+    """As ``batch_writer``, for rows that may repeat or lack a key.
+
+    Rows already in ``fact`` are skipped, which also makes a replay harmless.
+    Rows without a station or time go to ``rejected``.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        # Stored once, as the batch is read several times below.
+        rows = _store(batch, f"{out}/incoming/batch_id={number}")
+        _store(quarantined_rows(rows.drop("date"), not_null=FACT_KEY),
+               f"{out}/rejected/batch_id={number}")
+        rows = valid_rows(rows, not_null=FACT_KEY)
+        append_new(rows, f"{out}/fact", FACT_KEY)
+        _merge_latest(rows, out, number)
+
+    return write
+
+
+def _store(batch: DataFrame, path: str, by: str | None = None) -> DataFrame:
+    dated = with_date(batch)
+    writer = dated.write.mode("overwrite")
+    (writer.partitionBy(by) if by else writer).parquet(path)
+    return batch.sparkSession.read.schema(dated.schema).parquet(path)
+
+
+def _merge_latest(rows: DataFrame, out: str, number: int) -> None:
+    rows = rows.drop("date")
+    path = f"{out}/latest"
+    if number > 0:
+        before = (rows.sparkSession.read.schema(rows.schema)
+                  .parquet(version_path(path, number - 1)))
+        rows = latest_per_key(rows, ["station_id"], ["timestamp"]).unionByName(before)
+    newest = latest_per_key(rows, ["station_id"], ["timestamp"])
+    newest.write.mode("overwrite").parquet(version_path(path, number))
+
+
+def start(stream: DataFrame, writer: BatchWriter, checkpoint: str,
+          once: bool = True) -> StreamingQuery:
+    """Run the stream; ``once`` takes what has landed and ends."""
+    sink = stream.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
+    return (sink.trigger(availableNow=True) if once else sink).start()
 
 
 def read_fact(spark: SparkSession, out: str) -> DataFrame:
-    """All status rows, by date (a partition column, as is the batch)."""
+    """All status rows; ``date`` is a partition column."""
     return spark.read.parquet(f"{out}/fact").drop("batch_id")
 
 

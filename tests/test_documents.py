@@ -68,17 +68,17 @@ def test_truncated_document_is_set_aside(spark, tmp_path):
     capture(tmp_path, "a.json", station())
     (tmp_path / "b.json").write_text('{"network": {"stations": [{"id": ')
     docs = D.read_documents(spark, str(tmp_path), S.STATION_DOCUMENT)
-    assert [r.network.id for r in D.readable(docs).collect()] == ["net"]
-    bad, = D.unreadable(docs).collect()
+    assert [r.station_id for r in model.station_rows(D.readable(docs)).collect()] == ["s1"]
+    bad, = D.damaged(docs).collect()
     assert bad._corrupt_record.startswith('{"network"') and bad._file.endswith("b.json")
 
 
 def test_text_in_number_field(spark, tmp_path):
-    capture(tmp_path, "a.json", station(free_bikes="x"))
-    doc, = D.read_documents(spark, str(tmp_path), S.STATION_DOCUMENT).collect()
-    assert doc._corrupt_record is not None
-    assert doc.network.stations[0].free_bikes is None
-    assert doc.network.stations[0].id == "s1"
+    capture(tmp_path, "a.json", station(free_bikes="x"), station(id="s2", free_bikes=4))
+    docs = D.read_documents(spark, str(tmp_path), S.STATION_DOCUMENT)
+    assert len(D.damaged(docs).collect()) == 1
+    got = {r.station_id: (r.free_bikes, r.slots) for r in rows(spark, tmp_path).collect()}
+    assert got == {"s1": (None, 10), "s2": (4, 10)}
 
 
 def strict(spark, folder):

@@ -29,15 +29,16 @@ def landing(tmp_path):
 
 def batch_status(spark, folder):
     docs = D.readable(D.read_documents(spark, str(folder), S.STATION_DOCUMENT))
-    return model.status_rows(model.station_rows(docs)).dropDuplicates(live.KEY)
+    return model.status_rows(model.station_rows(docs)).dropDuplicates(live.FACT_KEY)
 
 
 def run(spark, landing, out, max_files=2, weather=None):
     stream = live.status_stream(spark, str(landing), delay="2 days", max_files=max_files)
     if weather is not None:
         stream = live.enrich_stream(stream, weather)
-    live.start(stream, str(out / "tables"), str(out / "checkpoint")).awaitTermination()
-    return str(out / "tables")
+    tables = str(out / "tables")
+    live.start(stream, live.batch_writer(tables), str(out / "checkpoint")).awaitTermination()
+    return tables
 
 
 def content(df):
@@ -84,3 +85,38 @@ def test_enriched_stream(spark, landing, tmp_path):
     out = run(spark, landing, tmp_path, weather=weather)
     got = {(r.timestamp.hour, r.weather_id) for r in live.read_fact(spark, out).collect()}
     assert got == {(5, 5), (6, 6), (7, 7), (8, None), (9, None), (10, None)}
+
+
+def run_keyed(spark, landing, out):
+    stream = live.status_stream(spark, str(landing), delay=None, max_files=2)
+    tables = str(out / "tables")
+    live.start(stream, live.keyed_writer(tables), str(out / "checkpoint")).awaitTermination()
+    return tables
+
+
+def test_keyed_stream_keeps_late_rows(spark, landing, tmp_path):
+    run_keyed(spark, landing, tmp_path)
+    late = {"network": {"stations": [
+        {"id": "s0", "free_bikes": 99, "timestamp": "2020-01-01T04:00:00.000000+00:00Z"},
+        {"id": "s0", "free_bikes": 98, "timestamp": "soon"}]}}
+    (landing / "late.json").write_text(json.dumps(late))
+    out = run_keyed(spark, landing, tmp_path)
+    stored = live.read_fact(spark, out)
+    assert stored.count() == 31 and stored.where("free_bikes = 99").count() == 1
+    newest = {r.station_id: r.free_bikes for r in live.read_latest(spark, out).collect()}
+    assert newest["s0"] == 50
+    rejected = spark.read.parquet(f"{out}/rejected").collect()
+    assert [(r.station_id, r.free_bikes, r.violations) for r in rejected] == \
+        [("s0", 98, ["timestamp is null"])]
+
+
+def test_keyed_replay_changes_nothing(spark, landing, tmp_path):
+    out = str(tmp_path / "tables")
+    write = live.keyed_writer(out)
+    status = batch_status(spark, landing)
+    write(status.where(F.hour("timestamp") < 8), 0)
+    write(status, 1)
+    before = content(live.read_fact(spark, out)), content(live.read_latest(spark, out))
+    write(status, 1)
+    assert (content(live.read_fact(spark, out)), content(live.read_latest(spark, out))) == before
+    assert content(live.read_fact(spark, out).drop("date")) == content(status)
