@@ -80,6 +80,7 @@ def asof_join(left: DataFrame, right: DataFrame, ts: str, right_ts: str,
     left_sizes = l.groupBy(*part).agg(F.count("*").alias(_NL))
     earlier = (Window.partitionBy(*(by or [F.lit(0)])).orderBy(_BUCKET, _SLICE)
                .rowsBetween(Window.unboundedPreceding, -1))
+    # Without a key all buckets share one window, of one row per bucket.
     # A salt takes at least as many left rows as it copies right rows.
     share = F.greatest(F.lit(max_rows), F.coalesce(_NR, F.lit(0)))
     parts = stage(

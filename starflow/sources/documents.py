@@ -27,17 +27,19 @@ def with_origin(docs: DataFrame) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, path: str, schema: T.StructType,
-                   multi_line: bool = True) -> DataFrame:
+                   multi_line: bool = True, modified_after: str | None = None) -> DataFrame:
     """One row per document, plus its origin.
 
     ``multi_line=True`` is for pretty-printed captures, one document per file;
     small files are packed into common tasks, a file is never split.
     ``multi_line=False`` is for landed JSON lines, which split freely.
+    ``modified_after`` (``yyyy-MM-ddTHH:mm:ss``, UTC) skips files already taken.
     A document that does not parse in full has its text in ``_corrupt_record``.
     """
-    docs = (spark.read.schema(with_corrupt(schema))
-            .options(**_reader_options(multi_line)).json(path))
-    return with_origin(docs)
+    reader = spark.read.schema(with_corrupt(schema)).options(**_reader_options(multi_line))
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after).option("timeZone", "UTC")
+    return with_origin(reader.json(path))
 
 
 def stream_documents(spark: SparkSession, path: str, schema: T.StructType,

@@ -1,6 +1,7 @@
 """Table builders and the whole job on small captured documents."""
 
 import json
+import os
 
 import pytest
 from pyspark.errors import PySparkException
@@ -116,6 +117,24 @@ def test_rerun_changes_nothing(spark, raw):
     assert [(r.station_id, r.violations) for r in rejected] == [("c", ["timestamp is null"])]
 
 
+def test_only_new_files_are_read(spark, raw):
+    load(spark, raw)
+    for path in [*(raw / "stations").iterdir(), *(raw / "hours").iterdir()]:
+        os.utime(path, (1_700_000_000, 1_700_000_000))
+    # An old file is not read again: this change goes unseen.
+    old = raw / "stations" / "s1.json"
+    old.write_text(old.read_text().replace("Station b", "Renamed"))
+    os.utime(old, (1_700_000_000, 1_700_000_000))
+    capture_stations(raw / "stations", "s3.json",
+                     station("d", "2025-10-21T06:05:00.000000+00:00Z", 7, slots=5))
+    model.load_tables(spark, str(raw / "stations"), str(raw / "hours"), str(raw / "warehouse"),
+                      modified_after="2024-01-01T00:00:00")
+    names = {r.station_id: r.station_name for r in stored(spark, raw, "dim_station").collect()}
+    assert names == {k: f"Station {k}" for k in "abcd"}
+    assert facts(spark, raw)[("d", "06:05")] == 2
+    assert stored(spark, raw, "dim_weather").count() == 3
+
+
 def test_later_forecast_keeps_keys(spark, raw):
     load(spark, raw)
     # Overlaps the first forecast, reaches back before it and beyond it.
