@@ -28,7 +28,7 @@ from starflow.operators.reshape import (
     unnest,
     zip_arrays,
 )
-from starflow.session import prepare, stage
+from starflow.session import prepare, stage, together
 from starflow.sources import documents as D
 from starflow.sources import jdbc as J
 from starflow.sources import tables as W
@@ -169,14 +169,20 @@ def build_tables(spark: SparkSession, stations_path: str, hourly_path: str, out:
     very keys that are stored.  ``strict`` fails on stations with absent fields.
     """
     prepare(spark)
-    stations = _parsed_stations(spark, stations_path, multi_line, strict)
-    W.replace_table(dim_station(stations), f"{out}/dim_station")
-    W.replace_table(dim_weather(_parsed_weather(spark, hourly_path, multi_line)),
-                    f"{out}/dim_weather")
-    weather = W.read_table(spark, f"{out}/dim_weather", S.DIM_WEATHER)
+
+    def store_weather() -> DataFrame:
+        path = f"{out}/dim_weather"
+        W.replace_table(dim_weather(_parsed_weather(spark, hourly_path, multi_line)), path)
+        return W.read_table(spark, path, S.DIM_WEATHER)
+
+    stations, weather = together(
+        spark, lambda: _parsed_stations(spark, stations_path, multi_line, strict), store_weather)
     fact = fact_bike_weather(status_rows(stations, ROW), weather, align)
-    W.write_by_date(_placed(fact, align), f"{out}/fact_bike_weather", "date", FACT_KEY,
-                    mode="overwrite", spread=ROW)
+    together(
+        spark,
+        lambda: W.replace_table(dim_station(stations), f"{out}/dim_station"),
+        lambda: W.write_by_date(_placed(fact, align), f"{out}/fact_bike_weather", "date",
+                                FACT_KEY, mode="overwrite", spread=ROW))
 
 
 def _parsed_stations(spark: SparkSession, path: str, multi_line: bool, strict: bool,
@@ -213,24 +219,33 @@ def load_tables(spark: SparkSession, stations_path: str, hourly_path: str, wareh
     is new rather than all that ever landed; overlap does no harm.
     """
     prepare(spark)
-    stations = _parsed_stations(spark, stations_path, multi_line, strict, modified_after)
-
-    path = f"{warehouse}/dim_station"
-    version = W.latest_version(spark, path)
-    target = W.read_version(spark, path, S.DIM_STATION, version)
-    newest = stage(dim_station(stations), "newest_stations")
-    W.write_version(upsert(target, newest, ["station_id"]), path, (version or 0) + 1)
-
-    path = f"{warehouse}/dim_weather"
-    version = W.latest_version(spark, path)
-    target = W.read_version(spark, path, S.DIM_WEATHER, version)
-    parsed = _parsed_weather(spark, hourly_path, multi_line, modified_after)
-    hours = stage(weather_hours(parsed), "hours")
-    weather = W.write_version(insert_keyed(target, hours, ["timestamp"], "weather_id"),
-                              path, (version or 0) + 1)
 
+    def merge_weather() -> DataFrame:
+        path = f"{warehouse}/dim_weather"
+        version = W.latest_version(spark, path)
+        target = W.read_version(spark, path, S.DIM_WEATHER, version)
+        parsed = _parsed_weather(spark, hourly_path, multi_line, modified_after)
+        hours = stage(weather_hours(parsed), "hours")
+        return W.write_version(insert_keyed(target, hours, ["timestamp"], "weather_id"),
+                               path, (version or 0) + 1)
+
+    def merge_stations() -> None:
+        path = f"{warehouse}/dim_station"
+        version = W.latest_version(spark, path)
+        target = W.read_version(spark, path, S.DIM_STATION, version)
+        newest = stage(dim_station(stations), "newest_stations")
+        W.write_version(upsert(target, newest, ["station_id"]), path, (version or 0) + 1)
+
+    stations, weather = together(
+        spark,
+        lambda: _parsed_stations(spark, stations_path, multi_line, strict, modified_after),
+        merge_weather)
     status = status_rows(stations)
-    W.replace_table(quarantined_rows(status, not_null=FACT_KEY), f"{warehouse}/rejected")
+    together(
+        spark, merge_stations,
+        lambda: W.replace_table(quarantined_rows(status, not_null=FACT_KEY),
+                                f"{warehouse}/rejected"))
+    # Both dimensions are stored by now, so no fact row ever lacks its parents.
     fact = fact_bike_weather(valid_rows(status, not_null=FACT_KEY), weather, align)
     append_new(_placed(fact, align), f"{warehouse}/fact_bike_weather", FACT_KEY)
 

@@ -6,6 +6,7 @@ The text beside each query in ``oracle.py`` says the same in SQL.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +44,7 @@ from starflow.operators import (
     zip_arrays,
 )
 from starflow.plans import landing, model
-from starflow.session import prepare, scratch_path, stage
+from starflow.session import prepare, scratch_path, stage, together
 from starflow.sources import documents as D
 from starflow.sources import tables as W
 from starflow.streaming import status as live
@@ -370,11 +371,9 @@ def parquet_roundtrip(spark, sf_dir):
 def _landed(spark, sf_dir, *kinds):
     """Raw documents of the events table in a new landing directory."""
     events = table(spark, sf_dir, "events")
-    paths = []
-    for kind in kinds:
-        path = scratch_path(spark, kind.__name__)
-        D.land_documents(kind(events), path)
-        paths.append(path)
+    paths = [scratch_path(spark, kind.__name__) for kind in kinds]
+    together(spark, *[partial(D.land_documents, kind(events), path)
+                      for kind, path in zip(kinds, paths, strict=True)])
     return paths
 
 
