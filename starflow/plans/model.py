@@ -214,8 +214,8 @@ def load_tables(spark: SparkSession, stations_path: str, hourly_path: str, wareh
 
     Dimensions are upserted into a new version, weather hours keep the key they
     once got, and the fact takes only rows it lacks: a rerun changes nothing.
-    Status rows without a station or timestamp go to ``rejected``.  With
-    ``modified_after`` only files written since are read, so a run costs what
+    Each run's status rows without a station or timestamp go to a new version of
+    ``rejected``.  With ``modified_after`` only files written since are read, so a run costs what
     is new rather than all that ever landed; overlap does no harm.
     """
     prepare(spark)
@@ -236,15 +236,17 @@ def load_tables(spark: SparkSession, stations_path: str, hourly_path: str, wareh
         newest = stage(dim_station(stations), "newest_stations")
         W.write_version(upsert(target, newest, ["station_id"]), path, (version or 0) + 1)
 
+    def store_rejected() -> None:
+        path = f"{warehouse}/rejected"
+        W.write_version(quarantined_rows(status, not_null=FACT_KEY),
+                        path, (W.latest_version(spark, path) or 0) + 1)
+
     stations, weather = together(
         spark,
         lambda: _parsed_stations(spark, stations_path, multi_line, strict, modified_after),
         merge_weather)
     status = status_rows(stations)
-    together(
-        spark, merge_stations,
-        lambda: W.replace_table(quarantined_rows(status, not_null=FACT_KEY),
-                                f"{warehouse}/rejected"))
+    together(spark, merge_stations, store_rejected)
     # Both dimensions are stored by now, so no fact row ever lacks its parents.
     fact = fact_bike_weather(valid_rows(status, not_null=FACT_KEY), weather, align)
     append_new(_placed(fact, align), f"{warehouse}/fact_bike_weather", FACT_KEY)
@@ -264,19 +266,22 @@ def warehouse_weather(dim: DataFrame) -> DataFrame:
     return conform(dim, S.WAREHOUSE_WEATHER)
 
 
-def load_jdbc(spark: SparkSession, processed: str, url: str, properties: dict[str, str],
+def load_jdbc(spark: SparkSession, warehouse: str, url: str, properties: dict[str, str],
               replace: bool = False) -> None:
-    """The processed tables into a JDBC warehouse, dimensions first.
+    """The tables ``load_tables`` keeps into a JDBC warehouse, dimensions first.
 
-    Dimensions are upserted and the fact takes only rows it lacks; with
-    ``replace`` all three tables get exactly the processed rows.  The database
+    Weather keys are the stored ones, which no later run changes, so they can be
+    upserted on.  Dimensions are upserted and the fact takes only rows it lacks;
+    with ``replace`` all three tables get exactly the stored rows.  The database
     numbers the fact rows itself.
     """
     prepare(spark)
-    stations = warehouse_station(W.read_table(spark, f"{processed}/dim_station"))
-    weather = warehouse_weather(W.read_table(spark, f"{processed}/dim_weather"))
+    stations = warehouse_station(
+        W.read_version(spark, f"{warehouse}/dim_station", S.DIM_STATION))
+    weather = warehouse_weather(
+        W.read_version(spark, f"{warehouse}/dim_weather", S.DIM_WEATHER))
     columns = [f for f in S.WAREHOUSE_FACT.fields if f.name != "fact_id"]
-    fact = conform(W.read_table(spark, f"{processed}/fact_bike_weather"),
+    fact = conform(W.read_table(spark, f"{warehouse}/fact_bike_weather"),
                    T.StructType(columns), S.FACT_RENAMES)
     if replace:
         for table, df in (("dim_station", stations), ("dim_weather", weather),
