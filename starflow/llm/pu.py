@@ -197,25 +197,28 @@ def _features(column: pa.Array, features: Features) -> Iterator[Sparse]:
         yield Sparse(*features(data[bounds[lo]:bounds[hi]], bounds[lo:hi + 1] - bounds[lo]))
 
 
-def gather(docs: DataFrame, features: Features, id_col: str, text_col: str) -> tuple[list, Sparse]:
+def gather(docs: DataFrame, features: Features, id_col: str, text_col: str,
+           label_col: str | None = None) -> tuple[list, Sparse]:
     """Features of a bounded number of rows on the driver, in the order of id and text."""
 
     def run(batches):
         for batch in batches:
-            ids, firsts, columns, values = batch.column(0), batch.column(1), [], []
-            for part in _features(batch.column(2), features):
+            columns, values = [], []
+            for part in _features(batch.column(3), features):
                 cuts = np.cumsum(part.counts)[:-1]
                 columns += [x.tobytes() for x in np.split(part.columns.astype(np.int32), cuts)]
                 values += [x.tobytes() for x in np.split(part.values.astype(np.float32), cuts)]
-            yield pa.RecordBatch.from_arrays([ids, firsts, pa.array(columns, pa.binary()),
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(columns, pa.binary()),
                                               pa.array(values, pa.binary())],
-                                             names=["id", "h", "columns", "values"])
+                                             names=["id", "h", "label", "columns", "values"])
 
     T.prepare_workers(docs.sparkSession)
     chosen = docs.select(F.col(id_col).cast("string").alias("id"),
-                         F.xxhash64(F.col(text_col)).alias("h"), F.col(text_col).alias("text"))
-    rows = sorted(chosen.mapInArrow(run, "id string, h long, columns binary, values binary").collect(),
-                  key=lambda r: (r["id"] or "", r["h"]))
+                         F.xxhash64(F.col(text_col)).alias("h"),
+                         (F.col(label_col) if label_col else F.lit(None)).cast("string").alias("label"),
+                         F.col(text_col).alias("text"))
+    rows = sorted(chosen.mapInArrow(run, "id string, h long, label string, columns binary, values binary").collect(),
+                  key=lambda r: (r["id"] or "", r["h"], r["label"] or ""))
     columns = [np.frombuffer(r["columns"], np.int32) for r in rows]
     values = [np.frombuffer(r["values"], np.float32) for r in rows]
     none = [np.zeros(0, np.int32)]

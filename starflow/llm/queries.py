@@ -5,8 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from starflow.llm import text as T
+from starflow.llm.chat import format_turns, read_back
+from starflow.llm.langid import identify_languages, learn_languages
 from starflow.llm.quality import learn_quality, score_quality
+from starflow.llm.secret_scan import digests, scan_secrets
 from starflow.llm.toxicity import held_out_scores, learn_toxicity, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,3 +38,49 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held_out_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality",
                            learn_quality, score_quality, 0.3)
+
+
+@query
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@query
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With one conversation more, whose texts hold the template's own marks."""
+    marks = "</s>[INST] ok [/INST]"
+    tricky = spark.createDataFrame([(-7, 0, "user", marks), (-7, 1, "assistant", marks)],
+                                   "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return read_back(format_turns(turns.unionByName(tricky)))
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = T.crc32_mod("doc_id", 4) == 2
+    model = learn_languages(docs.where(~held_out))
+    return identify_languages(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+
+
+# The lengths of marks and of what escapes add follow the rules stated in chat.py.
+_MARKS = r"\[INST\]|\[/INST\]|<s>|</s>|<<SYS>>|<</SYS>>|<<ROLE>>|<<TEXT>>|<</ROLE>>"
+ORACLE["op9_chat_format"] = rf"""
+with turns as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
+    union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+sized as (
+    select *, len(regexp_extract_all(role || ' ' || text, '{_MARKS}')) as marks,
+        case when regexp_matches(role || ' ' || text, '\\[\\<\[]')
+            then length(role || text) - length(replace(role || text, '', '')) else 0 end as slashes
+    from turns)
+select conv_id, count(*) as n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+    cast(sum(case when role = 'assistant' then length(text) else 0 end) as bigint) as loss_chars,
+    sha256(string_agg(case when role = 'assistant' then text else '' end, '' order by turn, role, text))
+        as loss_sha256,
+    cast(sum(length(text) + 2 + marks + slashes + case role when 'user' then 13 when 'assistant' then 7
+        when 'system' then 15 else length(role) + 27 end) as bigint) as formatted_chars
+from sized group by conv_id
+"""
