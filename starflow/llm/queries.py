@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starflow.llm import lm
 from starflow.llm import text as T
 from starflow.llm.chat import format_turns, read_back
 from starflow.llm.langid import identify_languages, learn_languages
+from starflow.llm.packing import pack_documents
 from starflow.llm.quality import learn_quality, score_quality
 from starflow.llm.secret_scan import digests, scan_secrets
 from starflow.llm.toxicity import held_out_scores, learn_toxicity, score_toxicity
@@ -84,3 +86,16 @@ select conv_id, count(*) as n_turns,
         when 'system' then 15 else length(role) + 27 end) as bigint) as formatted_chars
 from sized group by conv_id
 """
+
+
+@query
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op3_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = T.crc32_mod("doc_id", 7) == 2
+    model = lm.train(docs.where(~held_out))
+    return lm.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
