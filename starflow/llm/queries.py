@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from starflow.llm import lm
 from starflow.llm import text as T
 from starflow.llm.chat import format_turns, read_back
+from starflow.llm.jaccard import jaccard_components
 from starflow.llm.langid import identify_languages, learn_languages
 from starflow.llm.packing import pack_documents
 from starflow.llm.quality import learn_quality, score_quality
@@ -99,3 +100,31 @@ def op3_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = T.crc32_mod("doc_id", 7) == 2
     model = lm.train(docs.where(~held_out))
     return lm.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+
+
+@query
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+ORACLE["op8_ngram_jaccard_join"] = rf"""
+with recursive words as materialized (
+    select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+shingles as materialized (
+    select distinct doc_id, hash(w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4]) as h
+    from (select doc_id, w, unnest(range(1, len(w) - 3)) as i from words where len(w) >= 5)
+    union all select doc_id, hash(w) from words where len(w) between 1 and 4),
+sizes as materialized (select doc_id, count(h) as n from words left join shingles using (doc_id) group by doc_id),
+links as materialized (
+    select a.doc_id as a, b.doc_id as b
+    from shingles a join shingles b on a.h = b.h and a.doc_id <> b.doc_id
+        join sizes x on x.doc_id = a.doc_id join sizes y on y.doc_id = b.doc_id
+    group by a.doc_id, b.doc_id, x.n, y.n having 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+reach as (
+    select doc_id as a, doc_id as b from sizes
+    union select reach.a, links.b from reach join links on links.a = reach.b)
+select a as doc_id, cast(any_value(n) as bigint) as n_shingles, min(b) as component_id
+from reach join sizes on sizes.doc_id = reach.a group by a
+"""
