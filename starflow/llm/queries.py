@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starflow.llm import decontaminate as D
 from starflow.llm import lm
 from starflow.llm import text as T
 from starflow.llm.chat import format_turns, read_back
+from starflow.llm.decontaminate import find_leaks
 from starflow.llm.jaccard import jaccard_components
 from starflow.llm.langid import identify_languages, learn_languages
 from starflow.llm.packing import pack_documents
@@ -128,3 +130,80 @@ reach as (
 select a as doc_id, cast(any_value(n) as bigint) as n_shingles, min(b) as component_id
 from reach join sizes on sizes.doc_id = reach.a group by a
 """
+
+
+@query
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+def _template(text: str) -> str:
+    return (f"lower(regexp_replace(regexp_replace(regexp_replace(translate(coalesce({text}, ''), '‹›=', '   '), "
+            rf"'{D.NAME}', '\1‹name=\2›', 'g'), '{D.NUMBER}', '‹num=\1›', 'g'), '{D.UNIT}', '\1 ‹unit=\2›\3', 'g'))")
+
+
+def _tokens(template: str) -> str:
+    return f"list_filter(string_split_regex({template}, '{D.BETWEEN}'), lambda x: x <> '')"
+
+
+_CANONICAL = f"regexp_replace(v, '{D.VALUE}', '›', 'g')"
+
+ORACLE["op1_decontamination"] = f"""
+with items as materialized (
+    select *, least(len(words), {D.WINDOW}) as size from (
+        select item_id, {_tokens("v")} as vals, {_tokens(_CANONICAL)} as words from (
+            select v, min(item_id) as item_id from (
+                select item_id, {_template("text")} as v from benchmark where item_id is not null) group by v))
+    where len(words) >= {D.LEAST_TOKENS}),
+grams as materialized (
+    select item_id, size, place, array_to_string(w, ' ') as gram,
+        len(list_filter(w, lambda t: not contains(t, '‹'))) as literals
+    from (select item_id, size, i as place, words[i + 1:i + size] as w
+          from (select *, unnest(range(0, len(words) - size + 1)) as i from items))),
+good as materialized (select *, literals = size as literal from grams where literals >= {D.LEAST_LITERALS}),
+facts as (
+    select item_id, sum(step) as coverable from (
+        select item_id, least(size, coalesce(place - lag(place) over (partition by item_id order by place), size)) as step
+        from good) group by item_id),
+docs as materialized (
+    select doc_id, {_tokens("v")} as vals, {_tokens(_CANONICAL)} as words
+    from (select doc_id, {_template("text")} as v from documents where doc_id is not null)),
+doc_grams as (
+    select doc_id, i as place, array_to_string(words[i + 1:i + size], ' ') as gram
+    from (select doc_id, words, size, unnest(range(0, len(words) - size + 1)) as i
+          from docs, (select distinct size from items))),
+hits as materialized (
+    select d.doc_id, g.item_id, g.size, d.place as doc_place, g.place as item_place, g.literal
+    from doc_grams d join good g using (gram)),
+steps as (
+    select doc_id, item_id, 'all' as kind, least(size, coalesce(item_place - lag(item_place) over (
+        partition by doc_id, item_id order by item_place), size)) as step
+    from (select distinct doc_id, item_id, size, item_place from hits)
+    union all
+    select doc_id, item_id, 'literal', least(size, coalesce(item_place - lag(item_place) over (
+        partition by doc_id, item_id order by item_place), size))
+    from (select distinct doc_id, item_id, size, item_place from hits where literal)),
+found as materialized (
+    select doc_id, item_id, any_value(coverable) as coverable, sum(step) filter (kind = 'all') as covered,
+        coalesce(sum(step) filter (kind = 'literal'), 0) as literal
+    from steps join facts using (item_id) group by doc_id, item_id
+    having sum(step) filter (kind = 'all') >= 0.4 * any_value(coverable)),
+pairs as (
+    select distinct h.doc_id, h.item_id, item_place + k as item_at, doc_place + k as doc_at,
+        i.vals[item_place + k + 1] as item_value, d.vals[doc_place + k + 1] as doc_value
+    from (select *, unnest(range(0, size)) as k from hits) h join found using (doc_id, item_id)
+        join items i on i.item_id = h.item_id join docs d on d.doc_id = h.doc_id
+    where contains(i.vals[item_place + k + 1], '‹')),
+one_way as (
+    select doc_id, item_id, doc_at - item_at as shift, item_value, doc_value, count(*) as n from pairs group by all),
+checked as (
+    select doc_id, item_id, sum(n) as slots, bool_or(one_to_one) as one_to_one from (
+        select doc_id, item_id, shift, sum(n) as n,
+            count(*) = count(distinct item_value) and count(*) = count(distinct doc_value) as one_to_one
+        from one_way group by doc_id, item_id, shift) group by doc_id, item_id)
+select doc_id, item_id, cast(coverable as integer) as coverable, cast(covered as integer) as covered,
+    cast(literal as integer) as literal, cast(coalesce(slots, 0) as bigint) as slots,
+    coalesce(one_to_one, true) as consistent
+from found left join checked using (doc_id, item_id)
+where coalesce(one_to_one, true) or literal >= 0.4 * coverable
+"""

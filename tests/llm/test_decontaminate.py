@@ -1,0 +1,67 @@
+import pytest
+
+from starflow.llm import decontaminate
+from starflow.llm.decontaminate import canonical, drop_leaks, find_leaks, tokens, valued
+
+ITEM = ("A farmer named Miller sells 12 apples and 30 pears at the market while Baker carries 12 kg of flour home, "
+        "how many apples does Miller have after 3.5 hours")
+OTHER = ITEM.replace("Miller", "Young").replace("Baker", "Stone").replace("12", "7").replace("30", "41").replace("3.5", "9")
+MIXED = ITEM.replace("have after", "keep after").replace("12 apples", "5 apples").replace("12 kg", "6 kg").replace(
+    "Miller sells", "Hill sells").replace("does Miller", "does Hood")
+SCHEMA = "doc_id long, text string, item_id int"
+
+
+def tables(spark, docs, items):
+    return (spark.createDataFrame([(i, t, 0) for i, t in docs], SCHEMA),
+            spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, doc_id string"))
+
+
+def leaks(spark, docs, items):
+    return {(r["doc_id"], r["item_id"]): r for r in find_leaks(*tables(spark, docs, items)).collect()}
+
+
+def test_template(spark):
+    df = spark.createDataFrame([("We saw Ann Lee, 3.5 km ‹away= from Bob's x2.",)], "text string")
+    got = df.select(tokens(valued(df.text)).alias("v"), tokens(canonical(valued(df.text))).alias("c")).first()
+    assert got["v"] == ["we", "saw", "‹name=lee›", "‹num=3›", "‹unit=km›", "away", "from", "‹name=bob›", "s", "x‹num=2›"]
+    assert got["c"] == ["we", "saw", "‹name›", "‹num›", "‹unit›", "away", "from", "‹name›", "s", "x‹num›"]
+
+
+def test_finds_copies_and_other_parameters_only(spark):
+    docs = [(1, f"before it. {ITEM} and after"), (2, f"so {OTHER} ok"), (3, MIXED), (4, "clean text " * 50),
+            (5, ITEM[:40]), (6, f"{OTHER}. {ITEM}"), (7, "the 1 2 3 4 5 6 7 8 9 10 11 12 13"), (8, None), (9, ""),
+            (None, ITEM), (1, "another row"), (10, "word " * 30_000 + ITEM), (2, f"so {OTHER} ok")]
+    got = leaks(spark, docs, [(70, ITEM), (71, ITEM), (72, "1 2 3 4 5 6 7 8 9 10"), (73, None), (74, "a b c d"), (None, "x")])
+    assert {k[0] for k in got} == {1, 2, 6, 10} and {k[1] for k in got} == {70}
+    assert got[1, 70]["consistent"] and got[1, 70]["slots"] >= 6 and got[2, 70]["consistent"]
+    assert got[1, 70]["slots"] == got[2, 70]["slots"]
+    assert got[1, 70]["covered"] == got[1, 70]["coverable"] > got[1, 70]["literal"]
+
+
+def test_inconsistent_values_are_no_leak_unless_literal_text_suffices(spark):
+    plain = " ".join(f"w{chr(97 + i)}" for i in range(20))
+    item = f"take 3 parts and then again 3 parts of it {plain}"
+    changed = item.replace("3", "4", 1)
+    got = leaks(spark, [(1, changed), (2, item)], [(1, item)])
+    assert not got[1, 1]["consistent"] and got[2, 1]["consistent"]
+    assert leaks(spark, [(3, MIXED)], [(1, ITEM)]) == {}
+
+
+@pytest.mark.parametrize("n", [5, 6, 7, 8, 9])
+def test_short_items(spark, n):
+    item = " ".join("abcdefghij"[:n])
+    assert set(leaks(spark, [(1, f"x {item} y"), (2, f"x {item[:-2]} y")], [(1, item)])) >= {(1, 1)}
+    assert (2, 1) not in leaks(spark, [(1, "z"), (2, "x " + item[2:5])], [(1, item)])
+
+
+def test_empty_tables_and_the_join_without_broadcast(spark, monkeypatch):
+    assert leaks(spark, [], [(1, ITEM)]) == {} == leaks(spark, [(1, ITEM)], [])
+    monkeypatch.setattr(decontaminate, "MOST_BROADCAST", 0)
+    assert set(leaks(spark, [(1, ITEM), (2, "clean")], [(1, ITEM)])) == {(1, 1)}
+
+
+def test_drops_rows(spark):
+    docs, items = tables(spark, [(1, ITEM), (2, "clean"), (None, "x"), (2, "clean")], [(9, ITEM)])
+    kept = drop_leaks(docs, items)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 2, 2]
