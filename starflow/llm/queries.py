@@ -12,6 +12,7 @@ from starflow.llm import lm
 from starflow.llm import text as T
 from starflow.llm.chat import format_turns, read_back
 from starflow.llm.decontaminate import find_leaks
+from starflow.llm.fingerprints import edit_fingerprints
 from starflow.llm.jaccard import jaccard_components
 from starflow.llm.langid import identify_languages, learn_languages
 from starflow.llm.packing import pack_documents
@@ -207,3 +208,8 @@ select doc_id, item_id, cast(coverable as integer) as coverable, cast(covered as
 from found left join checked using (doc_id, item_id)
 where coalesce(one_to_one, true) or literal >= 0.4 * coverable
 """
+
+
+@query
+def op6_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
