@@ -22,9 +22,12 @@ def test_ids_are_the_tokenizers():
 
     tokenizer = Tokenizer.from_file(PATH)
     rng = random.Random(3)
-    bits = ["a", "B", "É", ".", "'", "s", " ", "!", "<|", "9", "́", "\n", "ß", "日", "|>", "T", "ll", "-"]
+    bits = ["a", "B", "É", ".", "'", "s", " ", "!", "<|", "9", "́", "\n", "ß", "日", "|>", "T", "ll", "-", "é", "Ÿ"]
     texts = [*ODD, *("".join(rng.choice(bits) for _ in range(rng.randint(1, 14))) for _ in range(3000))]
-    for group in (texts, [t for t in texts if t and "<|" not in t]):
+    plain = [t for t in texts if t and "<|" not in t]
+    latin = [t for t in plain if max(t) < "\u0180"]
+    letters = [chr(c) * 2 + chr(c + 1) for c in range(0xC0, 0x17E)]
+    for group in (texts, plain, latin, letters):
         ids, sizes = WordTokenizer(PATH, most=900).encode(*T.utf8(pa.array(group)))
         cuts = np.split(ids, np.cumsum(sizes)[:-1])
         for t, got in zip(group, cuts):

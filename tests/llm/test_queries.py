@@ -1,0 +1,70 @@
+"""Every query on a whole small table, against its SQL where it has one, else for its columns."""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+from starflow.llm.queries import ORACLE, QUERIES
+
+SF = "/root/testdata/sf0.01"
+COLUMNS = {
+    "op2_toxicity": ["doc_id", "held_out", "score", "predicted"],
+    "op3_bloom_lm": ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+    "op4_secret_scan": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
+    "op5_quality": ["doc_id", "held_out", "score", "predicted"],
+    "op6_weighted_fingerprints": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+                                  "near_edited", "near_next"],
+    "op7_best_fit_packing": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
+    "op10_language_id": ["doc_id", "held_out", "lang_pred", "score"],
+}
+
+
+def test_all_are_registered():
+    assert {*QUERIES, "pipeline"} <= set(entry.queries())
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+    assert {*COLUMNS, *ORACLE} == set(QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_equals_sql(spark, name):
+    con = duckdb.connect()
+    for table in ("documents", "benchmark", "conversations"):
+        con.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
+    result = con.execute(ORACLE[name])
+    columns = sorted(c[0] for c in result.description)
+    order = [[c[0] for c in result.description].index(c) for c in columns]
+    want = sorted(tuple(r[i] for i in order) for r in result.fetchall())
+    df = QUERIES[name](spark, SF)
+    assert sorted(df.columns) == columns
+    assert sorted(tuple(r) for r in df.select(columns).collect()) == want and want
+
+
+@pytest.mark.parametrize("name", sorted(COLUMNS))
+def test_columns(spark, name):
+    df = QUERIES[name](spark, SF)
+    assert df.columns[:len(COLUMNS[name])] == COLUMNS[name]
+
+
+@pytest.mark.parametrize("name", ["op1_decontamination", "op6_weighted_fingerprints"])
+def test_native_plans(spark, name):
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().toString()
+    assert not [x for x in ("Python", "Arrow", "Pandas", "Cartesian", "NestedLoop") if x in plan]
+
+
+@pytest.mark.parametrize("name, label, least", [("op2_toxicity", "toxic", 0.9), ("op5_quality", "quality", 0.95)])
+def test_held_out_accuracy(spark, name, label, least):
+    sf = "/root/testdata/sf0.1"
+    scored = QUERIES[name](spark, sf).where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
+    rows = scored.select("score", "predicted", label).collect()
+    assert sum(r["predicted"] == r[label] for r in rows) >= least * len(rows)
+    ones, zeros = ([r["score"] for r in rows if r[label] == k] for k in (1, 0))
+    wins = sum((a > b) + 0.5 * (a == b) for a in ones for b in zeros)
+    assert wins >= 0.9 * len(ones) * len(zeros)
+
+
+def test_languages_held_out(spark):
+    sf = "/root/testdata/sf0.1"
+    got = QUERIES["op10_language_id"](spark, sf).where("held_out").join(
+        spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id")
+    assert got.where("lang_pred = lang").count() >= 0.99 * got.count()
+    assert got.where("rejected").count() <= 0.005 * got.count()
