@@ -11,6 +11,7 @@ HOURLY_PATTERN = "yyyy-MM-dd'T'HH:mm"
 
 # Ending of every text that fits the station pattern, and of none that fits
 # Spark's default rules: an offset and then one more Z.
+_DATE_AND_TIME = r"^\s*\d{4}-\d{1,2}-\d{1,2}[T ]\d"
 _OFFSET_AND_Z = r"(Z|[+-]\d\d:\d\d)Z$"
 
 
@@ -34,5 +35,8 @@ def parse_station_time(col: Column) -> Column:
 
 
 def parse_hour(col: Column) -> Column:
-    """Hourly pattern or default rules; the latter accept all the former does."""
-    return parse_default(col)
+    """Hourly pattern or default rules, the latter only for text with a date and a time.
+
+    By themselves the default rules also take a year or a month for a time.
+    """
+    return F.when(col.rlike(_DATE_AND_TIME), parse_default(col))

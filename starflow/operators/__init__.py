@@ -6,6 +6,7 @@ from starflow.operators.merge import append_new, insert_keyed, new_rows, upsert
 from starflow.operators.quality import (
     conform,
     fk_orphans,
+    misfits,
     pk_violations,
     quarantined_rows,
     valid_rows,
@@ -22,6 +23,6 @@ from starflow.operators.reshape import (
 __all__ = [
     "aligned_join", "any_per_key", "append_new", "asof_join", "conform", "copy_column",
     "dense_key", "fk_orphans", "hash_key", "insert_keyed", "latest_per_key",
-    "left_enrich", "new_rows", "next_key", "pk_violations", "project", "quarantined_rows",
+    "left_enrich", "misfits", "new_rows", "next_key", "pk_violations", "project", "quarantined_rows",
     "rename", "strict_rows", "unnest", "upsert", "valid_rows", "zip_arrays",
 ]

@@ -19,9 +19,11 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> Dat
     """Keep the row with the greatest ``by`` per key, NULL counting as smallest.
 
     Rows equal on ``by`` are told apart by their other columns, so the survivor
-    does not depend on the partitioning.  It is a plain maximum: each map task
-    sends one row per key, however many rows a hot key has.
+    does not depend on the partitioning.  Each map task sorts its rows by key and sends
+    one row per key, however many rows a hot key has.
     """
     rest = [c for c in df.columns if c not in keys and c not in by]
+    if not rest and not by:
+        return any_per_key(df, keys)
     best = df.groupBy(*keys).agg(F.max(F.struct(*by, *rest)).alias(_BEST))
     return best.select(*[c if c in keys else F.col(f"{_BEST}.{c}") for c in df.columns])

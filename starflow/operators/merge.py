@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starflow.operators.dedupe import any_per_key
+from starflow.operators.dedupe import latest_per_key
 from starflow.operators.keys import dense_key, next_key
-from starflow.operators.quality import pk_violations
+from starflow.session import stage
 from starflow.sources.tables import has_data, write_by_date
 
 
@@ -48,23 +48,21 @@ def new_rows(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFra
 
 
 def append_new(batch: DataFrame, path: str, key: Sequence[str], date_col: str = "date",
-               sort_by: Sequence[str] = ()) -> None:
+               sort_by: Sequence[str] = (), newest_by: Sequence[str] = ()) -> None:
     """Append to a table partitioned by date; rows already there are skipped.
 
     Only the target's partitions for the days in the batch are read, so the cost
-    follows the batch, not the table.  Running a load again adds nothing, and a
-    key repeated inside the batch is added once.
+    follows the batch, not the table.  Running a load again adds nothing.  Of a key
+    repeated inside the batch the row with the greatest ``newest_by`` is added, and among those
+    the greatest by content; the columns of ``newest_by`` are not stored.
     """
     spark = batch.sparkSession
-    rows = batch
-    # Counting keys alone is far cheaper than passing all rows through a
-    # de-duplication, which most batches do not need.
-    if not pk_violations(batch, key).isEmpty():
-        rows = any_per_key(batch, key)
+    # Stored once: the days, the ranges of the layout and the write each read it.
+    rows = stage(latest_per_key(batch, key, newest_by).drop(*newest_by), "append")
     if has_data(spark, path):
         # One value per calendar day of the batch.
-        days = [r[0] for r in batch.select(date_col).distinct().collect()]
-        target = spark.read.schema(batch.schema).parquet(path)
+        days = [r[0] for r in rows.select(date_col).distinct().collect()]
+        target = spark.read.schema(rows.schema).parquet(path)
         rows = new_rows(target.where(F.col(date_col).isin(days)), rows, key)
     # With the key in it the order has no ties left.
     order = [*sort_by, *[k for k in key if k not in sort_by]]

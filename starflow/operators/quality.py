@@ -25,8 +25,8 @@ def fk_orphans(df: DataFrame, parent: DataFrame, columns: Mapping[str, str]) ->
     child = df
     for name in columns:
         child = child.where(F.col(name).isNotNull())
-    # Distinct in each map task first; its shuffle is the one the join needs.
-    parents = parent.select(*[F.col(p).alias(c) for c, p in columns.items()]).distinct()
+    # An anti join needs no distinct parents, and only a plain shuffle lets a hot key be split.
+    parents = parent.select(*[F.col(p).alias(c) for c, p in columns.items()])
     return child.join(parents, list(columns), "left_anti").select(*df.columns)
 
 
@@ -59,7 +59,8 @@ def conform(df: DataFrame, table: T.StructType,
             renames: Mapping[str, str] | None = None) -> DataFrame:
     """Exactly the declared columns, in order and type.
 
-    A missing column becomes NULL, and so does a value that does not fit.
+    A missing column becomes NULL, and so does a value that does not fit; ``misfits``
+    finds the rows with such values.
     """
     renamed = df.withColumnsRenamed(dict(renames or {}))
     columns = []
@@ -67,3 +68,14 @@ def conform(df: DataFrame, table: T.StructType,
         value = F.col(field.name) if field.name in renamed.columns else F.lit(None)
         columns.append(value.try_cast(field.dataType).alias(field.name))
     return renamed.select(*columns)
+
+
+def misfits(df: DataFrame, table: T.StructType,
+            renames: Mapping[str, str] | None = None) -> DataFrame:
+    """Rows with values that ``conform`` cannot keep, each as ``column: text`` in ``violations``."""
+    renamed = df.withColumnsRenamed(dict(renames or {}))
+    lost = [F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(),
+                   F.concat_ws(": ", F.lit(f.name), F.col(f.name).cast("string")))
+            for f in table.fields if f.name in renamed.columns]
+    found = F.array_compact(F.array(*lost)).cast("array<string>")
+    return renamed.withColumn(VIOLATIONS, found).where(F.size(VIOLATIONS) > 0)

@@ -16,6 +16,7 @@ from starflow.operators.merge import append_new, insert_keyed, upsert
 from starflow.operators.quality import (
     conform,
     fk_orphans,
+    misfits,
     pk_violations,
     quarantined_rows,
     valid_rows,
@@ -28,7 +29,7 @@ from starflow.operators.reshape import (
     unnest,
     zip_arrays,
 )
-from starflow.session import prepare, stage, together
+from starflow.session import prepare, scratch, stage, together
 from starflow.sources import documents as D
 from starflow.sources import jdbc as J
 from starflow.sources import tables as W
@@ -48,19 +49,29 @@ STRICT_FIELDS = ["id", "name", "latitude", "longitude", "timestamp", "free_bikes
 NETWORK_ID = "network_id"
 FACT_KEY = ["station_id", "timestamp"]
 ORIGIN = [D.MODIFIED, D.FILE]  # a later file replaces an earlier one
+_OFFSET, _ZONED = "_utc_offset", r"(Z|[+-]\d\d:?\d\d)\s*$"
+REJECTED = "rejected"
 ROW = "row_number"  # tells copies of a stored status row apart
 
 
 def station_rows(docs: DataFrame) -> DataFrame:
-    """One typed row per station and document; missing fields are NULL."""
-    rows = unnest(docs, "network.stations", keep=[F.col("network.id").alias(NETWORK_ID)])
+    """One typed row per station and document, with its origin; missing fields are NULL."""
+    rows = unnest(docs, "network.stations", keep=_kept(docs))
     return _flat_stations(rows)
 
 
+def _kept(docs: DataFrame) -> list:
+    return [F.col("network.id").alias(NETWORK_ID), *[c for c in ORIGIN if c in docs.columns]]
+
+
+def station_rows_and_damage(docs: DataFrame) -> DataFrame:
+    """``station_rows``, and a row with the text in ``_corrupt_record`` for each damaged document."""
+    return _flat_stations(D.objects_and_damage(docs, "network.stations", keep=_kept(docs)))
+
+
 def strict_station_rows(docs: DataFrame) -> DataFrame:
     """``station_rows`` over ``STATION_DOCUMENT_TEXT`` that fails on an absent field."""
-    rows = strict_rows(docs, "network.stations", S.STATION, STRICT_FIELDS,
-                       keep=[F.col("network.id").alias(NETWORK_ID)])
+    rows = strict_rows(docs, "network.stations", S.STATION, STRICT_FIELDS, keep=_kept(docs))
     return _flat_stations(rows)
 
 
@@ -69,6 +80,7 @@ def _flat_stations(rows: DataFrame) -> DataFrame:
         "timestamp": parse_station_time(F.col("timestamp")),
         "has_ebikes": optional("extra.has_ebikes"),
         "slots": optional("extra.slots"),
+        "ebikes": optional("extra.ebikes"),
         "uid": optional("extra.uid"),
         "payment_terminal": optional("extra.payment_terminal"),
         "virtual_station": optional("extra.virtual_station"),
@@ -85,9 +97,14 @@ def dim_station(stations: DataFrame) -> DataFrame:
 
 
 def weather_rows(docs: DataFrame) -> DataFrame:
-    """One row per hour of each hourly document, with the time as text and parsed."""
-    rows = zip_arrays(docs, HOURLY_ARRAYS, keep=ORIGIN)
-    return rows.withColumn("timestamp", parse_hour(F.col("time")))
+    """One row per hour of each hourly document, with the time as text and in UTC.
+
+    Times are local by ``utc_offset_seconds`` unless they name their own offset.
+    """
+    rows = zip_arrays(docs, HOURLY_ARRAYS, keep=[*ORIGIN, F.col("utc_offset_seconds").alias(_OFFSET)])
+    ahead = F.when(F.col("time").rlike(_ZONED), F.lit(0)).otherwise(F.coalesce(_OFFSET, F.lit(0)))
+    utc = F.timestamp_micros(F.unix_micros(parse_hour(F.col("time"))) - ahead * 1_000_000)
+    return rows.withColumn("timestamp", utc).drop(_OFFSET)
 
 
 def weather_hours(rows: DataFrame, *extra: str) -> DataFrame:
@@ -124,7 +141,8 @@ def fact_bike_weather(status: DataFrame, weather: DataFrame, align: str = "exact
                            "timestamp", "observed_at")
     else:
         raise ValueError(f"align must be exact, hour or asof, not {align!r}")
-    return joined.select(*S.FACT_BIKE_WEATHER.names, *[c for c in status.columns if c == ROW])
+    names = S.FACT_BIKE_WEATHER.names
+    return joined.select(*names, *[c for c in status.columns if c not in names])
 
 
 def dim_network(docs: DataFrame) -> DataFrame:
@@ -144,14 +162,46 @@ def dim_network_station(stations: DataFrame) -> DataFrame:
 
 
 def fact_station_status(stations: DataFrame, start: int = 1) -> DataFrame:
-    """Status rows numbered in time order; the same range shuffle clusters them by time."""
+    """Status rows numbered in time order; the same range shuffle clusters them by time.
+
+    ``stations`` may hold a column ``row_number`` that tells copies of a row apart, such as the
+    place in the scanned files; without it copies are numbered and stored here.
+    """
     columns = ["station_id", "timestamp", "free_bikes", "empty_slots", "last_updated_epoch"]
-    rows = valid_rows(stations.select(*columns), not_null=["station_id"])
-    keyed = dense_key(rows, "status_id", ["timestamp", "station_id"], start=start,
-                      unique_order=False)
+    numbered = [ROW] if ROW in stations.columns else []
+    rows = valid_rows(stations.select(*columns, *numbered), not_null=["station_id"])
+    keyed = dense_key(rows, "status_id", ["timestamp", "station_id", *numbered], start=start,
+                      unique_order=bool(numbered))
     return conform(keyed, S.STATION_STATUS)
 
 
+def rejected_rows(source: str, rows: DataFrame, not_null: list[str]) -> DataFrame:
+    """Rows without a needed value, as lines of the table of what could not be used."""
+    content = [c for c in rows.columns if c not in (*ORIGIN, ROW)]
+    return quarantined_rows(rows, not_null=not_null).select(
+        F.lit(source).alias("source"), F.array_join("violations", ", ").alias("reason"),
+        F.to_json(F.struct(*content)).alias("content"), F.col(D.FILE).alias("file"),
+        F.col(D.MODIFIED).alias("modified"))
+
+
+def rejected_documents(source: str, damaged: DataFrame) -> DataFrame:
+    """Documents that did not parse in full, as lines of the same table."""
+    return damaged.select(
+        F.lit(source).alias("source"), F.lit("document does not parse in full").alias("reason"),
+        F.col(S.CORRUPT).alias("content"), F.col(D.FILE).alias("file"),
+        F.col(D.MODIFIED).alias("modified"))
+
+
+def unusable(stations: DataFrame, weather: DataFrame, damaged_hours: DataFrame) -> DataFrame:
+    """All that a load leaves aside: damaged documents, statuses and hours without a key."""
+    whole = stations.where(F.col(S.CORRUPT).isNull()).drop(S.CORRUPT)
+    return union_all([
+        rejected_documents("stations", stations.where(F.col(S.CORRUPT).isNotNull())),
+        rejected_documents("hours", damaged_hours),
+        rejected_rows("stations", whole, FACT_KEY),
+        rejected_rows("hours", weather, ["timestamp"])])
+
+
 def warehouse_fact(fact: DataFrame, start: int = 1) -> DataFrame:
     """The fact in the warehouse's declared columns (``slots`` becomes ``total_slots``).
 
@@ -162,43 +212,71 @@ def warehouse_fact(fact: DataFrame, start: int = 1) -> DataFrame:
 
 
 def build_tables(spark: SparkSession, stations_path: str, hourly_path: str, out: str,
-                 align: str = "hour", multi_line: bool = True, strict: bool = False) -> None:
-    """Raw documents to three Parquet tables below ``out``, replacing earlier ones.
+                 align: str = "hour", multi_line: bool = True, strict: bool = False) -> str:
+    """Raw documents to Parquet tables in a new version below ``out``; returns its path.
 
-    The keyed dimension is written first and read back, so the fact uses the
-    very keys that are stored.  ``strict`` fails on stations with absent fields.
+    The keyed dimension is stored first and read back, so the fact uses the very keys that
+    are stored.  The version counts as finished only when all its tables are there, so a
+    reader of ``processed_path`` never sees tables of two runs.  What could not be used is in its
+    table ``rejected``; ``strict`` fails instead, on damaged documents and on absent fields.
     """
     prepare(spark)
-
-    def store_weather() -> DataFrame:
-        path = f"{out}/dim_weather"
-        W.replace_table(dim_weather(_parsed_weather(spark, hourly_path, multi_line)), path)
-        return W.read_table(spark, path, S.DIM_WEATHER)
-
-    stations, weather = together(
-        spark, lambda: _parsed_stations(spark, stations_path, multi_line, strict), store_weather)
-    fact = fact_bike_weather(status_rows(stations, ROW), weather, align)
-    together(
-        spark,
-        lambda: W.replace_table(dim_station(stations), f"{out}/dim_station"),
-        lambda: W.write_by_date(_placed(fact, align), f"{out}/fact_bike_weather", "date",
-                                FACT_KEY, mode="overwrite", spread=ROW))
+    version = (W.latest_version(spark, out) or 0) + 1
+    path = W.version_path(out, version)
+    with scratch(spark):
+        def store_weather() -> tuple[DataFrame, DataFrame, DataFrame]:
+            parsed, damaged = _parsed_weather(spark, hourly_path, multi_line, strict)
+            W.replace_table(dim_weather(parsed), f"{path}/dim_weather")
+            return W.read_table(spark, f"{path}/dim_weather", S.DIM_WEATHER), parsed, damaged
+
+        stations, (weather, parsed, damaged) = together(
+            spark, lambda: _parsed_stations(spark, stations_path, multi_line, strict), store_weather)
+        whole = stations.where(F.col(S.CORRUPT).isNull())
+        fact = fact_bike_weather(status_rows(whole, ROW), weather, align)
+        together(
+            spark,
+            lambda: W.replace_table(dim_station(whole), f"{path}/dim_station"),
+            lambda: W.replace_table(unusable(stations, parsed, damaged), f"{path}/{REJECTED}"),
+            lambda: W.write_by_date(_placed(fact, align), f"{path}/fact_bike_weather", "date",
+                                    FACT_KEY, mode="overwrite", spread=ROW))
+    W.finish_version(spark, out, version)
+    W.drop_versions(spark, out)
+    return path
+
+
+def processed_path(spark: SparkSession, out: str) -> str:
+    """Folder of the tables of the newest finished ``build_tables``."""
+    return W.version_path(out, W.latest_version(spark, out))
 
 
 def _parsed_stations(spark: SparkSession, path: str, multi_line: bool, strict: bool,
                      modified_after: str | None = None) -> DataFrame:
+    """Stored station rows, and a row for each damaged document."""
     schema = S.STATION_DOCUMENT_TEXT if strict else S.STATION_DOCUMENT
-    docs = D.readable(D.read_documents(spark, path, schema, multi_line, modified_after))
-    rows = strict_station_rows(docs) if strict else station_rows(docs)
-    columns = [*S.DIM_STATION.names, "timestamp", "free_bikes"]
+    docs = D.read_documents(spark, path, schema, multi_line, modified_after)
+    if strict:
+        _fail_on_damage(docs)
+        rows = strict_station_rows(D.readable(docs)).withColumn(S.CORRUPT, F.lit(None).cast("string"))
+    else:
+        rows = station_rows_and_damage(docs)
+    columns = [*S.DIM_STATION.names, "timestamp", "free_bikes", *S.FACT_EXTRAS.names, *ORIGIN, S.CORRUPT]
     # Several tables come from these rows: parse the JSON once.
     return stage(rows.select(*columns, F.monotonically_increasing_id().alias(ROW)), "stations")
 
 
-def _parsed_weather(spark: SparkSession, path: str, multi_line: bool,
-                    modified_after: str | None = None) -> DataFrame:
+def _fail_on_damage(docs: DataFrame) -> None:
+    broken = D.damaged(docs).limit(1).collect()
+    if broken:
+        raise ValueError(f"a document does not parse in full: {broken[0][D.FILE]}")
+
+
+def _parsed_weather(spark: SparkSession, path: str, multi_line: bool, strict: bool = False,
+                    modified_after: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Stored rows of the hours, and the damaged documents."""
     docs = D.read_documents(spark, path, S.HOURLY_DOCUMENT, multi_line, modified_after)
-    return weather_rows(D.readable(docs))
+    if strict:
+        _fail_on_damage(docs)
+    return stage(weather_rows(D.readable(docs)), "hour_rows"), D.damaged(docs)
 
 
 def _placed(fact: DataFrame, align: str) -> DataFrame:
@@ -207,49 +285,76 @@ def _placed(fact: DataFrame, align: str) -> DataFrame:
     return stage(dated, "fact") if align == "asof" else dated
 
 
+def fill_weather(spark: SparkSession, path: str, weather: DataFrame, days: list,
+                 schema: T.StructType = S.LOADED_FACT, align: str = "hour") -> None:
+    """Give stored fact rows of ``days`` the key of weather that came after them.
+
+    Only the partitions of those days are read and replaced.
+    """
+    dated = T.StructType([*schema.fields, T.StructField("date", T.DateType())])
+    if not days or not W.has_data(spark, path):
+        return
+    target = spark.read.schema(dated).parquet(path).where(F.col("date").isin(days))
+    found = fact_bike_weather(target.drop("weather_id", "date"), weather, align)
+    filled = stage(W.with_date(found).select(*dated.names), "filled")
+    W.replace_partitions(filled, path, "date", FACT_KEY)
+
+
 def load_tables(spark: SparkSession, stations_path: str, hourly_path: str, warehouse: str,
                 align: str = "hour", multi_line: bool = True, strict: bool = False,
                 modified_after: str | None = None) -> None:
     """Merge the documents of a landing directory into the warehouse tables.
 
     Dimensions are upserted into a new version, weather hours keep the key they
-    once got, and the fact takes only rows it lacks: a rerun changes nothing.
-    Each run's status rows without a station or timestamp go to a new version of
-    ``rejected``.  With ``modified_after`` only files written since are read, so a run costs what
-    is new rather than all that ever landed; overlap does no harm.
+    once got, and the fact takes only rows it lacks: a rerun changes nothing.  Of two
+    payloads for one station and time the later file's is stored.  Rows stored before their
+    hour was known get its key when it comes.  Each run stores what it could not use in a new
+    version of ``rejected``; ``strict`` fails instead.  With ``modified_after`` only files
+    written since are read, so a run costs what is new rather than all that ever
+    landed; overlap does no harm.
     """
     prepare(spark)
+    fact_path = f"{warehouse}/fact_bike_weather"
 
-    def merge_weather() -> DataFrame:
-        path = f"{warehouse}/dim_weather"
+    def next_version(name: str, merged) -> DataFrame:
+        path = f"{warehouse}/{name}"
         version = W.latest_version(spark, path)
-        target = W.read_version(spark, path, S.DIM_WEATHER, version)
-        parsed = _parsed_weather(spark, hourly_path, multi_line, modified_after)
-        hours = stage(weather_hours(parsed), "hours")
-        return W.write_version(insert_keyed(target, hours, ["timestamp"], "weather_id"),
-                               path, (version or 0) + 1)
-
-    def merge_stations() -> None:
-        path = f"{warehouse}/dim_station"
-        version = W.latest_version(spark, path)
-        target = W.read_version(spark, path, S.DIM_STATION, version)
-        newest = stage(dim_station(stations), "newest_stations")
-        W.write_version(upsert(target, newest, ["station_id"]), path, (version or 0) + 1)
-
-    def store_rejected() -> None:
-        path = f"{warehouse}/rejected"
-        W.write_version(quarantined_rows(status, not_null=FACT_KEY),
-                        path, (W.latest_version(spark, path) or 0) + 1)
-
-    stations, weather = together(
-        spark,
-        lambda: _parsed_stations(spark, stations_path, multi_line, strict, modified_after),
-        merge_weather)
-    status = status_rows(stations)
-    together(spark, merge_stations, store_rejected)
-    # Both dimensions are stored by now, so no fact row ever lacks its parents.
-    fact = fact_bike_weather(valid_rows(status, not_null=FACT_KEY), weather, align)
-    append_new(_placed(fact, align), f"{warehouse}/fact_bike_weather", FACT_KEY)
+        stored = W.write_version(merged(path, version), path, (version or 0) + 1)
+        W.drop_versions(spark, path)
+        return stored
+
+    with scratch(spark):
+        def merge_weather() -> tuple[DataFrame, list, DataFrame, DataFrame]:
+            parsed, damaged = _parsed_weather(spark, hourly_path, multi_line, strict, modified_after)
+            hours = stage(weather_hours(parsed), "hours")
+            path = f"{warehouse}/dim_weather"
+            target = W.read_version(spark, path, S.DIM_WEATHER)
+            fresh = hours.join(target.select("timestamp"), "timestamp", "left_anti")
+            # One value per calendar day with an hour that was not known.
+            days = [r[0] for r in fresh.select(F.to_date("timestamp")).distinct().collect()]
+            weather = next_version("dim_weather", lambda path, version: insert_keyed(
+                W.read_version(spark, path, S.DIM_WEATHER, version), hours, ["timestamp"], "weather_id"))
+            return weather, days, parsed, damaged
+
+        stations, (weather, days, parsed, damaged) = together(
+            spark,
+            lambda: _parsed_stations(spark, stations_path, multi_line, strict, modified_after),
+            merge_weather)
+        whole = stations.where(F.col(S.CORRUPT).isNull())
+        newest = stage(dim_station(whole), "newest_stations")
+        together(
+            spark,
+            lambda: next_version("dim_station", lambda path, version: upsert(
+                W.read_version(spark, path, S.DIM_STATION, version), newest, ["station_id"])),
+            lambda: next_version(REJECTED, lambda path, version: unusable(stations, parsed, damaged)))
+        # Both dimensions are stored by now, so no fact row ever lacks its parents.
+        if days and align == "asof":
+            # A new hour counts for all later rows up to the next one.
+            days = [d for d in W.stored_dates(spark, fact_path) if d >= min(days)]
+        fill_weather(spark, fact_path, weather, days, align=align)
+        status = valid_rows(status_rows(whole, *S.FACT_EXTRAS.names, *ORIGIN), not_null=FACT_KEY)
+        dated = W.with_date(fact_bike_weather(status, weather, align))
+        append_new(dated, fact_path, FACT_KEY, newest_by=ORIGIN)
 
 
 def undeclared(df: DataFrame, table: T.StructType,
@@ -267,42 +372,80 @@ def warehouse_weather(dim: DataFrame) -> DataFrame:
 
 
 def load_jdbc(spark: SparkSession, warehouse: str, url: str, properties: dict[str, str],
-              replace: bool = False) -> None:
+              replace: bool = False, days: list | None = None) -> None:
     """The tables ``load_tables`` keeps into a JDBC warehouse, dimensions first.
 
     Weather keys are the stored ones, which no later run changes, so they can be
-    upserted on.  Dimensions are upserted and the fact takes only rows it lacks;
-    with ``replace`` all three tables get exactly the stored rows.  The database
-    numbers the fact rows itself.
+    upserted on.  Dimensions are upserted and the fact takes only rows it lacks, from the
+    dates in ``days`` if given, so that a run sends what is new and not the whole fact.
+    With ``replace`` all three tables are emptied in one statement, as they refer to each other, and
+    get exactly the stored rows.  The database numbers the fact rows itself.  Rows with a value
+    that a declared type cannot hold are stored in ``misfits`` below ``warehouse``.
     """
     prepare(spark)
-    stations = warehouse_station(
-        W.read_version(spark, f"{warehouse}/dim_station", S.DIM_STATION))
-    weather = warehouse_weather(
-        W.read_version(spark, f"{warehouse}/dim_weather", S.DIM_WEATHER))
-    columns = [f for f in S.WAREHOUSE_FACT.fields if f.name != "fact_id"]
-    fact = conform(W.read_table(spark, f"{warehouse}/fact_bike_weather"),
-                   T.StructType(columns), S.FACT_RENAMES)
+    stations = W.read_version(spark, f"{warehouse}/dim_station", S.DIM_STATION)
+    weather = W.read_version(spark, f"{warehouse}/dim_weather", S.DIM_WEATHER)
+    fact = W.read_table(spark, f"{warehouse}/fact_bike_weather",
+                        T.StructType([*S.LOADED_FACT.fields, T.StructField("date", T.DateType())]))
+    if days is not None:
+        fact = fact.where(F.col("date").isin(days))
+    declared = T.StructType([f for f in S.WAREHOUSE_FACT.fields if f.name != "fact_id"])
+    path = f"{warehouse}/misfits"
+    W.write_version(union_all([
+        warehouse_misfits(stations, S.WAREHOUSE_STATION, "dim_station"),
+        warehouse_misfits(weather, S.WAREHOUSE_WEATHER, "dim_weather"),
+        warehouse_misfits(fact, declared, "fact_bike_weather", S.FACT_RENAMES)]),
+        path, (W.latest_version(spark, path) or 0) + 1)
+    stations, weather = warehouse_station(stations), warehouse_weather(weather)
+    fact = conform(fact, declared, S.FACT_RENAMES)
     if replace:
-        for table, df in (("dim_station", stations), ("dim_weather", weather),
-                          ("fact_bike_weather", fact)):
-            J.replace_jdbc(df, url, table, properties)
+        tables = ["fact_bike_weather", "dim_station", "dim_weather"]
+        J.execute(spark, url, properties, J.truncate_statement(tables))
+        J.append_jdbc(stations, url, "dim_station", properties)
+        J.append_jdbc(weather, url, "dim_weather", properties)
+        J.append_jdbc(fact, url, "fact_bike_weather", properties)
     else:
         J.upsert_jdbc(stations, url, "dim_station", ["station_id"], properties)
         J.upsert_jdbc(weather, url, "dim_weather", ["weather_id"], properties)
         J.append_new_jdbc(fact, url, "fact_bike_weather", FACT_KEY, properties)
 
 
+def warehouse_misfits(df: DataFrame, table: T.StructType, source: str,
+                      renames: dict[str, str] | None = None) -> DataFrame:
+    """Values that the declared types cannot hold: where, which, and the row they stand in."""
+    rows = misfits(df, table, renames)
+    return rows.select(F.lit(source).alias("source"), F.explode("violations").alias("reason"),
+                       F.to_json(F.struct(*[c for c in rows.columns if c != "violations"])).alias("content"))
+
+
 def constraint_report(stations: DataFrame, weather: DataFrame, fact: DataFrame) -> DataFrame:
-    """Rows that break each constraint declared for the warehouse, one line per constraint."""
-    checks = {
+    """Rows that break each constraint declared for warehouse A, one line per constraint."""
+    return _report({
         "dim_station primary key": pk_violations(stations, ["station_id"]),
         "dim_weather primary key": pk_violations(weather, ["weather_id"]),
         "dim_weather timestamp not null": weather.where(F.col("timestamp").isNull()),
         "fact station_id foreign key": fk_orphans(fact, stations, {"station_id": "station_id"}),
         "fact weather_id foreign key": fk_orphans(fact, weather, {"weather_id": "weather_id"}),
         "fact timestamp not null": fact.where(F.col("timestamp").isNull()),
-    }
+    })
+
+
+def network_constraint_report(networks: DataFrame, stations: DataFrame, status: DataFrame) -> DataFrame:
+    """The same for warehouse B, its declared text lengths included."""
+    return _report({
+        "dim_network primary key": pk_violations(networks, ["id"]),
+        "dim_network text lengths": quarantined_rows(networks, max_length=S.NETWORK_LENGTHS),
+        "dim_station primary key": pk_violations(stations, ["station_id"]),
+        "dim_station network_id foreign key": fk_orphans(stations, networks, {NETWORK_ID: "id"}),
+        "dim_station text lengths": quarantined_rows(stations, max_length=S.NETWORK_STATION_LENGTHS),
+        "status primary key": pk_violations(status, ["status_id"]),
+        "status station_id not null": status.where(F.col("station_id").isNull()),
+        "status station_id foreign key": fk_orphans(status, stations, {"station_id": "station_id"}),
+        "status text lengths": quarantined_rows(status, max_length=S.STATION_STATUS_LENGTHS),
+    })
+
+
+def _report(checks: dict[str, DataFrame]) -> DataFrame:
     return union_all([
         rows.agg(F.lit(name).alias("constraint"), F.count("*").alias("violations"))
         for name, rows in checks.items()])

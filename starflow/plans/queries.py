@@ -214,15 +214,12 @@ def parse_timestamps(spark, sf_dir):
 
 @query
 def upsert_dim(spark, sf_dir):
-    """Settled orders as target; orders with returned lines bring new totals."""
-    target = (table(spark, sf_dir, "orders").where("o_orderstatus <> 'P'")
-              .select(F.col("o_orderkey").alias("order_key"), cents("o_totalprice").alias("total"),
-                      F.col("o_orderstatus").alias("status")))
-    source = (table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
-              .groupBy(F.col("l_orderkey").alias("order_key"))
-              .agg(F.sum(cents("l_extendedprice")).alias("total"),
-                   F.lit(None).cast("string").alias("status")))
-    return upsert(target, stage(source, "returned"), ["order_key"])
+    """Labels as target; vectors bring new values, some of them NULL, and new keys."""
+    target = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    source = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("doc_id"), F.col("label").alias("quality"),
+        F.lit(None).cast("int").alias("toxic"))
+    return upsert(target, source, ["doc_id"])
 
 
 @query
@@ -235,6 +232,17 @@ def append_idempotent(spark, sf_dir):
     return spark.read.schema(events.schema).parquet(path).drop("date")
 
 
+@query
+def append_newest(spark, sf_dir):
+    """A batch that holds each event twice, as first sent and as corrected later."""
+    events = W.with_date(table(spark, sf_dir, "events"), "ts")
+    batch = (events.withColumn("sent", F.lit(1))
+             .unionByName(events.withColumns({"sent": F.lit(2), "value": F.col("value") + 1})))
+    path = scratch_path(spark, "appended")
+    append_new(batch, path, ["event_id", "ts"], sort_by=["user_id", "ts"], newest_by=["sent"])
+    return spark.read.schema(events.schema).parquet(path).drop("date")
+
+
 @query
 def replace_partition(spark, sf_dir):
     """The last day of a table by date is replaced by corrected values."""
@@ -245,7 +253,7 @@ def replace_partition(spark, sf_dir):
     stored = spark.read.schema(events.schema).parquet(path)
     corrected = (stored.where(F.col("date") == F.lit(last))
                  .withColumn("value", F.col("value") * 2))
-    W.replace_partitions(corrected, path, ["date"])
+    W.replace_partitions(stage(corrected, "corrected"), path, "date", ["user_id", "ts", "event_id"])
     return spark.read.schema(events.schema).parquet(path).drop("date")
 
 
@@ -267,10 +275,9 @@ def pk_violation_report(spark, sf_dir):
 
 @query
 def fk_orphan_report(spark, sf_dir):
-    settled = table(spark, sf_dir, "orders").where("o_orderstatus <> 'P'")
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
-    return fk_orphans(lines, settled, {"l_orderkey": "o_orderkey"})
+    """Documents without a label."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    return fk_orphans(documents, table(spark, sf_dir, "labels"), {"doc_id": "doc_id"})
 
 
 def _labelled(spark, sf_dir):
@@ -294,22 +301,35 @@ def not_null_quarantine(spark, sf_dir):
 
 @query
 def constraint_counts(spark, sf_dir):
-    """The star's constraints on lines, settled orders and suppliers in debt."""
-    orders = table(spark, sf_dir, "orders")
-    stations = (table(spark, sf_dir, "supplier").where("s_acctbal < 0")
-                .select(F.col("s_suppkey").alias("station_id")))
-    weather = orders.where("o_orderstatus <> 'P'").select(
+    """The star's constraints on lines, orders and suppliers, by keys whose ranges differ."""
+    stations = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("station_id"))
+    weather = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("weather_id"), F.col("o_orderdate").alias("timestamp"))
     fact = table(spark, sf_dir, "lineitem").select(
-        F.col("l_suppkey").alias("station_id"), F.col("l_orderkey").alias("weather_id"),
+        F.col("l_partkey").alias("station_id"), F.col("l_orderkey").alias("weather_id"),
         F.col("l_shipdate").alias("timestamp"))
     return model.constraint_report(stations, weather, fact)
 
 
+@query
+def network_constraint_counts(spark, sf_dir):
+    """The network tables' constraints on pages, documents and events."""
+    none = F.lit(None).cast("string")
+    networks = table(spark, sf_dir, "pages").select(
+        F.col("page_id").cast("string").alias("id"), F.col("url").alias("name"), none.alias("city"),
+        F.lit("abc").alias("country"), F.col("html").alias("href"), none.alias("gbfs_href"))
+    stations = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("station_id"), F.col("doc_id").cast("string").alias("network_id"),
+        F.col("text").alias("name"), F.col("lang").alias("uid"))
+    status = table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("status_id"), (F.col("user_id") * 10).cast("string").alias("station_id"))
+    return model.network_constraint_report(networks, stations, status)
+
+
 @query
 def conform_schema(spark, sf_dir):
     declared = S.fields(["station_id"], station_id=S.TEXT, station_name=S.TEXT,
-                        latitude=S.MEASURE, slots=S.INT, address=S.TEXT)
+                        latitude=S.NUMERIC, slots=S.INT, address=S.TEXT)
     return conform(table(spark, sf_dir, "supplier"), declared, {
         "s_suppkey": "station_id", "s_name": "station_name",
         "s_acctbal": "latitude", "s_nationkey": "slots"})
@@ -317,31 +337,31 @@ def conform_schema(spark, sf_dir):
 
 # --- as-of -----------------------------------------------------------------
 
-def _purchases_and_errors(spark, sf_dir):
+def _earlier_events(spark, sf_dir):
+    """Each event ten minutes before it happened, and all events as they are."""
     events = table(spark, sf_dir, "events")
-    purchases = events.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
-    errors = events.where("event_type = 'error'").select(
-        "user_id", F.col("ts").alias("error_ts"), F.col("event_id").alias("error_id"))
-    return purchases, errors
+    before = events.select("event_id", "user_id",
+                           (F.col("ts") - F.expr("interval 10 minutes")).alias("before_ts"))
+    seen = events.select("user_id", F.col("ts").alias("seen_ts"), F.col("event_id").alias("seen_id"))
+    return before, seen
 
 
 @query
 def asof_by_key(spark, sf_dir):
-    purchases, errors = _purchases_and_errors(spark, sf_dir)
-    return asof_join(purchases, errors, "ts", "error_ts", by=["user_id"])
+    before, seen = _earlier_events(spark, sf_dir)
+    return asof_join(before, seen, "before_ts", "seen_ts", by=["user_id"])
 
 
 @query
 def asof_global(spark, sf_dir):
-    purchases, errors = _purchases_and_errors(spark, sf_dir)
-    return asof_join(purchases, errors.drop("user_id"), "ts", "error_ts")
+    before, seen = _earlier_events(spark, sf_dir)
+    return asof_join(before, seen.drop("user_id"), "before_ts", "seen_ts")
 
 
 @query
 def asof_within_hour(spark, sf_dir):
-    purchases, errors = _purchases_and_errors(spark, sf_dir)
-    return asof_join(purchases, errors.drop("user_id"), "ts", "error_ts",
-                     tolerance_seconds=3600)
+    before, seen = _earlier_events(spark, sf_dir)
+    return asof_join(before, seen, "before_ts", "seen_ts", by=["user_id"], tolerance_seconds=3600)
 
 
 # --- sources and sinks -----------------------------------------------------
@@ -368,21 +388,50 @@ def parquet_roundtrip(spark, sf_dir):
 
 # --- table builders --------------------------------------------------------
 
-def _landed(spark, sf_dir, *kinds):
-    """Raw documents of the events table in a new landing directory."""
+def _landed_stations(spark, sf_dir):
+    path = scratch_path(spark, "station_documents")
+    D.land_documents(landing.station_documents(table(spark, sf_dir, "events")), path)
+    return path
+
+
+def _landed_hours(spark, sf_dir):
+    """Each hour in two documents: an early one with wrong values, then the one that counts."""
     events = table(spark, sf_dir, "events")
-    paths = [scratch_path(spark, kind.__name__) for kind in kinds]
-    together(spark, *[partial(D.land_documents, kind(events), path)
-                      for kind, path in zip(kinds, paths, strict=True)])
-    return paths
+    path = scratch_path(spark, "hourly_documents")
+    D.land_documents(landing.early_documents(events), path)
+    D.land_documents(landing.hourly_documents(events), path)
+    return path
+
+
+def _landed(spark, sf_dir):
+    return together(spark, partial(_landed_stations, spark, sf_dir), partial(_landed_hours, spark, sf_dir))
 
 
 def _stations(spark, sf_dir):
-    path, = _landed(spark, sf_dir, landing.station_documents)
-    docs = D.read_documents(spark, path, S.STATION_DOCUMENT, multi_line=False)
+    docs = D.read_documents(spark, _landed_stations(spark, sf_dir), S.STATION_DOCUMENT, multi_line=False)
     return D.readable(docs)
 
 
+def _weather(spark, sf_dir):
+    docs = D.read_documents(spark, _landed_hours(spark, sf_dir), S.HOURLY_DOCUMENT, multi_line=False)
+    return model.dim_weather(model.weather_rows(D.readable(docs)))
+
+
+@query
+def rejected_documents(spark, sf_dir):
+    """Documents of which some are cut off and some hold text for a number: what was kept of each kind."""
+    path = scratch_path(spark, "damaged")
+    landing.damaged_documents(table(spark, sf_dir, "events")).write.text(path)
+    docs = D.read_documents(spark, path, S.STATION_DOCUMENT, multi_line=False)
+    rows = stage(model.station_rows_and_damage(docs), "rows_and_damage")
+    left = model.rejected_documents("stations", rows.where(F.col(S.CORRUPT).isNotNull()))
+    kinds = left.groupBy(F.regexp_extract("content", '"id":"([a-z]+)"', 1).alias("kind")).agg(
+        F.count("*").alias("damaged"))
+    kept = (rows.where(F.col(S.CORRUPT).isNull()).groupBy(F.col("network_id").alias("kind"))
+            .agg(F.count("*").alias("stations"), F.count("free_bikes").alias("with_bikes")))
+    return kept.join(kinds, "kind", "full").na.fill(0)
+
+
 @query
 def build_dim_station(spark, sf_dir):
     return model.dim_station(model.station_rows(_stations(spark, sf_dir)))
@@ -390,19 +439,30 @@ def build_dim_station(spark, sf_dir):
 
 @query
 def build_dim_weather(spark, sf_dir):
-    path, = _landed(spark, sf_dir, landing.hourly_documents)
-    docs = D.readable(D.read_documents(spark, path, S.HOURLY_DOCUMENT, multi_line=False))
-    return without_zone(model.dim_weather(model.weather_rows(docs)))
+    return without_zone(_weather(spark, sf_dir))
+
+
+def _built_fact(spark, sf_dir, align):
+    """Raw documents to the processed tables; the stored fact."""
+    stations, hours = _landed(spark, sf_dir)
+    path = model.build_tables(spark, stations, hours, scratch_path(spark, "processed"), align, multi_line=False)
+    fact = W.read_table(spark, f"{path}/fact_bike_weather", S.FACT_BIKE_WEATHER)
+    return without_zone(fact.drop("date"))
 
 
 @query
 def build_fact_bike_weather(spark, sf_dir):
-    """Raw documents to the three processed tables; the stored fact."""
-    stations, hours = _landed(spark, sf_dir, landing.station_documents, landing.hourly_documents)
-    out = scratch_path(spark, "processed")
-    model.build_tables(spark, stations, hours, out, multi_line=False)
-    fact = W.read_table(spark, f"{out}/fact_bike_weather", S.FACT_BIKE_WEATHER)
-    return without_zone(fact.drop("date"))
+    return _built_fact(spark, sf_dir, "hour")
+
+
+@query
+def build_fact_exact(spark, sf_dir):
+    return _built_fact(spark, sf_dir, "exact")
+
+
+@query
+def build_fact_asof(spark, sf_dir):
+    return _built_fact(spark, sf_dir, "asof")
 
 
 @query
@@ -412,9 +472,7 @@ def warehouse_station(spark, sf_dir):
 
 @query
 def warehouse_weather(spark, sf_dir):
-    path, = _landed(spark, sf_dir, landing.hourly_documents)
-    docs = D.readable(D.read_documents(spark, path, S.HOURLY_DOCUMENT, multi_line=False))
-    return without_zone(model.warehouse_weather(model.dim_weather(model.weather_rows(docs))))
+    return without_zone(model.warehouse_weather(_weather(spark, sf_dir)))
 
 
 @query
@@ -429,59 +487,79 @@ def build_dim_network_station(spark, sf_dir):
 
 @query
 def build_fact_station_status(spark, sf_dir):
-    rows = model.station_rows(_stations(spark, sf_dir))
+    # Copies of a row are told apart by their place in the scanned files, which a rerun task finds again.
+    rows = model.station_rows(_stations(spark, sf_dir)).withColumn(model.ROW, F.monotonically_increasing_id())
     return without_zone(model.fact_station_status(rows))
 
 
+def _loaded(spark, warehouse):
+    fact = W.read_table(spark, f"{warehouse}/fact_bike_weather", S.LOADED_FACT)
+    return without_zone(model.warehouse_fact(fact))
+
+
 @query
 def load_warehouse_fact(spark, sf_dir):
     """The whole job into a warehouse, in the columns the warehouse declares."""
-    stations, hours = _landed(spark, sf_dir, landing.station_documents, landing.hourly_documents)
+    stations, hours = _landed(spark, sf_dir)
     warehouse = scratch_path(spark, "warehouse")
     model.load_tables(spark, stations, hours, warehouse, multi_line=False)
-    fact = W.read_table(spark, f"{warehouse}/fact_bike_weather").drop("date")
-    return without_zone(model.warehouse_fact(fact))
+    return _loaded(spark, warehouse)
+
+
+@query
+def late_weather(spark, sf_dir):
+    """Status is loaded when only the first half of the weather is known, then the rest comes."""
+    events = table(spark, sf_dir, "events")
+    stations, hours = _landed_stations(spark, sf_dir), scratch_path(spark, "hours")
+    middle = events.agg((F.unix_seconds(F.min(F.col("ts").cast("timestamp"))) / 2
+                         + F.unix_seconds(F.max(F.col("ts").cast("timestamp"))) / 2).alias("m")).first()["m"]
+    late = F.unix_seconds(F.col("ts").cast("timestamp")) > middle
+    warehouse = scratch_path(spark, "warehouse")
+    for part in (events.where(~late), events.where(late)):
+        D.land_documents(landing.hourly_documents(part), hours)
+        model.load_tables(spark, stations, hours, warehouse, multi_line=False)
+    return _loaded(spark, warehouse)
 
 
 # --- streaming -------------------------------------------------------------
 
-def _streamed(spark, sf_dir, enrich):
-    path, = _landed(spark, sf_dir, landing.station_documents)
-    stream = live.status_stream(spark, path, delay="60 days", multi_line=False)
+def _streamed(spark, sf_dir, enrich=False, times=1):
+    """The documents land in four parts and come in at least as many batches."""
+    events = table(spark, sf_dir, "events")
+    landed = scratch_path(spark, "landed")
+    part = F.pmod(F.xxhash64("event_id"), F.lit(4))
+    for _ in range(times):
+        for k in range(4):
+            D.land_documents(landing.station_documents(events.where(part == k)), landed)
+    files = max(1, len(spark.read.text(landed).inputFiles()) // (4 * times))
+    stream = live.status_stream(spark, landed, multi_line=False, max_files=files)
     if enrich:
-        events = table(spark, sf_dir, "events")
         hours = events.select(F.date_trunc("hour", F.col("ts").cast("timestamp"))
                               .alias("timestamp")).distinct()
         stream = live.enrich_stream(
             stream, stage(dense_key(hours, "weather_id", ["timestamp"]), "hour_dim"))
     out, checkpoint = scratch_path(spark, "live"), scratch_path(spark, "live_checkpoint")
-    live.start(stream, live.batch_writer(out), checkpoint).awaitTermination()
+    live.start(stream, live.keyed_writer(out), checkpoint).awaitTermination()
     return out
 
 
 @query
 def stream_status(spark, sf_dir):
-    return without_zone(live.read_fact(spark, _streamed(spark, sf_dir, enrich=False)).drop("date"))
+    return without_zone(live.read_fact(spark, _streamed(spark, sf_dir)).drop("date"))
 
 
 @query
 def stream_enriched(spark, sf_dir):
-    return without_zone(live.read_fact(spark, _streamed(spark, sf_dir, enrich=True)).drop("date"))
+    out = _streamed(spark, sf_dir, enrich=True)
+    return without_zone(live.read_fact(spark, out, live.ENRICHED).drop("date"))
 
 
 @query
 def stream_latest(spark, sf_dir):
-    return without_zone(live.read_latest(spark, _streamed(spark, sf_dir, enrich=False)))
+    return without_zone(live.read_latest(spark, _streamed(spark, sf_dir)))
 
 
 @query
 def stream_keyed(spark, sf_dir):
     """All documents land twice; each status is stored once, whatever its age."""
-    landed = scratch_path(spark, "landed_twice")
-    docs = landing.station_documents(table(spark, sf_dir, "events"))
-    D.land_documents(docs, landed)
-    D.land_documents(docs, landed)
-    stream = live.status_stream(spark, landed, delay=None, multi_line=False)
-    out, checkpoint = scratch_path(spark, "live"), scratch_path(spark, "live_checkpoint")
-    live.start(stream, live.keyed_writer(out), checkpoint).awaitTermination()
-    return without_zone(live.read_fact(spark, out).drop("date"))
+    return without_zone(live.read_fact(spark, _streamed(spark, sf_dir, times=2)).drop("date"))

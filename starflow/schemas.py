@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 TEXT, LONG, INT = T.StringType(), T.LongType(), T.IntegerType()
 DOUBLE, BOOL, TIME = T.DoubleType(), T.BooleanType(), T.TimestampType()
-DEGREES, MEASURE = T.DecimalType(9, 6), T.DecimalType(9, 3)
+NUMERIC = T.DecimalType(38, 12)  # wide, for columns declared without a precision
 
 
 def fields(required: Sequence[str] = (), /, **types: T.DataType) -> T.StructType:
@@ -32,7 +32,7 @@ CORRUPT = "_corrupt_record"
 STATION = fields(
     id=TEXT, name=TEXT, latitude=DOUBLE, longitude=DOUBLE, timestamp=TEXT,
     free_bikes=LONG, empty_slots=LONG,
-    extra=fields(has_ebikes=BOOL, slots=LONG, uid=TEXT, payment_terminal=BOOL,
+    extra=fields(has_ebikes=BOOL, slots=LONG, ebikes=LONG, uid=TEXT, payment_terminal=BOOL,
                  virtual_station=BOOL, last_updated_epoch=LONG))
 
 STATION_DOCUMENT = fields(network=fields(
@@ -51,7 +51,7 @@ HOURLY_DOCUMENT = fields(
         precipitation=T.ArrayType(DOUBLE), wind_speed_10m=T.ArrayType(DOUBLE),
         cloudcover=T.ArrayType(LONG), relativehumidity_2m=T.ArrayType(LONG)))
 
-# Processed tables.
+# Columns and types of the processed tables.
 DIM_STATION = fields(
     station_id=TEXT, station_name=TEXT, latitude=DOUBLE, longitude=DOUBLE,
     address=TEXT, has_ebikes=BOOL, slots=LONG)
@@ -62,19 +62,26 @@ FACT_BIKE_WEATHER = fields(
     station_id=TEXT, timestamp=TIME, free_bikes=LONG, slots=LONG, has_ebikes=BOOL,
     weather_id=LONG)
 
-# Warehouse A (row store).  Its NUMERIC columns carry no precision, chosen here.
+# What the loaded fact holds besides, where the documents have it.
+FACT_EXTRAS = fields(empty_slots=LONG, ebikes=LONG)
+LOADED_FACT = T.StructType([*FACT_BIKE_WEATHER.fields, *FACT_EXTRAS.fields])
+
+# One line for everything a job could not use: the text of a damaged document, or a row.
+REJECTED = fields(source=TEXT, reason=TEXT, content=TEXT, file=TEXT, modified=TIME)
+
+# Columns and types of warehouse A (row store).
 WAREHOUSE_STATION = fields(
-    ["station_id"], station_id=TEXT, station_name=TEXT, latitude=DEGREES,
-    longitude=DEGREES, address=TEXT, has_ebikes=BOOL, slots=INT)
+    ["station_id"], station_id=TEXT, station_name=TEXT, latitude=NUMERIC,
+    longitude=NUMERIC, address=TEXT, has_ebikes=BOOL, slots=INT)
 WAREHOUSE_WEATHER = fields(
-    ["weather_id", "timestamp"], weather_id=LONG, timestamp=TIME, temperature=MEASURE,
-    precipitation=MEASURE, wind_speed=MEASURE, cloud_cover=MEASURE, humidity=MEASURE)
+    ["weather_id", "timestamp"], weather_id=LONG, timestamp=TIME, temperature=NUMERIC,
+    precipitation=NUMERIC, wind_speed=NUMERIC, cloud_cover=NUMERIC, humidity=NUMERIC)
 WAREHOUSE_FACT = fields(
     ["fact_id", "timestamp"], fact_id=LONG, station_id=TEXT, weather_id=LONG,
     timestamp=TIME, free_bikes=INT, empty_slots=INT, total_slots=INT, ebikes=INT)
 FACT_RENAMES = {"slots": "total_slots"}
 
-# Warehouse B (column store).
+# Columns and types of warehouse B (column store).
 NETWORK = fields(
     ["id"], id=TEXT, name=TEXT, city=TEXT, country=TEXT, latitude=DOUBLE,
     longitude=DOUBLE, href=TEXT, gbfs_href=TEXT)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar, copy_context
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -23,7 +24,8 @@ DEFAULTS = {
     "spark.ui.enabled": "false",
 }
 
-_LOCAL_BASE: list[str] = []
+# Paths staged within the innermost ``scratch`` block.
+_STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
 def create(app: str = "starflow", master: str | None = None, **conf: str) -> SparkSession:
@@ -51,16 +53,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without that setting, since only there do all
-    tasks see the driver's own file system.
+    Without that setting it is the session's warehouse folder, which all executors
+    reach too.
     """
-    base = spark.conf.get("spark.checkpoint.dir", "")
+    base = (spark.conf.get("spark.checkpoint.dir", "")
+            or spark.conf.get("spark.sql.warehouse.dir", ""))
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        if not _LOCAL_BASE:
-            _LOCAL_BASE.append(tempfile.mkdtemp(prefix="starflow-"))
-        base = _LOCAL_BASE[0]
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return f"{base.rstrip('/')}/starflow/{name}-{uuid.uuid4().hex}"
 
 
@@ -73,12 +72,31 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    staged = _STAGED.get()
+    if staged is not None:
+        staged.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove what is staged inside the block at its end, when its outputs are committed."""
+    paths: list[str] = []
+    token = _STAGED.set(paths)
+    try:
+        yield
+    finally:
+        _STAGED.reset(token)
+        conf = spark._jsparkSession.sessionState().newHadoopConf()
+        for path in paths:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+
+
 def together(spark: SparkSession, *jobs: Callable[[], object]) -> list:
     """Submit independent jobs at once, so that one fills the other's idle cores."""
     with ThreadPoolExecutor(len(jobs)) as pool:
-        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        running = [pool.submit(copy_context().run, inheritable_thread_target(spark)(job))
+                   for job in jobs]
         return [job.result() for job in running]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,7 +51,7 @@ def stream_documents(spark: SparkSession, path: str, schema: T.StructType,
               .options(**_reader_options(multi_line)))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path)
+    return with_origin(reader.json(path))
 
 
 def readable(docs: DataFrame) -> DataFrame:
@@ -61,6 +63,23 @@ def readable(docs: DataFrame) -> DataFrame:
     return docs.drop(CORRUPT)
 
 
+def objects_and_damage(docs: DataFrame, array: str, keep: Sequence[Column | str] = ()) -> DataFrame:
+    """One row per object of an array, and one with the text of each document that did not parse in full.
+
+    The latter has only ``keep`` and ``_corrupt_record``, the former no ``_corrupt_record``.
+    One pass over the documents gives both.
+    """
+    kind = docs.select(F.col(array).alias("a")).schema["a"].dataType
+    damage = F.when(F.col(CORRUPT).isNotNull(), F.array(F.struct(
+        F.lit(None).cast(kind.elementType).alias("_object"), F.col(CORRUPT).alias(CORRUPT))))
+    objects = F.transform(F.col(array), lambda item: F.struct(
+        item.alias("_object"), F.lit(None).cast("string").alias(CORRUPT)))
+    both = F.flatten(F.array_compact(F.array(objects, damage)))
+    rows = docs.select(*keep, F.explode(both).alias("_piece"))
+    kept = [c for c in rows.columns if c != "_piece"]
+    return rows.select(*kept, "_piece._object.*", f"_piece.{CORRUPT}")
+
+
 def damaged(docs: DataFrame) -> DataFrame:
     """Documents that did not parse in full, as text with their origin."""
     content = [c for c in docs.columns if c not in (CORRUPT, FILE, MODIFIED)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +37,7 @@ def upsert_statement(table: str, staging: str, columns: Sequence[str],
     names = ", ".join(columns)
     changes = ", ".join(f"{c} = EXCLUDED.{c}" for c in columns if c not in key)
     action = f"DO UPDATE SET {changes}" if changes else "DO NOTHING"
-    return (f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging} "
+    return (f"INSERT INTO {table} ({names}) SELECT DISTINCT {names} FROM {staging} "
             f"ON CONFLICT ({', '.join(key)}) {action}")
 
 
@@ -45,37 +46,51 @@ def append_new_statement(table: str, staging: str, columns: Sequence[str],
     """Statement that adds the staged rows whose key the table lacks."""
     names = ", ".join(columns)
     same = " AND ".join(f"t.{c} = s.{c}" for c in key)
-    return (f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging} s "
+    return (f"INSERT INTO {table} ({names}) SELECT DISTINCT {names} FROM {staging} s "
             f"WHERE NOT EXISTS (SELECT 1 FROM {table} t WHERE {same})")
 
 
+def truncate_statement(tables: Sequence[str]) -> str:
+    """Empty tables that refer to each other, which a database refuses one by one."""
+    return f"TRUNCATE {', '.join(tables)}"
+
+
+def _merge(df: DataFrame, url: str, table: str, properties: Mapping[str, str], statement,
+           **writer) -> None:
+    """Load a staging table of this run's own, merge it with one statement, and drop it."""
+    staging = f"{table}_staging_{uuid.uuid4().hex[:12]}"
+    try:
+        append_jdbc(df, url, staging, properties, **writer)
+        execute(df.sparkSession, url, properties, statement(staging))
+    finally:
+        execute(df.sparkSession, url, properties, f"DROP TABLE IF EXISTS {staging}")
+
+
 def upsert_jdbc(df: DataFrame, url: str, table: str, key: Sequence[str],
-                properties: Mapping[str, str], staging: str | None = None, **writer) -> None:
+                properties: Mapping[str, str], **writer) -> None:
     """Load a staging table from the executors, then merge it with one statement.
 
     The rows never pass the driver, and the merge is one transaction, so a
-    retried load gives the same table.  ``df`` must be unique on ``key``.
+    retried load gives the same table.  ``df`` must be unique on ``key``; copies that a rerun
+    task left in the staging table are merged once.
     """
-    staging = staging or f"{table}_staging"
-    replace_jdbc(df, url, staging, properties, **writer)
-    execute(df.sparkSession, url, properties,
-            upsert_statement(table, staging, df.columns, key))
+    _merge(df, url, table, properties,
+           lambda staging: upsert_statement(table, staging, df.columns, key), **writer)
 
 
 def append_new_jdbc(df: DataFrame, url: str, table: str, key: Sequence[str],
-                    properties: Mapping[str, str], staging: str | None = None,
-                    **writer) -> None:
+                    properties: Mapping[str, str], **writer) -> None:
     """As ``upsert_jdbc``, but rows whose key is already there are left alone."""
-    staging = staging or f"{table}_staging"
-    replace_jdbc(df, url, staging, properties, **writer)
-    execute(df.sparkSession, url, properties,
-            append_new_statement(table, staging, df.columns, key))
+    _merge(df, url, table, properties,
+           lambda staging: append_new_statement(table, staging, df.columns, key), **writer)
 
 
 def execute(spark: SparkSession, url: str, properties: Mapping[str, str],
             statement: str) -> None:
-    """Run one statement on the target (its JDBC driver is loaded by the write before)."""
+    """Run one statement on the target."""
     jvm = spark._jvm
+    if "driver" in properties:
+        jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(properties["driver"])
     settings = jvm.java.util.Properties()
     for name, value in properties.items():
         settings.setProperty(name, value)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,10 +41,14 @@ def write_by_date(df: DataFrame, path: str, date_col: str, sort_by: Sequence[str
      .write.mode(mode).partitionBy(date_col).parquet(path))
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Replace just the partitions that occur in ``df``; others stay as they are."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*partition_by).parquet(path))
+def replace_partitions(df: DataFrame, path: str, date_col: str, sort_by: Sequence[str]) -> None:
+    """Replace just the dates that occur in ``df``; others stay as they are.
+
+    ``df`` must not read from ``path`` itself: a failed commit would lose what it read.
+    Pass what ``session.stage`` returns.
+    """
+    (laid_out(df, date_col, sort_by).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path))
 
 
 def _children(spark: SparkSession, path: str) -> list:
@@ -52,13 +57,19 @@ def _children(spark: SparkSession, path: str) -> list:
     return list(fs.listStatus(folder)) if fs.exists(folder) else []
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever it is stored."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def has_data(spark: SparkSession, path: str) -> bool:
     names = [s.getPath().getName() for s in _children(spark, path)]
     return any(not n.startswith(("_", ".")) for n in names)
 
 
-def latest_version(spark: SparkSession, path: str) -> int | None:
-    """Highest complete ``version=N`` below ``path``; a half-written one is ignored."""
+def finished_versions(spark: SparkSession, path: str) -> list[int]:
+    """Each complete ``version=N`` below ``path``; a half-written one is ignored."""
     done = []
     for status in _children(spark, path):
         name = status.getPath().getName()
@@ -66,7 +77,31 @@ def latest_version(spark: SparkSession, path: str) -> int | None:
             inside = [s.getPath().getName() for s in _children(spark, f"{path}/{name}")]
             if "_SUCCESS" in inside:
                 done.append(int(name.removeprefix("version=")))
-    return max(done, default=None)
+    return sorted(done)
+
+
+def latest_version(spark: SparkSession, path: str) -> int | None:
+    return max(finished_versions(spark, path), default=None)
+
+
+def finish_version(spark: SparkSession, path: str, version: int) -> None:
+    """Mark a version of several tables as complete."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{version_path(path, version)}/_SUCCESS")
+    fs = mark.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    fs.create(mark, True).close()
+
+
+def stored_dates(spark: SparkSession, path: str, name: str = "date") -> list[date]:
+    """Dates that a table partitioned by date has, from its folders' names."""
+    values = [s.getPath().getName().removeprefix(f"{name}=") for s in _children(spark, path)
+              if s.getPath().getName().startswith(f"{name}=")]
+    return sorted(date.fromisoformat(v) for v in values if v[:1].isdigit())
+
+
+def drop_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Remove all but the newest ``keep`` versions; a reader may still be in the one before."""
+    for version in finished_versions(spark, path)[:-keep]:
+        remove(spark, version_path(path, version))
 
 
 def version_path(path: str, version: int) -> str:
@@ -84,7 +119,13 @@ def read_version(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def write_version(df: DataFrame, path: str, version: int) -> DataFrame:
-    """Write a whole new version beside the old ones and return the stored table."""
+    """Write a whole new version beside the old ones and return the stored table.
+
+    Fails if another writer has stored that version.  What is left of one that never
+    finished is replaced.
+    """
+    if version in finished_versions(df.sparkSession, path):
+        raise FileExistsError(f"{version_path(path, version)} is stored already")
     df.write.mode("overwrite").parquet(version_path(path, version))
     return df.sparkSession.read.schema(df.schema).parquet(version_path(path, version))
 

@@ -1,11 +1,8 @@
 """Station status as a stream over the landing directory.
 
-Two ways to take each (station, timestamp) once:
-
-* ``delay`` given: the keys seen within that time are kept as state.  Cheap, but
-  a row later than that is dropped, so choose it from the poll interval.
-* ``delay=None`` with ``keyed_writer``: each batch is compared with the stored
-  fact's partitions for its days.  Nothing is dropped, however late.
+Each batch is compared with the stored fact's partitions for its days, so each (station,
+timestamp) is taken once, however late it comes and however the files are dealt to
+batches.  Nothing is dropped: what has no key or does not parse goes to ``rejected``.
 """
 
 from __future__ import annotations
@@ -13,31 +10,41 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from starflow import schemas as S
 from starflow.operators.dedupe import latest_per_key
 from starflow.operators.joins import aligned_join
 from starflow.operators.merge import append_new
-from starflow.operators.quality import quarantined_rows, valid_rows
-from starflow.plans.model import FACT_KEY, station_rows, status_rows
-from starflow.session import prepare
-from starflow.sources.documents import readable, stream_documents
-from starflow.sources.tables import latest_version, version_path, with_date
+from starflow.operators.quality import valid_rows
+from starflow.operators.reshape import union_all
+from starflow.plans.model import (
+    FACT_KEY,
+    ORIGIN,
+    fill_weather,
+    rejected_documents,
+    rejected_rows,
+    station_rows_and_damage,
+    status_rows,
+)
+from starflow.session import prepare, scratch, stage
+from starflow.sources import tables as W
+from starflow.sources.documents import stream_documents
 
 BatchWriter = Callable[[DataFrame, int], None]
 
+STATUS = T.StructType([f for f in S.FACT_BIKE_WEATHER.fields if f.name != "weather_id"])
+ENRICHED = T.StructType([*STATUS.fields, S.FACT_BIKE_WEATHER["weather_id"]])
+
 
-def status_stream(spark: SparkSession, landing: str, delay: str | None = "1 hour",
-                  multi_line: bool = True, max_files: int | None = None) -> DataFrame:
-    """Status rows of the documents that land."""
+def status_stream(spark: SparkSession, landing: str, multi_line: bool = True,
+                  max_files: int | None = None) -> DataFrame:
+    """Status rows of the documents that land, with their origin, and damaged documents."""
     prepare(spark)
-    docs = readable(stream_documents(spark, landing, S.STATION_DOCUMENT, multi_line, max_files))
-    status = status_rows(station_rows(docs))
-    if delay is None:
-        return status
-    return (valid_rows(status, not_null=FACT_KEY).withWatermark("timestamp", delay)
-            .dropDuplicatesWithinWatermark(FACT_KEY))
+    docs = stream_documents(spark, landing, S.STATION_DOCUMENT, multi_line, max_files)
+    return status_rows(station_rows_and_damage(docs), *ORIGIN, S.CORRUPT)
 
 
 def enrich_stream(status: DataFrame, weather: DataFrame) -> DataFrame:
@@ -46,54 +53,43 @@ def enrich_stream(status: DataFrame, weather: DataFrame) -> DataFrame:
     return aligned_join(status, keys, "timestamp")
 
 
-def batch_writer(out: str) -> BatchWriter:
-    """Writer for ``foreachBatch``: add to ``fact``, merge into ``latest``.
-
-    Every path is named by the batch number, so a replayed batch rewrites its
-    own files and changes nothing.  An older late row never replaces a newer one.
-    """
-    def write(batch: DataFrame, number: int) -> None:
-        # Straight from the state operator: a range shuffle would run it twice.
-        rows = _store(batch, f"{out}/fact/batch_id={number}", by="date")
-        _merge_latest(rows, out, number)
-
-    return write
-
-
 def keyed_writer(out: str) -> BatchWriter:
-    """As ``batch_writer``, for rows that may repeat or lack a key.
+    """Writer for ``foreachBatch``: add to ``fact``, merge into ``latest``, keep the rest in ``rejected``.
 
-    Rows already in ``fact`` are skipped, which also makes a replay harmless.
-    Rows without a station or time go to ``rejected``.
+    Rows already in ``fact`` are skipped and an older row never replaces a newer one in
+    ``latest``, so a batch that is replayed changes nothing.  Batches are named by query and
+    number, so another query on the same tables overwrites none.
     """
     def write(batch: DataFrame, number: int) -> None:
-        # Stored once, as the batch is read several times below.
-        rows = _store(batch, f"{out}/incoming/batch_id={number}")
-        _store(quarantined_rows(rows.drop("date"), not_null=FACT_KEY),
-               f"{out}/rejected/batch_id={number}")
-        rows = valid_rows(rows, not_null=FACT_KEY)
-        append_new(rows, f"{out}/fact", FACT_KEY)
-        _merge_latest(rows, out, number)
+        spark = batch.sparkSession
+        with scratch(spark):
+            # Stored once, as the batch is read several times below.
+            rows = stage(batch, "batch")
+            whole = rows.where(F.col(S.CORRUPT).isNull()).drop(S.CORRUPT)
+            left = union_all([
+                rejected_documents("stations", rows.where(F.col(S.CORRUPT).isNotNull())),
+                rejected_rows("stations", whole, FACT_KEY)])
+            query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+            W.replace_table(left, f"{out}/rejected/query={query}/batch_id={number}")
+            good = valid_rows(whole, not_null=FACT_KEY)
+            append_new(W.with_date(good), f"{out}/fact", FACT_KEY, newest_by=ORIGIN)
+            _merge_latest(good, out)
 
     return write
 
 
-def _store(batch: DataFrame, path: str, by: str | None = None) -> DataFrame:
-    dated = with_date(batch)
-    writer = dated.write.mode("overwrite")
-    (writer.partitionBy(by) if by else writer).parquet(path)
-    return batch.sparkSession.read.schema(dated.schema).parquet(path)
-
-
-def _merge_latest(rows: DataFrame, out: str, number: int) -> None:
-    rows = rows.drop("date")
+def _merge_latest(rows: DataFrame, out: str) -> None:
+    """A new version from the last stored one and the newest row of each station in the batch."""
+    spark = rows.sparkSession
     path = f"{out}/latest"
-    if number > 0:
-        before = (rows.sparkSession.read.schema(rows.schema)
-                  .parquet(version_path(path, number - 1)))
-        rows = latest_per_key(rows, ["station_id"], ["timestamp"]).unionByName(before)
-    newest = latest_per_key(rows, ["station_id"], ["timestamp"])
-    newest.write.mode("overwrite").parquet(version_path(path, number))
+    version = W.latest_version(spark, path)
+    stored = rows.drop(*ORIGIN)
+    newest = latest_per_key(rows, ["station_id"], ["timestamp", *ORIGIN]).drop(*ORIGIN)
+    if version is not None:
+        before = W.read_version(spark, path, stored.schema, version)
+        newest = latest_per_key(newest.unionByName(before), ["station_id"], ["timestamp"])
+    W.write_version(newest, path, (version or 0) + 1)
+    W.drop_versions(spark, path)
 
 
 def start(stream: DataFrame, writer: BatchWriter, checkpoint: str,
@@ -103,11 +99,28 @@ def start(stream: DataFrame, writer: BatchWriter, checkpoint: str,
     return (sink.trigger(availableNow=True) if once else sink).start()
 
 
-def read_fact(spark: SparkSession, out: str) -> DataFrame:
-    """All status rows; ``date`` is a partition column."""
-    return spark.read.parquet(f"{out}/fact").drop("batch_id")
+def _dated(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField("date", T.DateType())])
+
+
+def read_fact(spark: SparkSession, out: str, schema: T.StructType = STATUS) -> DataFrame:
+    """All status rows, of ``schema`` (``ENRICHED`` after an enriched stream); ``date`` is a partition."""
+    return spark.read.schema(_dated(schema)).parquet(f"{out}/fact")
 
 
-def read_latest(spark: SparkSession, out: str) -> DataFrame:
+def read_latest(spark: SparkSession, out: str, schema: T.StructType = STATUS) -> DataFrame:
     """Newest row per station as of the last finished batch."""
-    return spark.read.parquet(version_path(f"{out}/latest", latest_version(spark, f"{out}/latest")))
+    return W.read_version(spark, f"{out}/latest", schema)
+
+
+def read_rejected(spark: SparkSession, out: str) -> DataFrame:
+    """What could not be used, by query and batch."""
+    named = T.StructType([*S.REJECTED.fields, T.StructField("query", T.StringType()),
+                          T.StructField("batch_id", T.LongType())])
+    return spark.read.schema(named).parquet(f"{out}/rejected")
+
+
+def refill_weather(spark: SparkSession, out: str, weather: DataFrame, days: list) -> None:
+    """Give rows of ``days`` that were stored before their weather the key it has now."""
+    with scratch(spark):
+        fill_weather(spark, f"{out}/fact", weather, days, schema=ENRICHED)

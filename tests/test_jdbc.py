@@ -1,5 +1,7 @@
 """JDBC settings and statements.  No database is started, so none is reached."""
 
+import datetime
+
 import pytest
 
 from starflow import schemas as S
@@ -49,16 +51,33 @@ def test_replace_keeps_the_table():
     assert mode == "overwrite" and options["truncate"] is True
 
 
-def test_upsert_stages_then_merges(monkeypatch):
+def test_upsert_stages_merges_and_drops(monkeypatch):
     ran = []
     monkeypatch.setattr(jdbc, "execute", lambda spark, url, login, sql: ran.append(sql))
     df = Frame()
-    jdbc.upsert_jdbc(df, URL, "dim_station", ["station_id"], LOGIN)
-    assert [(t, m) for t, m, _, _ in df.log] == [("dim_station_staging", "overwrite")]
-    assert ran == ["INSERT INTO dim_station (station_id, name, slots) "
-                   "SELECT station_id, name, slots FROM dim_station_staging "
-                   "ON CONFLICT (station_id) DO UPDATE SET "
-                   "name = EXCLUDED.name, slots = EXCLUDED.slots"]
+    for _ in range(2):
+        jdbc.upsert_jdbc(df, URL, "dim_station", ["station_id"], LOGIN)
+    (first, mode, _, _), (second, _, _, _) = df.log
+    assert mode == "append" and first != second and first.startswith("dim_station_staging_")
+    assert ran[:2] == ["INSERT INTO dim_station (station_id, name, slots) "
+                       f"SELECT DISTINCT station_id, name, slots FROM {first} "
+                       "ON CONFLICT (station_id) DO UPDATE SET "
+                       "name = EXCLUDED.name, slots = EXCLUDED.slots",
+                       f"DROP TABLE IF EXISTS {first}"]
+
+
+def test_staging_is_dropped_after_a_failure(monkeypatch):
+    ran = []
+
+    def execute(spark, url, login, sql):
+        ran.append(sql)
+        if sql.startswith("INSERT"):
+            raise RuntimeError("no")
+
+    monkeypatch.setattr(jdbc, "execute", execute)
+    with pytest.raises(RuntimeError):
+        jdbc.append_new_jdbc(Frame(), URL, "fact", ["station_id"], LOGIN)
+    assert ran[-1].startswith("DROP TABLE IF EXISTS fact_staging_")
 
 
 def test_key_only_table():
@@ -68,22 +87,44 @@ def test_key_only_table():
 
 def test_append_new_statement():
     assert jdbc.append_new_statement("fact", "st", ["a", "ts", "n"], ["a", "ts"]) == (
-        "INSERT INTO fact (a, ts, n) SELECT a, ts, n FROM st s "
+        "INSERT INTO fact (a, ts, n) SELECT DISTINCT a, ts, n FROM st s "
         "WHERE NOT EXISTS (SELECT 1 FROM fact t WHERE t.a = s.a AND t.ts = s.ts)")
 
 
-@pytest.mark.parametrize("replace", [False, True])
-def test_warehouse_load(spark, tmp_path, monkeypatch, replace):
-    tables = {"dim_station": S.DIM_STATION, "dim_weather": S.DIM_WEATHER,
-              "fact_bike_weather": S.FACT_BIKE_WEATHER}
-    for name, schema in tables.items():
-        path = f"{tmp_path}/{name}" + ("/version=1" if name.startswith("dim") else "")
-        spark.createDataFrame([], schema).write.parquet(path)
+@pytest.fixture
+def warehouse(spark, tmp_path):
+    spark.createDataFrame([], S.DIM_STATION).write.parquet(f"{tmp_path}/dim_station/version=1")
+    weather = spark.createDataFrame([(1, None, 1e30, None, None, None, None)], S.DIM_WEATHER)
+    weather.write.parquet(f"{tmp_path}/dim_weather/version=1")
+    fact = spark.createDataFrame([("a", None, n, 2, True, 1, 3, n) for n in (1, 2)], S.LOADED_FACT)
+    dated = fact.selectExpr("*", "date_add(date'2025-10-01', cast(ebikes as int)) as date")
+    dated.write.partitionBy("date").parquet(f"{tmp_path}/fact_bike_weather")
+    return tmp_path
+
+
+def loaded(spark, warehouse, monkeypatch, **settings):
     done = []
-    for name in ("replace_jdbc", "upsert_jdbc", "append_new_jdbc"):
-        monkeypatch.setattr(jdbc, name, lambda df, url, table, *rest, n=name:
-                            done.append((n, table, df.columns)))
-    model.load_jdbc(spark, str(tmp_path), URL, LOGIN, replace=replace)
-    how = ["replace_jdbc"] * 3 if replace else ["upsert_jdbc", "upsert_jdbc", "append_new_jdbc"]
-    assert [(n, t) for n, t, _ in done] == list(zip(how, tables, strict=True))
-    assert done[2][2] == [c for c in S.WAREHOUSE_FACT.names if c != "fact_id"]
+    for name in ("append_jdbc", "upsert_jdbc", "append_new_jdbc"):
+        monkeypatch.setattr(jdbc, name, lambda df, url, table, *rest, n=name: done.append((n, table, df)))
+    monkeypatch.setattr(jdbc, "execute", lambda spark, url, login, sql: done.append(("execute", sql, None)))
+    model.load_jdbc(spark, str(warehouse), URL, LOGIN, **settings)
+    return done
+
+
+def test_warehouse_load(spark, warehouse, monkeypatch):
+    done = loaded(spark, warehouse, monkeypatch, days=[datetime.date(2025, 10, 2)])
+    assert [d[:2] for d in done] == [("upsert_jdbc", "dim_station"), ("upsert_jdbc", "dim_weather"),
+                                     ("append_new_jdbc", "fact_bike_weather")]
+    fact = done[2][2]
+    assert fact.columns == [c for c in S.WAREHOUSE_FACT.names if c != "fact_id"]
+    assert [(r.empty_slots, r.ebikes) for r in fact.collect()] == [(3, 1)]
+    lost = spark.read.parquet(f"{warehouse}/misfits").collect()
+    assert [(r.source, r.reason) for r in lost] == [("dim_weather", "temperature: 1.0E30")]
+
+
+def test_warehouse_replacement(spark, warehouse, monkeypatch):
+    done = loaded(spark, warehouse, monkeypatch, replace=True)
+    assert [d[:2] for d in done] == [
+        ("execute", "TRUNCATE fact_bike_weather, dim_station, dim_weather"), ("append_jdbc", "dim_station"),
+        ("append_jdbc", "dim_weather"), ("append_jdbc", "fact_bike_weather")]
+    assert done[3][2].count() == 2

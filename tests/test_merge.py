@@ -1,5 +1,6 @@
 """Upserts, idempotent appends, replaced partitions and versions."""
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -64,12 +65,32 @@ def test_append_twice_adds_nothing(spark, tmp_path):
 def test_replaced_partition_leaves_others(spark, tmp_path):
     path = str(tmp_path / "t")
     W.write_by_date(events(spark, [1, 2]), path, "date", ["station_id"])
-    W.replace_partitions(events(spark, [2]).where("n = 0"), path, ["date"])
+    W.replace_partitions(events(spark, [2]).where("n = 0"), path, "date", ["station_id"])
     counts = {str(r.date): r["count"] for r in spark.read.parquet(path)
               .groupBy("date").count().collect()}
     assert counts == {"2025-10-01": 4, "2025-10-02": 1}
 
 
+def test_replaced_partitions_are_one_file_each(spark, tmp_path, many_parts):
+    path = str(tmp_path / "t")
+    rows = spark.range(0, 3000, 1, 32).select(
+        F.date_add(F.lit("2025-10-01").cast("date"), (F.col("id") % 5).cast("int")).alias("date"),
+        F.col("id").alias("station_id"))
+    W.replace_partitions(rows, path, "date", ["station_id"])
+    files = [len(list(day.glob("*.parquet"))) for day in (tmp_path / "t").glob("date=*")]
+    assert len(files) == 5 and sum(files) <= 13
+
+
+def test_append_takes_the_correction(spark, tmp_path):
+    path, key = str(tmp_path / "fact"), ["station_id", "timestamp"]
+    first = events(spark, [1]).withColumn("file", F.lit("1"))
+    later = events(spark, [1]).withColumns({"file": F.lit("2"), "n": F.col("n") + 50})
+    append_new(first.unionByName(later).repartition(5), path, key, newest_by=["file"])
+    stored = spark.read.parquet(path)
+    assert sorted(r.n for r in stored.collect()) == [50, 51, 52, 53]
+    assert "file" not in stored.columns
+
+
 def test_layout_splits_a_hot_day(spark, tmp_path, many_parts):
     rows = spark.range(50_000).select(
         F.lit("2025-10-01").cast("date").alias("date"), F.col("id").alias("station_id"))
@@ -97,8 +118,13 @@ def test_versions(spark, tmp_path):
     assert W.read_version(spark, path, schema).count() == 0
     W.write_version(spark.range(2), path, 1)
     W.write_version(spark.range(5), path, 2)
+    with pytest.raises(FileExistsError):
+        W.write_version(spark.range(6), path, 2)
     half = tmp_path / "dim" / "version=3"
     half.mkdir()
     assert W.latest_version(spark, path) == 2
     assert W.read_version(spark, path, schema).count() == 5
     assert W.read_version(spark, path, schema, 1).count() == 2
+    W.write_version(spark.range(7), path, 3)
+    W.drop_versions(spark, path)
+    assert W.finished_versions(spark, path) == [2, 3]

@@ -68,7 +68,7 @@ def facts(spark, raw):
     ("exact", [None, 2, None, None]), ("hour", [1, 2, 3, None]), ("asof", [1, 2, 3, 3])])
 def test_processed_tables(spark, raw, align, expected):
     out = str(raw / "processed")
-    model.build_tables(spark, str(raw / "stations"), str(raw / "hours"), out, align)
+    out = model.build_tables(spark, str(raw / "stations"), str(raw / "hours"), out, align)
     dim = W.read_table(spark, f"{out}/dim_station", S.DIM_STATION).orderBy("station_id").collect()
     assert [(r.station_id, r.has_ebikes, r.slots) for r in dim] == \
         [("a", False, 10), ("b", None, None), ("c", None, None)]
@@ -114,8 +114,8 @@ def test_rerun_changes_nothing(spark, raw):
     assert fact.count() == 4 and facts(spark, raw) == before
     assert sorted(map(tuple, stored(spark, raw, "dim_station").collect()), key=str) == stations
     rejected = spark.read.parquet(str(raw / "warehouse" / "rejected")).collect()
-    assert sorted((r.version, r.station_id, r.violations) for r in rejected) == \
-        [(run, "c", ["timestamp is null"]) for run in (1, 2)]
+    assert sorted((r.version, r.source, r.reason, json.loads(r.content)["station_id"]) for r in rejected) == \
+        [(run, "stations", "timestamp is null", "c") for run in (1, 2)]
 
 
 def test_only_new_files_are_read(spark, raw):
@@ -179,10 +179,99 @@ def test_copies_are_kept_and_split(spark, raw, many_parts):
     hour = json.loads((raw / "hours" / "h1.json").read_text())
     (hours / "h.json").write_text(json.dumps(hour))
     out = raw / "processed"
-    model.build_tables(spark, str(lines), str(hours), str(out), multi_line=False)
-    fact = W.read_table(spark, f"{out}/fact_bike_weather")
+    path = model.build_tables(spark, str(lines), str(hours), str(out), multi_line=False)
+    fact = W.read_table(spark, f"{path}/fact_bike_weather")
     assert fact.count() == 2000 and fact.distinct().count() == 1
-    assert len(list(out.glob("fact_bike_weather/date=*/*.parquet"))) > 1
+    assert len(list(out.glob("version=1/fact_bike_weather/date=*/*.parquet"))) > 1
+
+
+def rejected(spark, path):
+    rows = spark.read.schema(S.REJECTED).parquet(str(path)).collect()
+    return sorted((r.source, r.reason, r.file.rsplit("/", 1)[1]) for r in rows)
+
+
+def damage(raw):
+    good = (raw / "stations" / "s2.json").read_text()
+    (raw / "stations" / "cut.json").write_text(good[:150])
+    (raw / "stations" / "typed.json").write_text(json.dumps({"network": {"id": "n", "stations": [
+        {"id": "z", "timestamp": "2025-10-21T05:30:00.000000+00:00Z", "free_bikes": "many"}]}}))
+    (raw / "hours" / "cut.json").write_text((raw / "hours" / "h1.json").read_text()[:100])
+    (raw / "hours" / "odd.json").write_text(json.dumps({"hourly": {
+        "time": ["soon"], "temperature_2m": [1.0], "precipitation": [0.0], "wind_speed_10m": [0.0],
+        "cloudcover": [0], "relativehumidity_2m": [0]}}))
+
+
+LEFT = [("hours", "document does not parse in full", "cut.json"), ("hours", "timestamp is null", "odd.json"),
+        ("stations", "document does not parse in full", "cut.json"),
+        ("stations", "document does not parse in full", "typed.json"), ("stations", "timestamp is null", "s1.json")]
+
+
+def test_nothing_is_lost_without_a_line(spark, raw):
+    damage(raw)
+    load(spark, raw)
+    assert rejected(spark, raw / "warehouse" / "rejected" / "version=1") == LEFT
+    assert ("z", "05:30") in facts(spark, raw)
+    out = model.build_tables(spark, str(raw / "stations"), str(raw / "hours"), str(raw / "processed"))
+    assert rejected(spark, f"{out}/rejected") == LEFT
+
+
+def test_strict_fails_on_damage(spark, tmp_path):
+    full = station("a", "2025-10-21T05:10:00.000000+00:00Z", 1, has_ebikes=True, slots=9)
+    capture_stations(tmp_path / "stations", "s1.json", full)
+    capture_hours(tmp_path / "hours", "h1.json", "2025-10-21", range(5, 8), 10.0)
+    paths = [str(tmp_path / p) for p in ("stations", "hours", "processed")]
+    assert model.build_tables(spark, *paths, strict=True) == model.processed_path(spark, paths[2])
+    text = (tmp_path / "stations" / "s1.json").read_text()
+    (tmp_path / "stations" / "s2.json").write_text(text[:120])
+    with pytest.raises(ValueError, match="s2.json"):
+        model.build_tables(spark, *paths, strict=True)
+    with pytest.raises(ValueError, match="s2.json"):
+        model.load_tables(spark, *paths, strict=True)
+    assert W.finished_versions(spark, paths[2]) == [1]
+
+
+@pytest.mark.parametrize("align", ["hour", "asof"])
+def test_late_weather_reaches_stored_facts(spark, raw, align):
+    first = (raw / "hours" / "h1.json").read_text()
+    capture_hours(raw / "hours", "h1.json", "2025-10-21", range(5, 6), 10.0)
+    load(spark, raw, align)
+    assert facts(spark, raw)[("a", "07:30")] == (1 if align == "asof" else None)
+    (raw / "hours" / "h2.json").write_text(first)
+    load(spark, raw, align)
+    got = facts(spark, raw)
+    assert (got[("b", "06:00")], got[("a", "07:30")]) == (2, 3)
+    assert got[("b", "23:00")] == (3 if align == "asof" else None)
+    assert spark.read.parquet(str(raw / "warehouse" / "fact_bike_weather")).count() == 4
+
+
+def test_correction_in_a_later_file_is_stored(spark, raw):
+    capture_stations(raw / "stations", "s9.json", {
+        **station("a", "2025-10-21T05:10:00.000000+00:00Z", 77, ebikes=4), "empty_slots": 12})
+    os.utime(raw / "stations" / "s1.json", (1_700_000_000, 1_700_000_000))
+    load(spark, raw)
+    row, = spark.read.parquet(str(raw / "warehouse" / "fact_bike_weather")).where(
+        "station_id = 'a' and hour(timestamp) = 5").collect()
+    assert (row.free_bikes, row.empty_slots, row.ebikes) == (77, 12, 4)
+
+
+def test_times_are_moved_to_utc(spark, tmp_path):
+    capture_hours(tmp_path / "hours", "h.json", "2025-10-21", range(5, 6), 0.0)
+    doc = json.loads((tmp_path / "hours" / "h.json").read_text())
+    doc["utc_offset_seconds"] = -14400
+    doc["hourly"]["time"].append("2025-10-21T05:00:00Z")
+    for name in ("temperature_2m", "precipitation", "wind_speed_10m", "cloudcover", "relativehumidity_2m"):
+        doc["hourly"][name] *= 2
+    (tmp_path / "hours" / "h.json").write_text(json.dumps(doc))
+    docs = D.readable(D.read_documents(spark, str(tmp_path / "hours"), S.HOURLY_DOCUMENT))
+    assert sorted(r.timestamp.hour for r in model.weather_rows(docs).collect()) == [5, 9]
+
+
+def test_network_constraints(spark, raw):
+    docs = D.readable(D.read_documents(spark, str(raw / "stations"), S.STATION_DOCUMENT))
+    rows = model.station_rows(docs)
+    report = model.network_constraint_report(
+        model.dim_network(docs), model.dim_network_station(rows), model.fact_station_status(rows)).collect()
+    assert len(report) == 9 and all(r.violations == 0 for r in report)
 
 
 def test_network_tables(spark, raw):

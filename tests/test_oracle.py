@@ -45,7 +45,7 @@ def rows(columns, data):
 # DuckDB type of each Spark type a query returns.
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
          "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
-         "decimal(9,3)": "DECIMAL(9,3)", "decimal(9,6)": "DECIMAL(9,6)"}
+         "decimal(38,12)": "DECIMAL(38,12)"}
 
 
 def test_same_names():

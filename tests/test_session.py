@@ -1,8 +1,10 @@
 """Where intermediate tables go."""
 
+import os
+
 import pytest
 
-from starflow.session import scratch_path, stage
+from starflow.session import scratch, scratch_path, stage, together
 
 
 class Session:
@@ -22,14 +24,24 @@ def test_shared_folder_is_used():
     assert path.startswith("s3a://bucket/x/starflow/t-")
 
 
-def test_cluster_needs_the_setting():
+def test_else_the_warehouse_folder():
+    path = scratch_path(Session(spark__sql__warehouse__dir="hdfs:/wh"), "t")
+    assert path.startswith("hdfs:/wh/starflow/t-")
+
+
+def test_some_shared_folder_is_needed():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_path(Session(spark__master="spark://host:7077"), "t")
+        scratch_path(Session(), "t")
 
 
-def test_local_session_may_go_without():
-    first, second = (scratch_path(Session(spark__master="local[2]"), "t") for _ in range(2))
-    assert first != second and first.rsplit("/", 1)[0] == second.rsplit("/", 1)[0]
+def test_scratch_is_removed(spark):
+    with scratch(spark):
+        inside, = together(spark, lambda: stage(spark.range(3), "t"))
+        path = inside.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+        assert os.path.isdir(path) and inside.count() == 3
+    assert not os.path.exists(path)
+    outside = stage(spark.range(3), "t")
+    assert outside.count() == 3
 
 
 def test_stage_keeps_rows_and_types(spark):

@@ -1,6 +1,8 @@
-"""The stream gives what the batch gives, file by file and when replayed."""
+"""The stream gives what the batch gives, however the files are dealt to batches."""
 
 import json
+import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -29,15 +31,15 @@ def landing(tmp_path):
 
 def batch_status(spark, folder):
     docs = D.readable(D.read_documents(spark, str(folder), S.STATION_DOCUMENT))
-    return model.status_rows(model.station_rows(docs)).dropDuplicates(live.FACT_KEY)
+    return model.status_rows(model.station_rows(docs)).dropDuplicates(model.FACT_KEY)
 
 
-def run(spark, landing, out, max_files=2, weather=None):
-    stream = live.status_stream(spark, str(landing), delay="2 days", max_files=max_files)
+def run(spark, landing, out, max_files=2, weather=None, checkpoint="checkpoint"):
+    stream = live.status_stream(spark, str(landing), max_files=max_files)
     if weather is not None:
         stream = live.enrich_stream(stream, weather)
     tables = str(out / "tables")
-    live.start(stream, live.batch_writer(tables), str(out / "checkpoint")).awaitTermination()
+    live.start(stream, live.keyed_writer(tables), str(out / checkpoint)).awaitTermination()
     return tables
 
 
@@ -45,78 +47,97 @@ def content(df):
     return sorted(map(tuple, df.collect()), key=str)
 
 
-def test_stream_equals_batch(spark, landing, tmp_path):
-    out = run(spark, landing, tmp_path)
+def document(folder, name, *stations):
+    (folder / name).write_text(json.dumps({"network": {"stations": list(stations)}}))
+
+
+@pytest.mark.parametrize("max_files", [1, 3, None])
+def test_stream_equals_batch(spark, landing, tmp_path, max_files):
+    out = run(spark, landing, tmp_path, max_files)
     status = batch_status(spark, landing)
     assert content(live.read_fact(spark, out).drop("date")) == content(status)
     assert status.count() == 30
     newest = latest_per_key(status, ["station_id"], ["timestamp"])
     assert content(live.read_latest(spark, out)) == content(newest)
+    assert live.read_rejected(spark, out).count() == 0
+    kept = sorted(p.name for p in (tmp_path / "tables" / "latest").iterdir())
+    assert len(kept) <= 2 and not (tmp_path / "tables" / "incoming").exists()
+
+
+def test_newest_file_first_loses_nothing(spark, landing, tmp_path):
+    for place, name in enumerate(sorted(os.listdir(landing), reverse=True)):
+        os.utime(landing / name, (1_700_000_000 + 100 * place,) * 2)
+    document(landing, "old.json", {"id": "s0", "free_bikes": 1, "timestamp": "2020-01-01T04:00:00.000000+00:00Z"},
+             {"id": "s0", "free_bikes": 98, "timestamp": "soon"})
+    (landing / "cut.json").write_text('{"network": {"stations": [{"id": "s')
+    out = run(spark, landing, tmp_path, max_files=1)
+    assert live.read_fact(spark, out).count() == 31
+    left = sorted((r.reason, r.file.rsplit("/", 1)[1]) for r in live.read_rejected(spark, out).collect())
+    assert left == [("document does not parse in full", "cut.json"), ("timestamp is null", "old.json")]
+    newest = {r.station_id: r.free_bikes for r in live.read_latest(spark, out).collect()}
+    assert newest == {f"s{i}": 50 + i for i in range(5)}
 
 
 def test_new_files_continue_where_it_stopped(spark, landing, tmp_path):
     run(spark, landing, tmp_path)
-    late = {"network": {"stations": [
-        {"id": "s0", "free_bikes": 99, "timestamp": "2025-10-21T04:00:00.000000+00:00Z"},
-        {"id": "s9", "free_bikes": 98, "timestamp": "2025-10-21T04:00:00.000000+00:00Z"}]}}
-    (landing / "late.json").write_text(json.dumps(late))
+    time = "2025-10-21T04:00:00.000000+00:00Z"
+    document(landing, "late.json", {"id": "s0", "free_bikes": 99, "timestamp": time},
+             {"id": "s9", "free_bikes": 98, "timestamp": time})
     out = run(spark, landing, tmp_path)
     assert live.read_fact(spark, out).count() == 32
     newest = {r.station_id: r.free_bikes for r in live.read_latest(spark, out).collect()}
     assert newest == {"s0": 50, "s1": 51, "s2": 52, "s3": 53, "s4": 54, "s9": 98}
 
 
+def test_a_fresh_checkpoint_harms_nothing(spark, landing, tmp_path):
+    """Another query on the same tables, over other files and then over all of them."""
+    run(spark, landing, tmp_path)
+    other = tmp_path / "other"
+    other.mkdir()
+    document(other, "x.json", {"id": "n1", "free_bikes": 7, "timestamp": "2025-10-21T04:00:00.000000+00:00Z"},
+             {"id": "n2", "timestamp": "never"})
+    out = run(spark, other, tmp_path, checkpoint="second")
+    for name in os.listdir(other):
+        shutil.copy(other / name, landing / name)
+    assert live.read_fact(spark, out).count() == 31
+    assert {r.station_id for r in live.read_latest(spark, out).collect()} == {"n1", *(f"s{i}" for i in range(5))}
+    out = run(spark, landing, tmp_path, checkpoint="third")
+    assert live.read_fact(spark, out).count() == 31
+    assert live.read_rejected(spark, out).select("query").distinct().count() == 2
+
+
 def test_replayed_batch_changes_nothing(spark, landing, tmp_path):
     out = str(tmp_path / "tables")
-    write = live.batch_writer(out)
-    status = batch_status(spark, landing)
-    early = status.where(F.hour("timestamp") < 8)
-    write(early, 0)
-    write(status.where(F.hour("timestamp") >= 8), 1)
+    write = live.keyed_writer(out)
+    docs = D.read_documents(spark, str(landing), S.STATION_DOCUMENT)
+    status = model.status_rows(model.station_rows_and_damage(docs), *model.ORIGIN, S.CORRUPT)
+    write(status.where(F.hour("timestamp") < 8), 0)
+    write(status, 1)
     before = content(live.read_fact(spark, out)), content(live.read_latest(spark, out))
-    write(status.where(F.hour("timestamp") >= 8), 1)
+    write(status, 1)
     assert (content(live.read_fact(spark, out)), content(live.read_latest(spark, out))) == before
+    assert content(live.read_fact(spark, out).drop("date")) == content(batch_status(spark, landing))
 
 
-def test_enriched_stream(spark, landing, tmp_path):
-    weather = spark.createDataFrame([(h, f"2025-10-21 {h:02d}:00:00") for h in (5, 6, 7)],
-                                    "weather_id long, t string").select(
+def weather_of(spark, *hours):
+    return spark.createDataFrame([(h, f"2025-10-21 {h:02d}:00:00") for h in hours],
+                                 "weather_id long, t string").select(
         "weather_id", F.to_timestamp("t").alias("timestamp"))
-    out = run(spark, landing, tmp_path, weather=weather)
-    got = {(r.timestamp.hour, r.weather_id) for r in live.read_fact(spark, out).collect()}
-    assert got == {(5, 5), (6, 6), (7, 7), (8, None), (9, None), (10, None)}
 
 
-def run_keyed(spark, landing, out):
-    stream = live.status_stream(spark, str(landing), delay=None, max_files=2)
-    tables = str(out / "tables")
-    live.start(stream, live.keyed_writer(tables), str(out / "checkpoint")).awaitTermination()
-    return tables
+def test_enriched_stream_and_late_weather(spark, landing, tmp_path):
+    out = run(spark, landing, tmp_path, weather=weather_of(spark, 5, 6, 7))
 
+    def hours():
+        return {(r.timestamp.hour, r.weather_id) for r in live.read_fact(spark, out, live.ENRICHED).collect()}
 
-def test_keyed_stream_keeps_late_rows(spark, landing, tmp_path):
-    run_keyed(spark, landing, tmp_path)
-    late = {"network": {"stations": [
-        {"id": "s0", "free_bikes": 99, "timestamp": "2020-01-01T04:00:00.000000+00:00Z"},
-        {"id": "s0", "free_bikes": 98, "timestamp": "soon"}]}}
-    (landing / "late.json").write_text(json.dumps(late))
-    out = run_keyed(spark, landing, tmp_path)
-    stored = live.read_fact(spark, out)
-    assert stored.count() == 31 and stored.where("free_bikes = 99").count() == 1
-    newest = {r.station_id: r.free_bikes for r in live.read_latest(spark, out).collect()}
-    assert newest["s0"] == 50
-    rejected = spark.read.parquet(f"{out}/rejected").collect()
-    assert [(r.station_id, r.free_bikes, r.violations) for r in rejected] == \
-        [("s0", 98, ["timestamp is null"])]
+    assert hours() == {(5, 5), (6, 6), (7, 7), (8, None), (9, None), (10, None)}
+    day, = live.read_fact(spark, out).select("date").distinct().collect()
+    live.refill_weather(spark, out, weather_of(spark, 5, 6, 7, 8, 9), [day[0]])
+    assert hours() == {(5, 5), (6, 6), (7, 7), (8, 8), (9, 9), (10, None)}
+    assert live.read_fact(spark, out).count() == 30
 
 
-def test_keyed_replay_changes_nothing(spark, landing, tmp_path):
-    out = str(tmp_path / "tables")
-    write = live.keyed_writer(out)
-    status = batch_status(spark, landing)
-    write(status.where(F.hour("timestamp") < 8), 0)
-    write(status, 1)
-    before = content(live.read_fact(spark, out)), content(live.read_latest(spark, out))
-    write(status, 1)
-    assert (content(live.read_fact(spark, out)), content(live.read_latest(spark, out))) == before
-    assert content(live.read_fact(spark, out).drop("date")) == content(status)
+def test_few_files(spark, landing, tmp_path, many_parts):
+    run(spark, landing, tmp_path, max_files=None)
+    assert len(list((tmp_path / "tables" / "fact").glob("date=*/*.parquet"))) <= 8
