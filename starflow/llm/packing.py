@@ -8,6 +8,8 @@ and pack them again.
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from functools import reduce
 
@@ -30,42 +32,74 @@ _ALNUM = np.zeros(256, bool)
 _ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
 
 
+# First bytes of characters after which no accent combines with the ASCII letter before.
+_NO_ACCENT = np.zeros(256, bool)
+_NO_ACCENT[:0xC0] = True
+_NO_ACCENT[0xC2:0xC6] = True
+
+# Words that the tokenizer takes as one, with nothing to compose or cut.
+_SIMPLE = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+
+
+def _byte_characters() -> dict[int, int]:
+    """The visible character by which byte-level tokenizers write each byte."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: b if b in plain else 256 + others.index(b) for b in range(256)}
+
+
 class WordTokenizer:
     """Token ids of texts, by a tokenizer that never joins text across white space.
 
     A text's ids are those of its words one after the other, so each distinct word is
-    given to the tokenizer once.  Case is ignored for ASCII words only: the tokenizer folds
-    case itself, but composes accents before that.  A mark after a letter or digit is a
-    word of its own, as the tokenizer cuts there too.
+    given to the tokenizer once.  Case is ignored for ASCII letters: the tokenizer folds
+    case itself, but composes accents before that, so not where an accent may follow.  A
+    mark after a letter or digit is a word of its own, as the tokenizer cuts there too.
+    Words of plain letters go to its model straight away.
     """
 
     def __init__(self, path: str, most: int = 500_000) -> None:
+        # Spark already runs as many tasks as there are cores.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.bytes = _byte_characters()
         self.most = most
         self.clear()
 
     def clear(self) -> None:
         self.place: dict[int, int] = {}
-        self.ids = np.zeros(0, np.uint32)
-        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids, self.used = np.zeros(1 << 20, np.uint32), 0
+        self.starts, self.sizes = np.zeros(self.most + 1, np.int64), np.zeros(self.most + 1, np.int64)
 
-    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
-        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        made = [np.array(e.ids, np.uint32) for e in encode(words, add_special_tokens=False)]
-        sizes = np.array([len(m) for m in made], np.int64)
-        first = len(self.starts)
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, *made])
-        self.place.update(zip(hashes.tolist(), range(first, first + len(words))))
+    def _ids(self, word: str) -> list[int]:
+        if _SIMPLE.fullmatch(word):
+            return [t.id for t in self.model.tokenize(word.lower().encode().decode("latin-1").translate(self.bytes))]
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
 
-    def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in a row, and the number of each text's."""
-        rows = len(bounds) - 1
+    def _learn(self, hashes: list[int], words: list[str]) -> None:
+        made = [self._ids(w) for w in words]
+        sizes = np.array([len(m) for m in made], np.int64)
+        flat = np.array([x for m in made for x in m], np.uint32)
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        first = len(self.place)
+        self.ids[self.used:self.used + len(flat)] = flat
+        self.starts[first:first + len(made)] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[first:first + len(made)] = sizes
+        self.used += len(flat)
+        self.place.update(zip(hashes, range(first, first + len(made))))
+
+    def _cut(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The bytes with case folded where that is safe, and start, end and row of each word."""
         starts, ends, row = T.spans(data, bounds)
-        if b"<|" not in data.tobytes():
+        if b"<|" in data.tobytes():
+            return data, starts, ends, row
+        if _NO_ACCENT[data].all():
+            data = T.lower(data)
+        else:
             wide = np.zeros(len(data) + 1, np.int64)
             np.cumsum(data > 127, out=wide[1:])
             edge = np.zeros(len(data) + 1, np.int8)
@@ -73,30 +107,56 @@ class WordTokenizer:
             edge[starts[plain]] += 1
             edge[ends[plain]] -= 1
             data = np.where(np.cumsum(edge[:-1]) > 0, T.lower(data), data)
-            # Where a run of marks at a word's end begins.
-            other = np.flatnonzero(~_MARK[data])
-            last = other[np.maximum(0, np.searchsorted(other, ends) - 1)] if len(other) else starts
-            cut = (last >= starts) & (last + 1 < ends)
-            cut[cut] &= _ALNUM[data[last[cut]]]
-            order = np.argsort(np.concatenate([starts, last[cut] + 1]), kind="stable")
-            row = np.concatenate([row, row[cut]])[order]
-            starts, ends = (np.concatenate([starts, last[cut] + 1])[order],
-                            np.concatenate([np.where(cut, last + 1, ends), ends[cut]])[order])
+        # Step back over the marks at words' ends.
+        marked = np.flatnonzero(_MARK[data[ends - 1]])
+        last = ends[marked] - 1
+        going = np.arange(len(marked))
+        while len(going):
+            last[going] -= 1
+            going = going[last[going] >= starts[marked[going]]]
+            going = going[_MARK[data[last[going]]]]
+        good = last >= starts[marked]
+        good[good] &= _ALNUM[data[last[good]]]
+        cut = np.zeros(len(starts), bool)
+        cut[marked[good]] = True
+        at = np.arange(len(starts)) + np.cumsum(cut) - cut
+        first, second = np.empty(len(starts) + int(cut.sum()), np.int64), np.empty(len(starts) + int(cut.sum()), np.int64)
+        first[at], second[at] = starts, ends
+        second[at[cut]] = first[at[cut] + 1] = last[good] + 1
+        second[at[cut] + 1] = ends[cut]
+        return data, first, second, np.repeat(row, 1 + cut)
+
+    def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and the number of each text's."""
+        rows = len(bounds) - 1
+        data, starts, ends, row = self._cut(data, bounds)
         distinct, first, inverse = np.unique(T.hashes(data, starts, ends), return_index=True,
                                              return_inverse=True)
-        if len(self.place) + len(distinct) > self.most:
+        if len(distinct) > self.most:
+            self.most = 2 * len(distinct)
+            self.clear()
+        elif len(self.place) + len(distinct) > self.most:
             self.clear()
-        missing = [k for k, h in enumerate(distinct.tolist()) if h not in self.place]
-        if missing:
+        keys = distinct.tolist()
+        place = np.array([self.place.get(h, -1) for h in keys], np.int64)
+        missing = np.flatnonzero(place < 0)
+        if len(missing):
             raw = data.tobytes()
-            self._learn(distinct[missing], [raw[starts[first[k]]:ends[first[k]]].decode() for k in missing])
-        place = np.array([self.place[h] for h in distinct.tolist()], np.int64)[inverse]
+            known = len(self.place)
+            self._learn([keys[k] for k in missing.tolist()],
+                        [raw[s:e].decode() for s, e in zip(starts[first[missing]].tolist(), ends[first[missing]].tolist())])
+            place[missing] = np.arange(known, known + len(missing))
+        place = place[inverse]
         sizes = self.sizes[place]
         total = int(sizes.sum())
         at = np.arange(total) + np.repeat(self.starts[place] - (np.cumsum(sizes) - sizes), sizes)
         return self.ids[at], np.bincount(row, sizes, rows).astype(np.int64)
 
 
+#: Each Python worker keeps its tokenizers, and the words they know, for its next tasks.
+_TOKENIZERS: dict[str, WordTokenizer] = {}
+
+
 def tokenized_pieces(docs: DataFrame, capacity: int = 4096, end_id: int = 1, id_col: str = "doc_id",
                      text_col: str = "text", tokenizer: str | None = None,
                      with_ids: bool = False) -> DataFrame:
@@ -114,10 +174,10 @@ def tokenized_pieces(docs: DataFrame, capacity: int = 4096, end_id: int = 1, id_
             path = public_tokenizers.path("word_bpe_49k.json")
         else:
             path = tokenizer
-        words = WordTokenizer(path)
+        words = _TOKENIZERS.get(path) or _TOKENIZERS.setdefault(path, WordTokenizer(path))
         for batch in batches:
             data, bounds = T.utf8(batch.column(1))
-            for lo, hi in T.groups(bounds, 1 << 21):
+            for lo, hi in T.groups(bounds, 1 << 18):
                 ids, sizes = words.encode(data[bounds[lo]:bounds[hi]], bounds[lo:hi + 1] - bounds[lo])
                 firsts = np.cumsum(sizes) - sizes
                 of, piece, start, length, crc, kept = [], [], [], [], [], []
