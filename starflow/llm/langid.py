@@ -95,7 +95,8 @@ def train(rows: pu.Sparse, labels: np.ndarray, languages: list[str], width: int
           rejected: float = 0.002, seed: int = 0) -> Model:
     """Embeddings and softmax by SGD; one row in ``keep_back`` calibrates instead.
 
-    The threshold lets through all but ``rejected`` of the rows kept back, and is 0.5 at most.
+    The threshold lets through all but ``rejected`` of the rows kept back, and texts that mix two
+    languages.
     """
     if not languages:
         return Model([], np.zeros((1 << BITS, 0)), np.zeros(0), 1.0, 0.5)
@@ -143,7 +144,9 @@ def train(rows: pu.Sparse, labels: np.ndarray, languages: list[str], width: int
     temperature = float(min(np.geomspace(0.05, 20, 81), key=loss)) if len(y) else 1.0
     model = Model(languages, (table @ weights).astype(np.float32), bias, temperature, 0.5)
     best = np.sort(model.probabilities(z - bias).max(axis=1)) if len(y) else np.ones(1)
-    model.threshold = float(min(0.5, best[int(rejected * len(best))]))
+    # Halfway from chance to an even mixture of two languages, which is not rejected.
+    unclear = (1 / len(languages) + 0.5) / 2
+    model.threshold = float(min(unclear, best[int(rejected * len(best))]))
     return model
 
 
