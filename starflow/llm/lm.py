@@ -328,7 +328,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", max_broadcast:
                   model.base, model.smoothing)
 
     def sent(shards: list[int]):
-        held = (model.shards.where(F.col("shard").isin(shards))
+        # A block is a run of shards, in their order.
+        held = (model.shards.where(F.col("shard").between(min(shards, default=0), max(shards, default=-1)))
                 .select("shard", "filter", "vocabulary", "counts").toLocalIterator())
         return spark.sparkContext.broadcast(_Block(model.n_shards, sorted(held, key=lambda r: r["shard"])))
 
