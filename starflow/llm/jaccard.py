@@ -4,6 +4,7 @@ Shingles are ordered from rare to common.  If two sets overlap enough, they shar
 among the first few of each, so only those prefixes are compared.
 
 1. Texts with the same set are one class; classes with the same prefix and size one group.
+   What only one text has is no reason to compare it, and is left out of what follows.
 2. Groups that share a prefix shingle form a family.  A task ties the groups it sees for a
    shingle to one of them and passes only that one on, so a common shingle costs no more
    than a row for each task.
@@ -28,15 +29,22 @@ from starflow.llm import text as T
 from starflow.llm.components import components
 from starflow.session import stage
 
-#: Shingles are counted by so many hash buckets, to order them; the table that goes to all
-#: tasks has a byte for each.
-BUCKETS = 1 << 20
-_CHUNK = 1 << 14
+#: Most bytes of the table that goes to all tasks and orders the shingles.  Beyond it shingles share
+#: cells: the order gets coarser and families larger, the result stays.
+TABLE_BYTES = 256 << 20
+
+#: Text behind each bucket of shingles, for about a million of them.
+BUCKET_BYTES = 6_000_000
 
 #: Most members and shingles of a block.
 BLOCK_MEMBERS, BLOCK_SHINGLES = 2000, 1_000_000
 
 
+def _distinct(h: np.ndarray) -> np.ndarray:
+    h = np.sort(h)
+    return h[np.concatenate([[True], h[1:] != h[:-1]])]
+
+
 def shingle_sets(column: pa.Array, size: int):
     """The sorted distinct shingle hashes of each text, by rows in turn.
 
@@ -51,7 +59,7 @@ def shingle_sets(column: pa.Array, size: int):
         at = 0
         for k, n in enumerate(counts.tolist()):
             if n >= size:
-                yield lo + k, np.unique(chained[at:at + n - size + 1])
+                yield lo + k, _distinct(chained[at:at + n - size + 1])
             elif n:
                 one = words[at:at + 1]
                 for j in range(1, n):
@@ -67,8 +75,12 @@ def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
 
-def _bucket(h: np.ndarray) -> np.ndarray:
-    return (h & np.uint64(BUCKETS - 1)).astype(np.int64)
+def _bucket(h: np.ndarray, n_buckets: int) -> np.ndarray:
+    """Buckets are ranges of hashes, so sorted hashes are sorted by bucket."""
+    return ((h >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
+
+
+_LOW = np.uint64(0xFFFFFFFF)
 
 
 def _signature(h: np.ndarray) -> tuple[int, int]:
@@ -76,38 +88,79 @@ def _signature(h: np.ndarray) -> tuple[int, int]:
     return int(a.view(np.int64)), int(b.view(np.int64))
 
 
-def _commonness(texts: DataFrame, size: int) -> np.ndarray:
-    """How common the shingles of each bucket are, as a logarithm in one byte."""
-    def count(batches):
-        table = np.zeros(BUCKETS, np.int64)
+def _order_tables(texts: DataFrame, size: int, n_buckets: int, held: int = 3_000_000) -> DataFrame:
+    """For each bucket of shingles a table of how many texts have those that more than one has.
+
+    Within a bucket of about a million a shingle goes by 32 bits of its hash.  A task sends each
+    shingle once with its count, so a common one is a row for each task.
+    """
+    def run(batches):
+        def flush():
+            h = np.sort(np.concatenate([np.zeros(0, np.uint64), *waiting]))
+            first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+            n = np.diff(np.append(first, len(h)))
+            h = h[first]
+            cuts = np.searchsorted(_bucket(h, n_buckets), np.arange(n_buckets + 1))
+            low, once = (h & _LOW).astype(np.uint32), n == 1
+            made = [(k, low[a:b][once[a:b]].tobytes(), low[a:b][~once[a:b]].tobytes(),
+                     n[a:b][~once[a:b]].astype(np.uint32).tobytes())
+                    for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if a < b]
+            if made:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*made), (pa.int32(), *[pa.binary()] * 3))],
+                    names=["bucket", "once", "more", "counts"])
+
+        waiting, n = [], 0
         for batch in batches:
-            sets = [s for _, s in shingle_sets(batch.column(0), size)]
-            table += np.bincount(_bucket(np.concatenate([*sets, np.zeros(0, np.uint64)])), minlength=BUCKETS)
-        parts = table.reshape(-1, _CHUNK)
-        narrow = [p.astype(np.min_scalar_type(p.max())) for p in parts]
-        some = [k for k, p in enumerate(narrow) if p.any()]
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()),
-                                          pa.array([narrow[k].tobytes() for k in some], pa.binary())],
-                                         names=["chunk", "counts"])
-
-    def add(key, rows):
-        total = np.zeros(_CHUNK, np.float64)
-        for part in rows.column("counts").to_pylist():
-            total += np.frombuffer(part, f"u{len(part) // _CHUNK}")
-        level = np.minimum(255, np.round(8 * np.log2(1 + total))).astype(np.uint8)
-        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "levels": pa.array([level.tobytes()])})
-
-    table = np.zeros((BUCKETS // _CHUNK, _CHUNK), np.uint8)
-    for r in texts.mapInArrow(count, "chunk int, counts binary").groupBy("chunk").applyInArrow(
-            add, "chunk int, levels binary").collect():
-        table[r["chunk"]] = np.frombuffer(r["levels"], np.uint8)
-    return table.ravel()
-
-
-def _prefix(shingles: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarray:
-    """The rarest shingles, those equally common by their hashes."""
-    order = np.argsort(levels[_bucket(shingles)], kind="stable")
-    return shingles[order[:prefix_size(len(shingles), percent)]]
+            for _, s in shingle_sets(batch.column(0), size):
+                waiting.append(s)
+                n += len(s)
+            if n > held:
+                yield from flush()
+                waiting, n = [], 0
+        yield from flush()
+
+    def join(key, rows):
+        def gathered(name):
+            return [np.frombuffer(x, np.uint32) for x in rows.column(name).to_pylist()]
+
+        once = np.concatenate(gathered("once"))
+        low = np.concatenate([once, *gathered("more")])
+        n = np.concatenate([np.ones(len(once), np.int64), *gathered("counts")])
+        order = np.argsort(low, kind="stable")
+        low, n = low[order], n[order]
+        first = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
+        low, n = low[first], np.add.reduceat(n, first)
+        low, n = low[n > 1], n[n > 1]
+        table = np.zeros(max(1, min(4 * len(low), TABLE_BYTES // n_buckets)), np.uint8)
+        np.maximum.at(table, _cell(low.astype(np.uint64), np.uint64(len(table))),
+                      np.minimum(255, np.round(8 * np.log2(n))).astype(np.uint8))
+        return pa.table({"bucket": pa.array([key[0].as_py()], pa.int32()), "cells": pa.array([table.tobytes()])})
+
+    return (texts.mapInArrow(run, "bucket int, once binary, more binary, counts binary")
+            .groupBy("bucket").applyInArrow(join, "bucket int, cells binary"))
+
+
+def _cell(low: np.ndarray, cells) -> np.ndarray:
+    return (low * cells >> np.uint64(32)).astype(np.int64)
+
+
+class _Order:
+    """How common a shingle is: 0 if no other text has it, else a logarithm of how many have it."""
+
+    def __init__(self, n_buckets: int, rows) -> None:
+        self.n_buckets = n_buckets
+        self.first, self.cells = np.zeros(n_buckets, np.int64), np.ones(n_buckets, np.uint64)
+        tables, at = [np.zeros(1, np.uint8)], 1  # buckets without a row share the first cell
+        for r in rows:
+            self.first[r["bucket"]], self.cells[r["bucket"]] = at, len(r["cells"])
+            tables.append(np.frombuffer(r["cells"], np.uint8))
+            at += len(r["cells"])
+        self.table = np.concatenate(tables)
+
+    def levels(self, h: np.ndarray) -> np.ndarray:
+        bucket = _bucket(h, self.n_buckets)
+        return self.table[self.first[bucket] + _cell(h & _LOW, self.cells[bucket])]
 
 
 def _group_key(n: int, prefix: np.ndarray) -> int:
@@ -115,20 +168,24 @@ def _group_key(n: int, prefix: np.ndarray) -> int:
     return int(key.view(np.int64)[0])
 
 
-_PROFILE = "doc_id long, n int, sig_a long, sig_b long, grp long"
+_PROFILE = "doc_id long, n int, sig_a long, sig_b long, grp long, prefix binary"
 
 
-def _profiles(docs: DataFrame, levels, size: int, percent: int) -> DataFrame:
-    """Each row's set size and signature, and the key of its group."""
+def _profiles(docs: DataFrame, ranks, size: int, percent: int) -> DataFrame:
+    """Each row's set size and signature, the key of its group, and what of its prefix others may share."""
     def run(batches):
         for batch in batches:
             rows = []
             for _, s in shingle_sets(batch.column(1), size):
-                rows.append((len(s), *_signature(s), _group_key(len(s), _prefix(s, levels.value, percent))))
-            n, a, b, g = zip(*rows) if rows else ((),) * 4
+                # The rarest shingles; those equally common are in the order of their hashes.
+                levels = ranks.value.levels(s)
+                chosen = np.argsort(levels, kind="stable")[:prefix_size(len(s), percent)]
+                prefix = s[chosen]
+                rows.append((len(s), *_signature(s), _group_key(len(s), prefix), prefix[levels[chosen] > 0].tobytes()))
+            n, a, b, g, p = zip(*rows) if rows else ((),) * 5
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int32()), *(pa.array(x, pa.int64()) for x in (a, b, g))],
-                names=["doc_id", "n", "sig_a", "sig_b", "grp"])
+                [batch.column(0), pa.array(n, pa.int32()), *(pa.array(x, pa.int64()) for x in (a, b, g)),
+                 pa.array(p, pa.binary())], names=["doc_id", "n", "sig_a", "sig_b", "grp", "prefix"])
 
     return docs.mapInArrow(run, _PROFILE)
 
@@ -144,15 +201,13 @@ def _stars(token: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return token[first], group[first], edges[:, 0], edges[:, 1]
 
 
-def _group_edges(texts: DataFrame, levels, size: int, percent: int, n_buckets: int,
-                 held: int = 3_000_000) -> DataFrame:
+def _group_edges(profiles: DataFrame, n_buckets: int, held: int = 3_000_000) -> DataFrame:
     """Edges that connect all groups sharing a prefix shingle, not always directly."""
     def run(batches):
         def flush():
             t, g, a, b = _stars(np.concatenate([np.zeros(0, np.uint64), *tokens]),
                                 np.concatenate([np.zeros(0, np.int64), *groups]))
-            bucket = ((t >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
-            cuts = np.searchsorted(bucket, np.arange(n_buckets + 1))
+            cuts = np.searchsorted(_bucket(t, n_buckets), np.arange(n_buckets + 1))
             some = np.flatnonzero(np.diff(cuts))
             yield batch_of(some.tolist(), [t[cuts[k]:cuts[k + 1]].tobytes() for k in some],
                            [g[cuts[k]:cuts[k + 1]].tobytes() for k in some])
@@ -163,12 +218,10 @@ def _group_edges(texts: DataFrame, levels, size: int, percent: int, n_buckets: i
 
         tokens, groups, waiting = [], [], 0
         for batch in batches:
-            for _, s in shingle_sets(batch.column(0), size):
-                if len(s):
-                    prefix = _prefix(s, levels.value, percent)
-                    tokens.append(prefix)
-                    groups.append(np.full(len(prefix), _group_key(len(s), prefix), np.int64))
-                    waiting += len(prefix)
+            for g, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                tokens.append(np.frombuffer(p, np.uint64))
+                groups.append(np.full(len(tokens[-1]), g, np.int64))
+                waiting += len(tokens[-1])
             if waiting > held:
                 yield from flush()
                 tokens, groups, waiting = [], [], 0
@@ -191,7 +244,7 @@ def _group_edges(texts: DataFrame, levels, size: int, percent: int, n_buckets: i
         edges = np.unique(np.concatenate([*edges, np.stack([a, b], 1)]), axis=0)
         return pa.table({"a": pa.array(edges[:, 0]), "b": pa.array(edges[:, 1])})
 
-    return (texts.mapInArrow(run, "bucket int, tokens binary, groups binary")
+    return (profiles.select("grp", "prefix").mapInArrow(run, "bucket int, tokens binary, groups binary")
             .groupBy("bucket").applyInArrow(join, "a long, b long"))
 
 
@@ -298,12 +351,13 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col
     T.prepare_workers(spark)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     texts = rows.select("text")
-    levels = spark.sparkContext.broadcast(_commonness(texts, size))
-    profiles = stage(_profiles(rows, levels, size, percent), "jaccard-profiles")
-    total = profiles.agg(F.sum("n")).first()[0] or 0
-    n_buckets = max(8, total * (100 - percent) // 100 // 500_000)
+    n_buckets = max(8, (texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET_BYTES)
+    tables = stage(_order_tables(texts, size, n_buckets), "jaccard-order")
+    ranks = spark.sparkContext.broadcast(_Order(n_buckets, tables.toLocalIterator()))
+    profiles = stage(_profiles(rows, ranks, size, percent), "jaccard-profiles")
 
-    families = components(_group_edges(texts, levels, size, percent, n_buckets), "jaccard-families")
+    shared = profiles.agg(F.sum(F.octet_length("prefix"))).first()[0] or 0
+    families = components(_group_edges(profiles, max(8, shared // (4 << 20))), "jaccard-families")
     families = stage(families.select(F.col("node").alias("grp"), F.col("component").alias("family")),
                      "jaccard-families")
     same_set = ["n", "sig_a", "sig_b"]
