@@ -388,7 +388,8 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col
     # A cell is the hash of what names it; cells that share one are compared family by family.
     alone = F.when(F.col("small"), F.pmod(F.xxhash64("family"), F.lit(n_cells))).otherwise(
         F.xxhash64("family", "band", "block"))
-    with_text = members.join(rows.select(F.col("doc_id").alias("rep"), "text"), "rep")
+    # Sorted and merged at every size: the texts are what is large here, and members grow with them.
+    with_text = members.hint("merge").join(rows.select(F.col("doc_id").alias("rep"), "text"), "rep")
     columns = ["cell", "family", "rep", "sig_a", "known", "text"]
     first = with_text.withColumns({"cell": alone, "known": F.col("rep")}).select(*columns)
     edges = stage(_verify(first, size, percent), "jaccard-links")
@@ -412,7 +413,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col
         crossed = (now.join(stage(apart, "jaccard-apart"), "family", "left_semi")
                    .withColumn("with", F.explode(pairs)).where(F.col("with") != me)
                    .withColumn("cell", F.xxhash64("family", F.least(me, F.col("with")), F.greatest(me, F.col("with")))))
-        second = (crossed.join(rows.select(F.col("doc_id").alias("rep"), "text"), "rep").select(*columns))
+        second = (crossed.hint("merge").join(rows.select(F.col("doc_id").alias("rep"), "text"), "rep").select(*columns))
         more = _verify(second, size, percent).unionByName(
             links.select(F.col("node").alias("a"), F.col("component").alias("b")))
         links = stage(components(stage(more, "jaccard-more"), "jaccard-more"), "jaccard-components")
