@@ -128,17 +128,11 @@ def edit_fingerprints(docs: DataFrame, bins: int = BINS, samples: int = 1, id_co
              .withColumn("edited", F.concat(F.substr("text", F.lit(1), (F.col("n_chars") - F.col("taken")).cast("int")),
                                             F.col("head"))))
     facts = whole.select(*key, "doc_id", "n_chars", "next_r1", "next_r2", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
-    both = whole.select(*key, F.explode(F.array(
-        F.struct(F.lit(0).alias("kind"), F.col("text").alias("text")),
-        F.struct(F.lit(1).alias("kind"), F.col("edited").alias("text")))).alias("v")).select(*key, "v.kind", "v.text")
-    draws = sampled(both, [*key, "kind"], "text", bins, samples)
+    # Text and edited text one after the other: a task counts the words of either at a time.
+    own = sampled(one, key, "text", bins, samples).withColumnRenamed("draws", "own")
+    other = sampled(whole.select(*key, "edited"), key, "edited", bins, samples).withColumnRenamed("draws", "other")
     none = F.array().cast("array<int>")
-
-    def of(kind):
-        return F.coalesce(F.max(F.when(F.col("kind") == kind, F.col("draws"))), none)
-
-    paired = draws.groupBy(*key).agg(of(0).alias("own"), of(1).alias("other"))
-    joined = stage(facts.join(paired, key, "left").withColumns(
+    joined = stage(facts.join(own, key, "left").join(other, key, "left").withColumns(
         {"own": F.coalesce("own", none), "other": F.coalesce("other", none)}), "fingerprints")
     after = joined.select(F.col("r1").alias("next_r1"), F.col("r2").alias("next_r2"), F.col("own").alias("next_own"))
     return joined.join(after, ["next_r1", "next_r2"]).select(
