@@ -8,8 +8,8 @@ of the term alone give r and c from Gamma(2, 1) and b from [0, 1), and then
 The term with the least a is the sample, together with its t.  Two texts draw the same sample
 with the probability of their generalised Jaccard similarity, the sum of the terms' smaller weights
 over that of the larger ones.  Terms are dealt to ``bins`` by a hash, and each bin is sampled
-``samples`` times by its terms alone; with one bin that is the plain scheme, and with one sample a
-term is worked on once however long the fingerprint is.
+``samples`` times by its terms alone; one bin, the default, is the plain scheme.  More bins give each
+bin the same say, however little of the text's weight it holds.
 
 Only DataFrame functions are used.
 """
@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 
 from starflow.session import stage
 
-BINS = 64
+SAMPLES = 64
+#: Samples of a text that are drawn in one pass over its terms, each the least of a column.
+_PASS = 8
 _FINE = 1 << 23  # steps of log(a), which lies between -128 and 128
 _CODE = (1 << 16) - 1
 
@@ -30,41 +32,62 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[\x09-\x0D ]+"), "")
 
 
-def _uniform(term: Column, sample: Column, which: int) -> Column:
-    """Between 0 and 1, both excluded, by hash alone."""
-    bits = F.shiftrightunsigned(F.xxhash64(term, sample, F.lit(which)), 12)
-    return (bits.cast("double") + 0.5) * F.lit(2.0 ** -52)
+def _halves(term: Column, sample: Column, which: int) -> tuple[Column, Column]:
+    """Two numbers between 0 and 1, both excluded, by hash alone."""
+    bits = F.xxhash64(term, sample * 4 + which)
+    return tuple((half.cast("double") + 0.5) * F.lit(2.0 ** -32)
+                 for half in (F.shiftrightunsigned(bits, 32), bits.bitwiseAND((1 << 32) - 1)))
 
 
-def _draw(term: Column, sample: Column, weight: Column, slot: Column) -> Column:
-    """log(a) and the sample's code in one number whose least is the draw."""
-    r = -F.log(_uniform(term, sample, 1) * _uniform(term, sample, 2))
-    c = -F.log(_uniform(term, sample, 3) * _uniform(term, sample, 4))
-    b = _uniform(term, sample, 5)
-    t = F.floor(F.log(weight) / r + b)
+def _draw(term: Column, sample: Column, log_weight: Column, slot: Column) -> Column:
+    """log(a) and the sample's code in one number whose least is the draw; null without a weight."""
+    u1, u2 = _halves(term, sample, 0)
+    u3, u4 = _halves(term, sample, 1)
+    r, c = -F.log(u1 * u2), -F.log(u3 * u4)
+    b = _halves(term, sample, 2)[0]
+    t = F.floor(log_weight / r + b)
     a = F.log(c) - r * (t - b) - r
     steps = F.floor(F.greatest(F.lit(-127.0), F.least(F.lit(127.0), a)) * _FINE).cast("bigint")
-    code = F.shiftleft(slot.cast("bigint"), 16).bitwiseOR(F.xxhash64(term, t).bitwiseAND(_CODE))
+    # An odd factor, so neighbouring t of a term never share a code.
+    code = F.shiftleft(slot.cast("bigint"), 16).bitwiseOR(
+        F.shiftrightunsigned(term, 24).bitwiseXOR(t * 40503).bitwiseAND(_CODE))
     return F.shiftleft(steps, 32) + code
 
 
-def sampled(texts: DataFrame, key: list[str], text_col: str, bins: int = BINS, samples: int = 1) -> DataFrame:
+def _all_sampled(texts: DataFrame, key: list[str], text_cols: list[str], bins: int, samples: int) -> DataFrame:
+    """``key`` and the draws of each of ``text_cols`` under its name, where any of them has a word.
+
+    What depends on term and sample alone is worked out once for all texts of a row.
+    """
+    each = F.explode(F.array(*(F.struct(F.lit(k).alias("which"), F.col(c).alias("text"))
+                               for k, c in enumerate(text_cols))))
+    exploded = (texts.select(*key, each.alias("one"))
+                .select(*key, "one.which", F.explode(words(F.col("one.text"))).alias("word")))
+    logs = [f"log{k}" for k in range(len(text_cols))]
+    terms = exploded.groupBy(*key, F.xxhash64("word").alias("term")).agg(*(
+        F.log(F.count_if(F.col("which") == k).cast("double")).alias(name) for k, name in enumerate(logs)))
+    together = max(k for k in range(1, _PASS + 1) if samples % k == 0)
+    terms = terms.withColumn("first", F.explode(F.sequence(F.lit(0), F.lit(samples - 1), F.lit(together))))
+    bin_ = F.pmod(F.col("term"), F.lit(bins))
+    drawn = terms.groupBy(*key, bin_.alias("bin"), "first").agg(*(
+        F.min(_draw(F.col("term"), F.col("first") + k, F.col(name), bin_ * samples + F.col("first") + k))
+        .alias(f"{name}_{k}") for k in range(together) for name in logs))
+
+    def mine(name):
+        draws = F.array_compact(F.array(*(f"{name}_{k}" for k in range(together))))
+        return F.transform(draws, lambda d: d.bitwiseAND((1 << 32) - 1).cast("int"))
+
+    return drawn.groupBy(*key).agg(*(F.sort_array(F.flatten(F.collect_list(mine(name)))).alias(c)
+                                     for name, c in zip(logs, text_cols)))
+
+
+def sampled(texts: DataFrame, key: list[str], text_col: str, bins: int = 1, samples: int = SAMPLES) -> DataFrame:
     """``key`` and ``draws``, the sorted slots and codes of each text; none for a text without words.
 
     ``key`` must tell texts apart.  If rows are partitioned by some of it already, they are
     not moved.
     """
-    exploded = texts.select(*key, F.explode(words(F.col(text_col))).alias("word"))
-    terms = exploded.groupBy(*key, F.xxhash64("word").alias("term")).agg(F.count("*").cast("double").alias("weight"))
-    if samples > 1:
-        terms = terms.withColumn("sample", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))))
-    else:
-        terms = terms.withColumn("sample", F.lit(0))
-    slot = F.pmod(F.col("term"), F.lit(bins)) * samples + F.col("sample")
-    drawn = (terms.groupBy(*key, slot.alias("slot"))
-             .agg(F.min(_draw(F.col("term"), F.col("sample"), F.col("weight"), slot)).alias("draw")))
-    mine = F.col("draw").bitwiseAND((1 << 32) - 1).cast("int")
-    return drawn.groupBy(*key).agg(F.sort_array(F.collect_list(mine)).alias("draws"))
+    return _all_sampled(texts, key, [text_col], bins, samples).withColumnRenamed(text_col, "draws")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -99,7 +122,7 @@ def successors(rows: DataFrame, order: list[str], key: list[str]) -> DataFrame:
     return after.select(*rows.columns, *(F.coalesce(f"_next.{k}", f"_after.{k}").alias(f"next_{k}") for k in key))
 
 
-def edit_fingerprints(docs: DataFrame, bins: int = BINS, samples: int = 1, id_col: str = "doc_id",
+def edit_fingerprints(docs: DataFrame, bins: int = 1, samples: int = SAMPLES, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
     """Fingerprints of each text and of its edited text, and how alike they are.
 
@@ -128,11 +151,10 @@ def edit_fingerprints(docs: DataFrame, bins: int = BINS, samples: int = 1, id_co
              .withColumn("edited", F.concat(F.substr("text", F.lit(1), (F.col("n_chars") - F.col("taken")).cast("int")),
                                             F.col("head"))))
     facts = whole.select(*key, "doc_id", "n_chars", "next_r1", "next_r2", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
-    # Text and edited text one after the other: a task counts the words of either at a time.
-    own = sampled(one, key, "text", bins, samples).withColumnRenamed("draws", "own")
-    other = sampled(whole.select(*key, "edited"), key, "edited", bins, samples).withColumnRenamed("draws", "other")
+    both = _all_sampled(whole.select(*key, F.col("text").alias("own"), F.col("edited").alias("other")), key,
+                        ["own", "other"], bins, samples)
     none = F.array().cast("array<int>")
-    joined = stage(facts.join(own, key, "left").join(other, key, "left").withColumns(
+    joined = stage(facts.join(both, key, "left").withColumns(
         {"own": F.coalesce("own", none), "other": F.coalesce("other", none)}), "fingerprints")
     after = joined.select(F.col("r1").alias("next_r1"), F.col("r2").alias("next_r2"), F.col("own").alias("next_own"))
     return joined.join(after, ["next_r1", "next_r2"]).select(

@@ -87,3 +87,21 @@ def test_successors_over_many_ranges(spark, many_parts):
     got = {r["k"]: r["next_k"] for r in successors(rows, ["v"], ["k"]).collect()}
     order = [r["k"] for r in rows.orderBy("v").collect()]
     assert got == {k: order[(i + 1) % len(order)] for i, k in enumerate(order)}
+
+
+def test_each_text_is_near_its_exact_similarity(spark):
+    """Five standard errors at most for any text, short and repetitive ones included."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = sorted(tuple(r) for r in docs.collect())
+    last = rows[-1][0]
+    rows += [(last + 1 + k, t) for k, t in enumerate((
+        "same " * 900 + " ".join(f"a{i}" for i in range(100)), "same " * 900 + " ".join(f"b{i}" for i in range(100)),
+        "x", "x y", "one two three", "ha " * 4000))]
+    want, text = edited(rows), dict(rows)
+    after = {i: rows[(k + 1) % len(rows)][1] for k, (i, _) in enumerate(rows)}
+    got = edit_fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        for column, other in (("near_edited", want), ("near_next", after)):
+            exact = jaccard(text[r["doc_id"]], other[r["doc_id"]])
+            assert abs(r[column] - exact) <= 5 * max(exact * (1 - exact), 0.01) ** 0.5 / 8, (r["doc_id"], column)
