@@ -23,13 +23,16 @@ LEAST_LITERALS = 4
 #: Windows of benchmark items that are sent to all tasks; beyond it the join shuffles.
 MOST_BROADCAST = 1_000_000
 
-# Capitalised words within a sentence; the last of them is the value.
+# Capitalised words within a sentence.  The groups are the value that a template shows; what
+# is compared is the whole name or number, see ``whole_valued``.
 NAME = r"([\p{L}\p{N},;] )(?:\p{Lu}\p{Ll}+ )*(\p{Lu}\p{Ll}+)"
 NUMBER = r"(\p{N}+)(?:[.,]\p{N}+)*"
 UNITS = ("km|cm|mm|kg|mg|ml|lb|lbs|oz|ft|mph|kmh|m|g|l|s|h|meters?|metres?|miles?|feet|foot|inch|inches|yards?|"
          "grams?|kilograms?|pounds?|tons?|liters?|litres?|gallons?|seconds?|minutes?|hours?|days?|weeks?|months?|"
          "years?|dollars?|cents?|euros?|percent|degrees?|watts?|volts?")
 UNIT = rf"(‹num=\p{{N}}+›) ?({UNITS})([^\p{{L}}\p{{N}}]|$)"
+WHOLE_NAME = r"([\p{L}\p{N},;] )((?:\p{Lu}\p{Ll}+ )*\p{Lu}\p{Ll}+)"
+WHOLE_UNIT = UNIT.replace(r"\p{N}+›", r"[\p{N}=]+›")
 VALUE = "=[^›]*›"
 BETWEEN = r"[^\p{L}\p{N}‹›=]+"
 
@@ -42,6 +45,19 @@ def valued(text: Column) -> Column:
     return F.lower(F.regexp_replace(numbered, UNIT, "$1 ‹unit=$2›$3"))
 
 
+def whole_valued(text: Column) -> Column:
+    """As ``valued``, token by token, with the whole of each name and number as its value.
+
+    Within a value a space or a point is ``=`` and a comma ``==``, which ``tokens`` does not split at.
+    """
+    plain = F.translate(F.coalesce(text, F.lit("")), "‹›=", "   ")
+    named = F.regexp_replace(plain, WHOLE_NAME, "$1‹name=$2›")
+    named = F.regexp_replace(named, r" (?=(?:\p{Lu}\p{Ll}+ )*\p{Lu}\p{Ll}+›)", "=")
+    numbered = F.regexp_replace(named, NUMBER, "‹num=$0›")
+    pointed = F.regexp_replace(F.regexp_replace(numbered, r"\.(?=[\p{N}.,]*›)", "="), r",(?=[\p{N}.,=]*›)", "==")
+    return F.lower(F.regexp_replace(pointed, WHOLE_UNIT, "$1 ‹unit=$2›$3"))
+
+
 def tokens(template: Column) -> Column:
     return F.array_remove(F.split(template, BETWEEN), "")
 
@@ -70,7 +86,7 @@ def _covered(places: Column, size: Column) -> Column:
 def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row for each distinct template with its values, by the smallest id, and its windows."""
     rows = (benchmark.where(F.col(id_col).isNotNull())
-            .select(F.col(id_col).alias("item_id"), valued(F.col(text_col)).alias("with_values"))
+            .select(F.col(id_col).alias("item_id"), whole_valued(F.col(text_col)).alias("with_values"))
             .groupBy("with_values").agg(F.min("item_id").alias("item_id"))
             .withColumn("values", tokens(F.col("with_values")))
             .withColumn("words", tokens(canonical(F.col("with_values"))))
@@ -138,7 +154,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = 0.4, id_
                      (F.col("doc_place") + F.col("item_at") - F.col("item_place")).alias("doc_at")).distinct())
     pairs = stage(pairs, "leak-pairs")
     values = (named.join(pairs.select(*row).distinct(), row, "left_semi").dropDuplicates(row)
-              .select(*row, tokens(valued(F.col("text"))).alias("own")))
+              .select(*row, tokens(whole_valued(F.col("text"))).alias("own")))
     compared = (pairs.join(values, row)
                 .select(*row, "item_id", "item_at", "doc_at", "item_value",
                         F.get("own", F.col("doc_at")).alias("doc_value")))

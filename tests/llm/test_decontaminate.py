@@ -65,3 +65,30 @@ def test_drops_rows(spark):
     kept = drop_leaks(docs, items)
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 2, 2]
+
+
+def test_whole_numbers_and_names_are_compared(spark):
+    item = ("of the sum 1,200 was paid by John Smith and then 1,500 by Mary Smith while 3.14 parts and also "
+            "3.99 parts of it went to the old bank in town")
+    other = (item.replace("1,200", "2,300").replace("1,500", "4,100").replace("John Smith", "Ann Lee")
+             .replace("Mary Smith", "Bob Ray").replace("3.14", "2.5").replace("3.99", "2,5"))
+    wrong = item.replace("1,200", "2,300").replace("1,500", "2,300")
+    got = leaks(spark, [(1, item), (2, other), (3, wrong)], [(1, item)])
+    assert got[1, 1]["consistent"] and got[2, 1]["consistent"] and (3, 1) not in got
+
+
+def test_items_that_differ_behind_the_first_digits_stay_apart(spark):
+    item = "the price of the house by the lake was 1,200 and the tax was paid by John Smith last year"
+    items = [(1, item), (2, item.replace("1,200", "1,500")), (3, item.replace("John", "Mary"))]
+    assert {k for k in leaks(spark, [(9, item)], items)} == {(9, 1), (9, 2), (9, 3)}
+
+
+def test_whole_values_stand_at_the_places_of_the_template(spark):
+    texts = ["We saw Ann Lee, 3.5 km ‹away= from Bob's x2.", "it is 1,200.50 kg, 7.", "by Ann Mary Lee 4 km", "x, 1.2,3 m.", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for r in df.select(tokens(canonical(valued(df.text))).alias("a"),
+                       tokens(canonical(decontaminate.whole_valued(df.text))).alias("b")).collect():
+        assert r["a"] == r["b"]
+    got = df.select(tokens(decontaminate.whole_valued(df.text)).alias("v")).collect()
+    assert got[1]["v"] == ["it", "is", "‹num=1==200=50›", "‹unit=kg›", "‹num=7›"]
+    assert got[2]["v"] == ["by", "‹name=ann=mary=lee›", "‹num=4›", "‹unit=km›"]
