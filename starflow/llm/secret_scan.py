@@ -27,9 +27,17 @@ _ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(r"[0-9a-f]{32,}")
 _ANY_HEX = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{64,}|[0-9A-F]{64,})(?![0-9A-Za-z])")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----(.*?)-----END \1-----", re.S)
+# No other BEGIN in the body: a mention, or a key cut short, must not reach for the next key's END.
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:(?!-----BEGIN ).)*?)-----END \1-----", re.S)
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{4,})\.([A-Za-z0-9_-]{16,})(?![A-Za-z0-9_-])")
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
+# Where the base64 of DER or of an OpenSSH key may begin, whatever stands before it.
+_KEY_START = re.compile(r"(?=M[A-P][A-Za-z0-9+/_-]{14}|b3BlbnNzaC1rZXkt)")
+_SIGN = r"\\+u002[bBfF]|\\+/|[A-Za-z0-9+/_-]"
+_SIGNS, _CHUNK = re.compile(_SIGN), re.compile(f"(?:{_SIGN})+")
+# A line's end, also written as two characters, with the quoting around it.
+_BREAK = re.compile(r"""(?:\\+[nrt])*["'`]?[ \t]*[+,.&\\]?[ \t]*[\r\n]+[\s>#*|]*["'`]?|(?:\\+[nrt])+[ \t]*""")
+_PADDING = re.compile(r"(?:=|\\+u003[dD]){0,2}")
+_LEAST_KEY = 40
 
 _SEQUENCE, _INTEGER, _OCTETS, _OID = 0x30, 0x02, 0x04, 0x06
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
@@ -88,11 +96,11 @@ def der_private_key(data: bytes) -> bool:
     return tags == [_SEQUENCE, _OCTETS] and _algorithm(items[0]) and len(items[1][1]) >= 32
 
 
-def openssh_private_key(data: bytes) -> bool:
-    """Is this an OpenSSH key file's content, its nested lengths all fitting?"""
+def openssh_size(data: bytes) -> int | None:
+    """Bytes of the OpenSSH key file's content that ``data`` begins with, if its nested lengths all fit."""
     magic = b"openssh-key-v1\0"
     if not data.startswith(magic):
-        return False
+        return None
     at = len(magic)
 
     def string() -> bytes:
@@ -108,11 +116,16 @@ def openssh_private_key(data: bytes) -> bool:
         keys = int.from_bytes(data[at:at + 4], "big")
         at += 4
         if not cipher or not 1 <= keys <= 16:
-            return False
+            return None
         public = [string() for _ in range(keys)]
-        return all(len(x) > 8 for x in public) and len(string()) >= 16 and at == len(data)
+        return at if all(len(x) > 8 for x in public) and len(string()) >= 16 else None
     except ValueError:
-        return False
+        return None
+
+
+def openssh_private_key(data: bytes) -> bool:
+    """Is this an OpenSSH key file's content, its nested lengths all fitting?"""
+    return openssh_size(data) == len(data)
 
 
 def private_key(data: bytes | None) -> bool:
@@ -132,11 +145,66 @@ def signed_token(header: str, payload: str) -> bool:
     return isinstance(algorithm, str) and algorithm.lower() != "none" and isinstance(parts[1], dict)
 
 
+def _plain(sign: str) -> str:
+    return sign if len(sign) == 1 else "+" if sign[-1] in "bB" else "/"
+
+
+def _gathered(text: str, at: int, most: int | None = None) -> tuple[str, list[int]]:
+    """Base64 from ``at`` over line breaks, ``most`` characters at most, and where each of them ends."""
+    signs, ends = [], []
+    while (most is None or len(signs) < most) and (chunk := _CHUNK.match(text, at)):
+        for m in _SIGNS.finditer(text, at, chunk.end()):
+            signs.append(_plain(m[0]))
+            ends.append(m.end())
+            if len(signs) == most:
+                break
+        gap = _BREAK.match(text, chunk.end())
+        if not gap:
+            break
+        at = gap.end()
+    return "".join(signs), ends
+
+
+def _der_size(head: bytes) -> int | None:
+    """Bytes of the sequence that begins so, if its first item may be that of a private key."""
+    wide = head[1] & 0x7F if head[1] & 0x80 else 0
+    if head[0] != _SEQUENCE or wide > 4 or head[1] == 0x80 or head[2 + wide] not in (_INTEGER, _SEQUENCE):
+        return None
+    return 2 + wide + (int.from_bytes(head[2:2 + wide], "big") if wide else head[1])
+
+
+def _key_end(text: str, at: int) -> int | None:
+    """End of the private key whose base64 begins at ``at``; its own lengths say how far it goes."""
+    if text.startswith("b3Bl", at):
+        run, ends = _gathered(text, at)
+        size = openssh_size(decoded(run[:len(run) // 4 * 4]) or b"")
+        if size is None:
+            size = openssh_size(decoded(run) or b"")
+    else:
+        size = _der_size(decoded(text[at:at + 16]) or b"\0" * 8)
+        if size is None or size > len(text) - at:
+            return None
+        run, ends = _gathered(text, at, -(-size * 4 // 3))
+    need = -(-size * 4 // 3) if size else 0
+    if not _LEAST_KEY <= need <= len(run) or not private_key(decoded(run[:need])):
+        return None
+    return _PADDING.match(text, ends[need - 1]).end()
+
+
+def _pem_body(body: str) -> bytes | None:
+    """Bytes of armoured base64, also where line ends are written as two characters or lines are quoted."""
+    body = re.sub(r"\\+[nrt]", "\n", body)
+    body = re.sub(r"\\+u003[dD]", "=", re.sub(r"\\+u002[bBfF]|\\+/", lambda m: _plain(m[0]), body))
+    # Lines with a colon are headers, as encrypted keys have.
+    lines = (re.sub(r"""["'`][ \t]*[+,.&;]?[ \t]*\\?$""", "", x.strip()) for x in body.splitlines() if ":" not in x)
+    return decoded("".join("".join(x.strip(" \t\"'`,;>#*|\\").split()) for x in lines))
+
+
 def find(text: str | None) -> list[tuple[int, int, int]]:
     """Start, kind (its place in ``KINDS``) and end of each secret, in code points, in order."""
     if not text:
         return []
-    found = set()
+    found, armoured = set(), []
     if ":" in text or "=" in text:
         found.update((m.start(), 0, m.end()) for m in _ASSIGN.finditer(text) if len(m[2]) >= 8)
     if "AKIA" in text:
@@ -144,16 +212,28 @@ def find(text: str | None) -> list[tuple[int, int, int]]:
     found.update((m.start(), 2, m.end()) for m in _HEX.finditer(text))
     if "-----BEGIN " in text:
         for m in _PEM.finditer(text):
-            # Lines with a colon are headers, as encrypted keys have.
-            body = "".join(x.strip() for x in m[2].split("\n") if ":" not in x)
-            data = decoded(body)
+            data = _pem_body(m[2])
             if private_key(data) or (data and "ENCRYPTED" in m[2] and len(data) >= 64):
                 found.add((m.start(), 3, m.end()))
+                armoured.append((m.start(), m.end()))
     if "." in text and "ey" in text:
-        found.update((m.start(), 4, m.end()) for m in _JWT.finditer(text) if signed_token(m[1], m[2]))
-    for m in _BASE64.finditer(text):
-        if private_key(decoded(m[0])):
-            found.add((m.start(), 5, m.end()))
+        at = 0
+        while m := _JWT.search(text, at):
+            if signed_token(m[1], m[2]):
+                found.add((m.start(), 4, m.end()))
+                at = m.end()
+            else:
+                at = m.start(2)
+    done = 0
+    for m in _KEY_START.finditer(text):
+        while armoured and armoured[0][1] <= m.start():
+            armoured.pop(0)
+        if m.start() < done or armoured and armoured[0][0] <= m.start():
+            continue
+        end = _key_end(text, m.start())
+        if end:
+            found.add((m.start(), 5, end))
+            done = end
     for m in _ANY_HEX.finditer(text):
         if len(m[0]) % 2 == 0 and private_key(bytes.fromhex(m[0])):
             found.add((m.start(), 5, m.end()))

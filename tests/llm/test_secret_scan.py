@@ -108,3 +108,35 @@ def test_whole_table(spark):
     for r in rows:
         assert [(s["start"], KINDS.index(s["kind"]), s["end"]) for s in got[r["doc_id"]]
                 if s["kind"] in KINDS[:3]] == brute(r["text"])
+
+
+def spans(text, kind):
+    return [text[a:b] for a, k, b in find(text) if KINDS[k] == kind]
+
+
+def test_a_begin_without_its_end_does_not_swallow_the_next_key():
+    begin = "-----BEGIN RSA PRIVATE KEY-----"
+    for key in (RSA, PKCS8, EC, OPENSSH):
+        pem = f"{begin}\n{base64.encodebytes(key).decode()}-----END RSA PRIVATE KEY-----"
+        assert spans(f"a line {begin} is meant. {pem} x", "pem") == [pem]
+        assert spans(f"{begin}\nMIIEow\n {pem} {pem}", "pem") == [pem, pem]
+
+
+def test_escaped_and_quoted_armour():
+    for key in (RSA, PKCS8, EC, OPENSSH):
+        pem = f"-----BEGIN PRIVATE KEY-----\n{base64.encodebytes(key).decode()}-----END PRIVATE KEY-----\n"
+        for text in (json.dumps({"private_key": pem}), json.dumps({"private_key": pem.replace("\n", "\r\n")}),
+                     json.dumps(json.dumps({"k": pem})), json.dumps({"k": pem}).replace("/", "\\/"),
+                     "\n".join(f"> {x}" for x in pem.split("\n")), "\n".join(f'"{x}" +' for x in pem.split("\n"))):
+            assert len(spans(text, "pem")) == 1, text
+
+
+def test_wrapped_and_glued_base64_and_tokens_after_a_dotted_word():
+    for key in (RSA, PKCS8, EC, OPENSSH):
+        whole, wrapped = base64.b64encode(key).decode(), base64.encodebytes(key).decode().strip()
+        assert spans(f"key:\n{wrapped}\nand more words", "key") == [wrapped]
+        assert spans(f"/etc/keys/{whole} x", "key") == [whole]
+        assert len(spans(json.dumps({"k": "\n" + wrapped + "\n"}), "key")) == 1
+        assert spans(whole[:-9] + " x", "key") == []
+    assert spans(f"something.{JWT} x", "jwt") == [JWT]
+    assert spans(f"api.example-host.{JWT}", "jwt") == [JWT]
