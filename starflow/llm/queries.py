@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starflow.llm import decontaminate as D
 from starflow.llm import lm
+from starflow.llm import pieces
 from starflow.llm import text as T
 from starflow.llm.chat import format_turns, read_back
 from starflow.llm.decontaminate import find_leaks
@@ -16,7 +17,9 @@ from starflow.llm.fingerprints import edit_fingerprints
 from starflow.llm.jaccard import jaccard_components
 from starflow.llm.langid import identify_languages, learn_languages
 from starflow.llm.packing import pack_documents
+from starflow.llm.phrases import collocations
 from starflow.llm.quality import learn_quality, score_quality
+from starflow.llm.search import search
 from starflow.llm.secret_scan import digests, scan_secrets
 from starflow.llm.toxicity import held_out_scores, learn_toxicity, score_toxicity
 
@@ -213,3 +216,81 @@ where coalesce(one_to_one, true) or literal >= 0.4 * coverable
 @query
 def op6_weighted_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+ORACLE["op11_phrase_collocations"] = rf"""
+with pieces as (
+    select coalesce(lang, 'und') as lang,
+        unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents),
+words as materialized (
+    select lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') as w from pieces),
+grams as (
+    select lang, size, array_to_string(w[i:i + size - 1], ' ') as phrase
+    from (select lang, w, size, unnest(range(1, len(w) - size + 2)) as i
+          from words, (select unnest(range(1, 6)) as size) where len(w) >= size)),
+counts as materialized (select lang, size, phrase, count(*) as f from grams group by all having count(*) >= 100),
+totals as (select lang, sum(len(w)) as n from words group by lang),
+cuts as (
+    select lang, phrase, size, f, unnest(range(1, size)) as k, string_split(phrase, ' ') as w from counts where size >= 2),
+scored as (
+    select c.lang, c.phrase, c.size, c.f as a, k, x.f as l, y.f as r, n,
+        (1000::hugeint * c.f * n) // (x.f::hugeint * y.f) as score
+    from cuts c join totals using (lang)
+        join counts x on x.lang = c.lang and x.phrase = array_to_string(w[1:k], ' ')
+        join counts y on y.lang = c.lang and y.phrase = array_to_string(w[k + 1:], ' ')),
+best as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+kept as (
+    select * from best b where not exists (
+        select 1 from counts q where q.lang = b.lang and q.size > b.size and 100 * q.f >= 100 * b.a
+            and contains(' ' || q.phrase || ' ', ' ' || b.phrase || ' ')))
+select lang, cast(rank as bigint) as rank, phrase, a, cast(l as bigint) as l, cast(r as bigint) as r,
+    cast(n as bigint) as n, cast(score as bigint) as score
+from (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+where rank <= 2000
+"""
+
+
+@query
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pieces.digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+ORACLE["op13_lexical_search"] = rf"""
+with docs as materialized (
+    select row_number() over () as row, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '{_TERM}') as t from documents),
+wanted as materialized (
+    select distinct item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+        '{_TERM}')) as term from benchmark where item_id is not null),
+facts as (select count(*) as n_docs, sum(len(t))::bigint as n_terms from docs where len(t) > 0),
+found as materialized (
+    select row, doc_id, term, n, count(*) as tf
+    from (select row, doc_id, len(t) as n, unnest(t) as term from docs) where term in (select term from wanted)
+    group by all),
+weights as (
+    select term, cast(floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)::double)) as bigint) as w
+    from found, facts group by term, n_docs),
+parts as materialized (
+    select row, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms))) as part
+    from found join weights using (term), facts),
+scores as (
+    select item_id, row, doc_id, sum(part)::bigint as score from wanted join parts using (term) group by all
+    having sum(part) > 0 and doc_id is not null)
+select item_id, cast(rank as integer) as rank, doc_id, score
+from (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from scores) where rank <= 10
+"""

@@ -16,12 +16,13 @@ COLUMNS = {
                                   "near_edited", "near_next"],
     "op7_best_fit_packing": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"],
     "op10_language_id": ["doc_id", "held_out", "lang_pred", "score"],
+    "op12_sentencepiece": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
 }
 
 
 def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
     assert {*COLUMNS, *ORACLE} == set(QUERIES)
 
 
