@@ -27,6 +27,8 @@ from starflow.llm import text as T
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 
+#: Texts are merged in groups of about so many bytes, or one by one where they are longer.
+GROUP_BYTES = 1 << 19
 _NONE = np.int64(1) << 40
 
 
@@ -366,6 +368,12 @@ def _rows(fn):
     return run
 
 
+def _unused(name: str, names: list[str]) -> str:
+    while name in names:
+        name = f"_{name}"
+    return name
+
+
 def encode_texts(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Add the ids of each text, an end at last, exactly as the sentencepiece library gives them.
 
@@ -379,7 +387,7 @@ def encode_texts(df: DataFrame, path: str, text: str = "text", ids: str = "ids")
         encoder = _encoder(path)
         data, bounds = T.utf8(column)
         parts, sizes = [], []
-        for a, b in T.groups(bounds):
+        for a, b in T.groups(bounds, GROUP_BYTES):
             out, cuts = encoder.ids(data[bounds[a]:bounds[b]], bounds[a:b + 1] - bounds[a])
             parts.append(np.insert(out, cuts[1:], encoder.tables.end))
             sizes.append(np.diff(cuts) + 1)
@@ -389,7 +397,7 @@ def encode_texts(df: DataFrame, path: str, text: str = "text", ids: str = "ids")
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
     kept = [c for c in df.columns if c != ids]
-    given = df.select(*kept, F.col(text).cast("string").alias("_text"))
+    given = df.select(*kept, F.col(text).cast("string").alias(_unused("text", kept)))
     schema = S.StructType([*df.select(*kept).schema.fields, S.StructField(ids, S.ArrayType(S.IntegerType()))])
     return given.mapInArrow(_named(_rows(encode), schema.names), schema)
 
@@ -432,7 +440,7 @@ def decode_ids(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded"
         return texts if valid is None else pc.if_else(valid, texts, pa.scalar(None, pa.string()))
 
     kept = [c for c in df.columns if c != text]
-    given = df.select(*kept, F.col(ids).alias("_ids"))
+    given = df.select(*kept, F.col(ids).alias(_unused("ids", kept)))
     schema = S.StructType([*df.select(*kept).schema.fields, S.StructField(text, S.StringType())])
     return given.mapInArrow(_named(_rows(decoded), schema.names), schema)
 
