@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,6 +55,38 @@ def quarantined_rows(df: DataFrame, not_null: Sequence[str] = (),
         VIOLATIONS, F.array_compact(reasons).cast("array<string>"))
 
 
+def checked(df: DataFrame, key: Sequence[str] = (), not_null: Sequence[str] = (),
+            max_length: Mapping[str, int] | None = None) -> DataFrame:
+    """Rows that break each rule, as ``rule`` and ``violations``, from one pass over the table.
+
+    ``primary key`` counts the keys that are repeated or hold a NULL.  Each map task
+    sends a row for each key it has seen, with the counts of all rules.
+    """
+    breaches = _breaches(not_null, max_length)
+    counts = [F.count_if(b).alias(f"_rule{i}") for i, b in enumerate(breaches.values())]
+    if key:
+        null_key = F.greatest(*[F.col(k).isNull() for k in key], F.lit(False))
+        by_key = df.groupBy(*key).agg(F.count("*").alias("_n"), *counts)
+        sums = [F.coalesce(F.sum(f"_rule{i}"), F.lit(0)) for i in range(len(breaches))]
+        names, sums = ["primary key", *breaches], [F.count_if((F.col("_n") > 1) | null_key), *sums]
+    else:
+        by_key, names, sums = df, list(breaches), [F.count_if(b) for b in breaches.values()]
+    lines = F.array(*[F.struct(F.lit(n).alias("rule"), c.alias("violations")) for n, c in zip(names, sums)])
+    return by_key.agg(lines.alias("_lines")).select(F.inline("_lines"))
+
+
+def observed(df: DataFrame, not_null: Sequence[str] = (),
+             max_length: Mapping[str, int] | None = None) -> tuple[DataFrame, Observation]:
+    """``df`` and counts of its rows and of what breaks each rule, made while ``df`` is written.
+
+    The counts are in the observation's ``get`` once a job has run over all of ``df``, which costs no pass of
+    its own.
+    """
+    watch = Observation()
+    counts = [F.count_if(b).alias(reason) for reason, b in _breaches(not_null, max_length).items()]
+    return df.observe(watch, F.count(F.lit(1)).alias("rows"), *counts), watch
+
+
 def conform(df: DataFrame, table: T.StructType,
             renames: Mapping[str, str] | None = None) -> DataFrame:
     """Exactly the declared columns, in order and type.

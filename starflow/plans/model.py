@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,15 +12,16 @@ from pyspark.sql import types as T
 from starflow import schemas as S
 from starflow.functions import optional, parse_hour, parse_station_time
 from starflow.operators.asof import asof_join
+from starflow.operators.changes import CHANGE, version_changes
 from starflow.operators.dedupe import latest_per_key
 from starflow.operators.joins import aligned_join, left_enrich
 from starflow.operators.keys import dense_key
-from starflow.operators.merge import append_new, insert_keyed, upsert
+from starflow.operators.merge import insert_keyed, upsert
 from starflow.operators.quality import (
+    checked,
     conform,
     fk_orphans,
     misfits,
-    pk_violations,
     quarantined_rows,
     valid_rows,
 )
@@ -32,7 +36,10 @@ from starflow.operators.reshape import (
 from starflow.session import prepare, scratch, stage, together
 from starflow.sources import documents as D
 from starflow.sources import jdbc as J
+from starflow.sources import ledger as G
+from starflow.sources import snapshots as N
 from starflow.sources import tables as W
+from starflow.sources.facts import FactTable
 
 # Output column of each hourly array of the source document.
 HOURLY_ARRAYS = {
@@ -50,7 +57,13 @@ NETWORK_ID = "network_id"
 FACT_KEY = ["station_id", "timestamp"]
 ORIGIN = [D.MODIFIED, D.FILE]  # a later file replaces an earlier one
 _OFFSET, _ZONED = "_utc_offset", r"(Z|[+-]\d\d:?\d\d)\s*$"
-REJECTED = "rejected"
+REJECTED, TAKEN = "rejected", "taken_files"
+ORIGIN_FIELDS = S.fields(**{D.MODIFIED: S.TIME, D.FILE: S.TEXT})
+#: The facts that loads keep; their numbers are handed out once and stay.
+FACT = FactTable("fact_bike_weather", S.LOADED_FACT, FACT_KEY, ORIGIN_FIELDS, ["weather_id"], "fact_id")
+STATION_STATUS = FactTable(
+    "fact_station_status", T.StructType([f for f in S.STATION_STATUS.fields if f.name != "status_id"]),
+    FACT_KEY, ORIGIN_FIELDS, number="status_id")
 ROW = "row_number"  # tells copies of a stored status row apart
 
 
@@ -145,10 +158,14 @@ def fact_bike_weather(status: DataFrame, weather: DataFrame, align: str = "exact
     return joined.select(*names, *[c for c in status.columns if c not in names])
 
 
+def network_rows(docs: DataFrame) -> DataFrame:
+    """A row for each document's network, with its origin."""
+    return docs.select(*[F.col(f"network.{c}").alias(c) for c in S.NETWORK.names], *ORIGIN)
+
+
 def dim_network(docs: DataFrame) -> DataFrame:
-    columns = S.NETWORK.names
-    rows = docs.select(*[F.col(f"network.{c}").alias(c) for c in columns], *ORIGIN)
-    rows = rows.where(F.col("id").isNotNull())
+    """The networks that have an id, by the newest file; ``network_rows`` has the others too."""
+    rows = network_rows(docs).where(F.col("id").isNotNull())
     return conform(latest_per_key(rows, ["id"], ORIGIN), S.NETWORK)
 
 
@@ -205,9 +222,11 @@ def unusable(stations: DataFrame, weather: DataFrame, damaged_hours: DataFrame)
 def warehouse_fact(fact: DataFrame, start: int = 1) -> DataFrame:
     """The fact in the warehouse's declared columns (``slots`` becomes ``total_slots``).
 
-    ``fact`` holds each station and timestamp once, as ``load_tables`` leaves it.
+    ``fact`` holds each station and timestamp once, as ``load_tables`` leaves it.  Rows that have their
+    number already keep it; others are numbered here, in the order of time.
     """
-    keyed = dense_key(fact, "fact_id", ["timestamp", "station_id"], start=start)
+    keyed = fact if "fact_id" in fact.columns else dense_key(
+        fact, "fact_id", ["timestamp", "station_id"], start=start)
     return conform(keyed, S.WAREHOUSE_FACT, S.FACT_RENAMES)
 
 
@@ -217,11 +236,12 @@ def build_tables(spark: SparkSession, stations_path: str, hourly_path: str, out:
 
     The keyed dimension is stored first and read back, so the fact uses the very keys that
     are stored.  The version counts as finished only when all its tables are there, so a
-    reader of ``processed_path`` never sees tables of two runs.  What could not be used is in its
-    table ``rejected``; ``strict`` fails instead, on damaged documents and on absent fields.
+    reader of ``processed_path`` never sees tables of two runs, and runs at the same time build a
+    version each.  What could not be used is in its table ``rejected``; ``strict`` fails instead, on
+    damaged documents and on absent fields.
     """
     prepare(spark)
-    version = (W.latest_version(spark, out) or 0) + 1
+    version = W.claim_version(spark, out)
     path = W.version_path(out, version)
     with scratch(spark):
         def store_weather() -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -249,7 +269,7 @@ def processed_path(spark: SparkSession, out: str) -> str:
     return W.version_path(out, W.latest_version(spark, out))
 
 
-def _parsed_stations(spark: SparkSession, path: str, multi_line: bool, strict: bool,
+def _parsed_stations(spark: SparkSession, path: str | list[str], multi_line: bool, strict: bool,
                      modified_after: str | None = None) -> DataFrame:
     """Stored station rows, and a row for each damaged document."""
     schema = S.STATION_DOCUMENT_TEXT if strict else S.STATION_DOCUMENT
@@ -270,7 +290,7 @@ def _fail_on_damage(docs: DataFrame) -> None:
         raise ValueError(f"a document does not parse in full: {broken[0][D.FILE]}")
 
 
-def _parsed_weather(spark: SparkSession, path: str, multi_line: bool, strict: bool = False,
+def _parsed_weather(spark: SparkSession, path: str | list[str], multi_line: bool, strict: bool = False,
                     modified_after: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Stored rows of the hours, and the damaged documents."""
     docs = D.read_documents(spark, path, S.HOURLY_DOCUMENT, multi_line, modified_after)
@@ -285,55 +305,37 @@ def _placed(fact: DataFrame, align: str) -> DataFrame:
     return stage(dated, "fact") if align == "asof" else dated
 
 
-def fill_weather(spark: SparkSession, path: str, weather: DataFrame, days: list,
-                 schema: T.StructType = S.LOADED_FACT, align: str = "hour") -> None:
-    """Give stored fact rows of ``days`` the key of weather that came after them.
-
-    Only the partitions of those days are read and replaced.
-    """
-    dated = T.StructType([*schema.fields, T.StructField("date", T.DateType())])
-    if not days or not W.has_data(spark, path):
-        return
-    target = spark.read.schema(dated).parquet(path).where(F.col("date").isin(days))
-    found = fact_bike_weather(target.drop("weather_id", "date"), weather, align)
-    filled = stage(W.with_date(found).select(*dated.names), "filled")
-    W.replace_partitions(filled, path, "date", FACT_KEY)
-
-
 def load_tables(spark: SparkSession, stations_path: str, hourly_path: str, warehouse: str,
                 align: str = "hour", multi_line: bool = True, strict: bool = False,
-                modified_after: str | None = None) -> None:
+                modified_after: str | None = None, ledger: bool = False) -> N.Snapshot:
     """Merge the documents of a landing directory into the warehouse tables.
 
-    Dimensions are upserted into a new version, weather hours keep the key they
-    once got, and the fact takes only rows it lacks: a rerun changes nothing.  Of two
-    payloads for one station and time the later file's is stored.  Rows stored before their
-    hour was known get its key when it comes.  Each run stores what it could not use in a new
-    version of ``rejected``; ``strict`` fails instead.  With ``modified_after`` only files
-    written since are read, so a run costs what is new rather than all that ever
-    landed; overlap does no harm.
+    Dimensions are upserted, weather hours keep the key they once got, and the fact takes what it
+    lacks: a rerun changes nothing.  Of the payloads for one station and time the latest file's
+    counts, whether they come in one load or in several.  Rows stored before their hour was known get its
+    key when it comes.  A fact row's number is handed out when it is stored and never changes.
+    What a run could not use is added to ``rejected``; ``strict`` fails instead.
+
+    All tables change at once, by the commit at the end.  Of two loads at the same time the second one to
+    finish stops with ``CommitConflict`` and leaves nothing behind; run it again.
+
+    With ``ledger`` each file is taken once, whatever its time: the files taken are kept with the tables, by
+    path, length and time.  With ``modified_after`` only files written since are read; overlap
+    does no harm.  Either way a run costs what is new rather than all that ever landed.
     """
     prepare(spark)
-    fact_path = f"{warehouse}/fact_bike_weather"
+    with N.load(spark, warehouse) as load, scratch(spark):
+        if ledger:
+            seen = load.base.rows(spark, TAKEN, G.FILES)
+            new = stage(G.untaken(spark, {"stations": stations_path, "hours": hourly_path}, seen, modified_after), "new-files")
+            load.add(TAKEN, f"{load.number:012d}", new)
+            taken = G.paths(new)
+            stations_path, hourly_path, modified_after = taken.get("stations", []), taken.get("hours", []), None
 
-    def next_version(name: str, merged) -> DataFrame:
-        path = f"{warehouse}/{name}"
-        version = W.latest_version(spark, path)
-        stored = W.write_version(merged(path, version), path, (version or 0) + 1)
-        W.drop_versions(spark, path)
-        return stored
-
-    with scratch(spark):
         def merge_weather() -> tuple[DataFrame, list, DataFrame, DataFrame]:
             parsed, damaged = _parsed_weather(spark, hourly_path, multi_line, strict, modified_after)
             hours = stage(weather_hours(parsed), "hours")
-            path = f"{warehouse}/dim_weather"
-            target = W.read_version(spark, path, S.DIM_WEATHER)
-            fresh = hours.join(target.select("timestamp"), "timestamp", "left_anti")
-            # One value per calendar day with an hour that was not known.
-            days = [r[0] for r in fresh.select(F.to_date("timestamp")).distinct().collect()]
-            weather = next_version("dim_weather", lambda path, version: insert_keyed(
-                W.read_version(spark, path, S.DIM_WEATHER, version), hours, ["timestamp"], "weather_id"))
+            weather, days = merge_hours(load, hours)
             return weather, days, parsed, damaged
 
         stations, (weather, days, parsed, damaged) = together(
@@ -344,17 +346,95 @@ def load_tables(spark: SparkSession, stations_path: str, hourly_path: str, wareh
         newest = stage(dim_station(whole), "newest_stations")
         together(
             spark,
-            lambda: next_version("dim_station", lambda path, version: upsert(
-                W.read_version(spark, path, S.DIM_STATION, version), newest, ["station_id"])),
-            lambda: next_version(REJECTED, lambda path, version: unusable(stations, parsed, damaged)))
+            lambda: load.replace("dim_station", upsert(
+                load.base.table(spark, "dim_station", S.DIM_STATION), newest, ["station_id"])),
+            lambda: load.add(REJECTED, f"{load.number:012d}", unusable(stations, parsed, damaged)))
         # Both dimensions are stored by now, so no fact row ever lacks its parents.
         if days and align == "asof":
             # A new hour counts for all later rows up to the next one.
-            days = [d for d in W.stored_dates(spark, fact_path) if d >= min(days)]
-        fill_weather(spark, fact_path, weather, days, align=align)
+            days = [d for d in FACT.days(load.state) if d >= min(days)]
+        FACT.fill(load, days, lambda rows: fact_bike_weather(rows, weather, align))
         status = valid_rows(status_rows(whole, *S.FACT_EXTRAS.names, *ORIGIN), not_null=FACT_KEY)
-        dated = W.with_date(fact_bike_weather(status, weather, align))
-        append_new(dated, fact_path, FACT_KEY, newest_by=ORIGIN)
+        FACT.merge(load, fact_bike_weather(status, weather, align))
+    return load.state
+
+
+def merge_hours(load: N.Load, hours: DataFrame) -> tuple[DataFrame, list]:
+    """Merge hours, one row each, into ``dim_weather``; the table and the days that got new hours."""
+    target = load.state.table(load.spark, "dim_weather", S.DIM_WEATHER)
+    fresh = hours.join(target.select("timestamp"), "timestamp", "left_anti")
+    # One value for each calendar day with an hour that was not known.
+    days = [r[0] for r in fresh.select(F.to_date("timestamp")).distinct().collect()]
+    return load.replace("dim_weather", insert_keyed(target, hours, ["timestamp"], "weather_id")), days
+
+
+def read_station(spark: SparkSession, warehouse: str) -> DataFrame:
+    return N.read_snapshot(spark, warehouse).table(spark, "dim_station", S.DIM_STATION)
+
+
+def read_weather(spark: SparkSession, warehouse: str) -> DataFrame:
+    return N.read_snapshot(spark, warehouse).table(spark, "dim_weather", S.DIM_WEATHER)
+
+
+def read_fact(spark: SparkSession, warehouse: str, days: list | None = None) -> DataFrame:
+    """The fact as corrected, with its numbers; of some days only their files are read."""
+    rows = FACT.read(spark, N.read_snapshot(spark, warehouse), days)
+    return rows.select("fact_id", *S.LOADED_FACT.names, "date")
+
+
+def read_rejected(spark: SparkSession, warehouse: str) -> DataFrame:
+    """What loads could not use."""
+    return N.read_snapshot(spark, warehouse).rows(spark, REJECTED, S.REJECTED)
+
+
+def compact_tables(spark: SparkSession, warehouse: str, **settings) -> list[str]:
+    """Fold corrections and small files of the facts into files of a good size; returns the days."""
+    prepare(spark)
+    with N.load(spark, warehouse) as load, scratch(spark):
+        return sorted({d for table in (FACT, STATION_STATUS) for d in table.compact(load, **settings)})
+
+
+def load_network_tables(spark: SparkSession, stations_path: str, warehouse: str, multi_line: bool = True,
+                        modified_after: str | None = None) -> N.Snapshot:
+    """Merge the documents of a landing directory into the network tables.
+
+    Networks and stations are upserted, and status rows added, or corrected by later files; their numbers stay.
+    Networks and statuses without an id, damaged documents and values that a declared type cannot
+    hold are lines in ``rejected``.  A status without a time is kept, once for each station.
+    """
+    prepare(spark)
+    with N.load(spark, warehouse) as load, scratch(spark):
+        docs = stage(D.read_documents(spark, stations_path, S.STATION_DOCUMENT, multi_line, modified_after), "documents")
+        whole = docs.where(F.col(S.CORRUPT).isNull())
+        networks, stations = network_rows(whole), station_rows(D.readable(docs))
+        declared = STATION_STATUS.columns
+        status = stations.select(*declared.names, *ORIGIN)
+        wide = misfits(status, declared).select(
+            F.lit("stations").alias("source"), F.array_join("violations", ", ").alias("reason"),
+            F.to_json(F.struct(*declared.names)).alias("content"),
+            F.col(D.FILE).alias("file"), F.col(D.MODIFIED).alias("modified"))
+        left = union_all([
+            rejected_documents("stations", D.damaged(docs)), rejected_rows("networks", networks, ["id"]),
+            rejected_rows("stations", status, ["station_id"]), wide])
+        together(
+            spark,
+            lambda: load.replace("dim_network", upsert(
+                load.base.table(spark, "dim_network", S.NETWORK), stage(dim_network(docs), "networks"), ["id"])),
+            lambda: load.replace("dim_network_station", upsert(
+                load.base.table(spark, "dim_network_station", S.NETWORK_STATION),
+                stage(dim_network_station(stations), "network-stations"), ["station_id"])),
+            lambda: load.add(REJECTED, f"{load.number:012d}", left))
+        fits = status.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in declared.fields], *ORIGIN)
+        STATION_STATUS.merge(load, valid_rows(fits, not_null=["station_id"]))
+    return load.state
+
+
+def read_network_tables(spark: SparkSession, warehouse: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Networks, stations and statuses, of one state of the warehouse."""
+    state = N.read_snapshot(spark, warehouse)
+    status = STATION_STATUS.read(spark, state).select(*S.STATION_STATUS.names)
+    return (state.table(spark, "dim_network", S.NETWORK),
+            state.table(spark, "dim_network_station", S.NETWORK_STATION), status)
 
 
 def undeclared(df: DataFrame, table: T.StructType,
@@ -372,23 +452,34 @@ def warehouse_weather(dim: DataFrame) -> DataFrame:
 
 
 def load_jdbc(spark: SparkSession, warehouse: str, url: str, properties: dict[str, str],
-              replace: bool = False, days: list | None = None) -> None:
-    """The tables ``load_tables`` keeps into a JDBC warehouse, dimensions first.
+              replace: bool = False, days: list | None = None, since: int | None = None) -> None:
+    """The tables ``load_tables`` keeps into a JDBC warehouse, dimensions first, all of one state.
 
     Weather keys are the stored ones, which no later run changes, so they can be
     upserted on.  Dimensions are upserted and the fact takes only rows it lacks, from the
     dates in ``days`` if given, so that a run sends what is new and not the whole fact.
+    With ``since``, the number of a commit that is still kept, dimensions too send only the
+    rows that were added or changed after it, and those removed are deleted.
     With ``replace`` all three tables are emptied in one statement, as they refer to each other, and
-    get exactly the stored rows.  The database numbers the fact rows itself.  Rows with a value
+    get exactly the stored rows, through staging tables, so that a task that runs twice leaves no copies.
+    The database numbers the fact rows itself.  Rows with a value
     that a declared type cannot hold are stored in ``misfits`` below ``warehouse``.
     """
     prepare(spark)
-    stations = W.read_version(spark, f"{warehouse}/dim_station", S.DIM_STATION)
-    weather = W.read_version(spark, f"{warehouse}/dim_weather", S.DIM_WEATHER)
-    fact = W.read_table(spark, f"{warehouse}/fact_bike_weather",
-                        T.StructType([*S.LOADED_FACT.fields, T.StructField("date", T.DateType())]))
-    if days is not None:
-        fact = fact.where(F.col("date").isin(days))
+    state = N.read_snapshot(spark, warehouse)
+    stations = state.table(spark, "dim_station", S.DIM_STATION)
+    weather = state.table(spark, "dim_weather", S.DIM_WEATHER)
+    fact = FACT.read(spark, state, days).select(*S.LOADED_FACT.names, "date")
+    gone = {}
+    if since is not None:
+        before = N.read_snapshot(spark, warehouse, since)
+        changed = {}
+        for name, now, schema, key in (("dim_station", stations, S.DIM_STATION, "station_id"),
+                                       ("dim_weather", weather, S.DIM_WEATHER, "weather_id")):
+            found = stage(version_changes(before.table(spark, name, schema), now, [key]), f"{name}-changes")
+            changed[name] = found.where(F.col(CHANGE) != "removed").select(*schema.names)
+            gone[name] = found.where(F.col(CHANGE) == "removed").select(key)
+        stations, weather = changed["dim_station"], changed["dim_weather"]
     declared = T.StructType([f for f in S.WAREHOUSE_FACT.fields if f.name != "fact_id"])
     path = f"{warehouse}/misfits"
     W.write_version(union_all([
@@ -401,13 +492,11 @@ def load_jdbc(spark: SparkSession, warehouse: str, url: str, properties: dict[st
     if replace:
         tables = ["fact_bike_weather", "dim_station", "dim_weather"]
         J.execute(spark, url, properties, J.truncate_statement(tables))
-        J.append_jdbc(stations, url, "dim_station", properties)
-        J.append_jdbc(weather, url, "dim_weather", properties)
-        J.append_jdbc(fact, url, "fact_bike_weather", properties)
-    else:
-        J.upsert_jdbc(stations, url, "dim_station", ["station_id"], properties)
-        J.upsert_jdbc(weather, url, "dim_weather", ["weather_id"], properties)
-        J.append_new_jdbc(fact, url, "fact_bike_weather", FACT_KEY, properties)
+    J.upsert_jdbc(stations, url, "dim_station", ["station_id"], properties)
+    J.upsert_jdbc(weather, url, "dim_weather", ["weather_id"], properties)
+    J.append_new_jdbc(fact, url, "fact_bike_weather", FACT_KEY, properties)
+    for name, keys in gone.items():
+        J.delete_jdbc(keys, url, name, keys.columns, properties)
 
 
 def warehouse_misfits(df: DataFrame, table: T.StructType, source: str,
@@ -419,33 +508,44 @@ def warehouse_misfits(df: DataFrame, table: T.StructType, source: str,
 
 
 def constraint_report(stations: DataFrame, weather: DataFrame, fact: DataFrame) -> DataFrame:
-    """Rows that break each constraint declared for warehouse A, one line per constraint."""
-    return _report({
-        "dim_station primary key": pk_violations(stations, ["station_id"]),
-        "dim_weather primary key": pk_violations(weather, ["weather_id"]),
-        "dim_weather timestamp not null": weather.where(F.col("timestamp").isNull()),
-        "fact station_id foreign key": fk_orphans(fact, stations, {"station_id": "station_id"}),
-        "fact weather_id foreign key": fk_orphans(fact, weather, {"weather_id": "weather_id"}),
-        "fact timestamp not null": fact.where(F.col("timestamp").isNull()),
-    })
+    """Rows that break each constraint declared for warehouse A, one line per constraint.
+
+    Each table is read once for all its own rules, and once more for each foreign key it takes part in.
+    """
+    return union_all([
+        _checked("dim_station", stations, ["station_id"]),
+        _checked("dim_weather", weather, ["weather_id"], not_null=["timestamp"]),
+        _checked("fact", fact, not_null=["timestamp"]),
+        _orphans("fact", fact, stations, "station_id", "station_id"),
+        _orphans("fact", fact, weather, "weather_id", "weather_id")])
 
 
 def network_constraint_report(networks: DataFrame, stations: DataFrame, status: DataFrame) -> DataFrame:
     """The same for warehouse B, its declared text lengths included."""
-    return _report({
-        "dim_network primary key": pk_violations(networks, ["id"]),
-        "dim_network text lengths": quarantined_rows(networks, max_length=S.NETWORK_LENGTHS),
-        "dim_station primary key": pk_violations(stations, ["station_id"]),
-        "dim_station network_id foreign key": fk_orphans(stations, networks, {NETWORK_ID: "id"}),
-        "dim_station text lengths": quarantined_rows(stations, max_length=S.NETWORK_STATION_LENGTHS),
-        "status primary key": pk_violations(status, ["status_id"]),
-        "status station_id not null": status.where(F.col("station_id").isNull()),
-        "status station_id foreign key": fk_orphans(status, stations, {"station_id": "station_id"}),
-        "status text lengths": quarantined_rows(status, max_length=S.STATION_STATUS_LENGTHS),
-    })
-
-
-def _report(checks: dict[str, DataFrame]) -> DataFrame:
     return union_all([
-        rows.agg(F.lit(name).alias("constraint"), F.count("*").alias("violations"))
-        for name, rows in checks.items()])
+        _checked("dim_network", networks, ["id"], lengths=S.NETWORK_LENGTHS),
+        _checked("dim_station", stations, ["station_id"], lengths=S.NETWORK_STATION_LENGTHS),
+        _orphans("dim_station", stations, networks, NETWORK_ID, "id"),
+        _checked("status", status, ["status_id"], ["station_id"], S.STATION_STATUS_LENGTHS),
+        _orphans("status", status, stations, "station_id", "station_id")])
+
+
+_LENGTHS = "text lengths"
+
+
+def _checked(table: str, df: DataFrame, key: list[str] | None = None, not_null: list[str] | None = None,
+             lengths: dict[str, int] | None = None) -> DataFrame:
+    """A table's own rules; a row with several texts that are too long is one violation."""
+    columns = [*(key or []), *(not_null or [])]
+    df = df.select(*dict.fromkeys([*columns, *(lengths or {})]))
+    if lengths:
+        long = reduce(or_, [F.coalesce(F.char_length(c) > n, F.lit(False)) for c, n in lengths.items()])
+        df = df.select(*dict.fromkeys(columns), F.when(~long, F.lit(True)).alias(_LENGTHS))
+    rules = checked(df, key or [], [*(not_null or []), *([_LENGTHS] if lengths else [])])
+    name = F.regexp_replace(F.regexp_replace("rule", "is null$", "not null"), f"^{_LENGTHS} not null$", _LENGTHS)
+    return rules.select(F.concat(F.lit(f"{table} "), name).alias("constraint"), "violations")
+
+
+def _orphans(table: str, df: DataFrame, parent: DataFrame, column: str, key: str) -> DataFrame:
+    return fk_orphans(df.select(column), parent, {column: key}).agg(
+        F.lit(f"{table} {column} foreign key").alias("constraint"), F.count("*").alias("violations"))

@@ -6,6 +6,7 @@ The text beside each query in ``oracle.py`` says the same in SQL.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,7 @@ from starflow.operators import (
     insert_keyed,
     latest_per_key,
     left_enrich,
+    lookup,
     pk_violations,
     project,
     quarantined_rows,
@@ -41,12 +43,16 @@ from starflow.operators import (
     unnest,
     upsert,
     valid_rows,
+    version_changes,
+    write_clustered,
     zip_arrays,
 )
 from starflow.plans import landing, model
 from starflow.session import prepare, scratch_path, stage, together
 from starflow.sources import documents as D
+from starflow.sources import ledger, snapshots
 from starflow.sources import tables as W
+from starflow.sources import variants as V
 from starflow.streaming import status as live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -493,8 +499,17 @@ def build_fact_station_status(spark, sf_dir):
 
 
 def _loaded(spark, warehouse):
-    fact = W.read_table(spark, f"{warehouse}/fact_bike_weather", S.LOADED_FACT)
-    return without_zone(model.warehouse_fact(fact))
+    return without_zone(model.warehouse_fact(model.read_fact(spark, warehouse)))
+
+
+def _middle(events):
+    """The time halfway between the first and the last event, in seconds."""
+    ts = F.col("ts").cast("timestamp")
+    return events.agg((F.unix_seconds(F.min(ts)) / 2 + F.unix_seconds(F.max(ts)) / 2).alias("m")).first()["m"]
+
+
+def _seconds():
+    return F.unix_seconds(F.col("ts").cast("timestamp"))
 
 
 @query
@@ -511,9 +526,7 @@ def late_weather(spark, sf_dir):
     """Status is loaded when only the first half of the weather is known, then the rest comes."""
     events = table(spark, sf_dir, "events")
     stations, hours = _landed_stations(spark, sf_dir), scratch_path(spark, "hours")
-    middle = events.agg((F.unix_seconds(F.min(F.col("ts").cast("timestamp"))) / 2
-                         + F.unix_seconds(F.max(F.col("ts").cast("timestamp"))) / 2).alias("m")).first()["m"]
-    late = F.unix_seconds(F.col("ts").cast("timestamp")) > middle
+    late = _seconds() > _middle(events)
     warehouse = scratch_path(spark, "warehouse")
     for part in (events.where(~late), events.where(late)):
         D.land_documents(landing.hourly_documents(part), hours)
@@ -521,6 +534,116 @@ def late_weather(spark, sf_dir):
     return _loaded(spark, warehouse)
 
 
+@query
+def durable_fact_numbers(spark, sf_dir):
+    """The later half of the statuses is loaded first, then all: what is stored keeps its number."""
+    events = table(spark, sf_dir, "events")
+    stations, hours = scratch_path(spark, "stations"), _landed_hours(spark, sf_dir)
+    late = _seconds() > _middle(events)
+    warehouse = scratch_path(spark, "warehouse")
+    for part in (events.where(late), events.where(~late)):
+        D.land_documents(landing.station_documents(part), stations)
+        model.load_tables(spark, stations, hours, warehouse, multi_line=False)
+    return _loaded(spark, warehouse)
+
+
+def _corrected(events):
+    """The events that are sent again, each with a value that is greater by one."""
+    return events.where("event_type <> 'view'").withColumn("value", F.col("value") + 1)
+
+
+@query
+def load_corrections(spark, sf_dir):
+    """Statuses are loaded, then most come again in later files with other values; the fact is compacted."""
+    events = table(spark, sf_dir, "events")
+    stations, hours = _landed(spark, sf_dir)
+    warehouse = scratch_path(spark, "warehouse")
+    model.load_tables(spark, stations, hours, warehouse, multi_line=False)
+    D.land_documents(landing.station_documents(_corrected(events)), stations)
+    model.load_tables(spark, stations, hours, warehouse, multi_line=False)
+    model.compact_tables(spark, warehouse)
+    return _loaded(spark, warehouse)
+
+
+@query
+def ledger_loads(spark, sf_dir):
+    """Files land in folders by day and are loaded three times by the ledger: how often each was taken, and the rows."""
+    events = table(spark, sf_dir, "events")
+    stations, hours, warehouse = (scratch_path(spark, n) for n in ("stations", "hours", "warehouse"))
+    third = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    for k in range(3):
+        day = date(2025, 1, 1 + k)
+        D.land_documents(landing.station_documents(events.where(third == k)), stations, day)
+        D.land_documents(landing.hourly_documents(events.where(third == k)), hours, day)
+        model.load_tables(spark, stations, hours, warehouse, multi_line=False, ledger=True)
+    files = snapshots.read_snapshot(spark, warehouse).rows(spark, model.TAKEN, ledger.FILES)
+    times = files.groupBy("source", "path").agg(F.count("*").alias("n")).agg(F.max("n").alias("n")).first()["n"]
+    fact = model.read_fact(spark, warehouse).groupBy("station_id").agg(
+        F.count("*").alias("rows"), F.count("weather_id").alias("with_weather"), F.sum("free_bikes").alias("bikes"))
+    return fact.withColumn("times_taken", F.lit(times).cast("bigint"))
+
+
+def _network_warehouse(spark, sf_dir):
+    """Statuses are loaded in two halves, the later first, and then all of them again."""
+    events = table(spark, sf_dir, "events")
+    stations, warehouse = scratch_path(spark, "stations"), scratch_path(spark, "network")
+    late = _seconds() > _middle(events)
+    for part in (events.where(late), events.where(~late), events):
+        D.land_documents(landing.station_documents(part), stations)
+        model.load_network_tables(spark, stations, warehouse, multi_line=False)
+    return warehouse
+
+
+@query
+def load_network_status(spark, sf_dir):
+    return without_zone(model.read_network_tables(spark, _network_warehouse(spark, sf_dir))[2])
+
+
+@query
+def load_network_stations(spark, sf_dir):
+    networks, stations, _ = model.read_network_tables(spark, _network_warehouse(spark, sf_dir))
+    networks = networks.select(F.col("id").alias("network_id"), F.col("name").alias("network"), "country")
+    return left_enrich(stations, stage(networks, "networks"), "network_id")
+
+
+@query
+def lookup_by_weather(spark, sf_dir):
+    """All events clustered by hour and user; the events of the hour with the most of them, by its key."""
+    events = table(spark, sf_dir, "events")
+    hours = events.groupBy(hour_of().alias("timestamp")).agg(F.count("*").alias("n"))
+    weather = stage(dense_key(hours, "weather_id", ["timestamp"]), "hour_dim")
+    fact = stage(aligned_join(events, weather, "ts").select("event_id", "user_id", "ts", "value", "weather_id"), "fact")
+    path = scratch_path(spark, "clustered")
+    write_clustered(fact, path, ["weather_id", "user_id"], bloom={"weather_id": 100_000, "user_id": 100_000})
+    busiest = weather.orderBy(F.desc("n"), "timestamp").first()["weather_id"]
+    return lookup(spark.read.schema(fact.schema).parquet(path), weather_id=busiest)
+
+
+@query
+def version_changes_report(spark, sf_dir):
+    """Customers before and after some leave, some change and some come in, by what happened to each."""
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    before = customers.where("c_nationkey <> 3")
+    moved = F.when(F.col("c_nationkey") == 7, F.lit(None).cast("int")).otherwise(F.col("c_nationkey"))
+    after = customers.where("c_nationkey <> 11").withColumn("c_nationkey", moved.cast(customers.schema["c_nationkey"].dataType))
+    return version_changes(before, after, ["c_custkey"])
+
+
+@query
+def variant_fields(spark, sf_dir):
+    """Station documents parsed once into a stored variant: which fields each station has, one unknown to the schema too."""
+    texts = landing.station_documents(table(spark, sf_dir, "events"), "event_id")
+    texts = texts.select("event_id", F.to_json(F.struct("network"), {"ignoreNullFields": "false"}).alias("value"))
+    docs = stage(V.parse_documents(texts), "variants")
+    rows = V.strict_elements(docs, "network.stations", ["id", "latitude", "extra"], keep=["event_id"])
+    return rows.select(
+        "event_id", V.field("element", "id", "string").alias("station_id"),
+        V.field("element", "free_bikes", "bigint").alias("free_bikes"),
+        V.field("element", "extra.last_updated_epoch", "bigint").alias("epoch"),
+        V.state("element", "latitude").alias("latitude"), V.state("element", "extra").alias("extra"),
+        V.state("element", "extra.uid").alias("uid"), V.state("element", "extra.none").alias("none"))
+
+
 # --- streaming -------------------------------------------------------------
 
 def _streamed(spark, sf_dir, enrich=False, times=1):
@@ -563,3 +686,37 @@ def stream_latest(spark, sf_dir):
 def stream_keyed(spark, sf_dir):
     """All documents land twice; each status is stored once, whatever its age."""
     return without_zone(live.read_fact(spark, _streamed(spark, sf_dir, times=2)).drop("date"))
+
+
+@query
+def stream_corrections(spark, sf_dir):
+    """Statuses land and are streamed; then most land again with other values, in batches of their own."""
+    events = table(spark, sf_dir, "events")
+    landed, out, checkpoint = (scratch_path(spark, n) for n in ("landed", "live", "live_checkpoint"))
+    for part in (events, _corrected(events)):
+        D.land_documents(landing.station_documents(part), landed)
+        files = max(1, len(spark.read.text(landed).inputFiles()) // 3)
+        stream = live.status_stream(spark, landed, multi_line=False, max_files=files)
+        live.start(stream, live.keyed_writer(out), checkpoint).awaitTermination()
+    fact, latest = live.read_fact(spark, out).drop("date"), live.read_latest(spark, out)
+    newest = latest.select("station_id", "timestamp", F.lit(True).alias("newest"))
+    return without_zone(fact.join(newest, ["station_id", "timestamp"], "left").na.fill(False, ["newest"]))
+
+
+@query
+def stream_weather_join(spark, sf_dir):
+    """Statuses are streamed before any weather; then the weather's later half lands, and the rest last."""
+    events = table(spark, sf_dir, "events")
+    landed, hours, out, checkpoint = (scratch_path(spark, n) for n in ("landed", "hours", "live", "live_checkpoint"))
+    late = _seconds() > _middle(events)
+    D.land_documents(landing.station_documents(events), landed)
+    D.land_documents(landing.hourly_documents(events.where(F.lit(False))), hours)
+    for part in (None, events.where(late), events):
+        if part is not None:
+            D.land_documents(landing.hourly_documents(part), hours)
+        stream = live.with_weather(live.status_stream(spark, landed, multi_line=False),
+                                   live.weather_stream(spark, hours, multi_line=False))
+        live.start(stream, live.joined_writer(out), checkpoint).awaitTermination()
+    weather = stage(live.read_weather(spark, out).select("weather_id", F.col("timestamp").alias("hour"), "temperature"), "weather")
+    fact = live.read_fact(spark, out, live.ENRICHED).drop("date")
+    return without_zone(left_enrich(fact, weather, "weather_id").drop("weather_id"))

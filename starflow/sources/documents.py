@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from starflow.schemas import CORRUPT
 
 FILE, MODIFIED = "_file", "_modified"
+LANDED = "landed"
 
 
 def _reader_options(multi_line: bool) -> dict[str, str]:
@@ -28,9 +30,9 @@ def with_origin(docs: DataFrame) -> DataFrame:
                              MODIFIED: F.col("_metadata.file_modification_time")})
 
 
-def read_documents(spark: SparkSession, path: str, schema: T.StructType,
+def read_documents(spark: SparkSession, path: str | list[str], schema: T.StructType,
                    multi_line: bool = True, modified_after: str | None = None) -> DataFrame:
-    """One row per document, plus its origin.
+    """One row per document of a folder or of a list of files, plus its origin.
 
     ``multi_line=True`` is for pretty-printed captures, one document per file;
     small files are packed into common tasks, a file is never split.
@@ -38,10 +40,13 @@ def read_documents(spark: SparkSession, path: str, schema: T.StructType,
     ``modified_after`` (``yyyy-MM-ddTHH:mm:ss``, UTC) skips files already taken.
     A document that does not parse in full has its text in ``_corrupt_record``.
     """
+    if not path:
+        origin = [T.StructField(FILE, T.StringType()), T.StructField(MODIFIED, T.TimestampType())]
+        return spark.createDataFrame([], T.StructType([*with_corrupt(schema).fields, *origin]))
     reader = spark.read.schema(with_corrupt(schema)).options(**_reader_options(multi_line))
     if modified_after:
         reader = reader.option("modifiedAfter", modified_after).option("timeZone", "UTC")
-    return with_origin(reader.json(path))
+    return with_origin(reader.json(path)).select(*with_corrupt(schema).names, FILE, MODIFIED)
 
 
 def stream_documents(spark: SparkSession, path: str, schema: T.StructType,
@@ -88,8 +93,12 @@ def damaged(docs: DataFrame) -> DataFrame:
     return docs.where(F.col(CORRUPT).isNotNull() & parsed).select(CORRUPT, FILE, MODIFIED)
 
 
-def land_documents(docs: DataFrame, path: str) -> None:
-    """Add documents to the landing directory as JSON lines; earlier files stay."""
+def land_documents(docs: DataFrame, path: str, day: date | None = None) -> None:
+    """Add documents to the landing directory as JSON lines; earlier files stay.
+
+    With ``day`` they go to its folder, ``landed=<day>``, so that no folder grows without end.
+    """
+    path = path if day is None else f"{path}/{LANDED}={day.isoformat()}"
     (docs.write.mode("append").option("ignoreNullFields", "true")
          .option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
          .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(path))

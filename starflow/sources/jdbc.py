@@ -50,6 +50,12 @@ def append_new_statement(table: str, staging: str, columns: Sequence[str],
             f"WHERE NOT EXISTS (SELECT 1 FROM {table} t WHERE {same})")
 
 
+def delete_statement(table: str, staging: str, key: Sequence[str]) -> str:
+    """Statement that removes the rows whose keys are staged."""
+    same = " AND ".join(f"t.{c} = s.{c}" for c in key)
+    return f"DELETE FROM {table} t WHERE EXISTS (SELECT 1 FROM {staging} s WHERE {same})"
+
+
 def truncate_statement(tables: Sequence[str]) -> str:
     """Empty tables that refer to each other, which a database refuses one by one."""
     return f"TRUNCATE {', '.join(tables)}"
@@ -85,6 +91,12 @@ def append_new_jdbc(df: DataFrame, url: str, table: str, key: Sequence[str],
            lambda staging: append_new_statement(table, staging, df.columns, key), **writer)
 
 
+def delete_jdbc(keys: DataFrame, url: str, table: str, key: Sequence[str],
+                properties: Mapping[str, str], **writer) -> None:
+    """Remove the rows of these keys, through a staging table and in one statement."""
+    _merge(keys, url, table, properties, lambda staging: delete_statement(table, staging, key), **writer)
+
+
 def execute(spark: SparkSession, url: str, properties: Mapping[str, str],
             statement: str) -> None:
     """Run one statement on the target."""

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starflow.sources.snapshots import create_once
+
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
@@ -84,6 +86,16 @@ def latest_version(spark: SparkSession, path: str) -> int | None:
     return max(finished_versions(spark, path), default=None)
 
 
+def claim_version(spark: SparkSession, path: str) -> int:
+    """The number of a new version that no other run builds; one never finished keeps its number."""
+    taken = [int(s.getPath().getName().removeprefix("version=")) for s in _children(spark, path)
+             if s.getPath().getName().startswith("version=")]
+    version = max(taken, default=0) + 1
+    while not create_once(spark, f"{version_path(path, version)}/_claimed"):
+        version += 1
+    return version
+
+
 def finish_version(spark: SparkSession, path: str, version: int) -> None:
     """Mark a version of several tables as complete."""
     mark = spark._jvm.org.apache.hadoop.fs.Path(f"{version_path(path, version)}/_SUCCESS")

@@ -6,7 +6,8 @@ import pytest
 
 from starflow import schemas as S
 from starflow.plans import model
-from starflow.sources import jdbc
+from starflow.session import scratch
+from starflow.sources import jdbc, snapshots
 
 URL, LOGIN = "jdbc:postgresql://host/db", {"user": "u", "driver": "org.postgresql.Driver"}
 
@@ -93,18 +94,17 @@ def test_append_new_statement():
 
 @pytest.fixture
 def warehouse(spark, tmp_path):
-    spark.createDataFrame([], S.DIM_STATION).write.parquet(f"{tmp_path}/dim_station/version=1")
-    weather = spark.createDataFrame([(1, None, 1e30, None, None, None, None)], S.DIM_WEATHER)
-    weather.write.parquet(f"{tmp_path}/dim_weather/version=1")
-    fact = spark.createDataFrame([("a", None, n, 2, True, 1, 3, n) for n in (1, 2)], S.LOADED_FACT)
-    dated = fact.selectExpr("*", "date_add(date'2025-10-01', cast(ebikes as int)) as date")
-    dated.write.partitionBy("date").parquet(f"{tmp_path}/fact_bike_weather")
+    fact = spark.createDataFrame([("a", datetime.datetime(2025, 10, 1 + n), n, 2, True, 1, 3, n) for n in (1, 2)], S.LOADED_FACT)
+    with snapshots.load(spark, str(tmp_path)) as load, scratch(spark):
+        load.replace("dim_station", spark.createDataFrame([("a", "A", 1.0, 2.0, "x", True, 3)], S.DIM_STATION))
+        load.replace("dim_weather", spark.createDataFrame([(1, None, 1e30, None, None, None, None)], S.DIM_WEATHER))
+        model.FACT.merge(load, fact.selectExpr("*", "timestamp as _modified", "'f' as _file"))
     return tmp_path
 
 
 def loaded(spark, warehouse, monkeypatch, **settings):
     done = []
-    for name in ("append_jdbc", "upsert_jdbc", "append_new_jdbc"):
+    for name in ("append_jdbc", "upsert_jdbc", "append_new_jdbc", "delete_jdbc"):
         monkeypatch.setattr(jdbc, name, lambda df, url, table, *rest, n=name: done.append((n, table, df)))
     monkeypatch.setattr(jdbc, "execute", lambda spark, url, login, sql: done.append(("execute", sql, None)))
     model.load_jdbc(spark, str(warehouse), URL, LOGIN, **settings)
@@ -125,6 +125,26 @@ def test_warehouse_load(spark, warehouse, monkeypatch):
 def test_warehouse_replacement(spark, warehouse, monkeypatch):
     done = loaded(spark, warehouse, monkeypatch, replace=True)
     assert [d[:2] for d in done] == [
-        ("execute", "TRUNCATE fact_bike_weather, dim_station, dim_weather"), ("append_jdbc", "dim_station"),
-        ("append_jdbc", "dim_weather"), ("append_jdbc", "fact_bike_weather")]
+        ("execute", "TRUNCATE fact_bike_weather, dim_station, dim_weather"), ("upsert_jdbc", "dim_station"),
+        ("upsert_jdbc", "dim_weather"), ("append_new_jdbc", "fact_bike_weather")]
     assert done[3][2].count() == 2
+
+
+def test_only_changes_since_a_commit_are_sent(spark, warehouse, monkeypatch):
+    root = str(warehouse)
+    with snapshots.load(spark, root) as load:
+        load.replace("dim_station", spark.createDataFrame(
+            [("a", "A", 1.0, 2.0, "x", False, 3), ("b", "B", None, None, None, None, None)], S.DIM_STATION))
+        load.replace("dim_weather", spark.createDataFrame([], S.DIM_WEATHER))
+    done = loaded(spark, warehouse, monkeypatch, since=1)
+    sent = {(kind, table): df for kind, table, df in done}
+    assert sorted(tuple(r)[:2] for r in sent["upsert_jdbc", "dim_station"].collect()) == [("a", "A"), ("b", "B")]
+    assert sent["upsert_jdbc", "dim_weather"].count() == 0 == sent["delete_jdbc", "dim_station"].count()
+    assert [tuple(r) for r in sent["delete_jdbc", "dim_weather"].collect()] == [(1,)]
+    # Nothing has changed since the newest commit.
+    assert loaded(spark, warehouse, monkeypatch, since=2)[0][2].count() == 0
+
+
+def test_delete_statement():
+    assert jdbc.delete_statement("dim", "st", ["a", "b"]) == (
+        "DELETE FROM dim t WHERE EXISTS (SELECT 1 FROM st s WHERE t.a = s.a AND t.b = s.b)")

@@ -54,13 +54,12 @@ def load(spark, raw, align="hour"):
 
 
 def stored(spark, raw, name):
-    path = str(raw / "warehouse" / name)
-    schema = {"dim_station": S.DIM_STATION, "dim_weather": S.DIM_WEATHER}[name]
-    return W.read_version(spark, path, schema)
+    read = {"dim_station": model.read_station, "dim_weather": model.read_weather}[name]
+    return read(spark, str(raw / "warehouse"))
 
 
 def facts(spark, raw):
-    rows = spark.read.parquet(str(raw / "warehouse" / "fact_bike_weather")).collect()
+    rows = model.read_fact(spark, str(raw / "warehouse")).collect()
     return {(r.station_id, r.timestamp.strftime("%H:%M")): r.weather_id for r in rows}
 
 
@@ -110,12 +109,12 @@ def test_rerun_changes_nothing(spark, raw):
                       ("b", "23:00"): None}
     stations = sorted(map(tuple, stored(spark, raw, "dim_station").collect()), key=str)
     load(spark, raw)
-    fact = spark.read.parquet(str(raw / "warehouse" / "fact_bike_weather"))
+    fact = model.read_fact(spark, str(raw / "warehouse"))
     assert fact.count() == 4 and facts(spark, raw) == before
     assert sorted(map(tuple, stored(spark, raw, "dim_station").collect()), key=str) == stations
-    rejected = spark.read.parquet(str(raw / "warehouse" / "rejected")).collect()
-    assert sorted((r.version, r.source, r.reason, json.loads(r.content)["station_id"]) for r in rejected) == \
-        [(run, "stations", "timestamp is null", "c") for run in (1, 2)]
+    rejected = model.read_rejected(spark, str(raw / "warehouse")).collect()
+    assert sorted((r.source, r.reason, json.loads(r.content)["station_id"]) for r in rejected) == \
+        [("stations", "timestamp is null", "c")] * 2
 
 
 def test_only_new_files_are_read(spark, raw):
@@ -153,7 +152,7 @@ def test_later_forecast_keeps_keys(spark, raw):
 
 def test_constraints_hold_after_loading(spark, raw):
     load(spark, raw)
-    fact = spark.read.parquet(str(raw / "warehouse" / "fact_bike_weather"))
+    fact = model.read_fact(spark, str(raw / "warehouse"))
     report = model.constraint_report(stored(spark, raw, "dim_station"),
                                      stored(spark, raw, "dim_weather"), fact).collect()
     assert len(report) == 6 and all(r.violations == 0 for r in report)
@@ -185,8 +184,8 @@ def test_copies_are_kept_and_split(spark, raw, many_parts):
     assert len(list(out.glob("version=1/fact_bike_weather/date=*/*.parquet"))) > 1
 
 
-def rejected(spark, path):
-    rows = spark.read.schema(S.REJECTED).parquet(str(path)).collect()
+def rejected(rows):
+    rows = rows.collect()
     return sorted((r.source, r.reason, r.file.rsplit("/", 1)[1]) for r in rows)
 
 
@@ -209,10 +208,10 @@ LEFT = [("hours", "document does not parse in full", "cut.json"), ("hours", "tim
 def test_nothing_is_lost_without_a_line(spark, raw):
     damage(raw)
     load(spark, raw)
-    assert rejected(spark, raw / "warehouse" / "rejected" / "version=1") == LEFT
+    assert rejected(model.read_rejected(spark, str(raw / "warehouse"))) == LEFT
     assert ("z", "05:30") in facts(spark, raw)
     out = model.build_tables(spark, str(raw / "stations"), str(raw / "hours"), str(raw / "processed"))
-    assert rejected(spark, f"{out}/rejected") == LEFT
+    assert rejected(spark.read.schema(S.REJECTED).parquet(f"{out}/rejected")) == LEFT
 
 
 def test_strict_fails_on_damage(spark, tmp_path):
@@ -241,7 +240,7 @@ def test_late_weather_reaches_stored_facts(spark, raw, align):
     got = facts(spark, raw)
     assert (got[("b", "06:00")], got[("a", "07:30")]) == (2, 3)
     assert got[("b", "23:00")] == (3 if align == "asof" else None)
-    assert spark.read.parquet(str(raw / "warehouse" / "fact_bike_weather")).count() == 4
+    assert model.read_fact(spark, str(raw / "warehouse")).count() == 4
 
 
 def test_correction_in_a_later_file_is_stored(spark, raw):
@@ -249,7 +248,7 @@ def test_correction_in_a_later_file_is_stored(spark, raw):
         **station("a", "2025-10-21T05:10:00.000000+00:00Z", 77, ebikes=4), "empty_slots": 12})
     os.utime(raw / "stations" / "s1.json", (1_700_000_000, 1_700_000_000))
     load(spark, raw)
-    row, = spark.read.parquet(str(raw / "warehouse" / "fact_bike_weather")).where(
+    row, = model.read_fact(spark, str(raw / "warehouse")).where(
         "station_id = 'a' and hour(timestamp) = 5").collect()
     assert (row.free_bikes, row.empty_slots, row.ebikes) == (77, 12, 4)
 
