@@ -141,3 +141,77 @@ def test_enriched_stream_and_late_weather(spark, landing, tmp_path):
 def test_few_files(spark, landing, tmp_path, many_parts):
     run(spark, landing, tmp_path, max_files=None)
     assert len(list((tmp_path / "tables" / "fact").glob("load=*/date=*/*.parquet"))) <= 8
+
+
+@pytest.mark.parametrize("max_files", [1, None])
+def test_corrections_do_not_depend_on_the_batches(spark, tmp_path, max_files):
+    """One station and time in several files, the latest not in the last batch; ties go by content."""
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    when = "2025-10-21T04:00:00.000000+00:00Z"
+    for place, (name, bikes, stamp) in enumerate([("a", 9, 100), ("b", 3, 300), ("c", 5, 200), ("d", 4, 300)]):
+        document(folder, f"{name}.json", {"id": "s", "free_bikes": bikes, "timestamp": when},
+                 {"id": f"s{place}", "free_bikes": bikes, "timestamp": when})
+        os.utime(folder / f"{name}.json", (1_700_000_000 + stamp,) * 2)
+    out = run(spark, folder, tmp_path, max_files)
+    assert {r.station_id: r.free_bikes for r in live.read_fact(spark, out).collect()} == {"s": 4, "s0": 9, "s1": 3, "s2": 5, "s3": 4}
+    assert {r.station_id: r.free_bikes for r in live.read_latest(spark, out).collect()}["s"] == 4
+    # What comes later, but from an older file, changes nothing.
+    document(folder, "old.json", {"id": "s", "free_bikes": 99, "timestamp": when})
+    os.utime(folder / "old.json", (1_700_000_000,) * 2)
+    out = run(spark, folder, tmp_path, max_files)
+    assert {r.free_bikes for r in live.read_fact(spark, out).where("station_id = 's'").collect()} == {4}
+
+
+def hours_document(folder, name, *hours):
+    (folder / name).write_text(json.dumps({"hourly": {
+        "time": [f"2025-10-21T{h:02d}:00" for h in hours], "temperature_2m": [10.0 + h for h in hours],
+        "precipitation": [0.0] * len(hours), "wind_speed_10m": [1.0] * len(hours), "cloudcover": [1] * len(hours),
+        "relativehumidity_2m": [2] * len(hours)}}))
+
+
+def test_weather_as_a_stream(spark, landing, tmp_path):
+    """Statuses wait for their weather; what comes too late for the state still reaches them."""
+    hours = tmp_path / "hours"
+    hours.mkdir()
+    hours_document(hours, "0.json", 1)
+
+    def step(name=None, *of):
+        if name:
+            hours_document(hours, name, *of)
+        stream = live.with_weather(live.status_stream(spark, str(landing)), live.weather_stream(spark, str(hours)))
+        live.start(stream, live.joined_writer(str(tmp_path / "tables")), str(tmp_path / "checkpoint")).awaitTermination()
+        out = str(tmp_path / "tables")
+        of = {r.weather_id: r.timestamp.hour for r in live.read_weather(spark, out).collect()}
+        return {(r.timestamp.hour, of.get(r.weather_id)) for r in live.read_fact(spark, out, live.ENRICHED).collect()}
+
+    assert step() == set()
+    # Hours 9 and 10 are known; the watermark passes 5 to 7, which go on without, and 8 waits.
+    got = step("1.json", 9, 10)
+    assert {(9, 9), (10, 10)} <= got <= {(9, 9), (10, 10), *((h, None) for h in range(5, 9))}
+    document(landing, "late.json", {"id": "late", "free_bikes": 1, "timestamp": "2025-10-21T05:30:00.000000+00:00Z"},
+             {"id": "cut", "free_bikes": 1, "timestamp": "soon"})
+    (hours / "cut.json").write_text('{"hourly": {"time": ["2025')
+    step("2.json", 5, 6, 7, 8)
+    assert step("3.json", 12) == {(h, h) for h in range(5, 11)}
+    out = str(tmp_path / "tables")
+    assert live.read_fact(spark, out).count() == 31
+    assert sorted((r.source, r.reason) for r in live.read_rejected(spark, out).collect()) == [
+        ("hours", "document does not parse in full"), ("stations", "timestamp is null")]
+    newest = {r.station_id: r.weather_id is not None for r in live.read_latest(spark, out, live.ENRICHED).collect()}
+    assert newest == {**{f"s{i}": True for i in range(5)}, "late": True}
+
+
+def test_weather_of_the_moment(spark, landing, tmp_path):
+    """A running stream sees the weather that loads have stored since it began."""
+    out, calls = str(tmp_path / "tables"), []
+
+    def now():
+        calls.append(1)
+        return weather_of(spark, *range(5, 5 + 2 * len(calls)))
+
+    stream = live.status_stream(spark, str(landing), max_files=3)
+    live.start(stream, live.keyed_writer(out, weather=now, compact_every=2), str(tmp_path / "c")).awaitTermination()
+    assert len(calls) >= 3
+    assert all(r.weather_id in (None, r.timestamp.hour) for r in live.read_fact(spark, out, live.ENRICHED).collect())
+    assert live.read_fact(spark, out).count() == 30
