@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -53,13 +54,15 @@ def prepare(spark: SparkSession) -> SparkSession:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder named by ``spark.checkpoint.dir``.
 
-    Without that setting it is the session's warehouse folder, which all executors
-    reach too.
+    Without that setting it is the session's warehouse folder, if executors can reach that: on a cluster a
+    folder of the driver's own machine is refused.
     """
-    base = (spark.conf.get("spark.checkpoint.dir", "")
-            or spark.conf.get("spark.sql.warehouse.dir", ""))
+    base = spark.conf.get("spark.checkpoint.dir", "")
     if not base:
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        base = spark.conf.get("spark.sql.warehouse.dir", "")
+        shared = re.match(r"(?!file:)[A-Za-z][A-Za-z0-9+.-]*:", base)
+        if not base or not (shared or re.match(r"local(\[|$)", spark.sparkContext.master)):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return f"{base.rstrip('/')}/starflow/{name}-{uuid.uuid4().hex}"
 
 

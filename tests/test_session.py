@@ -34,6 +34,17 @@ def test_some_shared_folder_is_needed():
         scratch_path(Session(), "t")
 
 
+@pytest.mark.parametrize("master, allowed", [("local[8]", True), ("local", True), ("local-cluster[2,1,1024]", False), ("yarn", False)])
+def test_a_folder_of_the_drivers_machine_is_no_shared_one(master, allowed):
+    session = Session(spark__sql__warehouse__dir="file:/root/spark-warehouse")
+    session.sparkContext = type("Context", (), {"master": master})
+    if allowed:
+        assert scratch_path(session, "t").startswith("file:/root/spark-warehouse/starflow/t-")
+    else:
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            scratch_path(session, "t")
+
+
 def test_scratch_is_removed(spark):
     with scratch(spark):
         inside, = together(spark, lambda: stage(spark.range(3), "t"))
