@@ -6,10 +6,15 @@ phrase from the scan after both its subphrases, the one without its last and the
 its first word, have reached the threshold.  Each phrase is counted for one full cycle, wherever
 it starts, so its count is exact; the work ends when the last phrase's cycle does.
 
-A phrase is known by its text and language.  What a scan must count follows from when each
-subphrase reached the threshold.  Tasks look that up in a table of slots by hash, of bounded size:
-two phrases in one slot only make a scan count some phrases that it need not, and a shard that
-is counted for a phrase twice enters its total once.
+While they are counted, phrases are known by a 64-bit hash of language, length and text (of 10**9
+different phrases two share one with a chance of 3 per cent); the texts of those that stay are
+looked up in a last scan.  What a scan must count follows from when each subphrase reached the
+threshold.  Tasks look that up in a table of slots by hash, of bounded size: two phrases in one slot
+only make a scan count some phrases that it need not, and a shard that is counted for a phrase twice
+enters its total once.
+
+Counts travel as arrays of hashes and numbers, cut into parts by hash, and so are the totals stored: a row
+for each part, with all of its phrases.
 """
 
 from __future__ import annotations
@@ -18,7 +23,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -40,8 +44,13 @@ _HARD[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _BREAK = _HARD.copy()
 _BREAK[[0x20, 0x09]] = True
 
-_SEEN = "lang string, n int, phrase string, h long, c long, until int"
-_TOTALS = ["lang", "n", "phrase", "h", "c", "shards", "until", "since"]
+#: Bytes of text behind one part of the totals, of which a task holds one at a time.
+PART_BYTES = 6 << 20
+_SEEN = "part int, n int, until int, h binary, c binary"
+_COLUMNS = {"h": np.uint64, "c": np.int64, "shards": np.int64, "until": np.int16, "since": np.int16, "n": np.int8}
+_TOTALS = "part int, newest int, started long, " + ", ".join(f"{c} binary" for c in _COLUMNS)
+_FREQUENT = "h long, n int, c long, since int"
+_TEXTS = "h long, lang string, phrase string"
 
 
 @dataclass
@@ -123,75 +132,132 @@ def to_count(words: Words, scan: int, cycle: int, slots: Slots | None,
 
 
 class _Tally:
-    """Counts by hash within a task; the text of each phrase is taken once."""
+    """Counts of hashes within a task; they are merged when as many wait as are held."""
 
     def __init__(self) -> None:
-        self.parts: list[dict] = []
-        self.waiting = 0
+        self.h, self.c = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.waiting: list[np.ndarray] = []
+        self.size = 0
 
-    def add(self, lang: pa.Array, n: int, texts: pa.Array, h, c, until) -> None:
-        self.parts.append({"lang": lang, "n": np.full(len(h), n, np.int32), "phrase": texts,
-                           "h": h, "c": c, "until": until})
-        self.waiting += len(h)
+    def add(self, h: np.ndarray) -> None:
+        self.waiting.append(h)
+        self.size += len(h)
+        if self.size > max(MOST_HELD, len(self.h)):
+            self.merge()
 
     def merge(self) -> None:
-        if len(self.parts) < 2:
-            return
-        h = np.concatenate([p["h"] for p in self.parts])
-        h, first, inverse = np.unique(h, return_index=True, return_inverse=True)
-        c = np.bincount(inverse, np.concatenate([p["c"] for p in self.parts])).astype(np.int64)
-        take = pa.array(first)
-        merged = {name: np.concatenate([p[name] for p in self.parts])[first] for name in ("n", "until")}
-        merged |= {name: pa.chunked_array([p[name] for p in self.parts]).take(take).combine_chunks()
-                   for name in ("lang", "phrase")}
-        self.parts = [merged | {"h": h, "c": c}]
-        self.waiting = len(h)
-
-    def rows(self) -> Iterator[pa.RecordBatch]:
+        h, c = np.unique(np.concatenate([*self.waiting, np.zeros(0, np.uint64)]), return_counts=True)
+        self.waiting, self.size = [], 0
+        if len(self.h):
+            h, c = np.concatenate([self.h, h]), np.concatenate([self.c, c])
+            order = np.argsort(h, kind="stable")
+            h, c = h[order], c[order]
+            first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+            h, c = h[first], np.add.reduceat(c, first)
+        self.h, self.c = h, c
+
+    def rows(self, n: int, until: int, parts: int) -> Iterator[tuple[int, int, int, bytes, bytes]]:
         self.merge()
-        for p in self.parts:
-            for i in range(0, len(p["h"]), 1 << 16):
-                cut = slice(i, i + (1 << 16))
-                yield pa.RecordBatch.from_arrays([
-                    p["lang"][cut].cast(pa.string()), pa.array(p["n"][cut]), p["phrase"][cut].cast(pa.string()),
-                    pa.array(p["h"][cut].view(np.int64)), pa.array(p["c"][cut]), pa.array(p["until"][cut])],
-                    ["lang", "n", "phrase", "h", "c", "until"])
-        self.parts, self.waiting = [], 0
+        cuts = np.searchsorted(_part(self.h, parts), np.arange(parts + 1))
+        for part in np.flatnonzero(np.diff(cuts)):
+            cut = slice(cuts[part], cuts[part + 1])
+            yield int(part), n, until, self.h[cut].tobytes(), self.c[cut].astype(np.int64).tobytes()
+
+
+def _part(h: np.ndarray, parts: int) -> np.ndarray:
+    return ((h >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+def _texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, np.ndarray, pa.Array]]:
+    """The words of groups of texts, their languages as places in a list, and the list."""
+    none, line_end = pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string())
+    for batch in batches:
+        langs = batch.column(0).dictionary_encode()
+        seeds = np.array([hash_of(v) for v in langs.dictionary.to_pylist()] or [0], np.uint64)
+        code = langs.indices.to_numpy(zero_copy_only=False)
+        data, bounds = T.utf8(pc.binary_join_element_wise(batch.column(1).cast(pa.large_string()), none, line_end))
+        for a, b in T.groups(bounds):
+            words = Words(data[bounds[a]:bounds[b]], bounds[a:b + 1] - bounds[a], seeds[code[a:b]])
+            yield words, code[a:b][words.row], langs.dictionary
 
 
-def _scan(scan: int, cycle: int, longest: int, slots):
+def _total(seed: np.ndarray) -> np.ndarray:
+    """The hash under which all words of a language are counted, as a phrase of length 0."""
+    return T.mix(seed ^ np.uint64(0x5851F42D4C957F2D))
+
+
+def _scan(scan: int, cycle: int, longest: int, parts: int, slots):
     """A task's counts of what the scan must count; with length 0, of all words of a language."""
+    schema = pa.schema([("part", pa.int32()), ("n", pa.int32()), ("until", pa.int32()), ("h", pa.binary()), ("c", pa.binary())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Slots(*slots.value) if slots is not None else None
-        tally, settled = _Tally(), 0
-        for batch in batches:
-            langs = batch.column(0).dictionary_encode()
-            seeds = np.array([hash_of(v) for v in langs.dictionary.to_pylist()] or [0], np.uint64)
-            code = langs.indices.to_numpy(zero_copy_only=False)
-            none, line_end = pa.scalar("", pa.large_string()), pa.scalar("\n", pa.large_string())
-            ended = pc.binary_join_element_wise(batch.column(1).cast(pa.large_string()), none, line_end)
-            data, bounds = T.utf8(ended)
-            names = langs.dictionary.cast(pa.large_string())
-            for a, b in T.groups(bounds):
-                words = Words(data[bounds[a]:bounds[b]], bounds[a:b + 1] - bounds[a], seeds[code[a:b]])
-                word_code = code[a:b][words.row]
-                if scan < cycle:
-                    n = np.bincount(word_code, minlength=len(names))
-                    some = np.flatnonzero(n)
-                    tally.add(names.take(pa.array(some)), 0, pa.array([""] * len(some), pa.large_string()),
-                              T.mix(seeds[some]), n[some], np.full(len(some), cycle - 1, np.int32))
-                for n, at, h, until in to_count(words, scan, cycle, table, longest):
-                    if len(h):
-                        h, first, c = np.unique(h, return_index=True, return_counts=True)
-                        at = at[first]
-                        tally.add(names.take(pa.array(word_code[at])), n, words.texts(at, n), h, c, until[first])
-                if tally.waiting > 2 * settled + MOST_HELD // 4:
-                    tally.merge()
-                    settled = tally.waiting
-                    if settled > MOST_HELD:
-                        yield from tally.rows()
-                        settled = 0
-        yield from tally.rows()
+        tallies: dict[tuple[int, int], _Tally] = {}
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            for (n, until), tally in tallies.items():
+                rows = list(zip(*tally.rows(n, until, parts)))
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(rows, schema)], schema=schema)
+            tallies.clear()
+
+        def add(n: int, until: int, h: np.ndarray) -> None:
+            tallies.setdefault((n, until), _Tally()).add(h)
+
+        for words, _, _ in _texts_of(batches):
+            if scan < cycle:
+                add(0, cycle - 1, _total(words.seed))
+            for n, _, h, until in to_count(words, scan, cycle, table, longest):
+                kinds = np.unique(until)
+                for k in kinds:
+                    add(n, int(k), h if len(kinds) == 1 else h[until == k])
+            if sum(len(t.h) + t.size for t in tallies.values()) > 4 * MOST_HELD:
+                yield from sent()
+        yield from sent()
+
+    return run
+
+
+def _find_texts(longest: int, slots):
+    """A task's phrases that are in the slots, with language and text; few of them more than once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = Slots(*slots.value)
+        # The last hash sent from each place.
+        sent = np.zeros(1 << 20, np.uint64)
+
+        def fresh(h: np.ndarray) -> np.ndarray:
+            """Where hashes stand that are sent now, one for each."""
+            place = h & np.uint64(len(sent) - 1)
+            new = np.flatnonzero(sent[place] != h)
+            _, first = np.unique(h[new], return_index=True)
+            new = new[first]
+            sent[place[new]] = h[new]
+            return new
+
+        def rows(h, langs, texts):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(h.view(np.int64)), langs.cast(pa.string()), texts.cast(pa.string())], ["h", "lang", "phrase"])
+
+        for words, code, langs in _texts_of(batches):
+            used = np.flatnonzero(np.bincount(code, minlength=len(langs)))
+            total = _total(np.array([hash_of(v) for v in langs.take(pa.array(used)).to_pylist()], np.uint64))
+            new = fresh(total)
+            if len(new):
+                yield rows(total[new], langs.take(pa.array(used[new])), pa.array([""] * len(new)))
+            at = np.arange(len(words.start))
+            for n in range(1, longest + 1):
+                h = words.hashes(at, n)
+                hit = table.look_up(h)[0] != _NEVER
+                at, h = at[hit], h[hit]
+                new = fresh(h)
+                if len(new):
+                    yield rows(h[new], langs.take(pa.array(code[at[new]])), words.texts(at[new], n))
+                # A longer phrase stays only if both its parts do.
+                there = np.zeros(len(words.start) + 1, bool)
+                there[at] = True
+                at = at[there[at + 1]]
+                if n < longest and len(at):
+                    at = at[words.joined[np.minimum(at + n - 1, len(words.joined) - 1)] & (at + n < len(words.start))]
 
     return run
 
@@ -201,44 +267,99 @@ def hash_of(lang: str) -> int:
     return int(T.hashes(data, np.zeros(1, np.int64), np.array([len(data)]))[0])
 
 
-def _merged(totals: DataFrame | None, seen: DataFrame, scan: int, cycle: int, threshold: int) -> DataFrame:
-    """Totals after a scan; a shard that is counted for a phrase already adds nothing."""
-    bit = 1 << scan % cycle
-    new = seen.select("lang", "n", "phrase", "h", F.lit(0).cast("long").alias("c"), F.lit(0).cast("long").alias("shards"),
-                      "until", F.lit(None).cast("int").alias("since"), F.col("c").alias("more"))
+def merge_counts(totals: dict[str, np.ndarray], seen: list[tuple[int, int, np.ndarray, np.ndarray]], scan: int, cycle: int,
+                 threshold: int) -> dict[str, np.ndarray]:
+    """Totals of a part, by ascending hash, after a scan; a shard that is counted for a phrase already adds nothing."""
+    bit = np.int64(1 << scan % cycle)
+    totals = {name: totals[name].copy() for name in _COLUMNS}
+    if seen:
+        sizes = [len(h) for _, _, h, _ in seen]
+        h = np.concatenate([h for _, _, h, _ in seen])
+        order = np.argsort(h, kind="stable")  # of sorted runs, which it merges
+        h = h[order]
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        h = h[first]
+        c = np.add.reduceat(np.concatenate([c for _, _, _, c in seen])[order], first)
+        until = np.maximum.reduceat(np.repeat(np.array([u for _, u, _, _ in seen], np.int16), sizes)[order], first)
+        n = np.repeat(np.array([n for n, _, _, _ in seen], np.int8), sizes)[order][first]
+        place = np.searchsorted(totals["h"], h)
+        known = np.zeros(len(h), bool)
+        inside = place < len(totals["h"])
+        known[inside] = totals["h"][place[inside]] == h[inside]
+        at = place[known]
+        fresh = totals["shards"][at] & bit == 0
+        totals["c"][at] += np.where(fresh, c[known], 0)
+        totals["shards"][at] |= bit
+        totals["until"][at] = np.maximum(totals["until"][at], until[known])
+        new = {"h": h, "c": c, "shards": np.full(len(h), bit), "until": until, "since": np.zeros(len(h), np.int16), "n": n}
+        totals = {name: np.insert(totals[name], place[~known], new[name][~known]) for name in _COLUMNS}
+    reached = (totals["since"] == 0) & (totals["c"] >= threshold)
+    totals["since"][reached] = scan + 1
+    # What is neither frequent nor still counted is done with.
+    keep = (totals["c"] >= threshold) | (totals["until"] > scan)
+    return {name: values[keep].astype(_COLUMNS[name]) for name, values in totals.items()}
+
+
+def _merged(totals: DataFrame | None, seen: DataFrame, scan: int, cycle: int, threshold: int, longest: int) -> DataFrame:
+    """The totals after a scan: for each part its phrases, how many let longer ones be counted, and since when."""
+    none = F.lit(None)
+    rows = seen.select("part", F.col("n").alias("length"), F.col("until").alias("last"), *(
+        F.col(c) if c in ("h", "c") else none.cast("binary").alias(c) for c in _COLUMNS))
     if totals is not None:
-        new = new.unionByName(totals.withColumn("more", F.lit(0).cast("long")))
-    sums = new.groupBy("lang", "n", "phrase").agg(
-        F.max("h").alias("h"), F.sum("c").alias("c"), F.max("shards").alias("shards"), F.max("until").alias("until"),
-        F.max("since").alias("since"), F.sum("more").alias("more"))
-    fresh = (F.col("more") > 0) & (F.col("shards").bitwiseAND(F.lit(bit)) == 0)
-    sums = sums.withColumn("c", F.when(fresh, F.col("c") + F.col("more")).otherwise(F.col("c")))
-    sums = sums.withColumn("shards", F.when(fresh, F.col("shards") + F.lit(bit)).otherwise(F.col("shards")))
-    reached = F.when(F.col("c") >= threshold, F.lit(scan + 1))
-    sums = sums.withColumn("since", F.coalesce("since", reached))
-    return sums.where((F.col("c") >= threshold) | (F.col("until") > scan)).select(*_TOTALS)
-
-
-def _slots(spark: SparkSession, totals: DataFrame, longest: int, most: int) -> Slots | None:
+        rows = rows.unionByName(totals.select("part", none.cast("int").alias("length"), none.cast("int").alias("last"), *_COLUMNS))
+
+    def merge(key: tuple, part: pa.Table) -> pa.Table:
+        old = {name: np.zeros(0, kind) for name, kind in _COLUMNS.items()}
+        counted = []
+        # Views of what Arrow holds, no copies.
+        for length, last, *values in zip(*(part[c].combine_chunks() for c in ("length", "last", *_COLUMNS))):
+            arrays = {name: v.as_buffer() for name, v in zip(_COLUMNS, values) if v.is_valid}
+            if length.is_valid:
+                counted.append((length.as_py(), last.as_py(), np.frombuffer(arrays["h"], np.uint64), np.frombuffer(arrays["c"], np.int64)))
+            else:
+                old = {name: np.frombuffer(arrays[name], kind) for name, kind in _COLUMNS.items()}
+        new = merge_counts(old, counted, scan, cycle, threshold)
+        shorter = (new["since"] > 0) & (new["n"] >= 1) & (new["n"] < longest)
+        return pa.table({
+            "part": pa.array([key[0].as_py()], pa.int32()), "newest": pa.array([int(new["since"][shorter].max(initial=0))], pa.int32()),
+            "started": pa.array([int(shorter.sum())], pa.int64()), **{c: pa.array([new[c].tobytes()], pa.binary()) for c in _COLUMNS}})
+
+    return rows.groupBy("part").applyInArrow(merge, _TOTALS)
+
+
+def _frequent(totals: DataFrame, threshold: int) -> DataFrame:
+    """A row for each phrase that has reached the threshold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                of = {name: np.frombuffer(row[name], kind) for name, kind in _COLUMNS.items()}
+                some = np.flatnonzero(of["c"] >= threshold)
+                for i in range(0, len(some), 1 << 16):
+                    at = some[i:i + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(of["h"][at].view(np.int64)), pa.array(of["n"][at].astype(np.int32)), pa.array(of["c"][at]),
+                        pa.array(of["since"][at].astype(np.int32))], ["h", "n", "c", "since"])
+
+    return totals.select(*_COLUMNS).mapInArrow(run, _FREQUENT)
+
+
+def _slots(frequent: DataFrame, count: int, most: int) -> Slots:
     """The table of slots, built in blocks; the driver sees two bytes a slot."""
-    frequent = totals.where(F.col("since").isNotNull() & F.col("n").between(1, longest - 1))
-    count = frequent.count()
-    if not count:
-        return None
     size = min(most, 1 << max(_BLOCK_BITS, (8 * count - 1).bit_length()))
     slot = F.col("h").bitwiseAND(F.lit(size - 1))
-    cells = frequent.groupBy(slot.alias("slot")).agg(F.min("since").alias("low"), F.max("since").alias("high"))
+    cells = (frequent.select(slot.alias("slot"), F.shiftright(slot, _BLOCK_BITS).cast("int").alias("block"), "since")
+             .groupBy("block", "slot").agg(F.min("since").alias("low"), F.max("since").alias("high")))
 
-    def block(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    def block(key: tuple, rows: pa.Table) -> pa.Table:
         low, high = np.full(1 << _BLOCK_BITS, _NEVER, np.uint8), np.zeros(1 << _BLOCK_BITS, np.uint8)
         place = rows["slot"].to_numpy() & ((1 << _BLOCK_BITS) - 1)
         low[place], high[place] = rows["low"].to_numpy(), rows["high"].to_numpy()
-        return pd.DataFrame({"block": [key[0]], "low": [low.tobytes()], "high": [high.tobytes()]})
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "low": pa.array([low.tobytes()]),
+                         "high": pa.array([high.tobytes()])})
 
-    blocks = cells.groupBy(F.shiftright("slot", _BLOCK_BITS).cast("int").alias("block")).applyInPandas(
-        block, "block int, low binary, high binary")
+    blocks = cells.groupBy("block").applyInArrow(block, "block int, low binary, high binary")
     low, high = np.full(size, _NEVER, np.uint8), np.zeros(size, np.uint8)
-    for row in blocks.toLocalIterator():
+    for row in blocks.collect():
         at = row["block"] << _BLOCK_BITS
         low[at:at + (1 << _BLOCK_BITS)] = np.frombuffer(row["low"], np.uint8)
         high[at:at + (1 << _BLOCK_BITS)] = np.frombuffer(row["high"], np.uint8)
@@ -268,29 +389,36 @@ def count_phrases(docs: DataFrame, threshold: int = 100, longest: int = 5, shard
                             F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int").alias("shard"))
         dealt.write.partitionBy("shard").parquet(folder)
         source = spark.read.schema("lang string, text string, shard int").parquet(folder)
-        totals, slots, scan, last, paths = None, None, 0, shards - 1, []
+        size = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        parts = max(8, size // PART_BYTES)
+        totals, slots, scan, last, path = None, None, 0, shards - 1, ""
         while scan <= last:
             sent = spark.sparkContext.broadcast((slots.low, slots.high)) if slots is not None else None
             seen = (source.where(F.col("shard") == scan % shards).select("lang", "text")
-                    .mapInArrow(_scan(scan, shards, longest, sent), _SEEN))
-            path = scratch_path(spark, "phrase-totals")
-            _merged(totals, seen, scan, shards, threshold).write.parquet(path)
-            totals = spark.read.schema(
-                "lang string, n int, phrase string, h long, c long, shards long, until int, since int").parquet(path)
-            # The totals before are in these; the texts are what all of them came from.
-            for old in paths:
-                remove(spark, old)
-            paths = [path]
+                    .mapInArrow(_scan(scan, shards, longest, parts, sent), _SEEN))
+            before, path = path, scratch_path(spark, "phrase-totals")
+            _merged(totals, seen, scan, shards, threshold, longest).write.parquet(path)
+            totals = spark.read.schema(_TOTALS).parquet(path)
+            if before:
+                # The totals before are in these; the texts are what all of them came from.
+                remove(spark, before)
             if sent is not None:
                 sent.unpersist()
             # A phrase that has just reached the threshold lets longer ones start their cycle.
-            started = totals.where(F.col("n").between(1, longest - 1)).agg(F.max("since")).first()[0] or 0
-            if started == scan + 1:
-                slots = _slots(spark, totals, longest, most_slots)
-            last = max(shards - 1, started + shards - 1 if started else 0)
+            facts = totals.agg(F.max("newest").alias("newest"), F.sum("started").alias("started")).first()
+            if facts["newest"] == scan + 1:
+                shorter = _frequent(totals, threshold).where(F.col("n").between(1, longest - 1))
+                slots = _slots(shorter, facts["started"], most_slots)
+            last = max(shards - 1, facts["newest"] + shards - 1 if facts["newest"] else 0)
             scan += 1
-        totals.where(F.col("c") >= threshold).select("lang", "n", "phrase", "c").write.parquet(out)
-        for old in [folder, *paths]:
+        frequent = stage(_frequent(totals, threshold), "phrase-frequent")
+        wanted = _slots(frequent.where("n > 0"), frequent.count() + 1, most_slots)
+        found = spark.sparkContext.broadcast((wanted.low, wanted.high))
+        texts = (source.select("lang", "text").mapInArrow(_find_texts(longest, found), _TEXTS)
+                 .groupBy("h").agg(F.min(F.struct("lang", "phrase")).alias("of")))
+        (frequent.select("h", "n", "c").join(texts, "h")
+         .select("of.lang", "n", "of.phrase", "c").write.parquet(out))
+        for old in (folder, path):
             remove(spark, old)
     return spark.read.schema("lang string, n int, phrase string, c long").parquet(out)
 

@@ -88,7 +88,7 @@ def test_phrases_start_when_both_parts_have_reached_the_threshold():
 def test_a_task_that_holds_few_phrases_sends_them_on_early(spark, monkeypatch):
     rows = texts(3, 200)
     monkeypatch.setattr(phrases, "MOST_HELD", 8)
-    monkeypatch.setattr(phrases.T, "GROUP_BYTES", 64)
+    monkeypatch.setattr(phrases, "_BLOCK_BITS", 4)
     assert sorted(tuple(r) for r in collocations(table(spark, rows), 10).collect()) == brute_force(rows, 10)
 
 
