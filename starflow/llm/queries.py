@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starflow.llm import decontaminate as D
 from starflow.llm import lm
 from starflow.llm import pieces
 from starflow.llm import text as T
@@ -82,7 +81,7 @@ with turns as (
 sized as (
     select *, len(regexp_extract_all(role || ' ' || text, '{_MARKS}')) as marks,
         case when regexp_matches(role || ' ' || text, '\\[\\<\[]')
-            then length(role || text) - length(replace(role || text, '', '')) else 0 end as slashes
+            then length(role || text) - length(replace(role || text, '\', '')) else 0 end as slashes
     from turns)
 select conv_id, count(*) as n_turns,
     sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
@@ -141,75 +140,95 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
 
-def _template(text: str) -> str:
-    return (f"lower(regexp_replace(regexp_replace(regexp_replace(translate(coalesce({text}, ''), '‹›=', '   '), "
-            rf"'{D.NAME}', '\1‹name=\2›', 'g'), '{D.NUMBER}', '‹num=\1›', 'g'), '{D.UNIT}', '\1 ‹unit=\2›\3', 'g'))")
+def _inside(text: str, kind: str, change: str) -> str:
+    """``change`` for each value of a kind, ``p`` being the text from its mark on."""
+    return (f"array_to_string(list_transform(string_split({text}, '‹'), lambda p: case when starts_with(p, '{kind}=') "
+            f"then {change.replace('VALUE', "split_part(p, '›', 1)")} || '›' || substr(p, strpos(p, '›') + 1) else p end), '‹')")
 
 
-def _tokens(template: str) -> str:
-    return f"list_filter(string_split_regex({template}, '{D.BETWEEN}'), lambda x: x <> '')"
+_UNITS = ("km|cm|mm|kg|mg|ml|lb|lbs|oz|ft|mph|kmh|m|g|l|s|h|meters?|metres?|miles?|feet|foot|inch|inches|yards?|"
+          "grams?|kilograms?|pounds?|tons?|liters?|litres?|gallons?|seconds?|minutes?|hours?|days?|weeks?|months?|"
+          "years?|dollars?|cents?|euros?|percent|degrees?|watts?|volts?")
 
 
-_CANONICAL = f"regexp_replace(v, '{D.VALUE}', '›', 'g')"
+def _valued_tokens(table: str, key: str) -> str:
+    """Rows of a table with their tokens, as they are and with their values."""
+    name = _inside("v", "name", "replace(VALUE, ' ', '=')")
+    number = _inside("v", "num", "replace(replace(VALUE, ',', '=='), '.', '=')")
+    return rf"""
+    select {key}, own, list_transform(own, lambda t: regexp_replace(t, '=[^›]*›', '›', 'g')) as words from (
+        select {key}, list_filter(string_split_regex(lower(v), '[^\p{{L}}\p{{N}}‹›=]+'), lambda t: t <> '') as own from (
+            select {key}, regexp_replace(v, '(\p{{N}}›) ?({_UNITS})([^\p{{L}}\p{{N}}]|$)', '\1 ‹unit=\2›\3', 'g') as v from (
+                select {key}, {number} as v from (
+                    select {key}, regexp_replace(v, '\p{{N}}+(?:[.,]\p{{N}}+)*', '‹num=\0›', 'g') as v from (
+                        select {key}, {name} as v from (
+                            select {key}, regexp_replace(translate(coalesce(text, ''), '‹›=', '   '),
+                                '(^|[^\p{{L}}\p{{N}}])(\p{{Lu}}\p{{Ll}}+(?: \p{{Lu}}\p{{Ll}}+)*)', '\1‹name=\2›', 'g') as v
+                            from {table}))))))"""
+
+
+_KEYED = """case when size <= 4 or len(list_filter(words[i + 1:i + size], lambda t: contains(t, '‹'))) > size - 4
+        then 'values ' || array_to_string(own[i + 1:i + size], ' ')
+        else 'template ' || array_to_string(words[i + 1:i + size], ' ') end as gram"""
 
 ORACLE["op1_decontamination"] = f"""
-with items as materialized (
-    select *, least(len(words), {D.WINDOW}) as size from (
-        select item_id, {_tokens("v")} as vals, {_tokens(_CANONICAL)} as words from (
-            select v, min(item_id) as item_id from (
-                select item_id, {_template("text")} as v from benchmark where item_id is not null) group by v))
-    where len(words) >= {D.LEAST_TOKENS}),
+with item_rows as materialized (
+    select *, len(words) as n, least(len(words), 8) as size,
+        list_transform(list_filter(own, lambda t: contains(t, '‹')), lambda t: list_position(own, t)) as pattern
+    from ({_valued_tokens("(select item_id, text from benchmark where item_id is not null)", "item_id")}) where len(words) > 0),
+items as materialized (
+    select *, row_number() over () as class from (
+        select words, pattern, n, size, min(item_id) as item_id, arg_min(own, item_id) as rep from item_rows group by all)),
 grams as materialized (
-    select item_id, size, place, array_to_string(w, ' ') as gram,
-        len(list_filter(w, lambda t: not contains(t, '‹'))) as literals
-    from (select item_id, size, i as place, words[i + 1:i + size] as w
-          from (select *, unnest(range(0, len(words) - size + 1)) as i from items))),
-good as materialized (select *, literals = size as literal from grams where literals >= {D.LEAST_LITERALS}),
-facts as (
-    select item_id, sum(step) as coverable from (
-        select item_id, least(size, coalesce(place - lag(place) over (partition by item_id order by place), size)) as step
-        from good) group by item_id),
+    select distinct class, size, i as place, gram, case when starts_with(gram, 'values') then own end as member,
+        starts_with(gram, 'template') and not contains(gram, '‹') as literal
+    from (select class, size, own, i, {_KEYED} from (
+        select c.class, r.*, unnest(range(0, r.n - r.size + 1)) as i
+        from item_rows r join items c on c.words = r.words and c.pattern = r.pattern))),
 docs as materialized (
-    select doc_id, {_tokens("v")} as vals, {_tokens(_CANONICAL)} as words
-    from (select doc_id, {_template("text")} as v from documents where doc_id is not null)),
+    select row_number() over () as row, * from (
+        {_valued_tokens("(select doc_id, text from documents where doc_id is not null)", "doc_id")})),
 doc_grams as (
-    select doc_id, i as place, array_to_string(words[i + 1:i + size], ' ') as gram
-    from (select doc_id, words, size, unnest(range(0, len(words) - size + 1)) as i
-          from docs, (select distinct size from items))),
-hits as materialized (
-    select d.doc_id, g.item_id, g.size, d.place as doc_place, g.place as item_place, g.literal
-    from doc_grams d join good g using (gram)),
+    select row, i as doc_place, {_KEYED} from (
+        select row, own, words, size, unnest(range(0, len(words) - size + 1)) as i
+        from docs, (select distinct size from items))),
+hits as materialized (select d.row, g.*, doc_place - place as shift from doc_grams d join grams g using (gram)),
+slots as (
+    select distinct h.row, h.class, shift, place + k as item_at, c.rep[place + k + 1] as item_value,
+        d.own[place + shift + k + 1] as doc_value
+    from (select *, unnest(range(0, size)) as k from hits where member is null and not literal) h
+        join items c using (class) join docs d on d.row = h.row
+    where contains(c.rep[place + k + 1], '‹')),
+shifts as materialized (
+    select row, class, shift, count(*) as slots,
+        count(distinct (item_value, doc_value)) = count(distinct item_value)
+            and count(distinct (item_value, doc_value)) = count(distinct doc_value) as sound
+    from slots group by all),
+counted as (
+    select distinct row, class, place, size, literal from hits where literal
+    union select distinct row, class, place, size, false from hits join shifts using (row, class, shift) where member is null and not literal and sound),
+members as (
+    select distinct row, class, member from hits where member is not null
+    union select distinct row, class, null from hits),
+places as (
+    select m.row, m.class, m.member, c.place, c.size, c.literal from members m join counted c using (row, class)
+    union select row, class, member, place, size, false from hits where member is not null),
 steps as (
-    select doc_id, item_id, 'all' as kind, least(size, coalesce(item_place - lag(item_place) over (
-        partition by doc_id, item_id order by item_place), size)) as step
-    from (select distinct doc_id, item_id, size, item_place from hits)
-    union all
-    select doc_id, item_id, 'literal', least(size, coalesce(item_place - lag(item_place) over (
-        partition by doc_id, item_id order by item_place), size))
-    from (select distinct doc_id, item_id, size, item_place from hits where literal)),
-found as materialized (
-    select doc_id, item_id, any_value(coverable) as coverable, sum(step) filter (kind = 'all') as covered,
-        coalesce(sum(step) filter (kind = 'literal'), 0) as literal
-    from steps join facts using (item_id) group by doc_id, item_id
-    having sum(step) filter (kind = 'all') >= 0.4 * any_value(coverable)),
-pairs as (
-    select distinct h.doc_id, h.item_id, item_place + k as item_at, doc_place + k as doc_at,
-        i.vals[item_place + k + 1] as item_value, d.vals[doc_place + k + 1] as doc_value
-    from (select *, unnest(range(0, size)) as k from hits) h join found using (doc_id, item_id)
-        join items i on i.item_id = h.item_id join docs d on d.doc_id = h.doc_id
-    where contains(i.vals[item_place + k + 1], '‹')),
-one_way as (
-    select doc_id, item_id, doc_at - item_at as shift, item_value, doc_value, count(*) as n from pairs group by all),
-checked as (
-    select doc_id, item_id, sum(n) as slots, bool_or(one_to_one) as one_to_one from (
-        select doc_id, item_id, shift, sum(n) as n,
-            count(*) = count(distinct item_value) and count(*) = count(distinct doc_value) as one_to_one
-        from one_way group by doc_id, item_id, shift) group by doc_id, item_id)
-select doc_id, item_id, cast(coverable as integer) as coverable, cast(covered as integer) as covered,
-    cast(literal as integer) as literal, cast(coalesce(slots, 0) as bigint) as slots,
-    coalesce(one_to_one, true) as consistent
-from found left join checked using (doc_id, item_id)
-where coalesce(one_to_one, true) or literal >= 0.4 * coverable
+    select row, class, member, least(size, coalesce(place - lag(place) over (partition by row, class, member order by place), size)) as step
+    from (select distinct row, class, member, place, size from places)),
+literals as (
+    select row, class, sum(step) as literal from (
+        select row, class, least(size, coalesce(place - lag(place) over (partition by row, class order by place), size)) as step
+        from (select distinct row, class, place, size from counted where literal)) group by all),
+covered as (select row, class, member, sum(step) as covered from steps group by all)
+select doc_id, item_id, cast(n as integer) as tokens, cast(covered as integer) as covered,
+    cast(coalesce(literal, 0) as integer) as literal, cast(coalesce(slots, 0) as bigint) as slots,
+    coalesce(any_sound, true) as consistent
+from covered join items using (class) join docs using (row) left join literals using (row, class)
+    left join (select row, class, sum(slots) as slots, bool_or(sound) as any_sound from shifts group by all) using (row, class)
+where covered >= 0.4 * n
+qualify row_number() over (partition by doc_id, item_id order by covered desc, coalesce(literal, 0) desc, coalesce(slots, 0) desc,
+    coalesce(any_sound, true) desc, n desc) = 1
 """
 
 

@@ -1,6 +1,8 @@
 import pytest
 
 from starflow.llm import decontaminate
+from pyspark.sql import functions as F
+
 from starflow.llm.decontaminate import canonical, drop_leaks, find_leaks, tokens, valued
 
 ITEM = ("A farmer named Miller sells 12 apples and 30 pears at the market while Baker carries 12 kg of flour home, "
@@ -22,9 +24,9 @@ def leaks(spark, docs, items):
 
 def test_template(spark):
     df = spark.createDataFrame([("We saw Ann Lee, 3.5 km ‹away= from Bob's x2.",)], "text string")
-    got = df.select(tokens(valued(df.text)).alias("v"), tokens(canonical(valued(df.text))).alias("c")).first()
-    assert got["v"] == ["we", "saw", "‹name=lee›", "‹num=3›", "‹unit=km›", "away", "from", "‹name=bob›", "s", "x‹num=2›"]
-    assert got["c"] == ["we", "saw", "‹name›", "‹num›", "‹unit›", "away", "from", "‹name›", "s", "x‹num›"]
+    got = df.select(tokens(valued(df.text)).alias("v"), canonical(tokens(valued(df.text))).alias("c")).first()
+    assert got["v"] == ["‹name=we›", "saw", "‹name=ann=lee›", "‹num=3=5›", "‹unit=km›", "away", "from", "‹name=bob›", "s", "x‹num=2›"]
+    assert got["c"] == ["‹name›", "saw", "‹name›", "‹num›", "‹unit›", "away", "from", "‹name›", "s", "x‹num›"]
 
 
 def test_finds_copies_and_other_parameters_only(spark):
@@ -32,10 +34,11 @@ def test_finds_copies_and_other_parameters_only(spark):
             (5, ITEM[:40]), (6, f"{OTHER}. {ITEM}"), (7, "the 1 2 3 4 5 6 7 8 9 10 11 12 13"), (8, None), (9, ""),
             (None, ITEM), (1, "another row"), (10, "word " * 30_000 + ITEM), (2, f"so {OTHER} ok")]
     got = leaks(spark, docs, [(70, ITEM), (71, ITEM), (72, "1 2 3 4 5 6 7 8 9 10"), (73, None), (74, "a b c d"), (None, "x")])
-    assert {k[0] for k in got} == {1, 2, 6, 10} and {k[1] for k in got} == {70}
+    # The item made of numbers is in the document that holds just these.
+    assert set(got) == {(1, 70), (2, 70), (6, 70), (10, 70), (7, 72)}
     assert got[1, 70]["consistent"] and got[1, 70]["slots"] >= 6 and got[2, 70]["consistent"]
     assert got[1, 70]["slots"] == got[2, 70]["slots"]
-    assert got[1, 70]["covered"] == got[1, 70]["coverable"] > got[1, 70]["literal"]
+    assert got[1, 70]["covered"] == got[1, 70]["tokens"] > got[1, 70]["literal"]
 
 
 def test_inconsistent_values_are_no_leak_unless_literal_text_suffices(spark):
@@ -79,16 +82,60 @@ def test_whole_numbers_and_names_are_compared(spark):
 
 def test_items_that_differ_behind_the_first_digits_stay_apart(spark):
     item = "the price of the house by the lake was 1,200 and the tax was paid by John Smith last year"
-    items = [(1, item), (2, item.replace("1,200", "1,500")), (3, item.replace("John", "Mary"))]
-    assert {k for k in leaks(spark, [(9, item)], items)} == {(9, 1), (9, 2), (9, 3)}
+    got = tokens(valued(F.col("text")))
+    df = spark.createDataFrame([(item,), (item.replace("1,200", "1,500"),), (item.replace("John", "Mary"),)], "text string")
+    assert df.select(got.alias("v")).distinct().count() == 3
+    # As parameters of one template they are one item, of the smallest id.
+    items = [(3, item), (2, item.replace("1,200", "1,500")), (1, item.replace("John", "Mary"))]
+    assert set(leaks(spark, [(9, item)], items)) == {(9, 1)}
 
 
 def test_whole_values_stand_at_the_places_of_the_template(spark):
     texts = ["We saw Ann Lee, 3.5 km ‹away= from Bob's x2.", "it is 1,200.50 kg, 7.", "by Ann Mary Lee 4 km", "x, 1.2,3 m.", ""]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
-    for r in df.select(tokens(canonical(valued(df.text))).alias("a"),
-                       tokens(canonical(decontaminate.whole_valued(df.text))).alias("b")).collect():
-        assert r["a"] == r["b"]
-    got = df.select(tokens(decontaminate.whole_valued(df.text)).alias("v")).collect()
+    got = df.select(tokens(valued(df.text)).alias("v")).collect()
     assert got[1]["v"] == ["it", "is", "‹num=1==200=50›", "‹unit=kg›", "‹num=7›"]
     assert got[2]["v"] == ["by", "‹name=ann=mary=lee›", "‹num=4›", "‹unit=km›"]
+
+
+def test_items_made_of_numbers_and_short_ones_are_found_verbatim(spark):
+    number = "What is 12 + 45 - 7 * 3 + 88 / 4 ?"
+    docs = [(1, f"so it asks: {number} and goes on"), (2, f"so it asks: {number.replace('45', '46')} and goes on"),
+            (3, "it says yes we can here"), (4, "it says yes you can")]
+    assert set(leaks(spark, docs, [(5, number), (6, "yes we can")])) == {(1, 5), (3, 6)}
+
+
+def test_names_at_the_start_of_sentences(spark):
+    item = "Tom saw John Smith. Ann left early. Bob stayed there. Eve went home with Tom, and (Kim) sang for John Smith."
+    other = (item.replace("Tom", "Max").replace("John Smith", "Lea Brown").replace("Ann", "Zoe").replace("Bob", "Jim")
+             .replace("Eve", "Pia").replace("Kim", "Lou"))
+    got = leaks(spark, [(1, other), (2, f"It is known. {other}"), (3, other.replace("with Max", "with Jim"))], [(1, item)])
+    assert set(got) == {(1, 1), (2, 1)} and got[1, 1]["covered"] == got[1, 1]["tokens"]
+
+
+def test_a_stray_shift_makes_nothing_consistent(spark):
+    item = "take 3 of the red parts out and put 3 red parts back, then take 3 of the blue ones and put 3 more blue ones back again"
+    wrong = item.replace("put 3", "put 5").replace("take 3 of the blue", "take 6 of the blue")
+    stray = "we take 9 of the red parts out and go"
+    assert leaks(spark, [(1, f"{wrong}. {stray}")], [(1, item)]) == {}
+    assert set(leaks(spark, [(1, f"{item.replace('3', '7')}. {stray}")], [(1, item)])) == {(1, 1)}
+
+
+@pytest.mark.parametrize("text", ["Ann " * 50_000, "1," * 50_000 + "1", "1.5," * 20_000, "Ann=" * 30_000, "Ab1" * 30_000, "‹num=1› " * 20_000])
+def test_long_runs_of_names_and_numbers(spark, text):
+    assert set(leaks(spark, [(1, f"{text} {ITEM}"), (2, text)], [(9, ITEM)])) == {(1, 9)}
+
+
+def test_many_items_of_one_template_are_looked_for_as_one(spark):
+    items = [(k, f"a train leaves at {k} and runs {k + 20_000} miles until it comes to the town of the old king") for k in range(10_000)]
+    docs = [(d, f"text before. {items[d + 50][1]} and after") for d in range(20)] + [(99, "clean text only, with 7 words or so")]
+    found = find_leaks(*tables(spark, docs, items))
+    assert sorted((r["doc_id"], r["item_id"]) for r in found.collect()) == [(d, 0) for d in range(20)]
+
+
+def test_rows_that_share_an_id_are_dropped_by_their_own_text(spark):
+    docs, items = tables(spark, [(12, ITEM), (12, "a clean text of its own"), (12, None), (13, OTHER), (13, OTHER)], [(9, ITEM)])
+    docs = docs.withColumnsRenamed({"item_id": "_leaking_id"})
+    kept = drop_leaks(docs, items)
+    assert kept.columns == docs.columns
+    assert sorted(str(r["text"]) for r in kept.collect()) == ["None", "a clean text of its own"]

@@ -40,6 +40,19 @@ def test_equals_sql(spark, name):
     assert sorted(tuple(r) for r in df.select(columns).collect()) == want and want
 
 
+def test_chat_sql_counts_backslashes(spark, tmp_path):
+    texts = ["a \\[ b", "\\ alone", "\\\\ [INST]", "</s>\\<", "\\", "[INST]\\", "\\[/INST] \\\\\\<s>", None, ""]
+    rows = [(i, k, role, t) for i, t in enumerate(texts) for k, role in enumerate(["user", "assistant", "to\\[ol", None])]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1).write.parquet(
+        str(tmp_path / "conversations.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+    result = con.execute(ORACLE["op9_chat_format"])
+    columns = [c[0] for c in result.description]
+    got = QUERIES["op9_chat_format"](spark, str(tmp_path)).select(columns).collect()
+    assert sorted(map(tuple, got)) == sorted(result.fetchall()) and len(got) == len(texts) + 1
+
+
 @pytest.mark.parametrize("name", sorted(COLUMNS))
 def test_columns(spark, name):
     df = QUERIES[name](spark, SF)
