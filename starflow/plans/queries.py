@@ -43,10 +43,10 @@ from starflow.operators import (
     unnest,
     upsert,
     valid_rows,
-    version_changes,
     write_clustered,
     zip_arrays,
 )
+from starflow.operators import version_changes as changes_between
 from starflow.plans import landing, model
 from starflow.session import prepare, scratch_path, stage, together
 from starflow.sources import documents as D
@@ -620,13 +620,13 @@ def lookup_by_weather(spark, sf_dir):
 
 
 @query
-def version_changes_report(spark, sf_dir):
+def version_changes(spark, sf_dir):
     """Customers before and after some leave, some change and some come in, by what happened to each."""
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
     before = customers.where("c_nationkey <> 3")
     moved = F.when(F.col("c_nationkey") == 7, F.lit(None).cast("int")).otherwise(F.col("c_nationkey"))
     after = customers.where("c_nationkey <> 11").withColumn("c_nationkey", moved.cast(customers.schema["c_nationkey"].dataType))
-    return version_changes(before, after, ["c_custkey"])
+    return changes_between(before, after, ["c_custkey"])
 
 
 @query

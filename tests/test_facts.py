@@ -194,12 +194,16 @@ def test_network_job(spark, tmp_path):
 
     folder, root = tmp_path / "stations", str(tmp_path / "network")
     capture_stations(folder, "1.json", station("a", "2025-10-21T05:10:00.000000+00:00Z", 1, slots=9),
-                     station(None, "2025-10-21T05:10:00.000000+00:00Z", 1), station("n", "never", 5), country="QX")
+                     station(None, "2025-10-21T05:10:00.000000+00:00Z", 1), station("n", "never", 5), country="QXX")
     capture_stations(folder, "2.json", station("a", "2025-10-21T06:10:00.000000+00:00Z", 99_999_999_999, slots=9), id=None)
     (folder / "cut.json").write_text('{"network": {"id": "')
     model.load_network_tables(spark, str(folder), root)
     networks, stations, status = model.read_network_tables(spark, root)
-    assert [(r.id, r.country) for r in networks.collect()] == [("net", "QX")]
+    assert [(r.id, r.country) for r in networks.collect()] == [("net", "QXX")]
+    # Rules are counted as the tables are written.
+    checks = N.read_snapshot(spark, root).checks
+    assert checks["dim_network"]["rows"] == 1 and checks["dim_network"]["country longer than 2"] == 1
+    assert checks["dim_network"]["id is null"] == 0 and checks["dim_network_station"]["rows"] == 2
     assert sorted(r.station_id for r in stations.collect()) == ["a", "n"]
     before = sorted(map(tuple, status.collect()), key=str)
     assert sorted((r[0], r[1], r[3]) for r in before) == [(1, "n", 5), (2, "a", 1), (3, "a", None)]
