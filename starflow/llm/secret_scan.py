@@ -12,6 +12,7 @@ import binascii
 import json
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -53,63 +54,80 @@ def decoded(run: str) -> bytes | None:
         return None
 
 
-def der_items(data: bytes) -> list[tuple[int, bytes]] | None:
-    """Tag and content of the items that fill ``data`` exactly, or nothing."""
-    items, at = [], 0
-    while at < len(data):
-        if at + 2 > len(data):
+def _item(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
+    """Tag, and bounds of the content, of the DER item at ``at``, which must not reach beyond ``end``."""
+    if at + 2 > end:
+        return None
+    tag, size, at = data[at], data[at + 1], at + 2
+    if size & 0x80:
+        wide = size & 0x7F
+        if not 1 <= wide <= 4 or at + wide > end:
             return None
-        tag, size, at = data[at], data[at + 1], at + 2
-        if size & 0x80:
-            wide = size & 0x7F
-            if not 1 <= wide <= 4 or at + wide > len(data):
-                return None
-            size, at = int.from_bytes(data[at:at + wide], "big"), at + wide
-        if at + size > len(data):
+        size, at = int.from_bytes(data[at:at + wide], "big"), at + wide
+    return (tag, at, at + size) if at + size <= end else None
+
+
+def _few_items(data: bytes, at: int, end: int, most: int = 9) -> list[tuple[int, int, int]] | None:
+    """The items that fill these bounds exactly, if they are few; only their heads are read."""
+    items = []
+    while at < end:
+        item = _item(data, at, end)
+        if item is None or len(items) == most:
             return None
-        items.append((tag, data[at:at + size]))
-        at += size
+        items.append(item)
+        at = item[2]
     return items
 
 
-def _algorithm(item: tuple[int, bytes]) -> bool:
-    inner = der_items(item[1]) if item[0] == _SEQUENCE else None
-    return bool(inner) and inner[0][0] == _OID
+def der_key_size(data: bytes, at: int) -> int | None:
+    """Bytes of the RSA, DSA, EC or wrapped private key in DER that begins at ``at``.
+
+    Reads the heads of a few items and never their contents, however long they say they are.
+    """
+    outer = _item(data, at, len(data))
+    if outer is None or outer[0] != _SEQUENCE:
+        return None
+    items = _few_items(data, outer[1], outer[2])
+    if not items or len(items) < 2:
+        return None
+    tags, sizes = [t for t, _, _ in items], [b - a for _, a, b in items]
+    first = data[items[0][1]:items[0][2]] if sizes[0] == 1 else b""
+
+    def algorithm(k: int) -> bool:
+        inner = _few_items(data, items[k][1], items[k][2]) if tags[k] == _SEQUENCE else None
+        return bool(inner) and inner[0][0] == _OID
+
+    if tags[0] == _INTEGER and len(items) in (6, 9) and set(tags) == {_INTEGER}:
+        good = first == b"\0" and sizes[1] >= 32
+    elif tags[:2] == [_INTEGER, _OCTETS] and first == b"\1":
+        good = sizes[1] >= 16 and all(tag & 0xE0 == 0xA0 for tag in tags[2:])
+    elif tags[0] == _INTEGER and tags[2:3] == [_OCTETS] and first in (b"\0", b"\1"):
+        good = algorithm(1) and _few_items(data, items[2][1], items[2][2]) is not None
+    else:
+        good = tags == [_SEQUENCE, _OCTETS] and algorithm(0) and sizes[1] >= 32
+    return outer[2] - at if good else None
 
 
 def der_private_key(data: bytes) -> bool:
     """Is this an RSA, DSA, EC or wrapped private key, whole and with nothing after it?"""
-    outer = der_items(data)
-    if not outer or len(outer) != 1 or outer[0][0] != _SEQUENCE:
-        return False
-    items = der_items(outer[0][1])
-    if not items or len(items) < 2:
-        return False
-    tags = [tag for tag, _ in items]
-    first = items[0][1]
-    if tags[0] == _INTEGER and len(items) in (6, 9) and set(tags) == {_INTEGER}:
-        return first == b"\0" and len(items[1][1]) >= 32
-    if tags[:2] == [_INTEGER, _OCTETS] and first == b"\1":
-        return len(items[1][1]) >= 16 and all(tag & 0xE0 == 0xA0 for tag in tags[2:])
-    if tags[0] == _INTEGER and tags[2:3] == [_OCTETS] and first in (b"\0", b"\1"):
-        return _algorithm(items[1]) and der_items(items[2][1]) is not None
-    return tags == [_SEQUENCE, _OCTETS] and _algorithm(items[0]) and len(items[1][1]) >= 32
+    return der_key_size(data, 0) == len(data)
 
 
-def openssh_size(data: bytes) -> int | None:
-    """Bytes of the OpenSSH key file's content that ``data`` begins with, if its nested lengths all fit."""
+def openssh_size(data: bytes, begin: int = 0) -> int | None:
+    """Bytes of the OpenSSH key file's content that begins at ``begin``, if its nested lengths all fit."""
     magic = b"openssh-key-v1\0"
-    if not data.startswith(magic):
+    if not data.startswith(magic, begin):
         return None
-    at = len(magic)
+    at = begin + len(magic)
 
-    def string() -> bytes:
+    def string() -> int:
+        """Size of the next string, which is stepped over."""
         nonlocal at
         size = int.from_bytes(data[at:at + 4], "big")
         if at + 4 + size > len(data):
             raise ValueError
         at += 4 + size
-        return data[at - size:at]
+        return size
 
     try:
         cipher, _, _ = string(), string(), string()
@@ -118,7 +136,7 @@ def openssh_size(data: bytes) -> int | None:
         if not cipher or not 1 <= keys <= 16:
             return None
         public = [string() for _ in range(keys)]
-        return at if all(len(x) > 8 for x in public) and len(string()) >= 16 else None
+        return at - begin if all(size > 8 for size in public) and string() >= 16 else None
     except ValueError:
         return None
 
@@ -149,46 +167,56 @@ def _plain(sign: str) -> str:
     return sign if len(sign) == 1 else "+" if sign[-1] in "bB" else "/"
 
 
-def _gathered(text: str, at: int, most: int | None = None) -> tuple[str, list[int]]:
-    """Base64 from ``at`` over line breaks, ``most`` characters at most, and where each of them ends."""
-    signs, ends = [], []
-    while (most is None or len(signs) < most) and (chunk := _CHUNK.match(text, at)):
-        for m in _SIGNS.finditer(text, at, chunk.end()):
-            signs.append(_plain(m[0]))
-            ends.append(m.end())
-            if len(signs) == most:
-                break
-        gap = _BREAK.match(text, chunk.end())
-        if not gap:
-            break
-        at = gap.end()
-    return "".join(signs), ends
-
-
-def _der_size(head: bytes) -> int | None:
-    """Bytes of the sequence that begins so, if its first item may be that of a private key."""
-    wide = head[1] & 0x7F if head[1] & 0x80 else 0
-    if head[0] != _SEQUENCE or wide > 4 or head[1] == 0x80 or head[2 + wide] not in (_INTEGER, _SEQUENCE):
-        return None
-    return 2 + wide + (int.from_bytes(head[2:2 + wide], "big") if wide else head[1])
+class _Run:
+    """Base64 from some place on, over line breaks: decoded once, for all keys that may begin in it."""
 
-
-def _key_end(text: str, at: int) -> int | None:
+    def __init__(self, text: str, at: int) -> None:
+        signs, starts, ends = [], [], []
+        while chunk := _CHUNK.match(text, at):
+            if "\\" in chunk[0]:
+                for m in _SIGNS.finditer(text, at, chunk.end()):
+                    signs.append(_plain(m[0]))
+                    starts.append(np.array([m.start()]))
+                    ends.append(np.array([m.end()]))
+            else:
+                signs.append(chunk[0])
+                starts.append(np.arange(at, chunk.end()))
+                ends.append(np.arange(at + 1, chunk.end() + 1))
+            gap = _BREAK.match(text, chunk.end())
+            if not gap:
+                break
+            at = gap.end()
+        self.signs = "".join(signs).replace("-", "+").replace("_", "/")
+        self.starts, self.ends = np.concatenate(starts), np.concatenate(ends)
+        self.decoded: dict[int, bytes] = {}
+
+    def place(self, at: int) -> int | None:
+        """Which sign begins at this place of the text."""
+        k = int(np.searchsorted(self.starts, at))
+        return k if k < len(self.starts) and self.starts[k] == at else None
+
+    def bytes_from(self, sign: int) -> tuple[bytes, int]:
+        """The run's bytes as they are if a group of four begins at ``sign``, and where that group's are."""
+        shift = sign % 4
+        if shift not in self.decoded:
+            run = self.signs[shift:]
+            run = run[:-1] if len(run) % 4 == 1 else run
+            self.decoded[shift] = base64.b64decode(run + "=" * (-len(run) % 4))
+        return self.decoded[shift], sign // 4 * 3
+
+
+def _key_end(text: str, at: int, runs: list[_Run]) -> int | None:
     """End of the private key whose base64 begins at ``at``; its own lengths say how far it goes."""
-    if text.startswith("b3Bl", at):
-        run, ends = _gathered(text, at)
-        size = openssh_size(decoded(run[:len(run) // 4 * 4]) or b"")
-        if size is None:
-            size = openssh_size(decoded(run) or b"")
-    else:
-        size = _der_size(decoded(text[at:at + 16]) or b"\0" * 8)
-        if size is None or size > len(text) - at:
-            return None
-        run, ends = _gathered(text, at, -(-size * 4 // 3))
+    sign = runs[-1].place(at) if runs else None
+    if sign is None:
+        runs[:] = [_Run(text, at)]
+        sign = 0
+    data, begin = runs[-1].bytes_from(sign)
+    size = openssh_size(data, begin) if text.startswith("b3Bl", at) else der_key_size(data, begin)
     need = -(-size * 4 // 3) if size else 0
-    if not _LEAST_KEY <= need <= len(run) or not private_key(decoded(run[:need])):
+    if size is None or size < 16 or not _LEAST_KEY <= need <= len(runs[-1].signs) - sign:
         return None
-    return _PADDING.match(text, ends[need - 1]).end()
+    return _PADDING.match(text, int(runs[-1].ends[sign + need - 1])).end()
 
 
 def _pem_body(body: str) -> bytes | None:
@@ -224,13 +252,13 @@ def find(text: str | None) -> list[tuple[int, int, int]]:
                 at = m.end()
             else:
                 at = m.start(2)
-    done = 0
+    done, runs = 0, []
     for m in _KEY_START.finditer(text):
         while armoured and armoured[0][1] <= m.start():
             armoured.pop(0)
         if m.start() < done or armoured and armoured[0][0] <= m.start():
             continue
-        end = _key_end(text, m.start())
+        end = _key_end(text, m.start(), runs)
         if end:
             found.add((m.start(), 5, end))
             done = end
