@@ -2,8 +2,12 @@
 
 A text is the mean of the embeddings of its byte n-grams, each hashed to a row of a
 table; a softmax layer on that mean names the language.  Both are trained by stochastic
-gradient descent.  A temperature fitted on rows kept back calibrates the probabilities,
-and a text is rejected if none is likelier than what nearly all of those rows reach.
+gradient descent.  A temperature fitted on rows kept back calibrates the probabilities.
+
+The softmax tells learnt languages apart and says nothing of others, so rejection looks at the subwords
+themselves: the mean log frequency, over the languages learnt, of a text's subwords.  Its threshold is
+calibrated on rows kept back, which should pass, and on each language left out in turn, which should not.
+A text that mixes learnt languages is as familiar as one of them.
 """
 
 from __future__ import annotations
@@ -67,39 +71,85 @@ class Model:
     scores: np.ndarray  # embeddings times softmax weights: a row for each table row
     bias: np.ndarray
     temperature: float
-    threshold: float
+    familiar: np.ndarray  # log frequency of each table row in the texts learnt from
+    threshold: float  # what a long text must reach on average
+    slack: float  # what one subword may miss; of n it is this over the root of n
 
     def probabilities(self, means: np.ndarray) -> np.ndarray:
         z = (means + self.bias) / self.temperature
         e = np.exp(z - z.max(axis=1, keepdims=True))
         return e / e.sum(axis=1, keepdims=True)
 
-    def predict(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Best language and its probability; -1 and 0 where no language was learnt."""
+    def predict(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Best language, its probability, and whether the text is strange; -1 and 0 where no language was learnt."""
         rows = len(bounds) - 1
         if not self.languages:
-            return np.full(rows, -1), np.zeros(rows)
-        means = np.zeros((rows, len(self.languages)))
+            return np.full(rows, -1), np.zeros(rows), np.ones(rows, bool)
+        means, strange = np.zeros((rows, len(self.languages))), np.zeros(rows, bool)
         for lo, hi in T.groups(bounds, 1 << 18):
             place, row = subwords(data[bounds[lo]:bounds[hi]], bounds[lo:hi + 1] - bounds[lo])
             total = np.maximum(1, np.bincount(row, minlength=hi - lo))
             for k in range(len(self.languages)):
                 means[lo:hi, k] = np.bincount(row, self.scores[place, k], hi - lo) / total
+            known = np.bincount(row, self.familiar[place], hi - lo) / total
+            strange[lo:hi] = known + self.slack / np.sqrt(total) < self.threshold
         p = self.probabilities(means)
         best = p.argmax(axis=1)
-        return best, p[np.arange(rows), best]
+        return best, p[np.arange(rows), best], strange
 
 
-def train(rows: pu.Sparse, labels: np.ndarray, languages: list[str], width: int = 16,
-          epochs: int = 8, batch: int = 64, rate: float = 4.0, keep_back: int = 5,
-          rejected: float = 0.002, seed: int = 0) -> Model:
-    """Embeddings and softmax by SGD; one row in ``keep_back`` calibrates instead.
+def frequencies(rows: pu.Sparse) -> np.ndarray:
+    """Log frequency of each table row, every text counting as much."""
+    # What an unseen subword gets: half a subword of all texts, at some thousand in each.
+    unseen = 0.5 ** 11
+    mass = np.bincount(rows.columns, rows.values, 1 << BITS)
+    return np.log((mass + unseen) / (len(rows) + unseen * (1 << BITS)))
+
+
+def familiarity(rows: pu.Sparse, familiar: np.ndarray, slack: float) -> np.ndarray:
+    """Mean log frequency of each text's subwords, raised by what so few of them may miss."""
+    row = np.repeat(np.arange(len(rows)), rows.counts)
+    least = np.full(len(rows), 1.0)
+    # The rarest subword of a text nearly always occurs once, which tells how many there are.
+    np.minimum.at(least, row, rows.values)
+    return np.bincount(row, rows.values * familiar[rows.columns], len(rows)) + slack * np.sqrt(least)
+
 
-    The threshold lets through all but ``rejected`` of the rows kept back, and texts that mix two
-    languages.
+def rejection(rows: pu.Sparse, labels: np.ndarray, back: np.ndarray, ahead: np.ndarray,
+              caught: float = 0.9) -> tuple[np.ndarray, float, float]:
+    """Frequencies, threshold and slack.
+
+    The threshold lies below the strangest row kept back, by a quarter of the way to what ``caught`` of the
+    rows of a language left out stay below, for the language that is hardest to tell.  Where these overlap it
+    lets all rows kept back pass; with one language the way is that from their median down to the strangest.
     """
+    learnt = rows.take(ahead)
+    familiar = frequencies(learnt)
+    share = np.bincount(learnt.columns, learnt.values, 1 << BITS)
+    mean = (share * familiar).sum() / max(share.sum(), 1e-9)
+    slack = 2 * float(np.sqrt((share * (familiar - mean) ** 2).sum() / max(share.sum(), 1e-9)))
+    kept = rows.take(back)
+    kept = familiarity(kept, familiar, slack)[kept.counts > 0]
+    if not len(kept):
+        return familiar, -np.inf, slack
+    low = float(kept.min())
+    left = []
+    names = np.unique(labels)
+    for name in names if len(names) > 1 else ():
+        of, others = rows.take(ahead[labels[ahead] == name]), ahead[labels[ahead] != name]
+        strange = familiarity(of, frequencies(rows.take(others)), slack)[of.counts > 0]
+        if len(strange) and len(others):
+            left.append(float(np.quantile(strange, caught)))
+    if left:
+        return familiar, min(low, low + (max(left) - low) / 4), slack
+    return familiar, low - (float(np.median(kept)) - low) / 4, slack
+
+
+def train(rows: pu.Sparse, labels: np.ndarray, languages: list[str], width: int = 16,
+          epochs: int = 8, batch: int = 64, rate: float = 4.0, keep_back: int = 5, seed: int = 0) -> Model:
+    """Embeddings and softmax by SGD; one row in ``keep_back`` calibrates instead."""
     if not languages:
-        return Model([], np.zeros((1 << BITS, 0)), np.zeros(0), 1.0, 0.5)
+        return Model([], np.zeros((1 << BITS, 0)), np.zeros(0), 1.0, np.zeros(1 << BITS), 0.0, 0.0)
     rng = np.random.default_rng(seed)
     table = rng.normal(0, 0.1, (1 << BITS, width))
     weights, bias = np.zeros((width, len(languages))), np.zeros(len(languages))
@@ -142,12 +192,7 @@ def train(rows: pu.Sparse, labels: np.ndarray, languages: list[str], width: int
         return float((np.log(np.exp(s - s.max(1, keepdims=True)).sum(1)) + s.max(1) - s[np.arange(len(y)), y]).mean())
 
     temperature = float(min(np.geomspace(0.05, 20, 81), key=loss)) if len(y) else 1.0
-    model = Model(languages, (table @ weights).astype(np.float32), bias, temperature, 0.5)
-    best = np.sort(model.probabilities(z - bias).max(axis=1)) if len(y) else np.ones(1)
-    # Halfway from chance to an even mixture of two languages, which is not rejected.
-    unclear = (1 / len(languages) + 0.5) / 2
-    model.threshold = float(min(unclear, best[int(rejected * len(best))]))
-    return model
+    return Model(languages, (table @ weights).astype(np.float32), bias, temperature, *rejection(rows, labels, back, ahead))
 
 
 def learn_languages(docs: DataFrame, max_rows: int = 4000, max_languages: int = 500,
@@ -155,22 +200,26 @@ def learn_languages(docs: DataFrame, max_rows: int = 4000, max_languages: int =
     """A model of the languages named in ``lang_col``, from about ``max_rows`` rows at most.
 
     Each language gets an equal part of ``max_rows`` (ten rows at least); its rows are
-    drawn by a hash of id and text.  Only the ``max_languages`` most frequent languages are learnt.
+    drawn by a hash of id and text.  All languages beyond the ``max_languages`` most frequent are learnt as
+    one, ``und``, so that their texts are neither lost nor taken for another language.
     Rows without a language, an id or a text are not learnt from.  Without any row the model
     knows no language and calls every text ``und``.
     """
     known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
     known = known.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"),
                          F.col(lang_col).cast("string").alias("lang"))
-    counts = (docs.where(F.col(lang_col).isNotNull()).groupBy(F.col(lang_col).cast("string").alias("lang"))
-              .count().orderBy(F.desc("count"), "lang").limit(max_languages).collect())
+    every = (docs.where(F.col(lang_col).isNotNull()).groupBy(F.col(lang_col).cast("string").alias("lang")).count())
+    counts = every.orderBy(F.desc("count"), "lang").limit(max_languages).collect()
     if not counts:
         return train(pu.Sparse(*(np.zeros(0, np.int64),) * 3), np.zeros(0, np.int64), [])
     each = max(10, max_rows // len(counts))
     shares = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, each / r["count"])) for r in counts],
                                                "lang string, share double")
+    rest = (every.agg(F.sum("count").alias("n")).first()["n"] or 0) - sum(r["count"] for r in counts)
     # A row for each of a bounded number of languages.
-    drawn = (known.join(F.broadcast(shares), "lang")
+    drawn = (known.join(F.broadcast(shares), "lang", "left")
+             .withColumn("lang", F.when(F.col("share").isNull(), UNKNOWN).otherwise(F.col("lang")))
+             .withColumn("share", F.coalesce("share", F.lit(min(1.0, each / rest) if rest else 1.0)))
              .where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.col("share") * (1 << 30)))
     rows, sparse = pu.gather(drawn, features, "id", "text", "lang")
     languages = sorted({r["label"] for r in rows})
@@ -179,19 +228,19 @@ def learn_languages(docs: DataFrame, max_rows: int = 4000, max_languages: int =
 
 
 def _predictions(model: Model, column: pa.Array) -> tuple[list, np.ndarray, np.ndarray]:
-    best, p = model.predict(*T.utf8(column))
+    best, p, strange = model.predict(*T.utf8(column))
     lettered = np.array([x is not None and any(map(str.isalpha, x)) for x in column.to_pylist()], bool)
     known = lettered & (best >= 0)
     names = [model.languages[k] if ok else UNKNOWN for k, ok in zip(best, known)]
     p = np.where(known, p, 0.0)
-    return names, p, ~known | (p < model.threshold)
+    return names, p, ~known | strange
 
 
 def identify_languages(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` without its text, with ``lang_pred``, ``score`` and ``rejected``.
 
-    A null text, or one without a letter, is ``und`` with score 0 and rejected.  Every row
-    is kept.  Columns of those three names are replaced.
+    A null text, or one without a letter, is ``und`` with score 0 and rejected, and one that is in no learnt
+    language is rejected too, whatever it is most like.  Every row is kept.  Columns of those three names are replaced.
     """
     added = ("lang_pred", "score", "rejected")
     others = [c for c in docs.columns if c not in (text_col, *added)]
