@@ -428,12 +428,27 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, id_col
 
 def keep_one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",
                      text_col: str = "text") -> DataFrame:
-    """The rows, with all their columns, whose id names their component.
+    """The rows, with all their columns, that have the smallest id of their component.
 
-    Of rows that repeat an id one stays.  Rows without an id stay as they are.
+    Of rows that repeat id and text one stays.  Rows that share an id but not their text are documents of
+    their own, each judged by its text.  Rows without an id stay as they are.
     """
-    kept = stage(jaccard_components(docs, size, percent, id_col, text_col)
-                 .where("doc_id = component_id").select("doc_id").distinct(), "jaccard-kept")
     named = docs.where(F.col(id_col).isNotNull())
-    one = named.join(kept, named[id_col] == kept["doc_id"], "left_semi").dropDuplicates([id_col])
+    texts = named.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"))
+    if texts.groupBy("id").agg((F.min("h") != F.max("h")).alias("several")).where("several").isEmpty():
+        kept = stage(jaccard_components(docs, size, percent, id_col, text_col)
+                     .where("doc_id = component_id").select("doc_id").distinct(), "jaccard-kept")
+        one = named.join(kept, named[id_col] == kept["doc_id"], "left_semi").dropDuplicates([id_col])
+        return one.unionByName(docs.where(F.col(id_col).isNull()))
+    # An id does not name a text here, so rows get numbers, stored before they are used.
+    number = "_row"
+    while number in docs.columns:
+        number = f"_{number}"
+    rows = stage(named.withColumn(number, F.monotonically_increasing_id()), "jaccard-rows")
+    ids = rows.select(F.col(number).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"))
+    found = jaccard_components(rows.select(number, text_col), size, percent, number, text_col)
+    first = (found.join(ids, F.col("doc_id") == F.col("row")).groupBy("component_id")
+             .agg(F.min(F.struct("id", "row", "h")).alias("first")).select("first.*"))
+    kept = stage(first.groupBy("id", "h").agg(F.min("row").alias("row")).select("row"), "jaccard-kept")
+    one = rows.join(kept, rows[number] == kept["row"], "left_semi").drop(number)
     return one.unionByName(docs.where(F.col(id_col).isNull()))

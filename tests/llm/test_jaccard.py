@@ -124,3 +124,18 @@ def test_components(spark, edges):
                 label[a] = label[b] = min(label[a], label[b])
     got = components(spark.createDataFrame(edges, "a long, b long"))
     assert dict(tuple(r) for r in got.collect()) == label
+
+
+def test_rows_that_share_an_id_are_judged_by_their_own_text(spark):
+    """Repeated ids with other texts, near copies among them; columns named like the ones used inside."""
+    a = " ".join(f"a{i}" for i in range(60))
+    near = a.replace("a59", "z")
+    b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "bc")
+    rows = [(1, a, 0), (1, b, 0), (2, near, 0), (2, c, 0), (3, b, 0), (3, b, 0), (4, None, 0), (4, "", 0), (4, "", 0),
+            (5, "few words", 0), (5, "other few words", 0), (None, a, 0), (None, a, 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _row int")
+    kept = keep_one_of_each(df)
+    assert kept.columns == df.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    want = [(1, a), (1, b), (2, c), (4, None), (4, ""), (5, "few words"), (5, "other few words"), (None, a), (None, a)]
+    assert got == sorted(want, key=str)
