@@ -101,7 +101,11 @@ def train(pos: Sparse, unl: Sparse, width: int, prior: float, epochs: int = 12,
     return mean / kept
 
 
-def estimate_prior(pos: np.ndarray, unl: np.ndarray, least: float = 0.01, most: float = 0.99,
+#: No smaller share of positives is estimated.
+LEAST_PRIOR = 0.01
+
+
+def estimate_prior(pos: np.ndarray, unl: np.ndarray, least: float = LEAST_PRIOR, most: float = 0.99,
                    confidence: float = 0.1) -> float:
     """Share of positives among unlabelled rows, from scores of rows not trained on.
 
@@ -144,6 +148,7 @@ class Classifiers:
     weights: np.ndarray  # a row for each column, a column for each classifier
     prior: float
     width: int
+    nothing_learnt: bool = False
 
     def table(self) -> np.ndarray:
         """Place of each column in ``weights``; the row of zeros after the last for others."""
@@ -152,6 +157,8 @@ class Classifiers:
         return places
 
     def score(self, rows: Sparse, table: np.ndarray | None = None) -> np.ndarray:
+        if self.nothing_learnt:
+            return np.full(len(rows), self.prior)
         place = (self.table() if table is None else table)[rows.columns]
         weights = np.vstack([self.weights, np.zeros(self.weights.shape[1])])
         near = Sparse(rows.counts, place, rows.values)
@@ -163,10 +170,10 @@ def fit(pos: Sparse, unl: Sparse, width: int, always: int, members: int = 3,
     """Train ``members`` classifiers on bootstrap samples, after estimating the prior if not given.
 
     Without positives or without unlabelled rows there is nothing to learn from: there
-    are no weights, and every score is 0.5.
+    are no weights, and every score is the prior, the least that is ever estimated if not given.
     """
     if not len(pos) or not len(unl):
-        return Classifiers(np.zeros(0, np.int64), np.zeros((0, 1)), prior or 0.5, width)
+        return Classifiers(np.zeros(0, np.int64), np.zeros((0, 1)), LEAST_PRIOR if prior is None else prior, width, True)
     if prior is None:
         # Each half is scored by a classifier of positives against unlabelled rows of the other.
         seen: tuple[list, list] = ([], [])

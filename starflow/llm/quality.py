@@ -16,7 +16,7 @@ def learn_quality(docs: DataFrame, trusted_ids: DataFrame, **settings) -> pu.Cla
     """Classifiers from the texts of ``docs`` whose id is in ``trusted_ids``; see ``pu.learn``.
 
     The class prior is estimated unless ``prior`` gives it.  Rows without an id are not
-    learnt from.  Without any trusted text every score is 0.5.
+    learnt from.  Without any trusted text every score is the least prior, 0.01.
     """
     return pu.learn(docs, trusted_ids, features.shape, features.SHAPE_WIDTH, features.SHAPE_ALWAYS,
                     **settings)

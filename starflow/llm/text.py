@@ -34,7 +34,9 @@ _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def prepare_workers(spark: SparkSession, rows: int = 2000) -> None:
-    """Send this package to the executors' Python, and bound the batches it gets.
+    """Send this package to the executors' Python, and bound the rows of the batches it gets.
+
+    Spark itself bounds their bytes, by ``spark.sql.execution.arrow.maxBytesPerBatch``.
 
     Spark hands the archive to executors itself, as it does for ``--py-files``, so they
     need not have the package installed.
@@ -42,7 +44,9 @@ def prepare_workers(spark: SparkSession, rows: int = 2000) -> None:
     context = spark.sparkContext
     if not getattr(context, "_starflow_sent", False):
         root = Path(__file__).resolve().parents[1]
-        archive = Path(tempfile.mkdtemp(prefix="starflow-code-")) / "starflow.zip"
+        # Holds code alone, and goes with the session's context.
+        context._starflow_code = tempfile.TemporaryDirectory(prefix="starflow-code-")
+        archive = Path(context._starflow_code.name) / "starflow.zip"
         with zipfile.ZipFile(archive, "w") as out:
             for file in sorted(root.rglob("*.py")):
                 out.write(file, file.relative_to(root.parent))

@@ -17,7 +17,7 @@ def learn_toxicity(docs: DataFrame, toxic_ids: DataFrame, **settings) -> pu.Clas
     """Classifiers from the texts of ``docs`` whose id is in ``toxic_ids``; see ``pu.learn``.
 
     The share of toxic texts is estimated unless ``prior`` gives it.  Rows without an id
-    are not learnt from.  Without any toxic text every score is 0.5.
+    are not learnt from.  Without any toxic text every score is the least prior, 0.01.
     """
     return pu.learn(docs, toxic_ids, features.words, features.WORDS_WIDTH, features.WORDS_ALWAYS,
                     **settings)
@@ -35,7 +35,11 @@ def score_toxicity(docs: DataFrame, model: pu.Classifiers, text_col: str = "text
 
 def held_out_scores(docs: DataFrame, labels: DataFrame, label: str, learn, score,
                     threshold: float) -> DataFrame:
-    """Fit on four of five folds of ``crc32(doc_id)`` and score all rows."""
+    """Fit on four of five folds of ``crc32(doc_id)`` and score all rows: ``doc_id, score, held_out, predicted``.
+
+    Every row of ``docs`` is returned, also repeated ones and such without an id or text; a null id is in the
+    fold of the empty text.  Other columns are left out, and an empty table gives no rows.
+    """
     docs = docs.select("doc_id", "text")
     train = T.crc32_mod("doc_id", 5) != 0
     positives = labels.where((F.col(label) == 1) & train).select("doc_id")
