@@ -22,6 +22,7 @@ from starflow.operators.quality import (
     conform,
     fk_orphans,
     misfits,
+    observed,
     quarantined_rows,
     valid_rows,
 )
@@ -347,7 +348,7 @@ def load_tables(spark: SparkSession, stations_path: str, hourly_path: str, wareh
         together(
             spark,
             lambda: load.replace("dim_station", upsert(
-                load.base.table(spark, "dim_station", S.DIM_STATION), newest, ["station_id"]), ["station_id"]),
+                load.base.table(spark, "dim_station", S.DIM_STATION), newest, ["station_id"]), _watch(["station_id"])),
             lambda: load.add(REJECTED, f"{load.number:012d}", unusable(stations, parsed, damaged)))
         # Both dimensions are stored by now, so no fact row ever lacks its parents.
         if days and align == "asof":
@@ -366,7 +367,11 @@ def merge_hours(load: N.Load, hours: DataFrame) -> tuple[DataFrame, list]:
     # One value for each calendar day with an hour that was not known.
     days = [r[0] for r in fresh.select(F.to_date("timestamp")).distinct().collect()]
     merged = insert_keyed(target, hours, ["timestamp"], "weather_id")
-    return load.replace("dim_weather", merged, S.required(S.WAREHOUSE_WEATHER)), days
+    return load.replace("dim_weather", merged, _watch(S.required(S.WAREHOUSE_WEATHER))), days
+
+
+def _watch(not_null: list[str], max_length: dict[str, int] | None = None):
+    return lambda df: observed(df, not_null, max_length)
 
 
 def read_station(spark: SparkSession, warehouse: str) -> DataFrame:
@@ -421,11 +426,11 @@ def load_network_tables(spark: SparkSession, stations_path: str, warehouse: str,
             spark,
             lambda: load.replace("dim_network", upsert(
                 load.base.table(spark, "dim_network", S.NETWORK), stage(dim_network(docs), "networks"), ["id"]),
-                S.required(S.NETWORK), S.NETWORK_LENGTHS),
+                _watch(S.required(S.NETWORK), S.NETWORK_LENGTHS)),
             lambda: load.replace("dim_network_station", upsert(
                 load.base.table(spark, "dim_network_station", S.NETWORK_STATION),
                 stage(dim_network_station(stations), "network-stations"), ["station_id"]),
-                S.required(S.NETWORK_STATION), S.NETWORK_STATION_LENGTHS),
+                _watch(S.required(S.NETWORK_STATION), S.NETWORK_STATION_LENGTHS)),
             lambda: load.add(REJECTED, f"{load.number:012d}", left))
         fits = status.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in declared.fields], *ORIGIN)
         STATION_STATUS.merge(load, valid_rows(fits, not_null=["station_id"]))
