@@ -24,6 +24,8 @@ from starflow.session import stage
 SAMPLES = 64
 #: Samples of a text that are drawn in one pass over its terms, each the least of a column.
 _PASS = 8
+#: Terms this many times farther off than the expected least are given up on at first, see ``_all_sampled``.
+_WITHIN = 12.0
 _FINE = 1 << 23  # steps of log(a), which lies between -128 and 128
 _CODE = (1 << 16) - 1
 
@@ -39,8 +41,14 @@ def _halves(term: Column, sample: Column, which: int) -> tuple[Column, Column]:
                  for half in (F.shiftrightunsigned(bits, 32), bits.bitwiseAND((1 << 32) - 1)))
 
 
-def _draw(term: Column, sample: Column, log_weight: Column, slot: Column) -> Column:
-    """log(a) and the sample's code in one number whose least is the draw; null without a weight."""
+def _draw(term: Column, sample: Column, log_weight: Column, slot: Column,
+          most: tuple[Column, Column] | None = None) -> Column:
+    """log(a) and the sample's code in one number whose least is the draw; null without a weight.
+
+    Given ``most``, a bound times the weight and the bound's logarithm, it is also null where a is greater.  As t - b is more than log(w) / r - 1, a is
+    at least c * exp(-r) / w = -log(u3 * u4) * u1 * u2 / w, and -log(x) at least 1 - x: so most terms, which
+    are far from being the least, need no logarithm.  Both tests leave out no term that is less than one they let in.
+    """
     u1, u2 = _halves(term, sample, 0)
     u3, u4 = _halves(term, sample, 1)
     r, c = -F.log(u1 * u2), -F.log(u3 * u4)
@@ -51,34 +59,63 @@ def _draw(term: Column, sample: Column, log_weight: Column, slot: Column) -> Col
     # An odd factor, so neighbouring t of a term never share a code.
     code = F.shiftleft(slot.cast("bigint"), 16).bitwiseOR(
         F.shiftrightunsigned(term, 24).bitwiseXOR(t * 40503).bitwiseAND(_CODE))
-    return F.shiftleft(steps, 32) + code
+    drawn = F.shiftleft(steps, 32) + code
+    if most is None:
+        return drawn
+    # A little less than what the first test leaves out, beyond any rounding.
+    near = F.when(a <= most[1] - 1e-5, drawn)
+    return F.when((1 - u3 * u4) * (u1 * u2) <= most[0], near)
 
 
-def _all_sampled(texts: DataFrame, key: list[str], text_cols: list[str], bins: int, samples: int) -> DataFrame:
-    """``key`` and the draws of each of ``text_cols`` under its name, where any of them has a word.
+def _all_sampled(texts: DataFrame, key: list[str], text_cols: list[str], bins: int, samples: int,
+                 within: float | None = None) -> DataFrame:
+    """``key``, the draws of each of ``text_cols`` under its name, where any of them has a word, and its words' number.
 
-    What depends on term and sample alone is worked out once for all texts of a row.
+    What depends on term and sample alone is worked out once for all texts of a row.  The least a of a
+    text of n words is exponentially distributed with rate n.  ``within`` gives up on terms whose a is
+    more than that many times 1 / n: then a draw is missing with the probability exp(-within).
     """
-    each = F.explode(F.array(*(F.struct(F.lit(k).alias("which"), F.col(c).alias("text"))
-                               for k, c in enumerate(text_cols))))
-    exploded = (texts.select(*key, each.alias("one"))
-                .select(*key, "one.which", F.explode(words(F.col("one.text"))).alias("word")))
+    if len(text_cols) > 2:
+        raise ValueError("two texts of a row at most")
+    split = texts.select(*key, *(words(F.col(c)).alias(f"words{k}") for k, c in enumerate(text_cols)))
+    sizes = [F.size(f"words{k}").cast("long") for k in range(len(text_cols))]
+    sizes = sizes[0] if len(sizes) == 1 else sizes[0] + F.shiftleft(sizes[1], 32)
+    each = F.explode(F.array(*(F.struct(F.lit(k).alias("which"), F.col(f"words{k}").alias("words"))
+                               for k in range(len(text_cols)))))
+    exploded = (split.select(*key, sizes.alias("_sizes"), each.alias("one"))
+                .select(*key, "_sizes", "one.which", F.explode("one.words").alias("word")))
+    # Counts of both texts share one long, and so do their sizes, which all rows of a key know: there is a row here
+    # for every word of every text.
+    low = (1 << 32) - 1
+    terms = exploded.groupBy(*key, F.xxhash64("word").alias("term")).agg(
+        F.sum(F.when(F.col("which") == 0, F.lit(1)).otherwise(F.lit(1 << 32))).alias("_counts"), F.max("_sizes").alias("_sizes"))
+
+    def of(packed: str, k: int) -> Column:
+        value = F.shiftrightunsigned(packed, 32) if k else F.col(packed).bitwiseAND(low)
+        return F.nullif(value, F.lit(0)).cast("double")
+
     logs = [f"log{k}" for k in range(len(text_cols))]
-    terms = exploded.groupBy(*key, F.xxhash64("word").alias("term")).agg(*(
-        F.log(F.count_if(F.col("which") == k).cast("double")).alias(name) for k, name in enumerate(logs)))
+    facts = [c for k, name in enumerate(logs) for c in (
+        F.log(of("_counts", k)).alias(name), (F.lit(within or 1.0) * of("_counts", k) / of("_sizes", k)).alias(f"bound{k}"),
+        F.log(F.lit(within or 1.0) / of("_sizes", k)).alias(f"limit{k}"))]
+    terms = terms.select(*key, "term", "_sizes", *facts)
     together = max(k for k in range(1, _PASS + 1) if samples % k == 0)
     terms = terms.withColumn("first", F.explode(F.sequence(F.lit(0), F.lit(samples - 1), F.lit(together))))
     bin_ = F.pmod(F.col("term"), F.lit(bins))
     drawn = terms.groupBy(*key, bin_.alias("bin"), "first").agg(*(
-        F.min(_draw(F.col("term"), F.col("first") + k, F.col(name), bin_ * samples + F.col("first") + k))
-        .alias(f"{name}_{k}") for k in range(together) for name in logs))
+        F.min(_draw(F.col("term"), F.col("first") + k, F.col(name), bin_ * samples + F.col("first") + k,
+                    (F.col(f"bound{j}"), F.col(f"limit{j}")) if within else None)).alias(f"{name}_{k}")
+        for k in range(together) for j, name in enumerate(logs)), F.max("_sizes").alias("_sizes"))
 
     def mine(name):
         draws = F.array_compact(F.array(*(f"{name}_{k}" for k in range(together))))
         return F.transform(draws, lambda d: d.bitwiseAND((1 << 32) - 1).cast("int"))
 
-    return drawn.groupBy(*key).agg(*(F.sort_array(F.flatten(F.collect_list(mine(name)))).alias(c)
-                                     for name, c in zip(logs, text_cols)))
+    whole = drawn.groupBy(*key).agg(
+        *(F.sort_array(F.flatten(F.collect_list(mine(name)))).alias(c) for name, c in zip(logs, text_cols)),
+        F.max("_sizes").alias("_sizes"))
+    return whole.select(*key, *text_cols, *(F.coalesce(of("_sizes", k), F.lit(0.0)).alias(f"{c}_words")
+                                            for k, c in enumerate(text_cols)))
 
 
 def sampled(texts: DataFrame, key: list[str], text_col: str, bins: int = 1, samples: int = SAMPLES) -> DataFrame:
@@ -87,7 +124,7 @@ def sampled(texts: DataFrame, key: list[str], text_col: str, bins: int = 1, samp
     ``key`` must tell texts apart.  If rows are partitioned by some of it already, they are
     not moved.
     """
-    return _all_sampled(texts, key, [text_col], bins, samples).withColumnRenamed(text_col, "draws")
+    return _all_sampled(texts, key, [text_col], bins, samples).select(*key, F.col(text_col).alias("draws"))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -142,20 +179,34 @@ def edit_fingerprints(docs: DataFrame, bins: int = 1, samples: int = SAMPLES, id
                   .withColumn("taken", F.floor(F.col("n_chars") / 4).cast("int")), "fingerprint-order")
     one = rows.dropDuplicates(key).select(*key, "text")
 
-    # What the next document lends to the one before it.
-    lent = (order.select(F.col("r1").alias("o1"), F.col("r2").alias("o2"), "taken",
-                         F.col("next_r1").alias("r1"), F.col("next_r2").alias("r2"))
-            .join(one, key).select(F.col("o1").alias("r1"), F.col("o2").alias("r2"),
-                                   F.substr("text", F.lit(1), "taken").alias("head")))
-    whole = (one.join(order, key).join(lent, key)
-             .withColumn("edited", F.concat(F.substr("text", F.lit(1), (F.col("n_chars") - F.col("taken")).cast("int")),
-                                            F.col("head"))))
-    facts = whole.select(*key, "doc_id", "n_chars", "next_r1", "next_r2", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
-    both = _all_sampled(whole.select(*key, F.col("text").alias("own"), F.col("edited").alias("other")), key,
-                        ["own", "other"], bins, samples)
-    none = F.array().cast("array<int>")
-    joined = stage(facts.join(both, key, "left").withColumns(
-        {"own": F.coalesce("own", none), "other": F.coalesce("other", none)}), "fingerprints")
+    def drawn(order: DataFrame, one: DataFrame, within: float | None) -> DataFrame:
+        # What the next document lends to the one before it.
+        lent = (order.select(F.col("r1").alias("o1"), F.col("r2").alias("o2"), "taken",
+                             F.col("next_r1").alias("r1"), F.col("next_r2").alias("r2"))
+                .join(one, key).select(F.col("o1").alias("r1"), F.col("o2").alias("r2"),
+                                       F.substr("text", F.lit(1), "taken").alias("head")))
+        whole = (one.join(order, key).join(lent, key)
+                 .withColumn("edited", F.concat(F.substr("text", F.lit(1), (F.col("n_chars") - F.col("taken")).cast("int")),
+                                                F.col("head"))))
+        facts = whole.select(*key, "doc_id", "n_chars", "next_r1", "next_r2",
+                             F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
+        both = _all_sampled(whole.select(*key, F.col("text").alias("own"), F.col("edited").alias("other")), key,
+                            ["own", "other"], bins, samples, within)
+        none = F.array().cast("array<int>")
+        return facts.join(both, key, "left").withColumns({"own": F.coalesce("own", none), "other": F.coalesce("other", none)})
+
+    first = stage(drawn(order, one, _WITHIN if bins == 1 else None), "fingerprints")
+    joined = first.drop("own_words", "other_words")
+    if bins == 1:
+        # The few texts that lack a draw are drawn again from all of their terms.
+        missing = (((F.col("own_words") > 0) & (F.size("own") < samples))
+                   | ((F.col("other_words") > 0) & (F.size("other") < samples)))
+        again = stage(first.where(missing).select(*key), "fingerprints-again")
+        if not again.isEmpty():
+            theirs = stage(order.join(again, key, "left_semi"), "fingerprints-order")
+            needed = theirs.select(*key).union(theirs.select("next_r1", "next_r2")).distinct()
+            redrawn = stage(drawn(theirs, one.join(needed, key, "left_semi"), None).select(*joined.columns), "fingerprints-redrawn")
+            joined = joined.join(again, key, "left_anti").unionByName(redrawn)
     after = joined.select(F.col("r1").alias("next_r1"), F.col("r2").alias("next_r2"), F.col("own").alias("next_own"))
     return joined.join(after, ["next_r1", "next_r2"]).select(
         "doc_id", "n_chars", "edited_sha256", as_text(F.col("own")).alias("fingerprint"),

@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from starflow.llm import fingerprints
 from starflow.llm.fingerprints import as_text, edit_fingerprints, likeness, sampled, successors
 
 
@@ -105,3 +106,19 @@ def test_each_text_is_near_its_exact_similarity(spark):
         for column, other in (("near_edited", want), ("near_next", after)):
             exact = jaccard(text[r["doc_id"]], other[r["doc_id"]])
             assert abs(r[column] - exact) <= 5 * max(exact * (1 - exact), 0.01) ** 0.5 / 8, (r["doc_id"], column)
+
+
+@pytest.mark.parametrize("within", [0.05, 1.0, 12.0])
+def test_giving_up_on_far_terms_changes_no_draw(spark, monkeypatch, within):
+    """However many draws are missing at first, the result is that of drawing from all terms."""
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices([f"w{k}" for k in range(40)], [1 / (k + 1) for k in range(40)], k=rng.randint(0, 120))) for _ in range(40)]
+    docs = spark.createDataFrame([*enumerate(texts), (None, "a b"), (90, None), (91, "one")], "doc_id long, text string")
+    monkeypatch.setattr(fingerprints, "_WITHIN", within)
+    got = sorted(map(tuple, fingerprints.edit_fingerprints(docs).collect()), key=str)
+    monkeypatch.setattr(fingerprints, "_WITHIN", None)
+    assert got == sorted(map(tuple, fingerprints.edit_fingerprints(docs).collect()), key=str)
+    plain = {r["n"]: r["draws"] for r in fingerprints.sampled(
+        docs.where("doc_id >= 0").select(F.col("doc_id").alias("n"), "text"), ["n"], "text").collect()}
+    text = {r[0]: r[3] for r in got}
+    assert all(text[n] == "".join(f"{d:06x}" for d in draws) and len(draws) == 64 for n, draws in plain.items())
