@@ -1,7 +1,7 @@
 from starflow.operators.asof import asof_join
 from starflow.operators.changes import version_changes
 from starflow.operators.clustering import lookup, write_clustered
-from starflow.operators.dedupe import any_per_key, latest_per_key
+from starflow.operators.dedupe import any_per_key, latest_per_key, only_latest
 from starflow.operators.joins import aligned_join, left_enrich
 from starflow.operators.keys import dense_key, hash_key, next_key
 from starflow.operators.merge import append_new, insert_keyed, new_rows, upsert
@@ -27,7 +27,7 @@ from starflow.operators.reshape import (
 __all__ = [
     "aligned_join", "any_per_key", "append_new", "asof_join", "checked", "conform", "copy_column",
     "dense_key", "fk_orphans", "hash_key", "insert_keyed", "latest_per_key",
-    "left_enrich", "lookup", "misfits", "new_rows", "next_key", "observed", "pk_violations", "project",
+    "left_enrich", "lookup", "misfits", "new_rows", "next_key", "observed", "only_latest", "pk_violations", "project",
     "quarantined_rows", "rename", "strict_rows", "unnest", "upsert", "valid_rows", "version_changes",
     "write_clustered", "zip_arrays",
 ]

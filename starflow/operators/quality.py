@@ -106,8 +106,10 @@ def misfits(df: DataFrame, table: T.StructType,
             renames: Mapping[str, str] | None = None) -> DataFrame:
     """Rows with values that ``conform`` cannot keep, each as ``column: text`` in ``violations``."""
     renamed = df.withColumnsRenamed(dict(renames or {}))
-    lost = [F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(),
-                   F.concat_ws(": ", F.lit(f.name), F.col(f.name).cast("string")))
-            for f in table.fields if f.name in renamed.columns]
-    found = F.array_compact(F.array(*lost)).cast("array<string>")
-    return renamed.withColumn(VIOLATIONS, found).where(F.size(VIOLATIONS) > 0)
+    # A value that has its type already fits.
+    kinds = {f.name: f.dataType for f in renamed.schema.fields}
+    lost = {f.name: F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()
+            for f in table.fields if kinds.get(f.name, f.dataType) != f.dataType}
+    texts = [F.when(gone, F.concat_ws(": ", F.lit(name), F.col(name).cast("string"))) for name, gone in lost.items()]
+    found = F.array_compact(F.array(*texts)).cast("array<string>")
+    return renamed.where(reduce(or_, lost.values(), F.lit(False))).withColumn(VIOLATIONS, found)

@@ -11,17 +11,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+_K, _STAMP = "_k", "_stamp"  # taken from each event once, for both of its stations
+
+
 def _station(key, name, lat, lon, has_ebikes) -> F.Column:
-    k = F.get_json_object("props", "$.k").cast("bigint")
+    k = F.col(_K)
     # Events of type "error" carry no extra block at all.
     extra = F.when(F.col("event_type") != "error", F.struct(
         has_ebikes.alias("has_ebikes"), k.alias("slots"), (k % 7).alias("ebikes"),
         F.concat(F.lit("uid-"), key).alias("uid"),
         F.col("event_id").alias("last_updated_epoch")))
-    stamp = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     return F.struct(
         key.alias("id"), name.alias("name"), lat.alias("latitude"), lon.alias("longitude"),
-        F.concat(stamp, F.lit("+00:00Z")).alias("timestamp"),
+        F.col(_STAMP).alias("timestamp"),
         F.floor("value").alias("free_bikes"),
         F.when(F.col("event_type") != "error", F.lit(100) - k).alias("empty_slots"),
         extra.alias("extra"))
@@ -38,7 +40,10 @@ def station_documents(events: DataFrame, *keep: str) -> DataFrame:
         kind.alias("id"), F.upper(kind).alias("name"), F.lit("QX").alias("country"),
         F.concat(F.lit("/networks/"), kind).alias("href"),
         F.array(by_user, by_kind).alias("stations"))
-    return events.select(network.alias("network"), *keep)
+    stamp = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    taken = events.withColumns({_K: F.get_json_object("props", "$.k").cast("bigint"),
+                                _STAMP: F.concat(stamp, F.lit("+00:00Z"))})
+    return taken.select(network.alias("network"), *keep)
 
 
 def damaged_documents(events: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from starflow import schemas as S
 from starflow.functions import optional, parse_hour, parse_station_time
 from starflow.operators.asof import asof_join
 from starflow.operators.changes import CHANGE, version_changes
-from starflow.operators.dedupe import latest_per_key
+from starflow.operators.dedupe import latest_per_key, only_latest
 from starflow.operators.joins import aligned_join, left_enrich
 from starflow.operators.keys import dense_key
 from starflow.operators.merge import insert_keyed, upsert
@@ -65,6 +65,7 @@ FACT = FactTable("fact_bike_weather", S.LOADED_FACT, FACT_KEY, ORIGIN_FIELDS, ["
 STATION_STATUS = FactTable(
     "fact_station_status", T.StructType([f for f in S.STATION_STATUS.fields if f.name != "status_id"]),
     FACT_KEY, ORIGIN_FIELDS, number="status_id")
+_HEAD, _STATION = "_head", "_station"
 ROW = "row_number"  # tells copies of a stored status row apart
 
 
@@ -166,10 +167,30 @@ def network_rows(docs: DataFrame) -> DataFrame:
 
 def dim_network(docs: DataFrame) -> DataFrame:
     """The networks that have an id, by the newest file; ``network_rows`` has the others too."""
-    rows = network_rows(docs).where(F.col("id").isNotNull())
+    return newest_networks(network_rows(docs))
+
+
+def newest_networks(rows: DataFrame) -> DataFrame:
+    rows = rows.where(F.col("id").isNotNull())
     return conform(latest_per_key(rows, ["id"], ORIGIN), S.NETWORK)
 
 
+def _flat_documents(docs: DataFrame) -> DataFrame:
+    """A row for each station, typed, and one for a document without any.
+
+    The first row of a document has its network and, if it did not parse in full, its text; whether
+    a row has a station or is such a first one is in ``_station`` and ``_head``.
+    """
+    head = F.coalesce(F.col("pos"), F.lit(0)) == 0
+    network = F.struct(*(F.col(f"network.{c}").alias(c) for c in S.NETWORK.names))
+    parts = docs.select(*ORIGIN, S.CORRUPT, network.alias("network"), F.col("network.stations").alias("stations"))
+    rows = parts.select(*ORIGIN, S.CORRUPT, "network", F.posexplode_outer("stations"))
+    rows = rows.select(
+        F.col("network.id").alias(NETWORK_ID), *ORIGIN, "col.*", F.col("pos").isNotNull().alias(_STATION), head.alias(_HEAD),
+        F.when(head, F.col("network")).alias("network"), F.when(head, F.col(S.CORRUPT)).alias(S.CORRUPT))
+    return _flat_stations(rows).drop("address", "has_ebikes", "ebikes")
+
+
 def dim_network_station(stations: DataFrame) -> DataFrame:
     renames = {"station_name": "name", "slots": "total_slots"}
     columns = ["station_id", NETWORK_ID, "station_name", "latitude", "longitude", "uid",
@@ -410,9 +431,12 @@ def load_network_tables(spark: SparkSession, stations_path: str, warehouse: str,
     """
     prepare(spark)
     with N.load(spark, warehouse) as load, scratch(spark):
-        docs = stage(D.read_documents(spark, stations_path, S.STATION_DOCUMENT, multi_line, modified_after), "documents")
-        whole = docs.where(F.col(S.CORRUPT).isNull())
-        networks, stations = network_rows(whole), station_rows(D.readable(docs))
+        docs = D.read_documents(spark, stations_path, S.STATION_DOCUMENT, multi_line, modified_after)
+        # All tables come from these rows: the JSON and its times are parsed and unnested once.
+        rows = stage(_flat_documents(docs), "documents")
+        damaged = F.col(S.CORRUPT).isNotNull()
+        networks = rows.where(F.col(_HEAD) & ~damaged).select("network.*", *ORIGIN)
+        stations = rows.where(_STATION)
         declared = STATION_STATUS.columns
         status = stations.select(*declared.names, *ORIGIN)
         wide = misfits(status, declared).select(
@@ -420,16 +444,17 @@ def load_network_tables(spark: SparkSession, stations_path: str, warehouse: str,
             F.to_json(F.struct(*declared.names)).alias("content"),
             F.col(D.FILE).alias("file"), F.col(D.MODIFIED).alias("modified"))
         left = union_all([
-            rejected_documents("stations", D.damaged(docs)), rejected_rows("networks", networks, ["id"]),
+            rejected_documents("stations", rows.where(damaged)), rejected_rows("networks", networks, ["id"]),
             rejected_rows("stations", status, ["station_id"]), wide])
         together(
             spark,
             lambda: load.replace("dim_network", upsert(
-                load.base.table(spark, "dim_network", S.NETWORK), stage(dim_network(docs), "networks"), ["id"]),
+                load.base.table(spark, "dim_network", S.NETWORK),
+                stage(newest_networks(only_latest(networks, ["id"], D.MODIFIED)), "networks"), ["id"]),
                 _watch(S.required(S.NETWORK), S.NETWORK_LENGTHS)),
             lambda: load.replace("dim_network_station", upsert(
                 load.base.table(spark, "dim_network_station", S.NETWORK_STATION),
-                stage(dim_network_station(stations), "network-stations"), ["station_id"]),
+                stage(dim_network_station(only_latest(stations, ["station_id"], "timestamp")), "network-stations"), ["station_id"]),
                 _watch(S.required(S.NETWORK_STATION), S.NETWORK_STATION_LENGTHS)),
             lambda: load.add(REJECTED, f"{load.number:012d}", left))
         fits = status.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in declared.fields], *ORIGIN)

@@ -65,11 +65,16 @@ class FactTable:
         """Stations together within a day, in the order of time."""
         return [*[k for k in self.key if k != self.time], *[k for k in self.key if k == self.time]]
 
+    @property
+    def compared(self) -> list[str]:
+        """The key with the time first: rows are sorted by numbers that hardly repeat, not by the few stations' names."""
+        return sorted(self.key, key=lambda k: k != self.time)
+
     def newest(self, rows: DataFrame) -> DataFrame:
         """One row for each key; the same one however the rows are split."""
         rest = [self.number] if self.number and self.number in rows.columns else []
         ordered = rows.select(*self.key, *self.order, "date", *rest)
-        return latest_per_key(ordered, [*self.key], self.order).select(*[c for c in rows.columns if c in ordered.columns])
+        return latest_per_key(ordered, self.compared, self.order).select(*[c for c in rows.columns if c in ordered.columns])
 
     def read(self, spark: SparkSession, state: Snapshot, days: Sequence[date | str | None] | None = None) -> DataFrame:
         """All rows as corrected, or those of some days.
@@ -86,7 +91,7 @@ class FactTable:
         later = state.rows(spark, self.corrections, self.stored, touched)
         # Corrections are few, so the planner sends their keys to the rows and not the other way.
         keys = later.select(*self.key).distinct()
-        same = _same(base, keys, self.key)
+        same = _same(base, keys, self.compared)
         left, hit = base.join(keys, same, "left_anti"), base.join(keys, same, "left_semi")
         found = self.newest(hit.unionByName(later)).select(*self.stored.names)
         resolved = left.unionByName(found)
@@ -108,11 +113,11 @@ class FactTable:
         if known:
             before = self.read(spark, load.state, known)
             # Only the keys of the batch; the planner may filter the scan by them.
-            before = before.join(rows.select(*self.key), _same(before, rows, self.key), "left_semi")
+            before = before.join(rows.select(*self.key), _same(before, rows, self.compared), "left_semi")
             number = F.col(self.number) if self.number else F.lit(None).cast("bigint")
             before = before.select(*self.key, F.struct(*self.order).alias(_BEFORE), number.alias(_NUMBER), F.lit(True).alias(_SEEN))
             old = before.withColumnsRenamed({k: f"_{k}" for k in self.key})
-            same = [rows[k].eqNullSafe(old[f"_{k}"]) for k in self.key]
+            same = [rows[k].eqNullSafe(old[f"_{k}"]) for k in self.compared]
             judged = stage(rows.join(old, same, "left").drop(*(f"_{k}" for k in self.key))
                            .where(F.col(_SEEN).isNull() | (F.struct(*self.order) > F.col(_BEFORE)))
                            .drop(_BEFORE), f"{self.name}-judged")
@@ -123,7 +128,7 @@ class FactTable:
             fresh = judged.where(F.col(_SEEN).isNull()).select(*names)
             if self.number:
                 mark = load.marks.get(self.number, 0)
-                fresh = dense_key(fresh, self.number, [self.time, *[k for k in self.key if k != self.time]], start=mark + 1)
+                fresh = dense_key(fresh, self.number, self.compared, start=mark + 1)
                 load.marks[self.number] = mark + counts["new"]
             load.add_dated(self.name, lambda path: write_by_date(fresh.select(*self.stored.names), path, "date", self.layout))
         if counts["newer"]:
