@@ -35,7 +35,7 @@ from starflow.plans.model import (
     weather_hours,
     weather_rows,
 )
-from starflow.session import prepare, scratch, stage
+from starflow.session import adaptive, prepare, scratch, stage, stateful
 from starflow.sources import snapshots as N
 from starflow.sources.documents import damaged, readable, stream_documents
 from starflow.sources.facts import FactTable
@@ -93,19 +93,20 @@ def with_weather(status: DataFrame, weather: DataFrame, delay: str = "1 hour", s
     dealt over ``salts`` parts by station, with a copy of the hour for each.
     """
     whole = F.col(S.CORRUPT).isNull() & F.col("station_id").isNotNull() & F.col("timestamp").isNotNull()
-    slot = F.date_trunc("hour", F.col("timestamp"))
-    part = F.pmod(F.xxhash64("station_id"), F.lit(salts)).cast("int")
-    waiting = status.where(whole).select("*", slot.alias("_slot"), part.alias("_part"))
+    # What is not whole is no side stream, which would read and parse the documents again: the join lets it
+    # pass at once, without a place in the state.  It is dealt by all it has, as its station is often missing.
+    by = F.when(whole, F.xxhash64("station_id")).otherwise(F.xxhash64(*status.columns))
+    part = F.pmod(by, F.lit(salts)).cast("int")
     hours = weather.where(F.col("timestamp").isNotNull() & F.col(S.CORRUPT).isNull()).select(
         F.date_trunc("hour", F.col("timestamp")).alias("_known"),
         F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_copy")).withWatermark("_known", delay)
-    found = waiting.join(hours, (F.col("_part") == F.col("_copy")) & (F.col("_slot") == F.col("_known")), "left")
+    same = (part == F.col("_copy")) & (F.date_trunc("hour", F.col("timestamp")) == F.col("_known"))
+    found = status.join(hours, whole & same, "left")
     hour = F.struct(*_HOUR_FIELDS.names)
     none = F.lit(None).cast(weather.select(hour.alias("h")).schema["h"].dataType)
     text = F.lit(None).cast("string")
-    statuses = union_all([found.select(*status.columns), status.where(~whole)])
     no_status = [F.lit(None).cast(f.dataType).alias(f.name) for f in STATUS.fields]
-    return statuses.select(*status.columns, none.alias(HOUR), text.alias("time"), text.alias(DAMAGE)).unionByName(
+    return found.select(*status.columns, none.alias(HOUR), text.alias("time"), text.alias(DAMAGE)).unionByName(
         weather.select(*no_status, *ORIGIN, text.alias(S.CORRUPT), F.when(F.col(S.CORRUPT).isNull(), hour).alias(HOUR),
                        "time", F.col(S.CORRUPT).alias(DAMAGE)))
 
@@ -145,22 +146,26 @@ def joined_writer(out: str, compact_every: int = 50, keep: int = 10) -> BatchWri
 
 
 def _writer(out: str, merge, compact_every: int, keep: int) -> BatchWriter:
+    def commit(spark: SparkSession, rows: DataFrame, query: str, number: int) -> None:
+        for attempt in range(20):
+            try:
+                with N.load(spark, out, keep) as load:
+                    merge(load, rows, query, number)
+                    if compact_every and number % compact_every == compact_every - 1:
+                        FACT.compact(load)
+                return
+            except N.CommitConflict:
+                # Another query on the same tables was first: merge into what it left.
+                time.sleep(0.1 * attempt)
+        raise N.CommitConflict(out)
+
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
         with scratch(spark):
             rows = stage(batch, "batch")  # read several times below
-            for attempt in range(20):
-                try:
-                    with N.load(spark, out, keep) as load:
-                        merge(load, rows, query, number)
-                        if compact_every and number % compact_every == compact_every - 1:
-                            FACT.compact(load)
-                    return
-                except N.CommitConflict:
-                    # Another query on the same tables was first: merge into what it left.
-                    time.sleep(0.1 * attempt)
-        raise N.CommitConflict(out)
+            with adaptive(spark):
+                commit(spark, rows, query, number)
 
     return write
 
@@ -207,7 +212,8 @@ def start(stream: DataFrame, writer: BatchWriter, checkpoint: str,
           once: bool = True) -> StreamingQuery:
     """Run the stream; ``once`` takes what has landed and ends."""
     sink = stream.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint)
-    return (sink.trigger(availableNow=True) if once else sink).start()
+    with stateful(stream.sparkSession):
+        return (sink.trigger(availableNow=True) if once else sink).start()
 
 
 def _dated(schema: T.StructType) -> list[str | Column]:
